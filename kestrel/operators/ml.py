@@ -245,7 +245,15 @@ def fit_model(train: DataFrame, target: str, features: list[str], model_type: st
         stages.append(StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"))
         label = "label"
     stages += [_assembler(features), estimator(model_type, task, n_estimators, max_depth, seed, label)]
-    return Pipeline(stages=stages).fit(train)
+    # estimators pass over the input many times: keep it materialised while fitting
+    owned = not train.is_cached
+    if owned:
+        train = train.persist()
+    try:
+        return Pipeline(stages=stages).fit(train)
+    finally:
+        if owned:
+            train.unpersist()
 
 
 def score_model(model, df: DataFrame, target: str, task: str) -> DataFrame:
@@ -301,11 +309,16 @@ def grid_search(spark, train: DataFrame, test: DataFrame, target: str, features:
                 grid: list[dict], model_type: str = "random_forest", task: str = "classification") -> DataFrame:
     """Fit every parameter set, score on held-out data; one row per run (run, params, score)."""
     rows = []
-    for i, params in enumerate(grid):
-        m = fit_model(train, target, features, model_type, task, **params)
-        s = evaluate(m, test, target, task).select("primary").first()[0]
-        rows.append((f"hp-search-{i + 1:03d}", json.dumps(params, sort_keys=True), int(params.get("n_estimators", 0)),
-                     int(params.get("max_depth", 0)), float(s)))
+    train, test = train.persist(), test.persist()
+    try:
+        for i, params in enumerate(grid):
+            m = fit_model(train, target, features, model_type, task, **params)
+            s = evaluate(m, test, target, task).select("primary").first()[0]
+            rows.append((f"hp-search-{i + 1:03d}", json.dumps(params, sort_keys=True),
+                         int(params.get("n_estimators", 0)), int(params.get("max_depth", 0)), float(s)))
+    finally:
+        train.unpersist()
+        test.unpersist()
     return spark.createDataFrame(rows, "run string, params string, n_estimators int, max_depth int, score double")
 
 
@@ -313,9 +326,14 @@ def compare_models(spark, train: DataFrame, test: DataFrame, target: str, featur
                    model_types: list[str], task: str = "classification", **kw) -> DataFrame:
     """Several algorithms on the same split; accuracy (or r2) of each."""
     rows = []
-    for t in model_types:
-        m = fit_model(train, target, features, t, task, **kw)
-        rows.append((t, float(evaluate(m, test, target, task).select("primary").first()[0])))
+    train, test = train.persist(), test.persist()
+    try:
+        for t in model_types:
+            m = fit_model(train, target, features, t, task, **kw)
+            rows.append((t, float(evaluate(m, test, target, task).select("primary").first()[0])))
+    finally:
+        train.unpersist()
+        test.unpersist()
     return spark.createDataFrame(rows, "model_type string, score double")
 
 

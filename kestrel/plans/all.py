@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from kestrel.plans import drift, ml, profile  # noqa: F401
+from kestrel.plans import drift, ml, profile, series  # noqa: F401

@@ -305,7 +305,7 @@ def q_train_evaluate_flow(spark, sf):
     from kestrel.sources.tables import scan_columns
     f = scan_columns(features(spark, sf), ["entity_id", "feature_timestamp"] + FEATS, TARGET)
     train, test = M.stratified_split(f, TARGET, RATIO, _key())
-    train = M.preprocess(train.drop("entity_id", "feature_timestamp"), TARGET).cache()
+    train = M.preprocess(train.drop("entity_id", "feature_timestamp"), TARGET)
     test = M.preprocess(test.drop("entity_id", "feature_timestamp"), TARGET)
     task = "classification" if M.is_stratified(train, TARGET) else "regression"
     m = M.fit_model(train, TARGET, FEATS, "random_forest", task, 100, 10)
