@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from kestrel.plans import anomaly, drift, ml, profile, series  # noqa: F401
+from kestrel.plans import anomaly, drift, ml, objects, profile, series  # noqa: F401
