@@ -170,21 +170,10 @@ def regression_metrics(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame
 
 def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool = False,
                    partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``cols`` in ``order`` across the whole frame, without a
-    single-partition window: range-partition, running sum inside each range, plus
-    the total of all earlier ranges (a table of one row per range)."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.desc(order) if descending else F.asc(order)
-    ranged = df.repartitionByRange(parts, o).withColumn("_pid", F.spark_partition_id())
-    per = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wp), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    w = Window.partitionBy("_pid").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(F.broadcast(offs), "_pid")
-    for c in cols:
-        out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.sum(c).over(w))
-    return out.drop("_pid", *[f"_o_{c}" for c in cols])
+    """Inclusive running sums of ``cols`` in ``order`` across the whole frame (see
+    ``kestrel.operators.cumulative``)."""
+    from kestrel.operators.cumulative import running
+    return running(df, [], order, cols, "sum", descending, partitions)
 
 
 def roc_points(pred: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
