@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from kestrel.plans import anomaly, drift, features, ml, objects, profile, runs, series  # noqa: F401
+from kestrel.plans import anomaly, drift, features, ml, objects, profile, runs, series, vectors  # noqa: F401
