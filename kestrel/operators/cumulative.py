@@ -18,7 +18,8 @@ _COMBINE = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
 def running(df: DataFrame, keys: list[str], order: str, cols: list[str], how: str = "sum",
             descending: bool = False, partitions: int | None = None, inclusive: bool = True,
             prefix: str = "cum_") -> DataFrame:
-    """Adds ``<prefix><col>`` = running ``how`` of each column within ``keys`` in ``order``.
+    """Adds ``<prefix><col>`` = running ``how`` of each column within ``keys`` in ``order``
+    and ``tot_<col>`` = the aggregate over the whole key group.
     ``inclusive=False`` excludes the current row (null when nothing precedes)."""
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -27,14 +28,18 @@ def running(df: DataFrame, keys: list[str], order: str, cols: list[str], how: st
     ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], o).withColumn("_pid", F.spark_partition_id())
     per = ranged.groupBy(*keys, "_pid").agg(*[agg(c).alias(f"_t_{c}") for c in cols])
     wp = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.select(*keys, "_pid", *[agg(f"_t_{c}").over(wp).alias(f"_o_{c}") for c in cols])
+    wall = Window.partitionBy(*keys)
+    offs = per.select(*keys, "_pid", *[agg(f"_t_{c}").over(wp).alias(f"_o_{c}") for c in cols],
+                      *[agg(f"_t_{c}").over(wall).alias(f"tot_{c}") for c in cols])
     end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*keys, "_pid").orderBy(o).rowsBetween(Window.unboundedPreceding, end)
     # without keys the offsets table has one row per range (bounded): broadcast it;
     # with keys its size is keys x ranges, so the planner decides on measured size
     out = ranged.join(offs if keys else F.broadcast(offs), keys + ["_pid"])
     for c in cols:
-        inside, before = agg(c).over(w), F.col(f"_o_{c}")
+        out = out.withColumn(f"_i_{c}", agg(c).over(w))          # one window evaluation per column
+    for c in cols:
+        inside, before = F.col(f"_i_{c}"), F.col(f"_o_{c}")
         val = F.when(before.isNull(), inside).when(inside.isNull(), before).otherwise(comb(before, inside))
         out = out.withColumn(f"{prefix}{c}", val)
-    return out.drop("_pid", *[f"_o_{c}" for c in cols])
+    return out.drop("_pid", *[f"_o_{c}" for c in cols], *[f"_i_{c}" for c in cols])

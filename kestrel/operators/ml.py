@@ -177,15 +177,14 @@ def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool
 
 
 def roc_points(pred: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
-    """One ROC point per distinct score (descending): (score, tpr, fpr, tp, fp, pos, neg)."""
+    """One ROC point per distinct score (descending): (score, tpr, fpr, tp, fp, pos, neg).
+    Totals come with the running sums (no second pass over the predictions)."""
     per = pred.groupBy(score).agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("tp"),
                                   F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("fp"))
-    tot = per.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
-    pn = _one_row_struct(tot, {"P": F.col("P"), "N": F.col("N")})
     cum = running_totals(per, score, ["tp", "fp"], descending=True)
-    return cum.select(score, "tp", "fp", (F.col("cum_tp") / pn["P"]).alias("tpr"),
-                      (F.col("cum_fp") / pn["N"]).alias("fpr"), "cum_tp", "cum_fp",
-                      pn["P"].alias("pos"), pn["N"].alias("neg"))
+    return cum.select(score, "tp", "fp", (F.col("cum_tp") / F.col("tot_tp")).alias("tpr"),
+                      (F.col("cum_fp") / F.col("tot_fp")).alias("fpr"), "cum_tp", "cum_fp",
+                      F.col("tot_tp").alias("pos"), F.col("tot_fp").alias("neg"))
 
 
 def roc_auc(pred: DataFrame, y: str = "y", score: str = "score") -> DataFrame:

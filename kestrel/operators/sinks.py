@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 
 def require_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NOT NULL check before a write: the first null in ``cols`` fails the job."""
-    cond = F.lit(False)
+    """NOT NULL check before a write: the first null in ``cols`` fails the job.
+    The check wraps the column itself, so column pruning cannot remove it."""
     for c in cols:
-        cond = cond | F.col(c).isNull()
-    return df.withColumn("_nn", F.when(cond, F.raise_error(F.lit(f"NULL in NOT NULL column(s) {cols}")))) \
-             .drop("_nn")
+        df = df.withColumn(c, F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {c}")))
+                           .otherwise(F.col(c)))
+    return df
 
 
 def append_partitioned(df: DataFrame, path: str, ts_col: str, not_null: list[str],
