@@ -41,6 +41,27 @@ def replace(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+# text formats default to millisecond timestamps; keep microseconds explicitly
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def write_text_dataset(df: DataFrame, path: str, fmt: str = "json") -> str:
+    """A dataset artifact as JSON lines or CSV with a header, timestamps at full precision."""
+    w = df.write.mode("overwrite").option("timestampNTZFormat", TS_TEXT).option("timestampFormat", TS_TEXT)
+    if fmt == "csv":
+        w = w.option("header", True)
+    w.format(fmt).save(path)
+    return path
+
+
+def read_text_dataset(spark: SparkSession, path: str, schema: str, fmt: str = "json") -> DataFrame:
+    """Read a JSON / CSV dataset back with an explicit schema (no inference)."""
+    r = spark.read.schema(schema).option("timestampNTZFormat", TS_TEXT).option("timestampFormat", TS_TEXT)
+    if fmt == "csv":
+        r = r.option("header", True)
+    return r.format(fmt).load(path)
+
+
 def write_step(df: DataFrame, path: str) -> str:
     """K8: a step's output as Parquet; returns the path for the next step."""
     df.write.mode("overwrite").parquet(path)

@@ -12,7 +12,7 @@ from kestrel.plans.oracle import FEATURES, with_
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
 from kestrel.sources.derived import DELAY_MINUTES, PROCESSED_TS, anomaly_doc, features
-from kestrel.sources.tables import read_step
+from kestrel.sources.tables import read_step, table
 
 CONFIG_THRESHOLD = 0.5
 
@@ -151,3 +151,38 @@ def q_table_create_if_missing(spark, sf):
 def q_sink_parquet_step(spark, sf):
     path = K.write_step(features(spark, sf), scratch_path(spark, "step"))
     return read_step(spark, path)
+
+
+@query("scan_parquet_step", with_(FEATURES) + "SELECT entity_id, age, income FROM features WHERE category = 'purchase'")
+def q_scan_parquet_step(spark, sf):
+    """A later step reads the previous step's Parquet (filter and projection reach the scan)."""
+    path = K.write_step(features(spark, sf), scratch_path(spark, "step"))
+    return read_step(spark, path).where(F.col("category") == "purchase").select("entity_id", "age", "income")
+
+
+@query("scan_csv_json_dataset", with_(FEATURES) + "SELECT entity_id, age, income, category, feature_timestamp FROM features")
+def q_scan_csv_json_dataset(spark, sf):
+    """A dataset artifact written as JSON lines, read back with an explicit schema."""
+    path = scratch_path(spark, "json")
+    K.write_text_dataset(features(spark, sf), path, "json")
+    schema = "entity_id string, age bigint, income double, category string, feature_timestamp timestamp_ntz"
+    return K.read_text_dataset(spark, path, schema, "json")
+
+
+@query("table_drop", "SELECT CAST(0 AS BIGINT) AS tables_left, count(*) AS rows_written FROM events")
+def q_table_drop(spark, sf):
+    """K6: drop a table and the whole database with its contents; dropping again succeeds."""
+    db = f"kestrel_drop_{abs(hash(scratch_path(spark, 'db'))) % 10**8}"
+    loc = scratch_path(spark, "warehouse")
+    K.create_if_missing(spark, db, "events_copy", "event_id BIGINT, value DOUBLE", loc)
+    ev = features(spark, sf)
+    n = ev.count()
+    table(spark, sf, "events", "event_id", "value").write.insertInto(f"{db}.events_copy")
+    written = spark.table(f"{db}.events_copy").count()
+    K.drop(spark, db, "events_copy")
+    K.drop(spark, db, "events_copy")
+    K.drop(spark, db)
+    K.drop(spark, db)
+    left = len([t for t in spark.catalog.listDatabases() if t.name == db])
+    assert written == n
+    return spark.createDataFrame([(left, written)], "tables_left bigint, rows_written bigint")

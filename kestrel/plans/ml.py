@@ -322,3 +322,16 @@ def q_custom_step(spark, sf):
         pdf["income"] = pdf["income"].clip(20.0, 200.0)
         return pdf
     return M.custom_step(f, clip, "entity_id string, income double")
+
+
+@query("stratified_split", """
+WITH d AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN documents d USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR))) AS rk,
+             count(*) OVER (PARTITION BY quality) AS n FROM d)
+SELECT doc_id, quality, n_chars, CASE WHEN rk <= ceil(0.2e0 * n) THEN 'test' ELSE 'train' END AS split FROM r""")
+def q_stratified_split(spark, sf):
+    """W5 on an integer target with two classes (stratified because < 20 distinct values)."""
+    d = table(spark, sf, "labels", "doc_id", "quality").join(table(spark, sf, "documents", "doc_id", "n_chars"),
+                                                              "doc_id")
+    train, test = M.stratified_split(d, "quality", RATIO, F.col("doc_id").cast("string"))
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))

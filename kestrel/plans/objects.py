@@ -168,3 +168,15 @@ def q_stream_object_ingest(spark, sf):
     run_object_ingest(spark, f"{base}/inbox", objects(spark, sf), table(spark, sf, "pages", "page_id", "html"),
                       f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(out["mirror"]).select("message_id", "path", "relative_path", "length")
+
+
+@query("message_handler", with_(_GOOD) + "SELECT * FROM mir")
+def q_message_handler(spark, sf):
+    """The per-batch user callback applied to one batch of messages."""
+    from kestrel.streaming.ingest import message_handler
+    base = scratch_path(spark, "handler")
+    handle = message_handler(objects(spark, sf), table(spark, sf, "pages", "page_id", "html"),
+                             f"{base}/mirror", f"{base}/dead")
+    handle(messages(spark, sf), 0)
+    handle(messages(spark, sf), 0)          # a retried batch replaces its own output
+    return spark.read.parquet(f"{base}/mirror").select("message_id", "path", "relative_path", "length")

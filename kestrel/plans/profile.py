@@ -154,3 +154,20 @@ def q_except_categories(spark, sf):
     f = with_period(features(spark, sf)).withColumn("income_band", F.floor("income").cast("bigint"))
     return P.except_values(f.where(F.col("period") == "current"), f.where(F.col("period") == "baseline"),
                            "income_band")
+
+
+@query("pct_of_total", """
+SELECT user_id, count(*) AS count, round(count(*) * 100.0e0 / sum(count(*)) OVER (), 2) AS percentage
+FROM events GROUP BY user_id""")
+def q_pct_of_total(spark, sf):
+    from kestrel.sources.tables import table
+    ev = table(spark, sf, "events", "user_id")
+    return P.pct_of_total(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("count")))
+
+
+@query("order_desc_limit", """
+SELECT event_id, ts, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 10""")
+def q_order_desc_limit(spark, sf):
+    from kestrel.sources.tables import table
+    ev = table(spark, sf, "events", "event_id", "ts", "event_type", "value")
+    return ev.orderBy(F.desc("ts"), F.desc("event_id")).limit(10)

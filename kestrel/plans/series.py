@@ -140,3 +140,15 @@ def q_scan_csv(spark, sf):
     # both round trips must agree; return the CSV one, joined to prove equality row for row
     return c.join(j.select("ts", "name", F.col("min").alias("jmin"), F.col("max").alias("jmax")), ["ts", "name"]) \
             .where((F.col("min") == F.col("jmin")) & (F.col("max") == F.col("jmax"))).select("ts", "name", "min", "max")
+
+
+@query("source_interface", with_(SERIES_CELLS) + """
+SELECT doc_id, ts, CAST(pos AS BIGINT) AS pos, name, 'value' AS unit, 'double' AS type, min, max FROM cells
+WHERE doc_id BETWEEN '20240105' AND '20240112'""")
+def q_source_interface(spark, sf):
+    """Z3: documents from one source implementation stored and re-read through another."""
+    from kestrel.sources.interface import DerivedSeriesSource, FileSeriesSource, FileStorage
+    store = FileStorage(scratch_path(spark, "docs"))
+    path = store.upload(DerivedSeriesSource(spark, sf).fetch("00000000", "99999999"), "series")
+    docs = FileSeriesSource(spark, path).fetch("20240105", "20240112")
+    return S.points_by_position(S.parse_series(docs))

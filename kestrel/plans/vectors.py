@@ -96,3 +96,14 @@ def q_ann_lsh(spark, sf):
         F.count(F.lit(1)).alias("hits"))
     return exact.select("qid").distinct().join(hits, "qid", "left").select(
         "qid", (F.coalesce("hits", F.lit(0)) / F.lit(float(K))).alias("recall"))
+
+
+@query("crowding_topk", "WITH " + _Q + """,
+s AS (SELECT q.qid, e.vec_id, e.label, list_cosine_similarity(q.qvec::DOUBLE[], e.embedding::DOUBLE[]) AS score
+      FROM q CROSS JOIN embeddings e WHERE q.qid <> e.vec_id),
+c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY score DESC NULLS LAST, vec_id) AS cr
+                     FROM s) WHERE cr <= 1)""" + _rank_sql("SELECT qid, vec_id, score FROM c", 5))
+def q_crowding_topk(spark, sf):
+    """One neighbour per label at most, five overall."""
+    e = _emb(spark, sf)
+    return _out(V.knn_crowding(e, _queries(e), 5, 1, "label"))
