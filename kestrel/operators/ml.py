@@ -47,7 +47,8 @@ def is_stratified(df: DataFrame, target: str) -> bool:
 
 
 def stratified_split(df: DataFrame, target: str | None, ratio: float, key: Column,
-                     seed: int = SEED, stratify: bool | None = None) -> tuple[DataFrame, DataFrame]:
+                     seed: int = SEED, stratify: bool | None = None,
+                     materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Exact split.  Rows of each stratum are ordered by md5('<seed>:<key>');
     the first ceil(ratio * n) go to test, the rest to train.
 
@@ -55,7 +56,12 @@ def stratified_split(df: DataFrame, target: str | None, ratio: float, key: Colum
     — 65536 ordered buckets — a running sum over those counts places whole
     buckets in test or train, and only the single boundary bucket of each
     stratum is ranked row by row.  A stratum holding a third of the data is
-    therefore spread over 65536 groups."""
+    therefore spread over 65536 groups.
+
+    With ``materialize`` the labelled rows are checkpointed once into the shared
+    checkpoint folder (the split is a step output, like the train/test datasets of
+    the original pipeline): later steps scan it instead of recomputing the split,
+    and a lost executor does not send the job back to the source."""
     if stratify is None:
         stratify = target is not None and is_stratified(df, target)
     stratum = (F.coalesce(F.col(target).cast("string"), F.lit("\u0000null")) if stratify and target
@@ -69,14 +75,21 @@ def stratified_split(df: DataFrame, target: str | None, ratio: float, key: Colum
                     .withColumn("_n", F.sum("_c").over(Window.partitionBy("_s")))
                     .withColumn("_k", F.ceil(F.lit(float(ratio)) * F.col("_n")))
                     .withColumn("_start", F.col("_end") - F.col("_c")))
-    j = t.join(placed.select("_s", "_b", "_start", "_end", "_k"), ["_s", "_b"])
-    whole = j.where((F.col("_end") <= F.col("_k")) | (F.col("_start") >= F.col("_k")))
-    whole = whole.withColumn("_test", F.col("_end") <= F.col("_k"))
-    edge = j.where((F.col("_start") < F.col("_k")) & (F.col("_end") > F.col("_k")))
-    rn = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h"))
-    edge = edge.withColumn("_test", F.col("_start") + rn <= F.col("_k"))
-    labeled = whole.unionByName(edge)
-    drop = ["_h", "_s", "_b", "_start", "_end", "_k", "_test"]
+    # one row per stratum: the bucket holding the k-th row and the count before it
+    edge_b = placed.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_end"))).select(
+        "_s", F.col("_b").alias("_bk"), F.col("_start").alias("_before"), "_k")
+    j = t.join(edge_b, "_s", "left")
+    whole = j.where(F.col("_bk").isNull() | (F.col("_b") != F.col("_bk")))
+    whole = whole.withColumn("_test", F.coalesce(F.col("_b") < F.col("_bk"), F.lit(False)))
+    edge = j.where(F.col("_b") == F.col("_bk"))
+    rn = F.row_number().over(Window.partitionBy("_s").orderBy("_h"))
+    edge = edge.withColumn("_test", F.col("_before") + rn <= F.col("_k"))
+    labeled = whole.unionByName(edge).drop("_h", "_s", "_b", "_bk", "_before", "_k")
+    if materialize:
+        from kestrel.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        labeled = labeled.checkpoint(eager=True)
+    drop = ["_test"]
     return (labeled.where(~F.col("_test")).drop(*drop), labeled.where(F.col("_test")).drop(*drop))
 
 
@@ -233,7 +246,11 @@ def fit_model(train: DataFrame, target: str, features: list[str], model_type: st
         stages.append(StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"))
         label = "label"
     stages += [_assembler(features), estimator(model_type, task, n_estimators, max_depth, seed, label)]
-    # estimators pass over the input many times: keep it materialised while fitting
+    # estimators pass over the input many times and are CPU-bound per row: spread the
+    # input over at least the default parallelism and keep it materialised while fitting
+    par = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < par:
+        train = train.repartition(par)
     owned = not train.is_cached
     if owned:
         train = train.persist()
