@@ -28,24 +28,35 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((na == 0) | (nb == 0), F.lit(None).cast("double")).otherwise(_dot(a, b) / (na * nb))
 
 
+def unit_vectors(df: DataFrame, vec_col: str, out: str = "_u") -> DataFrame:
+    """Adds ``out`` = the vector scaled to length 1 (null for a zero vector).  The norm is
+    a column of its own, so it is computed once per row, not once per element."""
+    v = F.col(vec_col).cast("array<double>")
+    d = df.withColumn("_norm", F.sqrt(_dot(v, v)))
+    return d.withColumn(out, F.when(F.col("_norm") > 0, F.transform(v, lambda x: x / F.col("_norm")))) \
+            .drop("_norm")
+
+
 def query_set(queries: DataFrame, id_col: str, vec_col: str, limit: int = MAX_QUERIES) -> Column:
-    """The query vectors as one array<struct<qid, qvec>> value, after checking the count."""
+    """The query vectors, already unit length, as one array<struct<qid, qunit>> value,
+    after checking that the set is bounded."""
     n = queries.count()
     if n > limit:
         raise ValueError(f"{n} query vectors exceed the bound of {limit}; split the query set")
-    arr = queries.select(F.collect_list(F.struct(F.col(id_col).alias("qid"),
-                                                 F.col(vec_col).cast("array<double>").alias("qvec")))).scalar()
-    return arr
+    q = unit_vectors(queries, vec_col, "qunit")
+    return q.select(F.collect_list(F.struct(F.col(id_col).alias("qid"), F.col("qunit")))).scalar()
 
 
 def score_all(table: DataFrame, qs: Column, id_col: str, vec_col: str, keep: list[str] | None = None,
               exclude_self: bool = True) -> DataFrame:
-    """(qid, id, score, keep...) for every table row and query."""
+    """(qid, id, score, keep...) for every table row and query: one dot product of unit
+    vectors per pair (each row is normalised once, each query once)."""
     keep = keep or []
+    t = unit_vectors(table.select(id_col, vec_col, *keep), vec_col)
     # the query array is attached as a column first (subqueries may not sit inside lambdas)
-    withq = table.select(id_col, vec_col, *keep, qs.alias("_qs"))
+    withq = t.select(id_col, "_u", *keep, qs.alias("_qs"))
     scored = withq.select(id_col, *keep, F.inline(F.transform(
-        "_qs", lambda q: F.struct(q["qid"].alias("qid"), cosine(q["qvec"], F.col(vec_col)).alias("score")))))
+        "_qs", lambda q: F.struct(q["qid"].alias("qid"), _dot(q["qunit"], F.col("_u")).alias("score")))))
     if exclude_self:
         scored = scored.where(F.col("qid") != F.col(id_col))
     return scored
