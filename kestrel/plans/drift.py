@@ -10,7 +10,7 @@ from kestrel.operators.ml import stratified_split
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PERIODS, SNAPSHOTS, with_
 from kestrel.plans.registry import query
-from kestrel.sources.derived import features, snapshots, with_period
+from kestrel.sources.derived import features, snapshots, split_periods
 
 NUM = ["age", "income"]
 CAT = ["category"]
@@ -18,8 +18,7 @@ CONFIG = {"age": 0.3, "income": 0.3, "category": None}   # category: default thr
 
 
 def _periods(spark, sf):
-    f = with_period(features(spark, sf))
-    return f.where(F.col("period") == "baseline"), f.where(F.col("period") == "current")
+    return split_periods(features(spark, sf))
 
 
 def _thr(spark):

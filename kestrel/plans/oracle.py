@@ -11,8 +11,8 @@ FEATURES = """features AS (
 
 PERIODS = FEATURES + """,
 periods AS (
-  SELECT *, CASE WHEN feature_timestamp < TIMESTAMP '2024-01-16 00:00:00'
-                 THEN 'baseline' ELSE 'current' END AS period
+  SELECT *, CASE WHEN feature_timestamp < TIMESTAMP '2024-01-16 00:00:00' THEN 'baseline'
+                 WHEN feature_timestamp >= TIMESTAMP '2024-01-16 00:00:00' THEN 'current' END AS period
   FROM features)"""
 
 SNAPSHOTS = FEATURES + """,

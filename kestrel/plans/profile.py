@@ -8,7 +8,7 @@ from kestrel.operators import profile as P
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PERIODS, with_
 from kestrel.plans.registry import query
-from kestrel.sources.derived import features, with_period
+from kestrel.sources.derived import features, split_periods, with_period
 from kestrel.sources.tables import scan_columns
 
 NUM = ["age", "income"]
@@ -38,10 +38,9 @@ FROM (SELECT 'before' AS period, * FROM periods WHERE period = 'baseline'
       UNION ALL SELECT 'after', * FROM periods)
 GROUP BY period""")
 def q_existing_stats(spark, sf):
-    f = with_period(features(spark, sf))
-    before = P.existing_stats(f.where(F.col("period") == "baseline"), NUM).select(F.lit("before").alias("period"), "*")
-    after = P.existing_stats(P.union_batches(f.where(F.col("period") == "baseline"),
-                                             f.where(F.col("period") == "current")), NUM)
+    base, cur = split_periods(features(spark, sf))
+    before = P.existing_stats(base, NUM).select(F.lit("before").alias("period"), "*")
+    after = P.existing_stats(P.union_batches(base, cur), NUM)
     return rounded(before.unionByName(after.select(F.lit("after").alias("period"), "*")))
 
 
@@ -142,8 +141,8 @@ SELECT period, count(*) AS n, round(sum(income), 6) AS income_sum FROM (
   SELECT * FROM periods WHERE period = 'baseline' UNION ALL SELECT * FROM periods WHERE period = 'current')
 GROUP BY period""")
 def q_union_batches(spark, sf):
-    f = with_period(features(spark, sf))
-    u = P.union_batches(f.where(F.col("period") == "baseline"), f.where(F.col("period") == "current"))
+    base, cur = split_periods(with_period(features(spark, sf)))
+    u = P.union_batches(base, cur)
     return rounded(u.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("income").alias("income_sum")))
 
 
@@ -151,9 +150,8 @@ def q_union_batches(spark, sf):
 SELECT CAST(floor(income) AS BIGINT) AS income_band FROM periods WHERE period = 'current'
 EXCEPT SELECT CAST(floor(income) AS BIGINT) FROM periods WHERE period = 'baseline'""")
 def q_except_categories(spark, sf):
-    f = with_period(features(spark, sf)).withColumn("income_band", F.floor("income").cast("bigint"))
-    return P.except_values(f.where(F.col("period") == "current"), f.where(F.col("period") == "baseline"),
-                           "income_band")
+    base, cur = split_periods(features(spark, sf).withColumn("income_band", F.floor("income").cast("bigint")))
+    return P.except_values(cur, base, "income_band")
 
 
 @query("pct_of_total", """

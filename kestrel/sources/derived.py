@@ -44,9 +44,17 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_period(df: DataFrame, ts_col: str = "feature_timestamp", split_ts: str = SPLIT_TS) -> DataFrame:
-    """Label rows 'baseline' (before split_ts) or 'current'."""
-    return df.withColumn("period", F.when(F.col(ts_col) < F.lit(split_ts).cast("timestamp_ntz"),
-                                          "baseline").otherwise("current"))
+    """Label rows 'baseline' (before split_ts) or 'current' (rows without time: neither)."""
+    t = F.lit(split_ts).cast("timestamp_ntz")
+    return df.withColumn("period", F.when(F.col(ts_col) < t, "baseline").when(F.col(ts_col) >= t, "current"))
+
+
+def split_periods(df: DataFrame, ts_col: str = "feature_timestamp",
+                  split_ts: str = SPLIT_TS) -> tuple[DataFrame, DataFrame]:
+    """(baseline, current) as plain time predicates, so they reach the Parquet scan
+    as pushed filters (row groups outside the period are skipped)."""
+    t = F.lit(split_ts).cast("timestamp_ntz")
+    return df.where(F.col(ts_col) < t), df.where(F.col(ts_col) >= t)
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
