@@ -182,13 +182,21 @@ def q_drift_new_category(spark, sf):
     return D.new_category_drift(base.select(*cols), cur.select(*cols), ["income_band", "category"])
 
 
-@query("join_threshold_config", """
-SELECT * FROM (VALUES ('age', 0.3e0), ('income', 0.3e0), ('category', 0.3e0)) AS t(feature, threshold)""")
+@query("join_threshold_config", with_(FEATURES) + """,
+present AS (SELECT 'age' AS feature, count(age) AS n_values FROM features
+            UNION ALL SELECT 'income', count(income) FROM features
+            UNION ALL SELECT 'category', count(category) FROM features)
+SELECT p.feature, p.n_values, coalesce(t.threshold, 0.3e0) AS threshold
+FROM present p LEFT JOIN (VALUES ('age', 0.3e0), ('income', 0.3e0)) AS t(feature, threshold) USING (feature)""")
 def q_join_threshold_config(spark, sf):
-    # the feature list comes from the feature table's schema
+    """The monitored features found in the data, left-joined to the threshold config
+    (a row per feature: broadcast), default 0.3 where the config has none."""
     f = features(spark, sf)
-    feats = [c for c in f.columns if c in NUM + CAT]
-    return D.thresholds(spark, feats, CONFIG)
+    long = D.unpivot(f, NUM + CAT, as_string=True)
+    present = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
+    thr = D.thresholds(spark, NUM + CAT, CONFIG)
+    return present.join(F.broadcast(thr), "feature", "left").select(
+        "feature", "n_values", F.coalesce("threshold", F.lit(D.DEFAULT_THRESHOLD)).alias("threshold"))
 
 
 # ------------------------------------------------------------------ D7 monitor jobs, W3, W4, A21-A23

@@ -46,7 +46,7 @@ def q_stream_feature_import(spark, sf):
     schema = "entity_id string, age bigint, income double, category string, feature_timestamp timestamp_ntz"
     path = T.run_feature_import(spark, src, schema, scratch_path(spark, "serving"), scratch_path(spark, "ckpt"),
                                 ["entity_id"], "feature_timestamp", max_files_per_trigger=2)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("_bucket")
 
 
 @query("stream_result_append", """

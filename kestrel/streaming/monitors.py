@@ -43,29 +43,49 @@ def run_windowed_monitor(spark: SparkSession, source_dir: str, schema: str, out:
 
 
 # ---------------------------------------------------------------- T3
+SERVING_BUCKETS = 64
+
+
+def merge_latest(spark: SparkSession, batch: DataFrame, serving: str, keys: list[str], ts: str,
+                 buckets: int = SERVING_BUCKETS) -> None:
+    """Upsert a batch into the serving table (latest row per entity).
+
+    The serving table is partitioned by an entity-hash bucket; only the buckets the
+    batch touches are read (partition pruning) and rewritten (dynamic partition
+    overwrite).  The merge is a latest-value aggregation, so re-running the same batch
+    gives the same table.  The merged rows are checkpointed before the write, so the
+    job never overwrites files it is still reading."""
+    from kestrel.session import checkpoint_dir
+    b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    touched = [r[0] for r in b.select("_bucket").distinct().collect()]      # at most `buckets` values
+    if not touched:
+        return
+    rows = b
+    try:
+        prev = spark.read.parquet(serving).where(F.col("_bucket").isin(touched))
+        rows = prev.unionByName(b)
+    except Exception:  # noqa: BLE001  (first write: no serving table yet)
+        pass
+    checkpoint_dir(spark)
+    merged = latest_per_entity(rows, keys + ["_bucket"], ts).checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_bucket").parquet(serving))
+
+
 def run_feature_import(spark: SparkSession, source_dir: str, schema: str, serving: str, checkpoint: str,
                        keys: list[str], ts: str, max_files_per_trigger: int | None = None) -> str:
-    """Append-only offline history is the source; each micro-batch merges its rows into
-    the serving table (latest value per entity) and writes the merged table as version
-    ``batch=<id>``; a retried batch rewrites its own version from the previous one."""
+    """Append-only offline history is the source; each micro-batch is merged into the
+    serving table (newest value per entity) with ``merge_latest``."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.parquet(source_dir)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(f"{serving}/batch={batch_id - 1}")
-            except Exception:  # noqa: BLE001  (no earlier version: first batch with data)
-                prev = None
-        allrows = batch if prev is None else prev.unionByName(batch)
-        latest_per_entity(allrows, keys, ts).write.mode("overwrite").parquet(f"{serving}/batch={batch_id}")
-
-    q = _run(stream.writeStream.foreachBatch(merge), checkpoint)
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
-    return f"{serving}/batch={last}"
+        merge_latest(spark, batch, serving, keys, ts)
+
+    _run(stream.writeStream.foreachBatch(merge), checkpoint)
+    return serving
 
 
 # ---------------------------------------------------------------- T4
