@@ -17,15 +17,15 @@ from kestrel.sources.tables import read_step, table
 CONFIG_THRESHOLD = 0.5
 
 _RESP = """d AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, avg(value) AS mu, stddev_samp(value) AS sd,
-         arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts
-  FROM events GROUP BY 1, 2),
+  SELECT user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS block, count(*) AS n, avg(value) AS mu,
+         stddev_samp(value) AS sd, arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts
+  FROM events GROUP BY 1, 2, 3),
 r AS (
   SELECT *, (user_id % 10 NOT IN (0, 3, 6)) AND sd IS NOT NULL AS valid,
-         CAST(user_id AS VARCHAR) || ':' || strftime(day, '%Y-%m-%d') AS fkey
+         CAST(user_id AS VARCHAR) || ':' || strftime(day, '%Y-%m-%d') || ':' || CAST(block AS VARCHAR) AS fkey
   FROM d),
 res AS (
-  SELECT user_id, day,
+  SELECT user_id, day, block,
          CASE WHEN valid THEN last_ts ELSE TIMESTAMP '2024-02-01 08:50:44' END AS event_ts,
          CASE WHEN valid THEN last_value
               ELSE CAST(('0x' || substr(md5(fkey), 1, 8)) AS BIGINT) / 4294967296.0e0 END AS inference_value,
@@ -38,7 +38,8 @@ def _parsed(spark, sf):
 
 
 def _key():
-    return F.concat_ws(":", F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"))
+    return F.concat_ws(":", F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"),
+                       F.col("block").cast("string"))
 
 
 def _results(spark, sf):
@@ -46,21 +47,21 @@ def _results(spark, sf):
 
 
 @query("scan_anomaly_response", with_(_RESP) + """
-SELECT user_id, day, CAST(n AS INTEGER) AS n_results,
+SELECT user_id, day, block, CAST(n AS INTEGER) AS n_results,
        CASE WHEN user_id % 10 <> 6 THEN round(mu + 2 * sd, 6) END AS sigma2,
        CASE WHEN user_id % 10 <> 6 THEN round(mu + 3 * sd, 6) END AS sigma3
 FROM r""")
 def q_scan_anomaly_response(spark, sf):
     p = _parsed(spark, sf)
-    return rounded(p.select("user_id", "day", F.size("results").alias("n_results"),
+    return rounded(p.select("user_id", "day", "block", F.size("results").alias("n_results"),
                             F.col("sigma2_text").try_cast("double").alias("sigma2"),
                             F.col("sigma3_text").try_cast("double").alias("sigma3")))
 
 
-@query("strict_cast_poison", with_(_RESP) + "SELECT user_id, day, valid FROM r")
+@query("strict_cast_poison", with_(_RESP) + "SELECT user_id, day, block, valid FROM r")
 def q_strict_cast_poison(spark, sf):
     p = _parsed(spark, sf)
-    return p.select("user_id", "day",
+    return p.select("user_id", "day", "block",
                     A.response_valid(F.col("results"), F.col("sigma2_text"), F.col("sigma3_text")).alias("valid"))
 
 
@@ -69,9 +70,9 @@ def q_latest_inference(spark, sf):
     return _results(spark, sf)
 
 
-@query("fallback_value", with_(_RESP) + "SELECT user_id, day, inference_value FROM res WHERE is_fallback")
+@query("fallback_value", with_(_RESP) + "SELECT user_id, day, block, inference_value FROM res WHERE is_fallback")
 def q_fallback_value(spark, sf):
-    return _results(spark, sf).where("is_fallback").select("user_id", "day", "inference_value")
+    return _results(spark, sf).where("is_fallback").select("user_id", "day", "block", "inference_value")
 
 
 @query("build_result_row", with_(_RESP) + """
@@ -83,7 +84,7 @@ def q_build_result_row(spark, sf):
 
 
 @query("null_response_row", with_(_RESP) + f"""
-SELECT user_id, day, TIMESTAMP '2024-02-01 08:50:44' AS timestamp, CAST(NULL AS DOUBLE) AS reconstruction_error,
+SELECT user_id, day, block, TIMESTAMP '2024-02-01 08:50:44' AS timestamp, CAST(NULL AS DOUBLE) AS reconstruction_error,
        {CONFIG_THRESHOLD}e0 AS sigma2, {CONFIG_THRESHOLD}e0 AS sigma3
 FROM r WHERE NOT valid""")
 def q_null_response_row(spark, sf):

@@ -50,10 +50,10 @@ def q_stream_feature_import(spark, sf):
 
 
 @query("stream_result_append", """
-WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, stddev_samp(value) AS sd, arg_max(value, (ts, event_id)) AS last_value,
-                  max(ts) AS last_ts FROM events GROUP BY 1, 2),
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS block, stddev_samp(value) AS sd,
+                  arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts FROM events GROUP BY 1, 2, 3),
 r AS (SELECT *, (user_id % 10 NOT IN (0, 3, 6)) AND sd IS NOT NULL AS valid,
-             CAST(user_id AS VARCHAR) || ':' || strftime(day, '%Y-%m-%d') AS fkey FROM d),
+             CAST(user_id AS VARCHAR) || ':' || strftime(day, '%Y-%m-%d') || ':' || CAST(block AS VARCHAR) AS fkey FROM d),
 res AS (SELECT CASE WHEN valid THEN last_ts ELSE TIMESTAMP '2024-02-01 08:50:44' END AS event_ts,
                CASE WHEN valid THEN last_value
                     ELSE CAST(('0x' || substr(md5(fkey), 1, 8)) AS BIGINT) / 4294967296.0e0 END AS inference_value FROM r)
@@ -63,8 +63,8 @@ def q_stream_result_append(spark, sf):
     src = scratch_path(spark, "resp")
     anomaly_doc(spark, sf).repartition(4).write.mode("overwrite").json(src)
     out, ck = scratch_path(spark, "results"), scratch_path(spark, "ckpt")
-    T.run_result_append(spark, src, out, ck, PROCESSED_TS, DELAY_MINUTES, ["user_id", "day"])
-    T.run_result_append(spark, src, out, ck, PROCESSED_TS, DELAY_MINUTES, ["user_id", "day"])
+    T.run_result_append(spark, src, out, ck, PROCESSED_TS, DELAY_MINUTES)
+    T.run_result_append(spark, src, out, ck, PROCESSED_TS, DELAY_MINUTES)
     back = spark.read.parquet(out)
     return rounded(back.groupBy("p_date").agg(F.count(F.lit(1)).alias("n"), F.sum("inference_value").alias("total")))
 

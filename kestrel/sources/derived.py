@@ -108,17 +108,21 @@ def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataF
 
 
 # ---------------------------------------------------------------- anomaly responses
+RESPONSE_BLOCK = 1024     # a response covers at most this many consecutive event ids
+
+
 def anomaly_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One detector response per (user, day): results = that user's events of the
-    day in time order, thresholds = mean + 2/3 sample deviations.
+    """One detector response per (user, day, block of 1024 event ids): results = those
+    events in time order, thresholds = mean + 2/3 sample deviations.
 
     Poison rules: user_id % 10 = 0 -> first element's error is text;
     = 3 -> first element's error is JSON null; = 6 -> threshold missing.
     The results list is built as JSON text so numbers stay numbers and text stays
-    text.  A response covers one series for one day, which bounds the list.
+    text.  The event-id block bounds every list, however hot a user or day is.
     """
     ev = table(spark, sf_dir, "events", "event_id", "user_id", "ts", "value")
-    per_doc = (ev.groupBy("user_id", F.to_date("ts").alias("day"))
+    block = F.floor(F.col("event_id") / RESPONSE_BLOCK).cast("bigint").alias("block")
+    per_doc = (ev.groupBy("user_id", F.to_date("ts").alias("day"), block)
                .agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("items"),
                     F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd")))
     uid = F.col("user_id")
@@ -135,7 +139,7 @@ def anomaly_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
                              (F.col("mu") + 3 * F.col("sd")).alias("3sigma")))
     doc = (F.when(uid % 10 == 6, F.concat(F.lit('{"results":'), results, F.lit("}")))
             .otherwise(F.concat(F.lit('{"results":'), results, F.lit(',"threshold":'), thr, F.lit("}"))))
-    return per_doc.select("user_id", "day", doc.alias("doc"))
+    return per_doc.select("user_id", "day", "block", doc.alias("doc"))
 
 
 # ---------------------------------------------------------------- objects and messages

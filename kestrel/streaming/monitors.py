@@ -90,12 +90,13 @@ def run_feature_import(spark: SparkSession, source_dir: str, schema: str, servin
 
 # ---------------------------------------------------------------- T4
 def run_result_append(spark: SparkSession, source_dir: str, out: str, checkpoint: str, processed_ts: str,
-                      delay_minutes: int, key_cols: list[str]) -> str:
+                      delay_minutes: int) -> str:
     """Detector responses arriving as JSON files -> one result row each -> day-partitioned
     Parquet (exactly-once file sink)."""
-    stream = spark.readStream.schema("user_id bigint, day date, doc string").json(source_dir)
+    stream = spark.readStream.schema("user_id bigint, day date, block bigint, doc string").json(source_dir)
     parsed = A.parse_response(stream)
-    key = F.concat_ws(":", F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"))
+    key = F.concat_ws(":", F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"),
+                      F.col("block").cast("string"))
     rows = A.latest_inference(parsed, key, processed_ts, delay_minutes).withColumn("p_date", F.to_date("event_ts"))
     _run(rows.writeStream.outputMode("append").format("parquet").option("path", out).partitionBy("p_date"),
          checkpoint)
