@@ -125,3 +125,23 @@ def list_files(spark, path: str, glob: str | None = None) -> DataFrame:
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path).select("path", "length", "modificationTime")
+
+
+def resolve_object(objects: DataFrame, prefix: str, explicit: str | None = None, name: str = "name",
+                   updated: str = "updated") -> DataFrame:
+    """A10 as the reference resolves its input file: an explicitly named object wins
+    when it exists; otherwise the newest object under ``prefix`` (null ``updated``
+    ignored, ties -> smallest name).  The result has one row; finding none fails the
+    query (raise_error), it never silently returns nothing."""
+    cands = objects.where(F.col(name).startswith(prefix) & F.col(updated).isNotNull())
+    if explicit is not None:
+        hit = objects.where(F.col(name) == explicit).select(name, updated, F.lit(0).alias("_prio"))
+        cands = hit.unionByName(cands.select(name, updated, F.lit(1).alias("_prio")))
+    else:
+        cands = cands.select(name, updated, F.lit(1).alias("_prio"))
+    best = cands.orderBy(F.asc("_prio"), F.desc_nulls_last(updated), F.asc(name)).limit(1)
+    # an empty result becomes an error row: left join of a one-row frame
+    one = objects.sparkSession.range(1).select(F.lit(1).alias("_one"))
+    out = one.join(best.withColumn("_one", F.lit(1)), "_one", "left")
+    return out.select(F.when(F.col(name).isNull(), F.raise_error(F.lit(f"no object under prefix {prefix}")))
+                      .otherwise(F.col(name)).alias(name), updated)

@@ -91,6 +91,13 @@ def measurement_min_max(df: DataFrame, ts_col: str, sensor_col: str, value_col:
              .agg(F.min(value_col).alias("min"), F.max(value_col).alias("max"))
 
 
+def wide_column_names(sensors: list[tuple[str, str]]) -> list[str]:
+    """Column stem per sensor: its name, or ``name_type`` when two sensors share a name
+    (the wide table must not carry duplicate column names)."""
+    names = [n for n, _ in sensors]
+    return [f"{n}_{t}" if names.count(n) > 1 else n for n, t in sensors]
+
+
 def wide_from_documents(parsed: DataFrame, names: list[str], key: str = "doc_id") -> DataFrame:
     """A9 without a shuffle: each (document, timestamp) row already holds every point,
     so ``{name}_min`` / ``{name}_max`` are picked by sensor name from the zipped lists."""

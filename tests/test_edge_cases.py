@@ -236,3 +236,31 @@ def test_sinks(spark):
     bad = spark.createDataFrame([(None, 1.0)], "t timestamp_ntz, v double")
     with pytest.raises(Exception):
         K.append_partitioned(bad, base + "/u", "t", ["t", "v"])
+
+
+def test_resolve_object(spark, objs):
+    r = O.resolve_object(objs, "a/b/").collect()
+    assert [x.name for x in r] == ["a/b/x.txt"]
+    r = O.resolve_object(objs, "a/b/", explicit="a/b/sub/z.csv").collect()
+    assert [x.name for x in r] == ["a/b/sub/z.csv"]          # explicit name wins, even with null updated
+    r = O.resolve_object(objs, "a/b/", explicit="missing").collect()
+    assert [x.name for x in r] == ["a/b/x.txt"]              # explicit name absent: newest under prefix
+    with pytest.raises(Exception):
+        O.resolve_object(objs, "zz/").collect()              # none: failure
+
+
+def test_wide_column_names():
+    assert S.wide_column_names([("t", "temp"), ("h", "hum"), ("t", "raw")]) == ["t_temp", "h", "t_raw"]
+
+
+def test_drift_gate_writes_only_when_asked(spark):
+    from kestrel.operators import drift as D
+    from kestrel.operators.monitor import drift_gate
+    base = spark.createDataFrame([(25, 1.0, "A"), (35, 2.0, "B"), (45, 3.0, "A")], "age bigint, income double, category string")
+    cand = spark.createDataFrame([(45, 3.0, "C")] * 3, "age bigint, income double, category string")
+    thr = D.thresholds(spark, ["age", "income", "category"])
+    dry = drift_gate(base, cand, ["age", "income"], ["category"], thr, dry_run=True).collect()
+    assert all(r.written is False for r in dry) and any(r.drift_detected for r in dry)
+    path = tempfile.mkdtemp(prefix="kestrel-gate-") + "/t"
+    wet = drift_gate(base, cand, ["age", "income"], ["category"], thr, dry_run=False, sink_path=path).collect()
+    assert all(r.written for r in wet) and spark.read.parquet(path).count() == 3
