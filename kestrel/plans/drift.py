@@ -288,12 +288,14 @@ def q_list_jobs_limit(spark, sf):
     return st.orderBy(F.desc("snapshot_ts"), "job_id").limit(10).select("job_id", "snapshot_ts", "status")
 
 
-@query("job_detail", JOBS_SQL + """
-SELECT * FROM jobs WHERE job_id = (SELECT max(job_id) FROM jobs)""")
+DETAIL_JOB = "20240122T000000"     # the job asked for (a parameter, as in the reference call)
+
+
+@query("job_detail", JOBS_SQL + f"""
+SELECT * FROM jobs WHERE job_id = '{DETAIL_JOB}'""")
 def q_job_detail(spark, sf):
-    j = rounded(_jobs(spark, sf).select(*_JOB_COLS))
-    latest = j.select(F.max("job_id")).scalar()
-    return j.where(F.col("job_id") == latest)
+    """O3: one job by id with per-feature drift and statistics."""
+    return rounded(_jobs(spark, sf).select(*_JOB_COLS)).where(F.col("job_id") == DETAIL_JOB)
 
 
 @query("feature_stats_numeric", with_(SNAPSHOTS) + """
