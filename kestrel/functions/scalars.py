@@ -6,17 +6,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bar glyph and width per glyph; HTTP status classes.
-BAR_GLYPH = "█"
-BAR_STEP = 5
-ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'.000Z'"
-COMPACT = "yyyyMMdd_HHmmss"
+from kestrel.fixed import (BAR_GLYPH, BAR_STEP, CSV_STAMP as COMPACT, ENTITY_ID_FORMAT, ISO_Z,
+                           PLACEHOLDER_SECOND, TAG_AT, TAG_PREFIX, TIME_TEXT_LENGTH)
 
 
 # F2
 def tag_processed(text: Column, at: Column) -> Column:
     """'Processed: <text>' and then ' at <ISO time>'."""
-    return F.concat(F.lit("Processed: "), text, F.lit(" at "), F.date_format(at, ISO_Z))
+    return F.concat(F.lit(TAG_PREFIX), text, F.lit(TAG_AT), F.date_format(at, ISO_Z))
 
 
 # F3
@@ -25,7 +22,7 @@ def bar(pct: Column) -> Column:
     return F.repeat(F.lit(BAR_GLYPH), F.floor(pct / BAR_STEP).cast("int"))
 
 
-def first_chars(text: Column, n: int = 19) -> Column:
+def first_chars(text: Column, n: int = TIME_TEXT_LENGTH) -> Column:
     return F.substring(text, 1, n)
 
 
@@ -56,7 +53,7 @@ def to_offset(ts_utc: Column, hours: int, minutes: int = 0) -> Column:
                     F.lit(f"{sign}{abs(hours):02d}:{abs(minutes):02d}"))
 
 
-def shift_to_second(ts: Column, minutes: int, second: int = 44) -> Column:
+def shift_to_second(ts: Column, minutes: int, second: int = PLACEHOLDER_SECOND) -> Column:
     """ts minus ``minutes``, truncated to the minute, at second ``second`` with zero fraction."""
     t = F.date_trunc("minute", ts - F.make_interval(mins=F.lit(minutes))).cast("timestamp_ntz")
     return t + F.make_interval(secs=F.lit(second))

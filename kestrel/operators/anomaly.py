@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from kestrel.fixed import PLACEHOLDER_SECOND as SECOND_MARK
+
 RESULT = StructType([StructField("timestamp", StringType()), StructField("reconstructionError", StringType())])
 RESPONSE = StructType([
     StructField("results", ArrayType(RESULT)),
     StructField("threshold", StructType([StructField("2sigma", StringType()), StructField("3sigma", StringType())])),
 ])
+from kestrel.fixed import PLACEHOLDER_SECOND as SECOND_MARK
+
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-SECOND_MARK = 44          # fixed value: placeholder results carry second 44
 
 
 def parse_response(docs: DataFrame, doc_col: str = "doc") -> DataFrame:

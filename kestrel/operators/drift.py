@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default drift threshold and the accepted threshold range [0, 1).
-DEFAULT_THRESHOLD = 0.3
-N_BINS = 10
+from kestrel.fixed import DRIFT_THRESHOLD as DEFAULT_THRESHOLD
+from kestrel.fixed import THRESHOLD_MAX, THRESHOLD_MIN, TOP_VALUES
+
+N_BINS = 10          # our choice: equal-width bins over the union range
 DIGITS = 9
 
 
@@ -141,7 +142,7 @@ def thresholds(spark, features: list[str], config: dict[str, float | None] | Non
     rows = [(f, None if config.get(f) is None else float(config[f])) for f in features]
     cfg = spark.createDataFrame(rows, "feature string, thr double")
     thr = F.coalesce("thr", F.lit(DEFAULT_THRESHOLD))
-    return cfg.select("feature", F.when((thr >= 0) & (thr < 1), thr)
+    return cfg.select("feature", F.when((thr >= THRESHOLD_MIN) & (thr < THRESHOLD_MAX), thr)
                       .otherwise(F.raise_error(F.concat(F.lit("drift threshold must be in [0, 1): "),
                                                         F.col("feature")))).alias("threshold"))
 
@@ -245,7 +246,7 @@ def job_status(jobs: DataFrame, job_keys: list[str]) -> DataFrame:
                         .when(F.col("has_drift"), "drift detected").otherwise("no drift"))
 
 
-def top_values(long_str: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
+def top_values(long_str: DataFrame, keys: list[str], k: int = TOP_VALUES) -> DataFrame:
     """The k most frequent values per (keys...), ties by value; partial top-k before the shuffle."""
     c = long_str.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("v"))

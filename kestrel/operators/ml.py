@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from kestrel.fixed import (IMPUTE_FILL, LOGREG_MAX_ITER, MAX_CLASSES, MAX_DEPTH, N_ESTIMATORS, RUN_NAME,
+                           SEED, TOP_IMPORTANCES)
 from kestrel.operators.quantiles import exact_quantiles
 
-# The reference's seed and class-count limit for stratification.
-SEED = 42
-MAX_CLASSES = 20
 _BUCKET_HEX = 4        # 16**4 = 65536 ordered hash buckets per stratum
 
 
@@ -119,7 +118,7 @@ def standard_scale(df: DataFrame, cols: list[str], fit: DataFrame | None = None)
     return out
 
 
-def impute(df: DataFrame, numeric: list[str], other: list[str], fill: str = "unknown") -> DataFrame:
+def impute(df: DataFrame, numeric: list[str], other: list[str], fill: str = IMPUTE_FILL) -> DataFrame:
     """M3: numeric nulls -> exact median of the column; remaining nulls (strings) -> 'unknown'."""
     out = df
     if numeric:
@@ -215,7 +214,7 @@ def _assembler(features: list[str]):
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
 
 
-def estimator(model_type: str, task: str, n_estimators: int = 100, max_depth: int = 10,
+def estimator(model_type: str, task: str, n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH,
               seed: int = SEED, label: str = "label"):
     """Model factory by type and task; unknown type is an error."""
     from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
@@ -231,12 +230,13 @@ def estimator(model_type: str, task: str, n_estimators: int = 100, max_depth: in
                              labelCol=label, featuresCol="features")
         return GBTRegressor(maxIter=n_estimators, maxDepth=depth, seed=seed, labelCol=label, featuresCol="features")
     if model_type == "logistic_regression":
-        return LogisticRegression(maxIter=200, labelCol=label, featuresCol="features")
+        return LogisticRegression(maxIter=LOGREG_MAX_ITER, labelCol=label, featuresCol="features")
     raise ValueError(f"unsupported model type: {model_type}")
 
 
 def fit_model(train: DataFrame, target: str, features: list[str], model_type: str = "random_forest",
-              task: str = "classification", n_estimators: int = 100, max_depth: int = 10, seed: int = SEED):
+              task: str = "classification", n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH,
+              seed: int = SEED):
     """M5–M9: a PipelineModel (label indexing for classification, assembler, estimator)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
@@ -280,7 +280,7 @@ def evaluate(model, df: DataFrame, target: str, task: str) -> DataFrame:
     return regression_metrics(pred).withColumn("primary", F.col("r2"))
 
 
-def feature_importance(spark, model, features: list[str], top: int = 5) -> DataFrame:
+def feature_importance(spark, model, features: list[str], top: int = TOP_IMPORTANCES) -> DataFrame:
     """Importances by feature, largest first, at most ``top`` rows.
     The vector has one entry per feature column (model metadata, not data)."""
     est = model.stages[-1]
@@ -319,7 +319,7 @@ def grid_search(spark, train: DataFrame, test: DataFrame, target: str, features:
         for i, params in enumerate(grid):
             m = fit_model(train, target, features, model_type, task, **params)
             s = evaluate(m, test, target, task).select("primary").first()[0]
-            rows.append((f"hp-search-{i + 1:03d}", json.dumps(params, sort_keys=True),
+            rows.append((RUN_NAME.format(i + 1), json.dumps(params, sort_keys=True),
                          int(params.get("n_estimators", 0)), int(params.get("max_depth", 0)), float(s)))
     finally:
         train.unpersist()

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.fixed import DEFAULT_EXTENSION
+
 MESSAGE_SCHEMA = "path string"
 
 
@@ -29,7 +31,7 @@ def base_name(c: Column) -> Column:
     return F.substring_index(strip_trailing_slash(c), "/", -1)
 
 
-def extension(c: Column, default: str = ".tmp") -> Column:
+def extension(c: Column, default: str = DEFAULT_EXTENSION) -> Column:
     """Extension of the last segment including the dot, or ``default``."""
     ext = F.regexp_extract(base_name(c), r"(\.[^./]+)$", 1)
     return F.when(ext == "", F.lit(default)).otherwise(ext)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from kestrel.fixed import DAILY_STATS_LIMIT, MAX_CLASSES
 from kestrel.operators.quantiles import exact_quantiles
 
 
@@ -58,7 +59,7 @@ def category_distribution_pct(df: DataFrame, col: str) -> DataFrame:
     return pct_of_total(counts).orderBy(F.desc("count"), F.asc(col))
 
 
-def daily_stats(df: DataFrame, ts_col: str, cols: list[str], n: int = 10) -> DataFrame:
+def daily_stats(df: DataFrame, ts_col: str, cols: list[str], n: int = DAILY_STATS_LIMIT) -> DataFrame:
     """Per DATE: record count and averages; the newest ``n`` dates."""
     aggs = [F.count(F.lit(1)).alias("record_count")] + [F.avg(c).alias(f"avg_{c}") for c in cols]
     return df.groupBy(F.to_date(ts_col).alias("date")).agg(*aggs).orderBy(F.desc("date")).limit(n)
@@ -88,7 +89,7 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
-def task_type(df: DataFrame, target: str, max_classes: int = 20) -> DataFrame:
+def task_type(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> DataFrame:
     """A16: 'classification' when the target is a string or has fewer than
     ``max_classes`` distinct non-null values, else 'regression' (one row)."""
     dtype = df.schema[target].dataType

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, StructField,
                                StructType)
 
+from kestrel.fixed import CSV_FOLDER, SAMPLE_POINTS, SENSOR_PREVIEW
+
 SENSOR = StructType([StructField("name", StringType()), StructField("unit", StringType()),
                      StructField("type", StringType())])
 POINT = StructType([StructField("min", DoubleType()), StructField("max", DoubleType())])
@@ -121,13 +123,13 @@ def pivot_wide(long: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
     return long.groupBy(*keys).pivot("name", names).agg(F.first("min").alias("min"), F.first("max").alias("max"))
 
 
-def sensor_preview(parsed: DataFrame, n: int = 10, key: str = "doc_id") -> DataFrame:
+def sensor_preview(parsed: DataFrame, n: int = SENSOR_PREVIEW, key: str = "doc_id") -> DataFrame:
     """The first n sensors of each document by position."""
     return parsed.select(key, F.posexplode(F.slice("series", 1, n))).select(
         key, F.col("pos").cast("bigint").alias("pos"), "col.name", "col.unit", "col.type")
 
 
-def first_timestamp_sample(parsed: DataFrame, n: int = 5, key: str = "doc_id") -> DataFrame:
+def first_timestamp_sample(parsed: DataFrame, n: int = SAMPLE_POINTS, key: str = "doc_id") -> DataFrame:
     """The earliest timestamp of each document and its first n points.
     (Map order is not document order in Spark; "first" is the earliest time.)"""
     t = timestamps(parsed)
@@ -141,7 +143,7 @@ def first_timestamp_sample(parsed: DataFrame, n: int = 5, key: str = "doc_id") -
 def write_wide_csv(wide: DataFrame, base: str, stamp: str) -> tuple[str, int]:
     """K1: write the wide table as CSV with a header (null -> empty cell) under
     ``<base>/timeseries_data/<stamp>``; returns (path, bytes written)."""
-    path = f"{base.rstrip('/')}/timeseries_data/{stamp}"
+    path = f"{base.rstrip('/')}/{CSV_FOLDER}/{stamp}"
     wide.write.mode("overwrite").option("header", True).option("emptyValue", "").option("nullValue", "").csv(path)
     # size from the file listing (binaryFile prunes the content column, only metadata is read)
     listing = wide.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)

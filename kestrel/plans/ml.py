@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.fixed import GRID
 from kestrel.operators import ml as M
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PREDICTIONS, with_
@@ -13,7 +14,7 @@ from kestrel.session import scratch_path
 from kestrel.sources.derived import features, predictions
 from kestrel.sources.tables import table
 
-RATIO = 0.2
+from kestrel.fixed import TEST_SPLIT_RATIO as RATIO
 
 
 def _key():
@@ -282,8 +283,6 @@ def q_save_load_model(spark, sf):
     return M.score_model(m2, test, TARGET, "classification").withColumn("model_type", F.lit(meta["model_type"]))
 
 
-GRID = [{"n_estimators": 50, "max_depth": 3}, {"n_estimators": 100, "max_depth": 5},
-        {"n_estimators": 100, "max_depth": 10}, {"n_estimators": 200, "max_depth": 5}]
 
 
 @query("grid_search")

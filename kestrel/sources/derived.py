@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.fixed import ENTITY_ID_FORMAT
 from kestrel.sources.tables import table
 
 # Fixed values of the derived views (shared with the oracle SQL text).
@@ -30,7 +31,7 @@ def _ntz(c):
 def features_from_events(events: DataFrame) -> DataFrame:
     """The five-column feature table: entity_id, age, income, category, feature_timestamp."""
     return events.select(
-        F.format_string("user_%04d", F.col("user_id")).alias("entity_id"),
+        F.format_string(ENTITY_ID_FORMAT, F.col("user_id")).alias("entity_id"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("age"),
         F.col("value").alias("income"),
         F.col("event_type").alias("category"),
