@@ -18,8 +18,6 @@ RESPONSE = StructType([
     StructField("results", ArrayType(RESULT)),
     StructField("threshold", StructType([StructField("2sigma", StringType()), StructField("3sigma", StringType())])),
 ])
-from kestrel.fixed import PLACEHOLDER_SECOND as SECOND_MARK
-
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
