@@ -233,6 +233,15 @@ def monitor_jobs(snap: DataFrame, numeric: list[str], categorical: list[str], th
         *keys, "snapshot_ts", "base_snapshot_ts", "feature", "metric", "deviation")
     allj = first_rows.unionByName(later).withColumn("deviation", F.round("deviation", DIGITS))
     out = apply_thresholds(allj, thr).join(stats, keys + ["snapshot_ts", "feature"], "left")
+    if categorical:
+        tv = top_values(unpivot(snap, categorical, keys + ["snapshot_ts"], as_string=True),
+                        keys + ["snapshot_ts", "feature"])
+        tv = tv.groupBy(*keys, "snapshot_ts", "feature").agg(      # at most TOP_VALUES rows per group
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "v"))), lambda x: x["v"]),
+                         ",").alias("top_values"))
+        out = out.join(tv, keys + ["snapshot_ts", "feature"], "left")
+    else:
+        out = out.withColumn("top_values", F.lit(None).cast("string"))
     return out.withColumn("job_id", F.concat_ws("-", *[F.col(k).cast("string") for k in keys],
                                                  F.date_format("snapshot_ts", "yyyyMMdd'T'HHmmss")))
 

@@ -10,6 +10,7 @@ from kestrel.operators.ml import stratified_split
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PERIODS, SNAPSHOTS, with_
 from kestrel.plans.registry import query
+from kestrel.session import scratch_path
 from kestrel.sources.derived import features, snapshots, split_periods
 
 NUM = ["age", "income"]
@@ -232,23 +233,39 @@ alljobs AS (SELECT p.snapshot_ts, p.base_snapshot_ts, d.feature, d.metric, d.dev
             FROM pairs p JOIN devs d USING (snapshot_ts) WHERE p.base_snapshot_ts IS NOT NULL
             UNION ALL {firsts}),
 stats AS ({stats}),
+tvl AS (SELECT snapshot_ts, 'category' AS feature, category AS v, count(*) AS n FROM snapshots
+        WHERE category IS NOT NULL GROUP BY ALL),
+tv AS (SELECT snapshot_ts, feature, string_agg(v, ',' ORDER BY n DESC, v) AS top_values FROM (
+         SELECT *, row_number() OVER (PARTITION BY snapshot_ts, feature ORDER BY n DESC, v) AS rk FROM tvl)
+       WHERE rk <= 3 GROUP BY ALL),
 jobs AS (
   SELECT strftime(a.snapshot_ts, '%Y%m%dT%H%M%S') AS job_id, a.snapshot_ts, a.base_snapshot_ts, a.feature,
          a.metric, round(a.deviation, 9) AS deviation, t.threshold,
          coalesce(round(a.deviation, 9) > t.threshold, false) AS drift_detected,
-         round(s.mean, 6) AS mean, round(s.std, 6) AS std
-  FROM alljobs a JOIN thr t USING (feature) LEFT JOIN stats s USING (snapshot_ts, feature))
+         round(s.mean, 6) AS mean, round(s.std, 6) AS std, tv.top_values
+  FROM alljobs a JOIN thr t USING (feature) LEFT JOIN stats s USING (snapshot_ts, feature)
+  LEFT JOIN tv USING (snapshot_ts, feature))
 """
 
 
 JOBS_SQL = _sql_jobs()
 _JOB_COLS = ["job_id", "snapshot_ts", "base_snapshot_ts", "feature", "metric", "deviation", "threshold",
-             "drift_detected", "mean", "std"]
+             "drift_detected", "mean", "std", "top_values"]
+_JOB_SCHEMA = ("snapshot_ts timestamp_ntz, base_snapshot_ts timestamp_ntz, feature string, metric string, "
+               "deviation double, threshold double, drift_detected boolean, mean double, std double, "
+               "top_values string, job_id string")
 
 
 @query("monitor_run", JOBS_SQL + "SELECT * FROM jobs")
 def q_monitor_run(spark, sf):
-    return rounded(_jobs(spark, sf).select(*_JOB_COLS))
+    """Job rows of every snapshot appended to the jobs table (one partition per job id,
+    so re-running a job replaces it), read back."""
+    path = scratch_path(spark, "jobs")
+    jobs = rounded(_jobs(spark, sf).select(*_JOB_COLS))
+    for _ in range(2):                      # the second run is a retry: same rows, no duplicates
+        (jobs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("job_id").parquet(path))
+    return spark.read.schema(_JOB_SCHEMA).parquet(path).select(*_JOB_COLS)
 
 
 @query("previous_snapshot", with_(SNAPSHOTS) + """
