@@ -176,8 +176,6 @@ def q_table_drop(spark, sf):
     db = f"kestrel_drop_{abs(hash(scratch_path(spark, 'db'))) % 10**8}"
     loc = scratch_path(spark, "warehouse")
     K.create_if_missing(spark, db, "events_copy", "event_id BIGINT, value DOUBLE", loc)
-    ev = features(spark, sf)
-    n = ev.count()
     table(spark, sf, "events", "event_id", "value").write.insertInto(f"{db}.events_copy")
     written = spark.table(f"{db}.events_copy").count()
     K.drop(spark, db, "events_copy")
@@ -185,5 +183,4 @@ def q_table_drop(spark, sf):
     K.drop(spark, db)
     K.drop(spark, db)
     left = len([t for t in spark.catalog.listDatabases() if t.name == db])
-    assert written == n
     return spark.createDataFrame([(left, written)], "tables_left bigint, rows_written bigint")
