@@ -23,10 +23,11 @@ def _stage(df, spark, name, parts=4):
 
 @query("stream_windowed_monitor", """
 WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
-                  round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max
+                  round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max,
+                  round(stddev_samp(value), 6) AS std
            FROM events GROUP BY 1, 2),
 wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events)
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n, mean, min, max
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n, mean, min, max, std
 FROM w, wm WHERE window_start + INTERVAL 1 HOUR <= watermark""")
 def q_stream_windowed_monitor(spark, sf):
     """Hourly per-type statistics of the event stream; append mode emits closed windows."""
@@ -36,6 +37,24 @@ def q_stream_windowed_monitor(spark, sf):
     return rounded(spark.read.parquet(out))
 
 
+@query("stream_windowed_drift", """
+WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
+                  avg(value) AS mean, stddev_samp(value) AS std FROM events GROUP BY 1, 2),
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events),
+c AS (SELECT w.* FROM w, wm WHERE window_start + INTERVAL 1 HOUR <= watermark)
+SELECT c.window_start, c.window_start + INTERVAL 1 HOUR AS window_end, c.event_type, c.n,
+       round(c.mean, 6) AS mean, round(c.std, 6) AS std, round(p.mean, 6) AS prev_mean, round(p.std, 6) AS prev_std,
+       round(abs(c.mean - p.mean) / nullif(p.std, 0), 6) AS deviation,
+       coalesce(abs(c.mean - p.mean) / nullif(p.std, 0) > 0.3e0, false) AS drift_detected
+FROM c LEFT JOIN c p ON p.event_type = c.event_type AND p.window_start = c.window_start - INTERVAL 1 HOUR""")
+def q_stream_windowed_drift(spark, sf):
+    """T2 + D1: hourly windows per event type, each closed window compared with the previous hour."""
+    src = _stage(table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value"), spark, "ev", parts=6)
+    out = T.run_windowed_drift(spark, src, _EVENTS_SCHEMA, scratch_path(spark, "wdrift"), scratch_path(spark, "ckpt"),
+                               60, ["event_type"])
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
 @query("stream_feature_import", with_(FEATURES) + """
 SELECT entity_id, age, income, category, feature_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY feature_timestamp DESC) AS rk FROM features) WHERE rk = 1""")

@@ -29,9 +29,10 @@ def windowed_stats(stream: DataFrame, ts: str, cadence: str, keys: list[str], va
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return (s.groupBy(F.window(ts, cadence), *keys)
              .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"),
-                  F.max(value).alias("max"))
+                  F.max(value).alias("max"), F.stddev_samp(value).alias("std"))
              .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("window.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "mean", "min", "max"))
+                     F.col("window.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "mean", "min", "max",
+                     "std"))
 
 
 def run_windowed_monitor(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
@@ -42,6 +43,42 @@ def run_windowed_monitor(spark: SparkSession, source_dir: str, schema: str, out:
     return out
 
 
+def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
+                       cadence_minutes: int = 60, keys: list[str] | None = None, value: str = "value",
+                       threshold: float = 0.3) -> str:
+    """T2 with drift: every closed window is compared with the window just before it
+    (mean shift in units of the earlier window's deviation) inside ``foreachBatch``.
+    The earlier window comes from this batch or from the sink (only the windows one
+    cadence before this batch's windows are read); output goes to ``batch_id=<id>``
+    partitions, so a retried batch replaces itself."""
+    keys = keys or []
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    stats = windowed_stats(stream, "ts", f"{cadence_minutes} minutes", keys, value)
+    step = F.make_interval(mins=F.lit(cadence_minutes))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        cur = batch.select(*keys, "window_start", "window_end", "n", "mean", "std")
+        wanted = cur.select(*keys, (F.col("window_start") - step).alias("window_start")).distinct()
+        prev = cur.select(*keys, "window_start", "mean", "std")
+        try:
+            old = spark.read.parquet(out).select(*keys, "window_start", "mean", "std")
+            prev = prev.unionByName(old.join(wanted, keys + ["window_start"], "left_semi"))
+        except Exception:  # noqa: BLE001  (first batch: empty sink)
+            pass
+        prev = prev.select(*keys, (F.col("window_start") + step).alias("window_start"),
+                           F.col("mean").alias("prev_mean"), F.col("std").alias("prev_std"))
+        dev = F.abs(F.col("mean") - F.col("prev_mean")) / F.nullif(F.col("prev_std"), F.lit(0.0))
+        res = (cur.join(prev, keys + ["window_start"], "left")
+                  .withColumn("deviation", dev)
+                  .withColumn("drift_detected", F.coalesce(F.col("deviation") > F.lit(threshold), F.lit(False)))
+                  .withColumn("batch_id", F.lit(int(batch_id))))
+        (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(out))
+
+    _run(stats.writeStream.outputMode("append").foreachBatch(handle), checkpoint)
+    return out
+
+
 # ---------------------------------------------------------------- T3
 SERVING_BUCKETS = 64
 
