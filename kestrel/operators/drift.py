@@ -219,7 +219,7 @@ def monitor_jobs(snap: DataFrame, numeric: list[str], categorical: list[str], th
         counts = (pairwise_rows(cat, pairs, keys).groupBy(*pk, "side", "v").agg(F.count(F.lit(1)).alias("n")))
         devs.append(chebyshev_from_shares(paired_shares(counts, pk, "v"), pk).withColumn("metric", F.lit("chebyshev")))
     dev = reduce(DataFrame.unionByName, devs).withColumnRenamed("pair_ts", "snapshot_ts")
-    jobs = pairs.join(dev, keys + ["snapshot_ts"], "left")
+    jobs = pairs.join(dev, keys + ["snapshot_ts"])
     # first job of each monitor: no pair -> no deviation rows; give it one row per feature
     first = pairs.where(F.col("base_snapshot_ts").isNull())
     first_rows = first.select(*keys, "snapshot_ts", "base_snapshot_ts",

@@ -51,3 +51,25 @@ def schedule_fanout(df: DataFrame, ts: str, monitors: list[tuple[str, str, list[
     w = Window.partitionBy("monitor", "feature").orderBy("snapshot_ts")
     return allm.withColumn("base_snapshot_ts", F.lag("snapshot_ts").over(w)).select(
         "monitor", "snapshot_ts", "feature", "mean", "n", "base_snapshot_ts")
+
+
+def schedule_jobs(df: DataFrame, ts: str, monitors: list[tuple[str, str, list[str]]], numeric: list[str],
+                  categorical: list[str], thr: DataFrame) -> DataFrame:
+    """D10 with D7 per monitor: every monitor snapshots the same table at its own cadence
+    and runs the monitor job (drift of each snapshot against the previous one) on its
+    own features.  All monitors share one plan: rows are tagged with their monitor and
+    snapshot time (a feature a monitor does not watch is null there, so it drops out
+    of the long form), and ``monitor`` is a key of every aggregation."""
+    from functools import reduce as _reduce
+    spark = df.sparkSession
+    feats = numeric + categorical
+    parts = []
+    for name, cadence, watched in monitors:
+        parts.append(df.select(F.lit(name).alias("monitor"),
+                               F.date_trunc(cadence, ts).cast("timestamp_ntz").alias("snapshot_ts"),
+                               *[(F.col(c) if c in watched else F.lit(None).cast(df.schema[c].dataType)).alias(c)
+                                 for c in feats]))
+    snap = _reduce(DataFrame.unionByName, parts)
+    jobs = D.monitor_jobs(snap, numeric, categorical, thr, keys=["monitor"])
+    cfg = spark.createDataFrame([(m, f) for m, _, w in monitors for f in w], "monitor string, feature string")
+    return jobs.join(F.broadcast(cfg), ["monitor", "feature"])          # one row per watched feature

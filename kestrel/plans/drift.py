@@ -395,3 +395,59 @@ FROM d""")
 def q_monitor_schedule_fanout(spark, sf):
     from kestrel.operators.monitor import schedule_fanout
     return rounded(schedule_fanout(features(spark, sf), "feature_timestamp", MONITORS))
+
+
+def _sql_fanout_jobs() -> str:
+    """Per-monitor monitor jobs (m_daily: age, income by day; m_weekly: category by week)."""
+    snaps = """snapshots AS (
+  SELECT 'm_daily' AS monitor, date_trunc('day', feature_timestamp) AS snapshot_ts, age, income,
+         CAST(NULL AS VARCHAR) AS category FROM features
+  UNION ALL
+  SELECT 'm_weekly', date_trunc('week', feature_timestamp), NULL, NULL, category FROM features),
+pairs AS (SELECT monitor, snapshot_ts, lag(snapshot_ts) OVER (PARTITION BY monitor ORDER BY snapshot_ts) AS base_snapshot_ts
+          FROM (SELECT DISTINCT monitor, snapshot_ts FROM snapshots)),
+nx AS (SELECT monitor, base_snapshot_ts AS snapshot_ts, snapshot_ts AS pair_ts FROM pairs WHERE base_snapshot_ts IS NOT NULL),
+prow AS (SELECT s.*, s.snapshot_ts AS pair_ts, 'current' AS side FROM snapshots s
+         UNION ALL SELECT s.*, nx.pair_ts, 'base' AS side FROM snapshots s JOIN nx USING (monitor, snapshot_ts)),"""
+    nl = " UNION ALL ".join(f"SELECT monitor, pair_ts, side, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM prow "
+                            f"WHERE {c} IS NOT NULL" for c in NUM)
+    cl = " UNION ALL ".join(f"SELECT monitor, pair_ts, side, '{c}' AS feature, CAST({c} AS VARCHAR) AS v FROM prow "
+                            f"WHERE {c} IS NOT NULL" for c in CAT)
+    stats = " UNION ALL ".join(f"SELECT monitor, snapshot_ts, '{c}' AS feature, avg({c}) AS mean, "
+                               f"stddev_samp({c}) AS std FROM snapshots WHERE {c} IS NOT NULL GROUP BY ALL"
+                               for c in NUM)
+    return with_(FEATURES) + ",\n" + snaps + f"""
+nlong AS ({nl}),
+clong AS ({cl}),
+{THR_SQL},""" + _sql_js("nlong", "monitor, pair_ts, feature") + "," + _sql_cheb("clong", "monitor, pair_ts, feature") + f""",
+devs AS (SELECT monitor, pair_ts AS snapshot_ts, feature, metric, deviation FROM js
+         UNION ALL SELECT monitor, pair_ts, feature, metric, deviation FROM cheb),
+cfg AS (SELECT * FROM (VALUES ('m_daily', 'age', 'jensen_shannon'), ('m_daily', 'income', 'jensen_shannon'),
+                              ('m_weekly', 'category', 'chebyshev')) AS t(monitor, feature, metric)),
+alljobs AS (SELECT p.monitor, p.snapshot_ts, p.base_snapshot_ts, d.feature, d.metric, d.deviation
+            FROM pairs p JOIN devs d USING (monitor, snapshot_ts) WHERE p.base_snapshot_ts IS NOT NULL
+            UNION ALL
+            SELECT p.monitor, p.snapshot_ts, p.base_snapshot_ts, c.feature, c.metric, CAST(NULL AS DOUBLE)
+            FROM pairs p JOIN cfg c USING (monitor) WHERE p.base_snapshot_ts IS NULL),
+stats AS ({stats}),
+tvl AS (SELECT monitor, snapshot_ts, 'category' AS feature, category AS v, count(*) AS n FROM snapshots
+        WHERE category IS NOT NULL GROUP BY ALL),
+tv AS (SELECT monitor, snapshot_ts, feature, string_agg(v, ',' ORDER BY n DESC, v) AS top_values FROM (
+         SELECT *, row_number() OVER (PARTITION BY monitor, snapshot_ts, feature ORDER BY n DESC, v) AS rk FROM tvl)
+       WHERE rk <= 3 GROUP BY ALL)
+SELECT a.monitor || '-' || strftime(a.snapshot_ts, '%Y%m%dT%H%M%S') AS job_id, a.monitor, a.snapshot_ts,
+       a.base_snapshot_ts, a.feature, a.metric, round(a.deviation, 9) AS deviation, t.threshold,
+       coalesce(round(a.deviation, 9) > t.threshold, false) AS drift_detected,
+       round(s.mean, 6) AS mean, round(s.std, 6) AS std, tv.top_values
+FROM alljobs a JOIN cfg USING (monitor, feature) JOIN thr t USING (feature)
+LEFT JOIN stats s USING (monitor, snapshot_ts, feature) LEFT JOIN tv USING (monitor, snapshot_ts, feature)
+"""
+
+
+@query("monitor_schedule_jobs", _sql_fanout_jobs())
+def q_monitor_schedule_jobs(spark, sf):
+    """D10 + D7: a daily monitor on age and income and a weekly one on category, each
+    running its monitor jobs over its own snapshots of the same feature table."""
+    from kestrel.operators.monitor import schedule_jobs
+    jobs = schedule_jobs(features(spark, sf), "feature_timestamp", MONITORS, NUM, CAT, _thr(spark))
+    return rounded(jobs.select("job_id", "monitor", *[c for c in _JOB_COLS if c != "job_id"]))
