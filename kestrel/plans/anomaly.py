@@ -140,8 +140,10 @@ def q_table_create_if_missing(spark, sf):
     rows = K.require_not_null(_results(spark, sf).select("event_ts", "inference_value"),
                               ["event_ts", "inference_value"]).withColumn("p_date", F.to_date("event_ts"))
     rows.select("event_ts", "inference_value", "p_date").write.insertInto(f"{db}.inference_results")
-    out = spark.table(f"{db}.inference_results").groupBy("p_date").agg(F.count(F.lit(1)).alias("n"))
-    out = spark.createDataFrame(out.collect(), out.schema)    # detach from the table before dropping it
+    summary = scratch_path(spark, "summary")                 # kept apart from the table that is dropped next
+    spark.table(f"{db}.inference_results").groupBy("p_date").agg(F.count(F.lit(1)).alias("n")) \
+        .write.mode("overwrite").parquet(summary)
+    out = spark.read.parquet(summary)
     K.drop(spark, db, "inference_results")
     K.drop(spark, db, "missing_table")                        # missing: success
     K.drop(spark, db)
