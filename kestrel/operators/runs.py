@@ -134,12 +134,14 @@ def step_cache(requests: DataFrame, executions: DataFrame, key: str = "cache_key
 
 
 def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstream: bool = True,
-                    max_depth: int = 64) -> DataFrame:
+                    max_rounds: int | None = None) -> DataFrame:
     """(node, relative, depth) — all ancestors (or descendants) of every node.
 
     Iterative frontier join; each round joins only the newly found pairs, removes
     pairs already known (so cycles end), and is checkpointed to the shared
-    checkpoint folder to cut the lineage.  The driver sees one count per round."""
+    checkpoint folder to cut the lineage.  It runs until a round finds nothing new;
+    ``max_rounds`` is only a safety stop and raises instead of returning a partial
+    closure."""
     from kestrel.session import checkpoint_dir
     checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(dst).alias("node"), F.col(src).alias("rel")) if upstream else \
@@ -147,7 +149,11 @@ def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstre
     e = e.distinct()
     known = e.withColumn("depth", F.lit(1)).checkpoint()
     frontier = known
-    for d in range(2, max_depth + 1):
+    d = 1
+    while True:
+        d += 1
+        if max_rounds is not None and d > max_rounds + 1:
+            raise RuntimeError(f"lineage deeper than {max_rounds} levels; raise max_rounds")
         step = (frontier.alias("f").join(e.alias("e"), F.col("f.rel") == F.col("e.node"))
                 .select(F.col("f.node").alias("node"), F.col("e.rel").alias("rel")).distinct())
         new = step.join(known.select("node", "rel"), ["node", "rel"], "left_anti").withColumn("depth", F.lit(d))

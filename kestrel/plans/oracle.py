@@ -24,8 +24,8 @@ MEASUREMENTS = """measurements AS (
   FROM events GROUP BY 1, 2)"""
 
 SENSORS = """sensors AS (
-  SELECT * FROM (VALUES (0, 'click'), (1, 'error'), (2, 'purchase'), (3, 'signup'), (4, 'view'))
-  AS t(pos, name))"""
+  SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS pos, name
+  FROM (SELECT DISTINCT event_type AS name FROM events WHERE event_type IS NOT NULL))"""
 
 # every (hour present, sensor) cell of the series documents, null point when absent
 SERIES_CELLS = MEASUREMENTS + ",\n" + SENSORS + """,

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import series as S
 from kestrel.plans.oracle import MEASUREMENTS, SERIES_CELLS, with_
+from kestrel.plans.oracle import SENSORS as SENSORS_SQL
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
-from kestrel.sources.derived import PROCESSED_TS, SENSORS, measurements, series_doc
+from kestrel.sources.derived import PROCESSED_TS, SENSORS, measurements, sensor_names, series_doc
 from kestrel.sources.tables import table
 
 
@@ -41,11 +42,11 @@ def q_filter_time_range(spark, sf):
     return S.filter_time_range(ev, "ts", "2024-01-10 00:00:00", "2024-01-11 00:00:00")
 
 
-_DOC_STATUS = with_(MEASUREMENTS) + """,
+_DOC_STATUS = with_(MEASUREMENTS, SENSORS_SQL) + """,
 days AS (SELECT strftime(ts, '%Y%m%d') AS doc_id, day(ts) AS dom, count(DISTINCT ts) AS n_ts
          FROM measurements GROUP BY 1, 2),
 status AS (
-  SELECT doc_id, CAST(CASE WHEN dom = 30 THEN 0 ELSE 5 END AS BIGINT) AS n_sensors, CAST(n_ts AS BIGINT) AS n_timestamps,
+  SELECT doc_id, CAST(CASE WHEN dom = 30 THEN 0 ELSE (SELECT count(*) FROM sensors) END AS BIGINT) AS n_sensors, CAST(n_ts AS BIGINT) AS n_timestamps,
          CASE WHEN dom = 30 THEN 'no sensors' WHEN dom IN (4, 13, 22) THEN 'arity mismatch' END AS reason
   FROM days)"""
 
@@ -70,7 +71,7 @@ def q_validated_write_gate(spark, sf):
 
 
 @query("series_summary", with_(SERIES_CELLS) + """
-SELECT doc_id, CAST(5 AS BIGINT) AS sensor_count, count(DISTINCT ts) AS timestamp_count,
+SELECT doc_id, CAST((SELECT count(*) FROM sensors) AS BIGINT) AS sensor_count, count(DISTINCT ts) AS timestamp_count,
        count(min) AS non_null_points, min(ts) AS first_timestamp, max(ts) AS last_timestamp
 FROM cells GROUP BY doc_id""")
 def q_series_summary(spark, sf):
@@ -92,13 +93,13 @@ def _wide_sql(with_doc: bool) -> str:
 
 @query("series_wide", _wide_sql(True))
 def q_series_wide(spark, sf):
-    return S.wide_from_documents(_parsed(spark, sf), SENSORS)
+    return S.wide_from_documents(_parsed(spark, sf), sensor_names(spark, sf))
 
 
 @query("pivot_series_wide", _wide_sql(False))
 def q_pivot_series_wide(spark, sf):
     long = S.points_by_position(_parsed(spark, sf))
-    return S.pivot_wide(long, SENSORS, ["ts"])
+    return S.pivot_wide(long, sensor_names(spark, sf), ["ts"])
 
 
 @query("sensor_preview", with_(SERIES_CELLS) + """
@@ -118,13 +119,14 @@ def q_first_timestamp_sample(spark, sf):
 @query("sink_wide_csv", _wide_sql(True))
 def q_sink_wide_csv(spark, sf):
     """K1 then S4: write the wide CSV, read it back."""
-    wide = S.wide_from_documents(_parsed(spark, sf), SENSORS)
+    names = sensor_names(spark, sf)
+    wide = S.wide_from_documents(_parsed(spark, sf), names)
     stamp = F.date_format(F.lit(PROCESSED_TS).cast("timestamp_ntz"), "yyyyMMdd_HHmmss")
     stamp = spark.range(1).select(stamp).first()[0]
     path, size = S.write_wide_csv(wide, scratch_path(spark, "csv"), stamp)
     if size <= 0:
         raise RuntimeError("empty CSV output")
-    return S.read_wide_csv(spark, path, SENSORS)
+    return S.read_wide_csv(spark, path, names)
 
 
 @query("scan_csv", with_(MEASUREMENTS) + "SELECT ts, name, min, max FROM measurements")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from kestrel.fixed import ENTITY_ID_FORMAT
 from kestrel.sources.tables import table
 
-# Fixed values of the derived views (shared with the oracle SQL text).
+# Values of the derived views (shared with the oracle SQL text).  SENSORS is the
+# sensor set of the driver data; documents take their sensor list from the data itself.
 SENSORS = ["click", "error", "purchase", "signup", "view"]
 SENSOR_UNIT = "value"
 SENSOR_TYPE = "double"
@@ -72,12 +73,19 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.min("value").alias("min"), F.max("value").alias("max")))
 
 
-def _sensor_array():
+def sensor_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The sensors present in the data, in name order (one small distinct job; the list
+    is as long as the number of sensors, so it is fine on the driver)."""
+    ev = table(spark, sf_dir, "events", "event_type")
+    return [r[0] for r in ev.where(F.col("event_type").isNotNull()).distinct().orderBy("event_type").collect()]
+
+
+def _sensor_array(names: list[str]):
     return F.array(*[F.struct(F.lit(n).alias("name"), F.lit(SENSOR_UNIT).alias("unit"),
-                              F.lit(SENSOR_TYPE).alias("type")) for n in SENSORS])
+                              F.lit(SENSOR_TYPE).alias("type")) for n in names])
 
 
-def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False, names: list[str] | None = None) -> DataFrame:
     """One JSON series document per day: {series:[{name,unit,type}], values:{iso_ts:[point|null,…]}}.
 
     Each hour aggregates at most len(SENSORS) points and each day at most 24 hours,
@@ -85,23 +93,24 @@ def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataF
     invalid-document rules used by the validation operators: days 4, 13, 22 lose
     the last point of their first hour; day 30 has no sensors.
     """
+    names = names or sensor_names(spark, sf_dir)
     m = measurements(spark, sf_dir)
     per_hour = (m.groupBy("ts")
                  .agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("min", "max")))).alias("pm")))
-    names = F.array(*[F.lit(n) for n in SENSORS])
+    name_arr = F.array(*[F.lit(n) for n in names])
     per_hour = per_hour.select(
         F.to_date("ts").alias("day"), "ts",
-        F.transform(names, lambda s: F.try_element_at(F.col("pm"), s)).alias("points"))
+        F.transform(name_arr, lambda s: F.try_element_at(F.col("pm"), s)).alias("points"))
     if corrupt:
         first_hour = F.hour("ts") == F.expr("hour(min(ts) over (partition by day))")
         per_hour = per_hour.withColumn(
             "points",
             F.when(F.dayofmonth("day").isin(4, 13, 22) & first_hour,
-                   F.slice("points", 1, len(SENSORS) - 1)).otherwise(F.col("points")))
+                   F.slice("points", 1, len(names) - 1)).otherwise(F.col("points")))
     docs = (per_hour.groupBy("day")
                     .agg(F.map_from_entries(F.collect_list(F.struct(
                         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "points"))).alias("values")))
-    series = _sensor_array()
+    series = _sensor_array(names)
     if corrupt:
         series = F.when(F.dayofmonth("day") == 30, F.slice(series, 1, 0)).otherwise(series)
     return docs.select(F.date_format("day", "yyyyMMdd").alias("doc_id"),
