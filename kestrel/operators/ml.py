@@ -18,7 +18,8 @@ from kestrel.fixed import (IMPUTE_FILL, LOGREG_MAX_ITER, MAX_CLASSES, MAX_DEPTH,
                            SEED, TOP_IMPORTANCES)
 from kestrel.operators.quantiles import exact_quantiles
 
-_BUCKET_HEX = 4        # 16**4 = 65536 ordered hash buckets per stratum
+_BUCKET_HEX = 4          # 16**4 = 65536 ordered hash buckets per stratum
+FIT_PARALLELISM = 1      # models fitted at once; measured locally: concurrent fits contend for the same cores
 
 
 # ---------------------------------------------------------------- P7, P8
@@ -310,36 +311,39 @@ def load_model(spark, path: str):
     return PipelineModel.load(path), meta
 
 
-def grid_search(spark, train: DataFrame, test: DataFrame, target: str, features: list[str],
-                grid: list[dict], model_type: str = "random_forest", task: str = "classification") -> DataFrame:
-    """Fit every parameter set, score on held-out data; one row per run (run, params, score)."""
-    rows = []
+def _fit_all(train: DataFrame, test: DataFrame, specs: list, fit_one) -> list:
+    """Fit several models concurrently from a small thread pool (each fit is its own
+    stream of Spark jobs; the executors interleave them).  Inputs stay cached meanwhile."""
+    from concurrent.futures import ThreadPoolExecutor
     train, test = train.persist(), test.persist()
     try:
-        for i, params in enumerate(grid):
-            m = fit_model(train, target, features, model_type, task, **params)
-            s = evaluate(m, test, target, task).select("primary").first()[0]
-            rows.append((RUN_NAME.format(i + 1), json.dumps(params, sort_keys=True),
-                         int(params.get("n_estimators", 0)), int(params.get("max_depth", 0)), float(s)))
+        with ThreadPoolExecutor(max_workers=min(FIT_PARALLELISM, max(1, len(specs)))) as pool:
+            return list(pool.map(lambda sp: fit_one(train, test, sp), specs))
     finally:
         train.unpersist()
         test.unpersist()
+
+
+def grid_search(spark, train: DataFrame, test: DataFrame, target: str, features: list[str],
+                grid: list[dict], model_type: str = "random_forest", task: str = "classification") -> DataFrame:
+    """Fit every parameter set, score on held-out data; one row per run (run, params, score)."""
+    def one(tr, te, item):
+        i, params = item
+        m = fit_model(tr, target, features, model_type, task, **params)
+        s = evaluate(m, te, target, task).select("primary").first()[0]
+        return (RUN_NAME.format(i + 1), json.dumps(params, sort_keys=True),
+                int(params.get("n_estimators", 0)), int(params.get("max_depth", 0)), float(s))
+    rows = _fit_all(train, test, list(enumerate(grid)), one)
     return spark.createDataFrame(rows, "run string, params string, n_estimators int, max_depth int, score double")
 
 
 def compare_models(spark, train: DataFrame, test: DataFrame, target: str, features: list[str],
                    model_types: list[str], task: str = "classification", **kw) -> DataFrame:
     """Several algorithms on the same split; accuracy (or r2) of each."""
-    rows = []
-    train, test = train.persist(), test.persist()
-    try:
-        for t in model_types:
-            m = fit_model(train, target, features, t, task, **kw)
-            rows.append((t, float(evaluate(m, test, target, task).select("primary").first()[0])))
-    finally:
-        train.unpersist()
-        test.unpersist()
-    return spark.createDataFrame(rows, "model_type string, score double")
+    def one(tr, te, t):
+        m = fit_model(tr, target, features, t, task, **kw)
+        return (t, float(evaluate(m, te, target, task).select("primary").first()[0]))
+    return spark.createDataFrame(_fit_all(train, test, model_types, one), "model_type string, score double")
 
 
 def custom_step(df: DataFrame, fn, schema: str) -> DataFrame:
