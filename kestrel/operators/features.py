@@ -4,7 +4,7 @@
   (timestamp, tie-break)) — partial aggregation per partition, so a hot entity
   never lands in one task;
 * the point-in-time (as-of) join never sorts a whole entity in one task: rows
-  are windowed per (entity, time bucket) and the value carried in from earlier
+  are windowed per (entity, hour) and the value carried in from earlier
   buckets comes from a per-bucket summary (one row per entity and bucket).
 """
 
@@ -132,7 +132,7 @@ def fetch_feature_values(latest: DataFrame, requested: DataFrame, key: str, feat
 
 # ---------------------------------------------------------------- J4 point in time
 def point_in_time(labels: DataFrame, feats: DataFrame, key: str, label_ts: str, feat_ts: str,
-                  values: list[str], tie: str | None = None, bucket: str = "day") -> DataFrame:
+                  values: list[str], tie: str | None = None, bucket: str = "hour") -> DataFrame:
     """For every label row, the latest feature row of the same entity with
     feature time <= label time (a feature at the same instant counts); no such row
     -> nulls.  Ties among feature rows at one instant break on ``tie``.
