@@ -3,6 +3,8 @@ compare with the same cells computed straight from events."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from kestrel.operators import series as S
@@ -121,8 +123,7 @@ def q_sink_wide_csv(spark, sf):
     """K1 then S4: write the wide CSV, read it back."""
     names = sensor_names(spark, sf)
     wide = S.wide_from_documents(_parsed(spark, sf), names)
-    stamp = F.date_format(F.lit(PROCESSED_TS).cast("timestamp_ntz"), "yyyyMMdd_HHmmss")
-    stamp = spark.range(1).select(stamp).first()[0]
+    stamp = datetime.strptime(PROCESSED_TS, "%Y-%m-%d %H:%M:%S").strftime("%Y%m%d_%H%M%S")
     path, size = S.write_wide_csv(wide, scratch_path(spark, "csv"), stamp)
     if size <= 0:
         raise RuntimeError("empty CSV output")
