@@ -147,3 +147,27 @@ def resolve_object(objects: DataFrame, prefix: str, explicit: str | None = None,
     out = one.join(best.withColumn("_one", F.lit(1)), "_one", "left")
     return out.select(F.when(F.col(name).isNull(), F.raise_error(F.lit(f"no object under prefix {prefix}")))
                       .otherwise(F.col(name)).alias(name), updated)
+
+
+def mirror_files(rows: DataFrame, dest: str) -> None:
+    """K7 "files when asked": write each mirrored object as a file under
+    ``dest/<message_id>/<relative_path>`` from the executors (``foreachPartition``).
+    ``dest`` must be storage every executor can write (a shared mount on a cluster).
+    Rewriting a file with the same content makes a retried task harmless; names ending
+    in '/' are directory markers and only create the directory."""
+    base = dest.rstrip("/")
+
+    def write_partition(it):
+        import os
+        for r in it:
+            path = os.path.join(base, r["message_id"], r["relative_path"])
+            if r["relative_path"].endswith("/"):
+                os.makedirs(path, exist_ok=True)
+                continue
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            tmp = f"{path}.part-{os.getpid()}"
+            with open(tmp, "wb") as fh:
+                fh.write((r["content"] or "").encode("utf-8"))
+            os.replace(tmp, path)          # atomic: readers never see half a file
+
+    rows.select("message_id", "relative_path", "content").foreachPartition(write_partition)

@@ -264,3 +264,15 @@ def test_drift_gate_writes_only_when_asked(spark):
     path = tempfile.mkdtemp(prefix="kestrel-gate-") + "/t"
     wet = drift_gate(base, cand, ["age", "income"], ["category"], thr, dry_run=False, sink_path=path).collect()
     assert all(r.written for r in wet) and spark.read.parquet(path).count() == 3
+
+
+def test_mirror_files(spark, objs):
+    import os
+    rows = O.filter_prefix(objs, "a/b").select(F.lit("m1").alias("message_id"), "relative_path",
+                                               F.concat(F.lit("content of "), F.col("name")).alias("content"))
+    dest = tempfile.mkdtemp(prefix="kestrel-mirror-")
+    O.mirror_files(rows, dest)
+    O.mirror_files(rows, dest)                                   # retry: same files
+    got = sorted(os.path.relpath(os.path.join(d, f), dest) for d, _, fs in os.walk(dest) for f in fs)
+    assert got == ["m1/sub/z.csv", "m1/x.txt", "m1/y"]
+    assert open(os.path.join(dest, "m1/x.txt")).read() == "content of a/b/x.txt"
