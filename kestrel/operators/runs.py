@@ -41,6 +41,12 @@ def delete_experiment(log: DataFrame, experiment: str) -> DataFrame:
     return log.where(F.col("experiment") != experiment)
 
 
+def list_runs(log: DataFrame) -> DataFrame:
+    """X3 list: experiments with their number of runs and logged rows."""
+    return log.groupBy("experiment").agg(F.count_distinct("run").alias("n_runs"),
+                                         F.count(F.lit(1)).alias("n_rows"))
+
+
 def infer_runs_from_jobs(jobs: DataFrame, params: str = "params", metrics: str = "metrics",
                          outputs: str = "outputs") -> DataFrame:
     """Unpivot the parameter / metric / output maps of a job table into the run log."""

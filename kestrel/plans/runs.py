@@ -50,6 +50,12 @@ def q_experiment_get_or_create(spark, sf):
     return R.upsert_experiments(once, requested)      # idempotent
 
 
+@query("experiment_list", with_(RUNS_LOG) + """
+SELECT experiment, count(DISTINCT run) AS n_runs, count(*) AS n_rows FROM runs_log GROUP BY experiment""")
+def q_experiment_list(spark, sf):
+    return R.list_runs(runs_log(spark, sf))
+
+
 @query("experiment_delete", with_(RUNS_LOG) + """
 SELECT experiment, count(*) AS n FROM runs_log WHERE experiment <> 'error' GROUP BY experiment""")
 def q_experiment_delete(spark, sf):
