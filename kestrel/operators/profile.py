@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from kestrel.fixed import DAILY_STATS_LIMIT, MAX_CLASSES
+from kestrel.functions.scalars import round_half_up
 from kestrel.operators.quantiles import exact_quantiles
 
 
@@ -50,7 +51,7 @@ def pct_of_total(counts: DataFrame, count_col: str = "count", out: str = "percen
     The total is a scalar subquery over the aggregated counts (one value, computed
     once), so no window without partitioning and no join are needed."""
     total = counts.select(F.sum(count_col)).scalar()
-    return counts.withColumn(out, F.round(F.col(count_col).cast("double") * F.lit(100.0) / total, digits))
+    return counts.withColumn(out, round_half_up(F.col(count_col).cast("double") * F.lit(100.0) / total, digits))
 
 
 def category_distribution_pct(df: DataFrame, col: str) -> DataFrame:

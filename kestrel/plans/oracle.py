@@ -70,7 +70,7 @@ runs_log AS (
   SELECT experiment, run, 'param', 'max_depth', NULL, CAST(5 + (user_id % 3) * 5 AS DOUBLE),
          CAST(5 + (user_id % 3) * 5 AS VARCHAR) FROM runs_per
   UNION ALL
-  SELECT experiment, run, 'metric', 'score', NULL, round(avg_v / 500.0e0, 4), NULL FROM runs_per)"""
+  SELECT experiment, run, 'metric', 'score', NULL, floor(avg_v / 500.0e0 * 10000.0e0 + 0.5e0) / 10000.0e0, NULL FROM runs_per)"""
 
 RUN_TABLE = """run_g AS (
   SELECT event_type, user_id, min(ts) AS start_time, max(ts) AS last_ts, max(event_id) AS last_id

@@ -46,7 +46,7 @@ def q_existing_stats(spark, sf):
 
 @query("category_distribution_pct", with_(FEATURES) + """
 SELECT category, count(*) AS count,
-       round(count(*) * 100.0e0 / sum(count(*)) OVER (), 2) AS percentage
+       floor(count(*) * 100.0e0 / sum(count(*)) OVER () * 100.0e0 + 0.5e0) / 100.0e0 AS percentage
 FROM features GROUP BY category ORDER BY count DESC""")
 def q_category_distribution_pct(spark, sf):
     return P.category_distribution_pct(features(spark, sf), "category")
@@ -155,7 +155,8 @@ def q_except_categories(spark, sf):
 
 
 @query("pct_of_total", """
-SELECT user_id, count(*) AS count, round(count(*) * 100.0e0 / sum(count(*)) OVER (), 2) AS percentage
+SELECT user_id, count(*) AS count,
+       floor(count(*) * 100.0e0 / sum(count(*)) OVER () * 100.0e0 + 0.5e0) / 100.0e0 AS percentage
 FROM events GROUP BY user_id""")
 def q_pct_of_total(spark, sf):
     from kestrel.sources.tables import table

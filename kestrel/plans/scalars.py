@@ -25,14 +25,14 @@ def q_str_concat_tag(spark, sf):
 
 @query("str_bar_and_truncate", """
 WITH c AS (SELECT event_type, count(*) AS n, min(ts) AS first_ts FROM events GROUP BY event_type),
-p AS (SELECT *, round(n * 100.0e0 / sum(n) OVER (), 2) AS pct FROM c)
+p AS (SELECT *, floor(n * 100.0e0 / sum(n) OVER () * 100.0e0 + 0.5e0) / 100.0e0 AS pct FROM c)
 SELECT event_type, pct, repeat('█', CAST(floor(pct / 5) AS INTEGER)) AS bar,
        substr(CAST(first_ts AS VARCHAR), 1, 19) AS first_ts_text FROM p""")
 def q_str_bar_and_truncate(spark, sf):
     e = _events(spark, sf, "event_type", "ts")
     c = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"))
     total = c.select(F.sum("n")).scalar()
-    p = c.withColumn("pct", F.round(F.col("n").cast("double") * 100.0 / total, 2))
+    p = c.withColumn("pct", X.round_half_up(F.col("n").cast("double") * 100.0 / total, 2))
     return p.select("event_type", "pct", X.bar(F.col("pct")).alias("bar"),
                     X.first_chars(F.col("first_ts").cast("string"), 19).alias("first_ts_text"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.fixed import ENTITY_ID_FORMAT
+from kestrel.functions.scalars import round_half_up
 from kestrel.sources.tables import table
 
 # Values of the derived views (shared with the oracle SQL text).  SENSORS is the
@@ -212,7 +213,7 @@ def runs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("p.v").cast("bigint").cast("string").alias("text"))
     score = base.select("experiment", "run", F.lit("metric").alias("kind"), F.lit("score").alias("key"),
                         F.lit(None).cast("bigint").alias("step"),
-                        F.round(F.col("avg_v") / 500.0, 4).alias("value"),
+                        round_half_up(F.col("avg_v") / 500.0, 4).alias("value"),
                         F.lit(None).cast("string").alias("text"))
     return steps.unionByName(params).unionByName(score)
 
