@@ -55,6 +55,31 @@ def q_stream_windowed_drift(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id"))
 
 
+@query("stream_monitor_cadences", """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS age FROM events),
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events),
+h AS (SELECT 'hourly_income' AS monitor, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+             time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(value) AS n,
+             round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max, round(stddev_samp(value), 6) AS std
+      FROM e GROUP BY ALL),
+d AS (SELECT 'daily_age', time_bucket(INTERVAL 1 DAY, ts), time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY, event_type,
+             count(age), round(avg(age), 6), min(age), max(age), round(stddev_samp(age), 6) FROM e GROUP BY ALL)
+SELECT x.* FROM (SELECT * FROM h UNION ALL SELECT * FROM d) x, wm WHERE x.window_end <= wm.watermark""")
+def q_stream_monitor_cadences(spark, sf):
+    """An hourly monitor on income and a daily monitor on age over the same event
+    stream, each with its own state and sink; append mode emits closed windows only."""
+    src = _stage(table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props"), spark, "ev")
+    schema = _EVENTS_SCHEMA + ", props string"
+
+    def prepare(stream):
+        return stream.withColumn("age", F.get_json_object("props", "$.k").try_cast("bigint").cast("double"))
+    out = T.run_cadence_monitors(spark, src, schema, scratch_path(spark, "cad"), scratch_path(spark, "ckpt"),
+                                 [("hourly_income", "1 hour", "value"), ("daily_age", "1 day", "age")],
+                                 ["event_type"], prepare)
+    res = spark.read.parquet(out)
+    return rounded(res.select("monitor", "window_start", "window_end", "event_type", "n", "mean", "min", "max", "std"))
+
+
 @query("stream_feature_import", with_(FEATURES) + """
 SELECT entity_id, age, income, category, feature_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY feature_timestamp DESC) AS rk FROM features) WHERE rk = 1""")

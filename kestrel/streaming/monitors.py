@@ -43,6 +43,28 @@ def run_windowed_monitor(spark: SparkSession, source_dir: str, schema: str, out:
     return out
 
 
+def run_cadence_monitors(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
+                         monitors: list[tuple[str, str, str]], keys: list[str] | None = None,
+                         prepare=None) -> str:
+    """T2 with several cadences over one feature stream: each (name, cadence, value
+    column) is its own streaming query (own checkpoint, own state), all started before
+    any is awaited; results land in ``out/monitor=<name>``."""
+    keys = keys or []
+    queries = []
+    for name, cadence, value in monitors:
+        stream = spark.readStream.schema(schema).parquet(source_dir)
+        if prepare is not None:
+            stream = prepare(stream)
+        stats = windowed_stats(stream, "ts", cadence, keys, value)
+        queries.append(stats.writeStream.outputMode("append").format("parquet")
+                       .option("path", f"{out}/monitor={name}")
+                       .option("checkpointLocation", f"{checkpoint}/{name}")
+                       .trigger(availableNow=True).start())
+    for q in queries:
+        q.awaitTermination()
+    return out
+
+
 def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
                        cadence_minutes: int = 60, keys: list[str] | None = None, value: str = "value",
                        threshold: float = 0.3) -> str:
