@@ -63,6 +63,19 @@ def elapsed_seconds(start: Column, end: Column, digits: int = 2) -> Column:
     return round_half_up((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6, digits)
 
 
+def round_half_away(x, digits: int) -> Column:
+    """SQL ROUND as DuckDB and most engines compute it on doubles: scale, round half away
+    from zero on the binary product, unscale.  Spark's ``round`` rounds the decimal text
+    half up instead, which differs on exact ties such as 44.5690625 -> 6 digits.
+    Double arithmetic only (``y - y % 1`` is an exact floor), so large sums cannot
+    overflow a long."""
+    x = F.col(x) if isinstance(x, str) else x
+    f = float(10 ** digits)
+    y = F.abs(x) * F.lit(f) + F.lit(0.5)
+    r = (y - y % F.lit(1.0)) / F.lit(f)
+    return F.when(x < 0, -r).otherwise(r)
+
+
 def round_half_up(x: Column, digits: int) -> Column:
     """Half-up rounding on the binary value: floor(x * 10^d + 0.5) / 10^d.  The same
     IEEE operations in every engine give the same result (``round`` differs between

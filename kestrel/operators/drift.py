@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalars import round_half_away
+
 from kestrel.fixed import DRIFT_THRESHOLD as DEFAULT_THRESHOLD
 from kestrel.fixed import THRESHOLD_MAX, THRESHOLD_MIN, TOP_VALUES
 
@@ -164,7 +166,7 @@ def drift_report(base: DataFrame, current: DataFrame, numeric: list[str], catego
     if categorical:
         parts.append(chebyshev(base, current, categorical).withColumn("metric", F.lit("chebyshev")))
     dev = reduce(DataFrame.unionByName, parts)
-    dev = dev.withColumn("deviation", F.round("deviation", DIGITS))
+    dev = dev.withColumn("deviation", round_half_away("deviation", DIGITS))
     return apply_thresholds(dev, thr).select("feature", "metric", "deviation", "threshold", "drift_detected")
 
 
@@ -231,7 +233,7 @@ def monitor_jobs(snap: DataFrame, numeric: list[str], categorical: list[str], th
                                    F.lit(None).cast("double").alias("deviation"))
     later = jobs.where(F.col("base_snapshot_ts").isNotNull()).select(
         *keys, "snapshot_ts", "base_snapshot_ts", "feature", "metric", "deviation")
-    allj = first_rows.unionByName(later).withColumn("deviation", F.round("deviation", DIGITS))
+    allj = first_rows.unionByName(later).withColumn("deviation", round_half_away("deviation", DIGITS))
     out = apply_thresholds(allj, thr).join(stats, keys + ["snapshot_ts", "feature"], "left")
     if categorical:
         tv = top_values(unpivot(snap, categorical, keys + ["snapshot_ts"], as_string=True),

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalars import round_half_away
+
 from kestrel.operators import drift as D
 
 
@@ -17,7 +19,7 @@ def drift_gate(stored: DataFrame, candidate: DataFrame, numeric: list[str], cate
     the stored table.  Dry run reports only; otherwise the batch is appended (K3)
     to ``sink_path`` and the report says so."""
     ms = D.apply_thresholds(D.mean_shift(stored, candidate, numeric), thr).select(
-        "feature", F.lit("mean_shift").alias("check"), F.round("deviation", 6).alias("deviation"),
+        "feature", F.lit("mean_shift").alias("check"), round_half_away("deviation", 6).alias("deviation"),
         "drift_detected")
     nc = D.new_category_drift(stored, candidate, categorical).select(
         "feature", F.lit("new_category").alias("check"), F.col("n_new").cast("double").alias("deviation"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalars import round_half_away
+
 from kestrel.operators import drift as D
 from kestrel.operators.ml import stratified_split
 from kestrel.plans.common import rounded
@@ -106,13 +108,13 @@ def q_drift_report(spark, sf):
 @query("drift_js_numeric", REPORT_CTES + "SELECT feature, round(deviation, 9) AS deviation FROM js")
 def q_drift_js_numeric(spark, sf):
     base, cur = _periods(spark, sf)
-    return D.js_divergence(base, cur, NUM).select("feature", F.round("deviation", 9).alias("deviation"))
+    return D.js_divergence(base, cur, NUM).select("feature", round_half_away("deviation", 9).alias("deviation"))
 
 
 @query("drift_chebyshev_categorical", REPORT_CTES + "SELECT feature, round(deviation, 9) AS deviation FROM cheb")
 def q_drift_chebyshev(spark, sf):
     base, cur = _periods(spark, sf)
-    return D.chebyshev(base, cur, CAT).select("feature", F.round("deviation", 9).alias("deviation"))
+    return D.chebyshev(base, cur, CAT).select("feature", round_half_away("deviation", 9).alias("deviation"))
 
 
 @query("join_snapshot_pair", REPORT_CTES + "SELECT feature, bin, round(p, 9) AS p, round(q, 9) AS q FROM pq")
@@ -120,7 +122,7 @@ def q_join_snapshot_pair(spark, sf):
     base, cur = _periods(spark, sf)
     h = D.histograms(D.sides(base, cur, NUM), ["feature"])
     pq = D.paired_shares(h, ["feature"], "bin")
-    return pq.select("feature", "bin", F.round("p", 9).alias("p"), F.round("q", 9).alias("q"))
+    return pq.select("feature", "bin", round_half_away("p", 9).alias("p"), round_half_away("q", 9).alias("q"))
 
 
 @query("validate_anomalies", _report_ctes(_ONE_THR_SQL) + """

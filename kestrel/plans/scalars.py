@@ -71,7 +71,7 @@ def q_math_ops(spark, sf):
     e = _events(spark, sf, "event_id", "value")
     v = F.col("value")
     return e.select("event_id", X.round_half_up(v * 1.5, 2).alias("rounded"), F.abs(v - 250.0).alias("dist"),
-                    F.round(X.normalized_difference(v, F.lit(100.0), F.lit(50.0)), 6).alias("norm_diff"),
+                    X.round_half_away(X.normalized_difference(v, F.lit(100.0), F.lit(50.0)), 6).alias("norm_diff"),
                     X.clip(v, 20.0, 200.0).alias("clipped"), X.truncate_int(v).alias("truncated"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions import scalars as X
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, RUNS_LOG, with_
 from kestrel.plans.registry import query
@@ -15,6 +16,13 @@ from kestrel.streaming import monitors as T
 _EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
 
+def _exact_mean(df, s="sum", n="n", out="mean"):
+    """Mean for display from the rounded sum: the values carry two decimals, so the sum
+    rounded to 6 places is exact in any engine, and dividing equal doubles gives equal
+    results (a raw average can sit on a decimal tie and round differently)."""
+    return df.withColumn(out, X.round_half_away(F.col(s), 6) / F.col(n))
+
+
 def _stage(df, spark, name, parts=4):
     path = scratch_path(spark, name)
     df.repartition(parts).write.mode("overwrite").parquet(path)
@@ -23,7 +31,7 @@ def _stage(df, spark, name, parts=4):
 
 @query("stream_windowed_monitor", """
 WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
-                  round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max,
+                  round(round(sum(value), 6) / count(*), 6) AS mean, min(value) AS min, max(value) AS max,
                   round(stddev_samp(value), 6) AS std
            FROM events GROUP BY 1, 2),
 wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events)
@@ -34,16 +42,18 @@ def q_stream_windowed_monitor(spark, sf):
     src = _stage(table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value"), spark, "ev")
     out = T.run_windowed_monitor(spark, src, _EVENTS_SCHEMA, scratch_path(spark, "win"),
                                  scratch_path(spark, "ckpt"), "1 hour", ["event_type"])
-    return rounded(spark.read.parquet(out))
+    return rounded(_exact_mean(spark.read.parquet(out)).drop("sum"))
 
 
 @query("stream_windowed_drift", """
 WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
-                  avg(value) AS mean, stddev_samp(value) AS std FROM events GROUP BY 1, 2),
+                  avg(value) AS mean, round(sum(value), 6) / count(*) AS shown_mean,
+                  stddev_samp(value) AS std FROM events GROUP BY 1, 2),
 wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events),
 c AS (SELECT w.* FROM w, wm WHERE window_start + INTERVAL 1 HOUR <= watermark)
 SELECT c.window_start, c.window_start + INTERVAL 1 HOUR AS window_end, c.event_type, c.n,
-       round(c.mean, 6) AS mean, round(c.std, 6) AS std, round(p.mean, 6) AS prev_mean, round(p.std, 6) AS prev_std,
+       round(c.shown_mean, 6) AS mean, round(c.std, 6) AS std, round(p.shown_mean, 6) AS prev_mean,
+       round(p.std, 6) AS prev_std,
        round(abs(c.mean - p.mean) / nullif(p.std, 0), 6) AS deviation,
        coalesce(abs(c.mean - p.mean) / nullif(p.std, 0) > 0.3e0, false) AS drift_detected
 FROM c LEFT JOIN c p ON p.event_type = c.event_type AND p.window_start = c.window_start - INTERVAL 1 HOUR""")
@@ -52,7 +62,8 @@ def q_stream_windowed_drift(spark, sf):
     src = _stage(table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value"), spark, "ev", parts=6)
     out = T.run_windowed_drift(spark, src, _EVENTS_SCHEMA, scratch_path(spark, "wdrift"), scratch_path(spark, "ckpt"),
                                60, ["event_type"])
-    return rounded(spark.read.parquet(out).drop("batch_id"))
+    res = _exact_mean(_exact_mean(spark.read.parquet(out)), "prev_sum", "prev_n", "prev_mean")
+    return rounded(res.drop("batch_id", "sum", "prev_sum", "prev_n"))
 
 
 @query("stream_monitor_cadences", """
@@ -60,10 +71,12 @@ WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS age FR
 wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events),
 h AS (SELECT 'hourly_income' AS monitor, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
              time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(value) AS n,
-             round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max, round(stddev_samp(value), 6) AS std
+             round(round(sum(value), 6) / count(value), 6) AS mean, min(value) AS min, max(value) AS max,
+             round(stddev_samp(value), 6) AS std
       FROM e GROUP BY ALL),
 d AS (SELECT 'daily_age', time_bucket(INTERVAL 1 DAY, ts), time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY, event_type,
-             count(age), round(avg(age), 6), min(age), max(age), round(stddev_samp(age), 6) FROM e GROUP BY ALL)
+             count(age), round(round(sum(age), 6) / count(age), 6), min(age), max(age), round(stddev_samp(age), 6)
+      FROM e GROUP BY ALL)
 SELECT x.* FROM (SELECT * FROM h UNION ALL SELECT * FROM d) x, wm WHERE x.window_end <= wm.watermark""")
 def q_stream_monitor_cadences(spark, sf):
     """An hourly monitor on income and a daily monitor on age over the same event
@@ -76,7 +89,7 @@ def q_stream_monitor_cadences(spark, sf):
     out = T.run_cadence_monitors(spark, src, schema, scratch_path(spark, "cad"), scratch_path(spark, "ckpt"),
                                  [("hourly_income", "1 hour", "value"), ("daily_age", "1 day", "age")],
                                  ["event_type"], prepare)
-    res = spark.read.parquet(out)
+    res = _exact_mean(spark.read.parquet(out))
     return rounded(res.select("monitor", "window_start", "window_end", "event_type", "n", "mean", "min", "max", "std"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalars import round_half_away
+
 from kestrel.operators import vectors as V
 from kestrel.plans.registry import query
 from kestrel.sources.tables import table
@@ -32,7 +34,7 @@ def _queries(emb):
 
 
 def _out(df):
-    return df.select("qid", "vec_id", F.round("score", 6).alias("score"), "rank")
+    return df.select("qid", "vec_id", round_half_away("score", 6).alias("score"), "rank")
 
 
 @query("knn_by_entity", "WITH " + _Q + _rank_sql("""

@@ -28,11 +28,11 @@ def windowed_stats(stream: DataFrame, ts: str, cadence: str, keys: list[str], va
     The event time must be TIMESTAMP (an NTZ column is cast in the session zone)."""
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return (s.groupBy(F.window(ts, cadence), *keys)
-             .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"),
-                  F.max(value).alias("max"), F.stddev_samp(value).alias("std"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("sum"), F.avg(value).alias("mean"),
+                  F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_samp(value).alias("std"))
              .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("window.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "mean", "min", "max",
-                     "std"))
+                     F.col("window.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "sum", "mean", "min",
+                     "max", "std"))
 
 
 def run_windowed_monitor(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
@@ -79,15 +79,16 @@ def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: s
     step = F.make_interval(mins=F.lit(cadence_minutes))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        cur = batch.select(*keys, "window_start", "window_end", "n", "mean", "std")
+        cur = batch.select(*keys, "window_start", "window_end", "n", "sum", "mean", "std")
         wanted = cur.select(*keys, (F.col("window_start") - step).alias("window_start")).distinct()
-        prev = cur.select(*keys, "window_start", "mean", "std")
+        prev = cur.select(*keys, "window_start", "n", "sum", "mean", "std")
         try:
-            old = spark.read.parquet(out).select(*keys, "window_start", "mean", "std")
+            old = spark.read.parquet(out).select(*keys, "window_start", "n", "sum", "mean", "std")
             prev = prev.unionByName(old.join(wanted, keys + ["window_start"], "left_semi"))
         except Exception:  # noqa: BLE001  (first batch: empty sink)
             pass
         prev = prev.select(*keys, (F.col("window_start") + step).alias("window_start"),
+                           F.col("n").alias("prev_n"), F.col("sum").alias("prev_sum"),
                            F.col("mean").alias("prev_mean"), F.col("std").alias("prev_std"))
         dev = F.abs(F.col("mean") - F.col("prev_mean")) / F.nullif(F.col("prev_std"), F.lit(0.0))
         res = (cur.join(prev, keys + ["window_start"], "left")
