@@ -31,9 +31,9 @@ def sensor_columns(name: Column) -> tuple[Column, Column]:
     return F.concat(name, F.lit("_min")), F.concat(name, F.lit("_max"))
 
 
-def entity_id(n: Column, prefix: str = "user_", width: int = 4) -> Column:
-    """prefix + zero-padded number; never truncates wider numbers (unlike lpad)."""
-    return F.format_string(f"{prefix}%0{width}d", n)
+def entity_id(n: Column, fmt: str = ENTITY_ID_FORMAT) -> Column:
+    """Zero-padded entity id ('user_%04d'); never truncates wider numbers (unlike lpad)."""
+    return F.format_string(fmt, n)
 
 
 # F5
