@@ -51,10 +51,12 @@ def placeholder_ts(processed_ts: Column, delay_minutes: int) -> Column:
     return t + F.make_interval(secs=F.lit(SECOND_MARK))
 
 
-def latest_inference(parsed: DataFrame, key: Column, processed_ts: str, delay_minutes: int = 10) -> DataFrame:
+def latest_inference(parsed: DataFrame, key: Column, processed_ts: str, delay_minutes: int = 10,
+                     fallback_threshold: float | None = None) -> DataFrame:
     """F14 + F12 + F15 + P9: the last result by list order of a valid response, else a
     fallback value at the placeholder time; one result row per response with
-    ``is_fallback`` and the processing time (Q5, Q7)."""
+    ``is_fallback``, the processing time (Q5, Q7) and the thresholds carried along (Q8:
+    the parsed 2σ/3σ, or the configured threshold for both on a fallback row)."""
     valid = response_valid(F.col("results"), F.col("sigma2_text"), F.col("sigma3_text"))
     last = F.try_element_at(F.col("results"), F.lit(-1))
     value = last["reconstructionError"].try_cast("double")
@@ -66,7 +68,11 @@ def latest_inference(parsed: DataFrame, key: Column, processed_ts: str, delay_mi
          .otherwise(placeholder_ts(pts, delay_minutes)).alias("event_ts"),
         F.when(use, value).otherwise(fallback_value(key)).alias("inference_value"),
         (~use).alias("is_fallback"),
-        pts.alias("processed_ts"))
+        pts.alias("processed_ts"),
+        F.when(use, F.col("sigma2_text").try_cast("double")).otherwise(F.lit(fallback_threshold).cast("double"))
+         .alias("sigma2"),
+        F.when(use, F.col("sigma3_text").try_cast("double")).otherwise(F.lit(fallback_threshold).cast("double"))
+         .alias("sigma3"))
 
 
 def null_response(parsed: DataFrame, processed_ts: str, delay_minutes: int, threshold: float) -> DataFrame:

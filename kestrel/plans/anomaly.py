@@ -29,7 +29,9 @@ res AS (
          CASE WHEN valid THEN last_ts ELSE TIMESTAMP '2024-02-01 08:50:44' END AS event_ts,
          CASE WHEN valid THEN last_value
               ELSE CAST(('0x' || substr(md5(fkey), 1, 8)) AS BIGINT) / 4294967296.0e0 END AS inference_value,
-         NOT valid AS is_fallback, TIMESTAMP '2024-02-01 09:00:00' AS processed_ts
+         NOT valid AS is_fallback, TIMESTAMP '2024-02-01 09:00:00' AS processed_ts,
+         CASE WHEN valid THEN mu + 2 * sd ELSE 0.5e0 END AS sigma2,
+         CASE WHEN valid THEN mu + 3 * sd ELSE 0.5e0 END AS sigma3
   FROM r)"""
 
 
@@ -43,7 +45,7 @@ def _key():
 
 
 def _results(spark, sf):
-    return A.latest_inference(_parsed(spark, sf), _key(), PROCESSED_TS, DELAY_MINUTES)
+    return A.latest_inference(_parsed(spark, sf), _key(), PROCESSED_TS, DELAY_MINUTES, CONFIG_THRESHOLD)
 
 
 @query("scan_anomaly_response", with_(_RESP) + """
@@ -65,9 +67,11 @@ def q_strict_cast_poison(spark, sf):
                     A.response_valid(F.col("results"), F.col("sigma2_text"), F.col("sigma3_text")).alias("valid"))
 
 
-@query("latest_inference", with_(_RESP) + "SELECT * FROM res")
+@query("latest_inference", with_(_RESP) + """
+SELECT user_id, day, block, event_ts, round(inference_value, 6) AS inference_value, is_fallback, processed_ts,
+       round(sigma2, 6) AS sigma2, round(sigma3, 6) AS sigma3 FROM res""")
 def q_latest_inference(spark, sf):
-    return _results(spark, sf)
+    return rounded(_results(spark, sf))
 
 
 @query("fallback_value", with_(_RESP) + "SELECT user_id, day, block, inference_value FROM res WHERE is_fallback")
