@@ -40,9 +40,17 @@ def string_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 # ---------------------------------------------------------------- M1 / W5 split
 def is_stratified(df: DataFrame, target: str) -> bool:
     """A16 as a decision: stratify when the target is a string or has < 20 distinct values.
-    Runs one distinct-count job (a small aggregate comes back to the driver)."""
+
+    A one-pass HyperLogLog estimate (no shuffle of values) decides when it is far from
+    the limit; only an estimate near 20 pays for the exact distinct count, so the
+    decision is always the exact one."""
     if isinstance(df.schema[target].dataType, StringType):
         return True
+    approx = df.select(F.approx_count_distinct(target, 0.01)).first()[0]
+    if approx >= 2 * MAX_CLASSES:
+        return False
+    if approx < MAX_CLASSES // 2:
+        return True
     return df.select(F.count_distinct(target)).first()[0] < MAX_CLASSES
 
 
