@@ -17,7 +17,7 @@ from kestrel.sources.tables import read_step, table
 CONFIG_THRESHOLD = 0.5
 
 _RESP = """d AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS block, count(*) AS n, avg(value) AS mu,
+  SELECT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, event_id // 1024 AS block, count(*) AS n, avg(value) AS mu,
          stddev_samp(value) AS sd, arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts
   FROM events GROUP BY 1, 2, 3),
 r AS (
@@ -96,7 +96,8 @@ def q_null_response_row(spark, sf):
 
 
 @query("sink_partitioned_append", with_(_RESP) + """
-SELECT CAST(event_ts AS DATE) AS p_date, count(*) AS n, round(sum(inference_value), 6) AS total FROM res GROUP BY 1""")
+SELECT CAST(CAST(event_ts AS DATE) AS TIMESTAMP) AS p_date, count(*) AS n, round(sum(inference_value), 6) AS total
+FROM res GROUP BY 1""")
 def q_sink_partitioned_append(spark, sf):
     """K2: append the result rows per day partition; the same batch written twice
     (a retry) and an empty batch leave the table unchanged."""
@@ -134,7 +135,7 @@ def q_sink_replace(spark, sf):
 
 
 @query("table_create_if_missing", with_(_RESP) + """
-SELECT CAST(event_ts AS DATE) AS p_date, count(*) AS n FROM res GROUP BY 1""")
+SELECT CAST(CAST(event_ts AS DATE) AS TIMESTAMP) AS p_date, count(*) AS n FROM res GROUP BY 1""")
 def q_table_create_if_missing(spark, sf):
     db = f"kestrel_{abs(hash(scratch_path(spark, 'db'))) % 10**8}"
     loc = scratch_path(spark, "warehouse")

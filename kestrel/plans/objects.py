@@ -119,21 +119,22 @@ dirs AS (SELECT DISTINCT message_id, array_to_string(list_slice(parts, 1, i), '/
          FROM (SELECT message_id, string_split(relative_path, '/') AS parts,
                       unnest(generate_series(1, len(string_split(relative_path, '/')) - 1)) AS i
                FROM mir WHERE contains(relative_path, '/')))
-SELECT * FROM files UNION ALL SELECT message_id, entry, 'DIR', CAST(NULL AS BIGINT) FROM dirs""")
+SELECT message_id, entry, kind, CAST(size AS DOUBLE) AS size FROM files
+UNION ALL SELECT message_id, entry, 'DIR', CAST(NULL AS DOUBLE) FROM dirs""")
 def q_directory_listing(spark, sf):
     m = _mirror(spark, sf).select("message_id", "relative_path", F.col("length").alias("size"))
-    return O.directory_listing(m, ["message_id"])
+    return O.directory_listing(m, ["message_id"]).withColumn("size", F.col("size").cast("double"))
 
 
 @query("top_level_entries", with_(_GOOD) + """
 SELECT message_id, split_part(relative_path, '/', 1) AS entry,
        CASE WHEN max(CASE WHEN contains(relative_path, '/') THEN 1 ELSE 0 END) = 1 THEN 'DIR' ELSE 'FILE' END AS kind,
        CASE WHEN max(CASE WHEN contains(relative_path, '/') THEN 1 ELSE 0 END) = 1 THEN NULL
-            ELSE CAST(sum(CASE WHEN NOT contains(relative_path, '/') THEN length END) AS BIGINT) END AS size
+            ELSE CAST(sum(CASE WHEN NOT contains(relative_path, '/') THEN length END) AS DOUBLE) END AS size
 FROM mir GROUP BY 1, 2""")
 def q_top_level_entries(spark, sf):
     m = _mirror(spark, sf).select("message_id", "relative_path", F.col("length").alias("size"))
-    return O.top_level_entries(m, ["message_id"])
+    return O.top_level_entries(m, ["message_id"]).withColumn("size", F.col("size").cast("double"))
 
 
 @query("str_path_ops", with_(OBJECTS) + """

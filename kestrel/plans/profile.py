@@ -65,7 +65,7 @@ def q_value_counts(spark, sf):
 
 
 @query("daily_stats_last10", with_(FEATURES) + """
-SELECT CAST(feature_timestamp AS DATE) AS date, count(*) AS record_count,
+SELECT CAST(CAST(feature_timestamp AS DATE) AS TIMESTAMP) AS date, count(*) AS record_count,
        round(avg(age), 6) AS avg_age, round(avg(income), 6) AS avg_income
 FROM features GROUP BY 1 ORDER BY date DESC LIMIT 10""")
 def q_daily_stats_last10(spark, sf):

@@ -69,7 +69,7 @@ def q_experiment_delete(spark, sf):
 
 _JOBS_SQL = with_(RUN_TABLE) + """,
 jobs AS (
-  SELECT experiment, run, 'param' AS kind, 'template_version' AS key, CAST(NULL AS BIGINT) AS step,
+  SELECT experiment, run, 'param' AS kind, 'template_version' AS key, CAST(NULL AS DOUBLE) AS step,
          TRY_CAST(template_version AS DOUBLE) AS value, template_version AS text FROM run_table
   UNION ALL
   SELECT experiment, run, 'metric', 'duration_s', NULL,
@@ -93,7 +93,7 @@ def _job_table(spark, sf):
 
 @query("infer_run_from_job", _JOBS_SQL + "SELECT * FROM jobs")
 def q_infer_run_from_job(spark, sf):
-    return R.infer_runs_from_jobs(_job_table(spark, sf))
+    return R.infer_runs_from_jobs(_job_table(spark, sf)).withColumn("step", F.col("step").cast("double"))
 
 
 @query("log_artifact", with_(RUN_TABLE) + """
@@ -208,7 +208,7 @@ def q_lineage_descendants(spark, sf):
     return R.lineage_closure(edges(spark, sf), upstream=False)
 
 
-_ATTEMPTS = """per_day AS (SELECT CAST(ts AS DATE) AS batch, count_if(event_type = 'error') AS n_err FROM events GROUP BY 1),
+_ATTEMPTS = """per_day AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS batch, count_if(event_type = 'error') AS n_err FROM events GROUP BY 1),
 attempts AS (
   SELECT batch, 1 AS attempt, CASE WHEN n_err % 3 = 0 THEN 500 ELSE 200 END AS status FROM per_day
   UNION ALL

@@ -48,7 +48,7 @@ def q_str_column_names(spark, sf):
 
 
 @query("date_ops", """
-SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') AS iso,
+SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') AS iso,
        strftime(ts, '%Y%m%d_%H%M%S') AS compact,
        strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S') || '+09:00' AS local_jst,
        date_trunc('minute', ts - INTERVAL 10 MINUTE) + INTERVAL 44 SECOND AS shifted,
@@ -119,7 +119,8 @@ def q_encode_ops(spark, sf):
 
 
 @query("cond_status", """
-WITH per_day AS (SELECT CAST(ts AS DATE) AS batch, count_if(event_type = 'error') AS n_err FROM events GROUP BY 1)
+WITH per_day AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS batch, count_if(event_type = 'error') AS n_err
+                 FROM events GROUP BY 1)
 SELECT batch, CASE WHEN n_err % 3 = 0 THEN 500 WHEN n_err % 7 = 0 THEN 404 ELSE 200 END AS status,
        CASE WHEN n_err % 3 = 0 THEN 'error' WHEN n_err % 7 = 0 THEN 'warning' ELSE 'success' END AS label
 FROM per_day""")

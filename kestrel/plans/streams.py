@@ -114,7 +114,8 @@ r AS (SELECT *, (user_id % 10 NOT IN (0, 3, 6)) AND sd IS NOT NULL AS valid,
 res AS (SELECT CASE WHEN valid THEN last_ts ELSE TIMESTAMP '2024-02-01 08:50:44' END AS event_ts,
                CASE WHEN valid THEN last_value
                     ELSE CAST(('0x' || substr(md5(fkey), 1, 8)) AS BIGINT) / 4294967296.0e0 END AS inference_value FROM r)
-SELECT CAST(event_ts AS DATE) AS p_date, count(*) AS n, round(sum(inference_value), 6) AS total FROM res GROUP BY 1""")
+SELECT CAST(CAST(event_ts AS DATE) AS TIMESTAMP) AS p_date, count(*) AS n, round(sum(inference_value), 6) AS total
+FROM res GROUP BY 1""")
 def q_stream_result_append(spark, sf):
     """T4: responses as JSON files -> result rows -> day partitions; a restart adds nothing."""
     src = scratch_path(spark, "resp")
