@@ -89,7 +89,7 @@ def _sensor_array(names: list[str]):
 def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False, names: list[str] | None = None) -> DataFrame:
     """One JSON series document per day: {series:[{name,unit,type}], values:{iso_ts:[point|null,…]}}.
 
-    Each hour aggregates at most len(SENSORS) points and each day at most 24 hours,
+    Each hour aggregates at most one point per sensor and each day at most 24 hours,
     so the collected lists are bounded by construction.  ``corrupt`` applies the
     invalid-document rules used by the validation operators: days 4, 13, 22 lose
     the last point of their first hour; day 30 has no sensors.
