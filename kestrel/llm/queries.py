@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, line_dedup, mixing, quality_rules
-from kestrel.llm.common import documents
+from kestrel.llm import exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules
+from kestrel.llm.common import crc_mod, documents, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,17 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_classifier(spark, sf_dir):
+    """Score of every document by a network that saw no held-out label."""
+    docs = documents(spark, sf_dir)
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    net = quality_classifier.fit(docs.where(~held), table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    return (quality_classifier.score(rows, net, drop_text=True)
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     """Lines with a key found in 10 documents or more leave every document."""
@@ -66,3 +77,12 @@ def op7_mixing(spark, sf_dir):
     """Words that the mix takes from each document."""
     return mixing.mix(documents(spark, sf_dir)).taken.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    """Language of every document by a model that saw no held-out row."""
+    docs = documents(spark, sf_dir)
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held))
+    return language_id.identify(docs.select("doc_id", held.alias("held_out"), "text"), model, drop_text=True)
