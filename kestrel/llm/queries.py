@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules
+import public_tokenizers
+
+from kestrel.llm import (exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
+                         token_counts)
 from kestrel.llm.common import crc_mod, documents, table
 
 QUERIES: dict = {}
@@ -72,6 +75,14 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.judge(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op6_simhash_dedup(spark, sf_dir):
+    """Fingerprint of 4-word shingles and the component of documents up to 4 bits apart."""
+    out = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words that the mix takes from each document."""
@@ -79,6 +90,13 @@ def op7_mixing(spark, sf_dir):
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op8_token_counts(spark, sf_dir):
+    """Tokens of every whole text by the unigram Viterbi."""
+    return token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"),
+                                     public_tokenizers.path("piece_bpe_32k.model"), drop_text=True)
+
+
 @query
 def op10_language_id(spark, sf_dir):
     """Language of every document by a model that saw no held-out row."""
