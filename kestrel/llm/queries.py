@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kestrel.llm import (exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
-                         token_counts)
+from kestrel.llm import (byte_bpe, exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
+                         suffix_dedup, token_counts)
 from kestrel.llm.common import crc_mod, documents, table
 
 QUERIES: dict = {}
@@ -75,6 +75,13 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.judge(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes covered by a 400-byte string that also starts elsewhere are removed."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), length=400).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_simhash_dedup(spark, sf_dir):
     """Fingerprint of 4-word shingles and the component of documents up to 4 bits apart."""
@@ -97,6 +104,16 @@ def op8_token_counts(spark, sf_dir):
                                      public_tokenizers.path("piece_bpe_32k.model"), drop_text=True)
 
 
+@query
+def op9_byte_bpe(spark, sf_dir):
+    """Token ids of every whole text, and their bytes again."""
+    tok = byte_bpe.Tokenizer.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tok), tok)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op10_language_id(spark, sf_dir):
     """Language of every document by a model that saw no held-out row."""
