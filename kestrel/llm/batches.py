@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that are worked on at once (a longer single text is taken alone).
@@ -36,28 +37,26 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), ends
 
 
+_ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}
+
+
 def with_columns(df: DataFrame, text_col: str, fields: list[StructField],
-                 compute: Callable[[list[bytes]], list], drop_text: bool = False) -> DataFrame:
-    """``df`` with further columns that ``compute`` derives from a list of texts (a list or
-    array for each field).  The other columns pass through untouched; a field's name must not
-    be one of theirs.  Works slice by slice, so memory does not grow with the batch."""
-    clash = {f.name for f in fields} & set(df.columns)
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
-    kept = [f for f in df.schema.fields if not (drop_text and f.name == text_col)]
-    place = df.columns.index(text_col)
-    order = [i for i, f in enumerate(df.schema.fields) if f in kept]
-    types = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64(),
-             "boolean": pa.bool_(), "binary": pa.binary(), "array<float>": pa.list_(pa.float32())}
+                 compute: Callable[[list[bytes]], list], keep: list[str] | None = None) -> DataFrame:
+    """(row, *fields): the columns ``keep`` of each row (all by default) as a struct, so that no
+    name can clash, and what ``compute`` derives from a list of texts (a list or array for each
+    field).  Works slice by slice, so memory does not grow with the batch."""
+    names = df.columns if keep is None else keep
+    inside = names.index(text_col) if text_col in names else None
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    given = df.select(row) if inside is not None else df.select(row, F.col(f"`{text_col}`").alias("text"))
 
     def run(parts):
         for batch in parts:
-            texts = text_bytes(batch.column(place))
+            rows = batch.column(0)
+            texts = text_bytes(batch.column(1) if inside is None else rows.field(inside))
             for a, b in slices(texts):
-                new = compute(texts[a:b])
-                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in order]
-                    + [pa.array(x, types[f.dataType.simpleString()]) for x, f in zip(new, fields)],
-                    names=[f.name for f in kept] + [f.name for f in fields])
-    return df.mapInArrow(run, StructType(kept + fields))
+                    [rows.slice(a, b - a), *[pa.array(x, _ARROW[f.dataType.simpleString()])
+                                             for x, f in zip(compute(texts[a:b]), fields)]],
+                    names=["row", *[f.name for f in fields]])
+    return given.mapInArrow(run, StructType([given.schema["row"], *fields]))

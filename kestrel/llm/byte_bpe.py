@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,10 +110,11 @@ class Tokenizer:
     def load(spark: SparkSession, path: str, pattern: str) -> "Tokenizer":
         m = RankMap(read_ranks(path))
 
-        def literal(values, kind: str) -> Column:
-            return written(spark.createDataFrame([(values,)], f"v array<{kind}>"), "bpe-literal").scalar()
-        return Tokenizer(java_pattern(pattern), literal(m.rows, "array<bigint>"), literal(m.bytes, "int"),
-                         literal(m.two, "int"), literal(m.hex, "string"))
+        def literal(values, kind: pa.DataType) -> Column:
+            table = pa.table({"v": pa.array([values], kind)})
+            return written(spark.createDataFrame(table), "bpe-literal").scalar()
+        return Tokenizer(java_pattern(pattern), literal(m.rows, pa.list_(pa.list_(pa.int64()))), literal(m.bytes, pa.list_(pa.int32())),
+                         literal(m.two, pa.list_(pa.int32())), literal(m.hex, pa.list_(pa.string())))
 
     @staticmethod
     def rank(rows: Column, a: Column, b: Column) -> Column:

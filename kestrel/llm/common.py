@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import configure, scratch_path
@@ -62,3 +62,14 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def crc_mod(id_: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (a null id counts as the empty text)."""
     return (F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
+
+
+def smallest_hashes(df: DataFrame, key: str, id_col: str, rows: int) -> DataFrame:
+    """Of each ``key`` the ``rows`` rows with the smallest hash of the id.  Rows whose hash is far
+    above what that takes, given the key's count, are left out first: the ranking gets a few times
+    ``rows`` rows of a key, however many tasks and rows there are."""
+    unit = F.shiftright(F.xxhash64(id_col), 11) / F.lit(float(1 << 53)) + 0.5
+    per = df.groupBy(key).agg((F.lit(4.0 * rows + 100) / F.count(F.lit(1))).alias("_share"))
+    near = df.join(per, key).where(unit < F.col("_share")).drop("_share")
+    w = Window.partitionBy(key).orderBy(F.xxhash64(id_col), F.col(id_col))
+    return near.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= rows).drop("_rank")

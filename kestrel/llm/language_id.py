@@ -24,13 +24,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType,
                                StructField, StructType)
 
 from kestrel.llm.batches import slices, text_bytes, with_columns
-from kestrel.llm.common import text_key, written
+from kestrel.llm.common import smallest_hashes, text_key, written
 
 DIMENSIONS = 4096
 SAMPLE_ROWS = 600
@@ -120,12 +120,10 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     idf = np.log((1 + freq[-1]) / (1 + freq[:-1])) + 1
 
     # a bounded sample: ids first, without texts; rows that share an id are cut again with their text
-    def smallest(d: DataFrame, *order: Column) -> DataFrame:
-        w = Window.partitionBy("lang").orderBy(*order)
-        return d.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= sample_rows).drop("_rank")
-    ids = written(smallest(rows.select("id", "lang"), F.xxhash64("id"), F.col("id")).distinct(), "lang-sample")
+    ids = written(smallest_hashes(rows.select("id", "lang").distinct(), "lang", "id", sample_rows), "lang-sample")
     picked = rows.join(ids, ["id", "lang"], "left_semi").withColumn("k", text_key(F.col("id"), F.col("text"))[0])
-    picked = smallest(picked, F.col("k")).select("lang", "text")
+    w = Window.partitionBy("lang").orderBy("k")
+    picked = picked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= sample_rows).select("lang", "text")
 
     def cluster(key, table):
         texts = text_bytes(table.column("text").combine_chunks())
@@ -141,8 +139,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
                  np.array([r.low for r in found]) * reject_part)
 
 
-def identify(df: DataFrame, model: Model, text_col: str = "text", drop_text: bool = False) -> DataFrame:
-    """``df`` with lang_pred, score (the cosine, 0 to 1) and rejected."""
+def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row, lang_pred, score, rejected): the input row (or its columns ``keep``), the language, the
+    cosine (0 to 1) and whether it is too small."""
     m = model
 
     def compute(texts: list[bytes]) -> list:
@@ -156,4 +155,4 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", drop_text: boo
         return [[m.langs[b] if ok else "und" for b, ok in zip(best, lettered)], score,
                 ~lettered | (score < m.limits[best] * short)]
     return with_columns(df, text_col, [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
-                                       StructField("rejected", BooleanType())], compute, drop_text)
+                                       StructField("rejected", BooleanType())], compute, keep)

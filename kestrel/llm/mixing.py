@@ -200,3 +200,17 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         "id", "k1", "k2", "size", F.col("_source").alias("source"), "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     return Mix(placed, sources, slots, taken)
+
+
+def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df``, each as often as the mix takes it: taken over size times, a fraction being
+    decided by the row's hash.  Rows equal in id and text share their copies; texts stay whole, and
+    rows without words have no place in a mix of words."""
+    taken = mix(df, id_col, text_col, **options).taken
+    per = (taken.groupBy("k1", "k2").agg(F.sum("taken").alias("t"), F.max("size").alias("s")).where("s > 0")
+           .select("k1", "k2", F.floor(F.col("t") / F.col("s") + _uniform(F.concat_ws(":", F.lit("copy"), "k1", "k2")))
+                   .cast("int").alias("copies")).where("copies > 0"))
+    k1, k2 = text_key(F.col(id_col), F.col(text_col))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    return (packed.join(per, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))

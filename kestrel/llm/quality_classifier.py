@@ -28,12 +28,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
 from kestrel.llm.batches import joined, slices, with_columns
-from kestrel.llm.common import written
+from kestrel.llm.common import smallest_hashes, written
 
 CHUNK = 32
 HALF = CHUNK // 2
@@ -161,8 +161,7 @@ def fit(train: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     share = ids.agg(F.avg("y")).first()[0]
     if share is None:
         return fit_network([], np.zeros(0), 0.5)
-    w = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    picked = written(ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_rows).drop("r"), "quality-ids")
+    picked = written(smallest_hashes(ids, "y", "id", sample_rows), "quality-ids")
     # at most 2 * sample_rows ids
     rows = (train.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
             .where(F.octet_length("t") <= sample_bytes)
@@ -170,10 +169,10 @@ def fit(train: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     return fit_network([bytes(r.t) for r in rows], np.array([r.y for r in rows], float), float(share))
 
 
-def score(df: DataFrame, net: Network, text_col: str = "text", drop_text: bool = False) -> DataFrame:
-    """``df`` with score, 0 to 1."""
+def score(df: DataFrame, net: Network, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row, score): the input row (or its columns ``keep``) and a score from 0 to 1."""
     tables = net.tables()
 
     def compute(texts: list[bytes]) -> list:
         return [np.concatenate([net.scores(texts[a:b], tables) for a, b in slices(texts, 1 << 18)])]
-    return with_columns(df, text_col, [StructField("score", DoubleType())], compute, drop_text)
+    return with_columns(df, text_col, [StructField("score", DoubleType())], compute, keep)

@@ -29,7 +29,7 @@ def op1_quality_classifier(spark, sf_dir):
     held = crc_mod(F.col("doc_id"), 5) == 0
     net = quality_classifier.fit(docs.where(~held), table(spark, sf_dir, "labels"))
     rows = docs.select("doc_id", held.alias("held_out"), "text")
-    return (quality_classifier.score(rows, net, drop_text=True)
+    return (quality_classifier.score(rows, net, keep=["doc_id", "held_out"]).select("row.*", "score")
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
@@ -100,8 +100,8 @@ def op7_mixing(spark, sf_dir):
 @query
 def op8_token_counts(spark, sf_dir):
     """Tokens of every whole text by the unigram Viterbi."""
-    return token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"),
-                                     public_tokenizers.path("piece_bpe_32k.model"), drop_text=True)
+    out = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    return out.select("row.*", "n_tokens", "token_score")
 
 
 @query
@@ -120,4 +120,5 @@ def op10_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     held = crc_mod(F.col("doc_id"), 4) == 2
     model = language_id.fit(docs.where(~held))
-    return language_id.identify(docs.select("doc_id", held.alias("held_out"), "text"), model, drop_text=True)
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    return language_id.identify(rows, model, keep=["doc_id", "held_out"]).select("row.*", "lang_pred", "score", "rejected")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from kestrel.llm.batches import with_columns
-from kestrel.llm.common import written
+from kestrel.llm.common import text_key, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -70,11 +70,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = SHINGLE, drop_text: bool = False) -> DataFrame:
-    """``df`` with the fingerprint as a (signed) bigint."""
+def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """(row, fingerprint): the input row (or its columns ``keep``) and a (signed) bigint."""
     def compute(texts: list[bytes]) -> list:
         return [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
-    return with_columns(df, text_col, [StructField("fingerprint", LongType())], compute, drop_text)
+    return with_columns(df, text_col, [StructField("fingerprint", LongType())], compute, keep)
 
 
 # ------------------------------------------------------------------ Golay code
@@ -212,12 +212,32 @@ def link(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: id, fingerprint (bigint) and component_id, the least id in reach."""
-    rows = written(fingerprints(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text",
-                                shingle, drop_text=True), "simhash-rows")
+    rows = _components(df, id_col, text_col, shingle, max_bits)
+    return rows.select("id", "fingerprint", "component_id")
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``df`` of which each stands for its component: the one with the least id (a
+    null id only if there is no other)."""
+    rows = _components(df, id_col, text_col, shingle, max_bits)
+    best = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2"))
+    chosen = rows.groupBy("root").agg(best.alias("b")).select("b.k1", "b.k2")
+    k1, k2 = text_key(F.col(id_col), F.col(text_col))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    # rows equal in id and text: one of them
+    return packed.join(chosen, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")
+
+
+def _components(df: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, k1, k2, fingerprint, root, component_id) for each row."""
+    k1, k2 = text_key(F.col(id_col), F.col(text_col))
+    rows = df.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
+    rows = written(fingerprints(rows, "text", shingle, ["id", "k1", "k2"]).select("row.*", "fingerprint"), "simhash-rows")
     of = rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("low"))
     of = written(of, "simhash-distinct")
     roots = written(of.join(link(of.select("fp"), max_bits), "fp", "left")
                     .select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     least = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    comp = roots.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
-    return rows.join(comp, "fingerprint").select("id", "fingerprint", "component_id")
+    comp = roots.join(least, "root").select(F.col("fp").alias("fingerprint"), "root", "component_id")
+    return rows.join(comp, "fingerprint")

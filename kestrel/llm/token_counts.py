@@ -80,8 +80,8 @@ class Viterbi:
         return score[-1], pieces[-1]
 
 
-def count_tokens(df: DataFrame, vocabulary_path: str, text_col: str = "text", drop_text: bool = False) -> DataFrame:
-    """``df`` with n_tokens and token_score."""
+def count_tokens(df: DataFrame, vocabulary_path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row, n_tokens, token_score), ``row`` being the input row (or its columns ``keep``)."""
     pieces = vocabulary(vocabulary_path)      # the file is read here; tasks get the pieces
     state: dict = {}
 
@@ -106,4 +106,4 @@ def count_tokens(df: DataFrame, vocabulary_path: str, text_col: str = "text", dr
             scores.append(total)
         return [counts, scores]
     return with_columns(df, text_col, [StructField("n_tokens", LongType()), StructField("token_score", DoubleType())],
-                        compute, drop_text)
+                        compute, keep)
