@@ -46,6 +46,8 @@ PAD = SYMBOLS - 1
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 16_384
 EPOCHS = 14
+#: Steps of Adam at least, for small samples.
+STEPS = 400
 BATCH = 64
 RATE = 0.01
 
@@ -119,6 +121,7 @@ def fit_network(texts: list[bytes], labels: np.ndarray, prior: float, epochs: in
     m, v = ({k: np.zeros_like(x) for k, x in params.items()} for _ in range(2))
     step = 0
     share = labels.mean()
+    epochs = max(epochs, min(200, -(-STEPS * BATCH // len(texts))) if epochs == EPOCHS else 0)
     for epoch in range(epochs):
         rate = RATE * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
         order = rng.permutation(len(texts))
