@@ -1,7 +1,7 @@
 """Running aggregates over an ordering without a single-partition window.
 
 ``Window.orderBy(x)`` with no partitioning moves every row to one task.  Here
-the rows are range-partitioned on (keys, order) — sampled bounds keep ranges
+the rows are range-partitioned once, written with the number of their range on (keys, order) — sampled bounds keep ranges
 balanced — each range computes its own running aggregate, and the aggregate of
 all earlier ranges of the same key (a table of keys x ranges rows) is added.
 """
@@ -11,31 +11,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import scratch_path
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 _COMBINE = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
 
 
+def in_ranges(df: DataFrame, *order, partitions: int | None = None, name: str = "ranges") -> DataFrame:
+    """``df`` cut into ranges of ``order``, with the number of its range as ``_pid``, written to the
+    shared scratch folder: range bounds come from a sample, and a second evaluation of the
+    same plan may draw another one, so everything that uses the ranges reads this table."""
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    ranged = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
 def running(df: DataFrame, keys: list[str], order: str, cols: list[str], how: str = "sum",
             descending: bool = False, partitions: int | None = None, inclusive: bool = True,
             prefix: str = "cum_") -> DataFrame:
     """Adds ``<prefix><col>`` = running ``how`` of each column within ``keys`` in ``order``
-    and ``tot_<col>`` = the aggregate over the whole key group.
+    and ``tot_<col>`` = the aggregate over the whole key group.  Null keys form a group.
     ``inclusive=False`` excludes the current row (null when nothing precedes)."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.desc(order) if descending else F.asc(order)
     agg, comb = _AGG[how], _COMBINE[how]
-    ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], o).withColumn("_pid", F.spark_partition_id())
+    ranged = in_ranges(df, *[F.col(k) for k in keys], o, partitions=partitions, name="running")
     per = ranged.groupBy(*keys, "_pid").agg(*[agg(c).alias(f"_t_{c}") for c in cols])
     wp = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*keys)
-    offs = per.select(*keys, "_pid", *[agg(f"_t_{c}").over(wp).alias(f"_o_{c}") for c in cols],
+    offs = per.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_k_pid"),
+                      *[agg(f"_t_{c}").over(wp).alias(f"_o_{c}") for c in cols],
                       *[agg(f"_t_{c}").over(wall).alias(f"tot_{c}") for c in cols])
     end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*keys, "_pid").orderBy(o).rowsBetween(Window.unboundedPreceding, end)
-    # without keys the offsets table has one row per range (bounded): broadcast it;
-    # with keys its size is keys x ranges, so the planner decides on measured size
-    out = ranged.join(offs if keys else F.broadcast(offs), keys + ["_pid"])
+    same = F.col("_pid") == F.col("_k_pid")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = ranged.join(offs, same).drop("_k_pid", *[f"_k_{k}" for k in keys])
     for c in cols:
         out = out.withColumn(f"_i_{c}", agg(c).over(w))          # one window evaluation per column
     for c in cols:

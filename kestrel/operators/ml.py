@@ -40,18 +40,10 @@ def string_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 # ---------------------------------------------------------------- M1 / W5 split
 def is_stratified(df: DataFrame, target: str) -> bool:
     """A16 as a decision: stratify when the target is a string or has < 20 distinct values.
-
-    A one-pass HyperLogLog estimate (no shuffle of values) decides when it is far from
-    the limit; only an estimate near 20 pays for the exact distinct count, so the
-    decision is always the exact one."""
+    The distinct values are counted exactly, and no further than the limit."""
     if isinstance(df.schema[target].dataType, StringType):
         return True
-    approx = df.select(F.approx_count_distinct(target, 0.01)).first()[0]
-    if approx >= 2 * MAX_CLASSES:
-        return False
-    if approx < MAX_CLASSES // 2:
-        return True
-    return df.select(F.count_distinct(target)).first()[0] < MAX_CLASSES
+    return df.where(F.col(target).isNotNull()).select(target).distinct().limit(MAX_CLASSES).count() < MAX_CLASSES
 
 
 def stratified_split(df: DataFrame, target: str | None, ratio: float, key: Column,
@@ -72,9 +64,11 @@ def stratified_split(df: DataFrame, target: str | None, ratio: float, key: Colum
     and a lost executor does not send the job back to the source."""
     if stratify is None:
         stratify = target is not None and is_stratified(df, target)
+    # without strata all rows are one; a value made from the row keeps the join below an equi-join
     stratum = (F.coalesce(F.col(target).cast("string"), F.lit("\u0000null")) if stratify and target
-               else F.lit(""))
-    h = F.md5(F.concat(F.lit(f"{seed}:"), key))
+               else F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 0))
+    # a null key is a key like any other: its rows are split, not lost
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("\u0000null"))))
     t = (df.withColumn("_h", h).withColumn("_s", stratum)
            .withColumn("_b", F.conv(F.substring("_h", 1, _BUCKET_HEX), 16, 10).cast("int")))
     counts = t.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c"))
@@ -239,6 +233,8 @@ def estimator(model_type: str, task: str, n_estimators: int = N_ESTIMATORS, max_
                              labelCol=label, featuresCol="features")
         return GBTRegressor(maxIter=n_estimators, maxDepth=depth, seed=seed, labelCol=label, featuresCol="features")
     if model_type == "logistic_regression":
+        if task != "classification":
+            raise ValueError("logistic_regression is for classification")
         return LogisticRegression(maxIter=LOGREG_MAX_ITER, labelCol=label, featuresCol="features")
     raise ValueError(f"unsupported model type: {model_type}")
 
@@ -255,11 +251,9 @@ def fit_model(train: DataFrame, target: str, features: list[str], model_type: st
         stages.append(StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"))
         label = "label"
     stages += [_assembler(features), estimator(model_type, task, n_estimators, max_depth, seed, label)]
-    # estimators pass over the input many times and are CPU-bound per row: spread the
-    # input over at least the default parallelism and keep it materialised while fitting
-    par = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < par:
-        train = train.repartition(par)
+    # estimators pass over the input many times and are CPU-bound per row: the split is a
+    # written table, spread here over all cores and kept while fitting
+    train = train.repartition(train.sparkSession.sparkContext.defaultParallelism) if not train.is_cached else train
     owned = not train.is_cached
     if owned:
         train = train.persist()
@@ -299,7 +293,8 @@ def feature_importance(spark, model, features: list[str], top: int = TOP_IMPORTA
         arrs = [m.featureImportances.toArray().tolist() for m in est.models]
         imp = [sum(a[i] for a in arrs) / len(arrs) for i in range(len(features))]
     else:
-        imp = [abs(x) for x in est.coefficientMatrix.toArray().mean(axis=0).tolist()]
+        # coefficients of classes cancel in a mean: their sizes are averaged
+        imp = abs(est.coefficientMatrix.toArray()).mean(axis=0).tolist()
     df = spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature").limit(top)
 

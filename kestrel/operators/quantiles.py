@@ -6,7 +6,7 @@ so a global median of a large column ends in one task.  Here:
 1. unpivot the columns to ``(column, v)`` and count each distinct value
    (map-side combine: a value held by a third of the rows is one row here);
 2. range-partition the distinct values on ``(column, v)`` — sampled bounds,
-   so ranges are balanced;
+   so ranges are balanced, and write them with the number of their range;
 3. per range, the count of rows (a table of columns x partitions rows) gives
    each range its offset; inside a range a running sum gives each distinct
    value its position interval ``[start, end)``;
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.cumulative import in_ranges
+
 
 def unpivot_numeric(df: DataFrame, cols: list[str], name: str = "column", value: str = "v") -> DataFrame:
     """Long form (column, v) of the given numeric columns as DOUBLE, nulls dropped."""
@@ -29,20 +31,17 @@ def unpivot_numeric(df: DataFrame, cols: list[str], name: str = "column", value:
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, partitions: int | None = None,
                     out: str = "median") -> DataFrame:
     """One row per column: (column, <out>) — the exact q-quantile, linear interpolation."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vc = unpivot_numeric(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranged = vc.repartitionByRange(parts, "column", "v").withColumn("pid", F.spark_partition_id())
+    ranged = in_ranges(vc, "column", "v", partitions=partitions, name="quantiles").withColumnRenamed("_pid", "pid")
     per_range = ranged.groupBy("column", "pid").agg(F.sum("c").alias("pc"))
     wr = Window.partitionBy("column").orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # columns x partitions rows: bounded by construction
     offsets = per_range.select(
         "column", "pid",
         (F.sum("pc").over(wr) - F.col("pc")).alias("off"),
         F.sum("pc").over(Window.partitionBy("column")).alias("n"))
     wv = Window.partitionBy("column", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pos = F.lit(q) * (F.col("n") - 1)
-    located = (ranged.join(F.broadcast(offsets), ["column", "pid"])
+    located = (ranged.join(offsets, ["column", "pid"])
                .withColumn("end", F.col("off") + F.sum("c").over(wv))
                .withColumn("start", F.col("end") - F.col("c"))
                .withColumn("pos", pos)

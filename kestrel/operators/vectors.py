@@ -1,11 +1,11 @@
 """Vector search.
 
-Exact search scores every table row against a bounded set of query vectors.
-The query set travels as one array value (a scalar subquery, computed once and
-size-checked first), each table row is scored against it in place, and the
-top-k per query uses ``row_number() <= k`` which Spark plans with a partial
-group limit before the shuffle — so a query never gathers more than
-k x partitions candidates in one task.
+Exact search scores every table row against every query vector.  The queries are cut into
+blocks of about ``BLOCK`` vectors (one array value for each block); a table row meets every
+block by an equi-join on (block, salt), is scored against the block's array in place, and
+the top-k per query uses ``row_number() <= k``, which Spark plans with a partial group limit
+before the shuffle, so a query never gathers more than k x partitions candidates in one task.
+The query set has no bound and does not pass through the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 10_000          # bound on the query set carried to every task
+BLOCK = 512                   # query vectors that a table row is scored against at once
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -37,26 +37,24 @@ def unit_vectors(df: DataFrame, vec_col: str, out: str = "_u") -> DataFrame:
             .drop("_norm")
 
 
-def query_set(queries: DataFrame, id_col: str, vec_col: str, limit: int = MAX_QUERIES) -> Column:
-    """The query vectors, already unit length, as one array<struct<qid, qunit>> value,
-    after checking that the set is bounded."""
-    n = queries.count()
-    if n > limit:
-        raise ValueError(f"{n} query vectors exceed the bound of {limit}; split the query set")
-    q = unit_vectors(queries, vec_col, "qunit")
-    return q.select(F.collect_list(F.struct(F.col(id_col).alias("qid"), F.col("qunit")))).scalar()
-
-
-def score_all(table: DataFrame, qs: Column, id_col: str, vec_col: str, keep: list[str] | None = None,
-              exclude_self: bool = True) -> DataFrame:
+def score_all(table: DataFrame, queries: DataFrame, id_col: str, vec_col: str, keep: list[str] | None = None,
+              exclude_self: bool = True, query_id: str = "qid", query_vec: str = "qvec") -> DataFrame:
     """(qid, id, score, keep...) for every table row and query: one dot product of unit
     vectors per pair (each row is normalised once, each query once)."""
     keep = keep or []
+    spark = table.sparkSession
+    blocks = max(1, -(-queries.count() // BLOCK))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q = unit_vectors(queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")), "qvec", "qunit")
+    q = (q.groupBy(F.pmod(F.xxhash64("qid"), F.lit(blocks)).alias("_block"))
+         .agg(F.collect_list(F.struct("qid", "qunit")).alias("_qs"))
+         # every salt needs the block: the rows of the table are spread over the salts
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     t = unit_vectors(table.select(id_col, vec_col, *keep), vec_col)
-    # the query array is attached as a column first (subqueries may not sit inside lambdas)
-    withq = t.select(id_col, "_u", *keep, qs.alias("_qs"))
-    scored = withq.select(id_col, *keep, F.inline(F.transform(
-        "_qs", lambda q: F.struct(q["qid"].alias("qid"), _dot(q["qunit"], F.col("_u")).alias("score")))))
+    t = (t.select(id_col, "_u", *keep, F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
+         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
+    scored = t.join(q, ["_block", "_salt"]).select(id_col, *keep, F.inline(F.transform(
+        "_qs", lambda x: F.struct(x["qid"].alias("qid"), _dot(x["qunit"], F.col("_u")).alias("score")))))
     if exclude_self:
         scored = scored.where(F.col("qid") != F.col(id_col))
     return scored
@@ -72,22 +70,20 @@ def knn(table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", ve
         keep: list[str] | None = None, where: Column | None = None, exclude_self: bool = True) -> DataFrame:
     """V1/V2/V3: k nearest neighbours (cosine) of each query, optional filter on the table."""
     t = table if where is None else table.where(where)
-    qs = query_set(queries, "qid", "qvec")
-    return top_k(score_all(t, qs, id_col, vec_col, keep, exclude_self), k, id_col)
+    return top_k(score_all(t, queries, id_col, vec_col, keep, exclude_self), k, id_col)
 
 
 def knn_crowding(table: DataFrame, queries: DataFrame, k: int, per_group: int, crowd: str,
                  id_col: str = "vec_id", vec_col: str = "embedding", exclude_self: bool = True) -> DataFrame:
     """At most ``per_group`` neighbours per crowding value, then the best k overall."""
-    qs = query_set(queries, "qid", "qvec")
-    s = score_all(table, qs, id_col, vec_col, [crowd], exclude_self)
+    s = score_all(table, queries, id_col, vec_col, [crowd], exclude_self)
     w1 = Window.partitionBy("qid", crowd).orderBy(F.desc_nulls_last("score"), F.asc(id_col))
     s = s.withColumn("_c", F.row_number().over(w1)).where(F.col("_c") <= per_group).drop("_c")
     return top_k(s, k, id_col)
 
 
 def ann_lsh(table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-            bucket_length: float = 0.5, num_tables: int = 8, threshold: float = 1.0, seed: int = 42) -> DataFrame:
+            bucket_length: float = 1.0, num_tables: int = 12, threshold: float = 2.0, seed: int = 42) -> DataFrame:
     """V5: approximate neighbours with random-projection LSH on unit vectors
     (Euclidean distance on unit vectors is monotone in cosine), top k per query."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -102,6 +98,11 @@ def ann_lsh(table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(t)
     pairs = model.approxSimilarityJoin(q, t, threshold, distCol="dist").select(
-        F.col("datasetA.id").alias("qid"), F.col(f"datasetB.id").alias(id_col), "dist")
+        F.col("datasetA.id").alias("qid"), F.col("datasetB.id").alias(id_col), "dist")
     pairs = pairs.where(F.col("qid") != F.col(id_col)).withColumn("score", 1 - F.col("dist") ** 2 / 2)
-    return top_k(pairs.drop("dist"), k, id_col)
+    found = top_k(pairs.drop("dist"), k, id_col)
+    # queries that share their buckets with fewer than k rows get the exact search
+    full = found.groupBy("qid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("qid")
+    short = queries.select("qid", "qvec").join(full, "qid", "left_anti")
+    return (found.join(full, "qid", "left_semi")
+            .unionByName(knn(table, short, k, id_col, vec_col).select("qid", id_col, "score", "rank")))

@@ -261,8 +261,8 @@ def q_score_model(spark, sf):
 def q_evaluate_model(spark, sf):
     train, test = _split(spark, sf)
     m = M.fit_model(train, TARGET, FEATS, "random_forest", "classification", 20, 5)
-    train_score = M.evaluate(m, train, TARGET, "classification").select(F.col("primary").alias("train_score"))
-    return M.evaluate(m, test, TARGET, "classification").join(train_score)
+    train_score = M.evaluate(m, train, TARGET, "classification").select("primary").scalar()
+    return M.evaluate(m, test, TARGET, "classification").withColumn("train_score", train_score)
 
 
 @query("feature_importance")

@@ -80,3 +80,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the checkpoint folder for a written intermediate table; the
     random part keeps runs apart that share the folder (process ids repeat in containers)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists in the store that the path names; errors of the store are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder of this library's own output, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

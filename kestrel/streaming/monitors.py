@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import anomaly as A
 from kestrel.operators.features import latest_per_entity
+from kestrel.session import checkpoint_dir, path_exists
 
 WATERMARK = "1 hour"      # ours: the reference defines no late-data policy
 
@@ -70,9 +71,10 @@ def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: s
                        threshold: float = 0.3) -> str:
     """T2 with drift: every closed window is compared with the window just before it
     (mean shift in units of the earlier window's deviation) inside ``foreachBatch``.
-    The earlier window comes from this batch or from the sink (only the windows one
-    cadence before this batch's windows are read); output goes to ``batch_id=<id>``
-    partitions, so a retried batch replaces itself."""
+    The earlier window comes from this batch or from earlier batches in the sink.  The sink
+    is partitioned by batch and day of the window: only the days one cadence before this
+    batch's windows are read, never what this batch itself wrote in an attempt that failed,
+    and a retried batch replaces itself."""
     keys = keys or []
     stream = spark.readStream.schema(schema).parquet(source_dir)
     stats = windowed_stats(stream, "ts", f"{cadence_minutes} minutes", keys, value)
@@ -82,11 +84,12 @@ def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: s
         cur = batch.select(*keys, "window_start", "window_end", "n", "sum", "mean", "std")
         wanted = cur.select(*keys, (F.col("window_start") - step).alias("window_start")).distinct()
         prev = cur.select(*keys, "window_start", "n", "sum", "mean", "std")
-        try:
-            old = spark.read.parquet(out).select(*keys, "window_start", "n", "sum", "mean", "std")
+        if path_exists(spark, out):
+            days = [r[0] for r in wanted.select(F.to_date("window_start")).distinct().collect()]   # days of one batch
+            old = (spark.read.schema(cur.withColumn("batch_id", F.lit(0)).withColumn("window_date", F.current_date()).schema)
+                   .parquet(out).where((F.col("batch_id") < int(batch_id)) & F.col("window_date").isin(days))
+                   .select(*keys, "window_start", "n", "sum", "mean", "std"))
             prev = prev.unionByName(old.join(wanted, keys + ["window_start"], "left_semi"))
-        except Exception:  # noqa: BLE001  (first batch: empty sink)
-            pass
         prev = prev.select(*keys, (F.col("window_start") + step).alias("window_start"),
                            F.col("n").alias("prev_n"), F.col("sum").alias("prev_sum"),
                            F.col("mean").alias("prev_mean"), F.col("std").alias("prev_std"))
@@ -94,9 +97,10 @@ def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: s
         res = (cur.join(prev, keys + ["window_start"], "left")
                   .withColumn("deviation", dev)
                   .withColumn("drift_detected", F.coalesce(F.col("deviation") > F.lit(threshold), F.lit(False)))
-                  .withColumn("batch_id", F.lit(int(batch_id))))
+                  .withColumn("batch_id", F.lit(int(batch_id)))
+                  .withColumn("window_date", F.to_date("window_start")))
         (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(out))
+            .partitionBy("batch_id", "window_date").parquet(out))
 
     _run(stats.writeStream.outputMode("append").foreachBatch(handle), checkpoint)
     return out
@@ -115,17 +119,13 @@ def merge_latest(spark: SparkSession, batch: DataFrame, serving: str, keys: list
     overwrite).  The merge is a latest-value aggregation, so re-running the same batch
     gives the same table.  The merged rows are checkpointed before the write, so the
     job never overwrites files it is still reading."""
-    from kestrel.session import checkpoint_dir
     b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     touched = [r[0] for r in b.select("_bucket").distinct().collect()]      # at most `buckets` values
     if not touched:
         return
     rows = b
-    try:
-        prev = spark.read.parquet(serving).where(F.col("_bucket").isin(touched))
-        rows = prev.unionByName(b)
-    except Exception:  # noqa: BLE001  (first write: no serving table yet)
-        pass
+    if path_exists(spark, serving):      # a table that is there and cannot be read fails the batch
+        rows = spark.read.parquet(serving).where(F.col("_bucket").isin(touched)).unionByName(b)
     checkpoint_dir(spark)
     merged = latest_per_entity(rows, keys + ["_bucket"], ts).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
