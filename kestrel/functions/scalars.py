@@ -121,3 +121,13 @@ def http_status_label(code: Column) -> Column:
 
 def drift_label(flag: Column) -> Column:
     return F.when(flag.isNull(), "running/no result").when(flag, "drift detected").otherwise("no drift")
+
+
+#: ISO 8601 instants as the services write them: seconds, an optional fraction, an optional zone.
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.]\d{1,9})?(Z|[+-]\d{2}:?\d{2})?$"
+
+
+def iso_timestamp(text) -> Column:
+    """TIMESTAMP_NTZ (session zone) of an ISO 8601 instant; null for any other text."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(c.rlike(ISO_INSTANT), F.try_to_timestamp(c)).cast("timestamp_ntz")

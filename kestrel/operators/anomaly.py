@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from kestrel.fixed import PLACEHOLDER_SECOND as SECOND_MARK
+from kestrel.functions.scalars import iso_timestamp
 
 RESULT = StructType([StructField("timestamp", StringType()), StructField("reconstructionError", StringType())])
 RESPONSE = StructType([
     StructField("results", ArrayType(RESULT)),
     StructField("threshold", StructType([StructField("2sigma", StringType()), StructField("3sigma", StringType())])),
 ])
-TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def parse_response(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -60,11 +60,13 @@ def latest_inference(parsed: DataFrame, key: Column, processed_ts: str, delay_mi
     valid = response_valid(F.col("results"), F.col("sigma2_text"), F.col("sigma3_text"))
     last = F.try_element_at(F.col("results"), F.lit(-1))
     value = last["reconstructionError"].try_cast("double")
-    use = valid & value.isNotNull()
+    when = iso_timestamp(last["timestamp"])
+    # a time that is no ISO 8601 instant makes the response unusable, not the job
+    use = valid & value.isNotNull() & when.isNotNull()
     pts = F.lit(processed_ts).cast("timestamp_ntz")
     return parsed.select(
         *[c for c in parsed.columns if c not in ("results", "sigma2_text", "sigma3_text")],
-        F.when(use, F.to_timestamp_ntz(last["timestamp"], F.lit(TS_FORMAT)))
+        F.when(use, when)
          .otherwise(placeholder_ts(pts, delay_minutes)).alias("event_ts"),
         F.when(use, value).otherwise(fallback_value(key)).alias("inference_value"),
         (~use).alias("is_fallback"),

@@ -146,7 +146,8 @@ def point_in_time(labels: DataFrame, feats: DataFrame, key: str, label_ts: str,
     tcol = F.col(tie) if tie else F.lit(0)
     lab = labels.select(F.struct(*[F.col(c) for c in lcols]).alias("_l"), F.col(key).alias("_k"),
                         F.col(label_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"))
-    fea = feats.select(F.col(key).alias("_k"), F.col(feat_ts).alias("_t"), F.lit(0).alias("_side"),
+    # a null entity matches nothing
+    fea = feats.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(feat_ts).alias("_t"), F.lit(0).alias("_side"),
                        tcol.cast("long").alias("_tie"), fstruct.alias("_f"))
     fschema = fea.schema["_f"].dataType
     lab = lab.withColumn("_f", F.lit(None).cast(fschema))

@@ -100,11 +100,14 @@ def task_type(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> Dat
     return df.agg(nd.alias("n_distinct"), kind.alias("task_type"))
 
 
-def dataset_shape(df: DataFrame, target: str) -> DataFrame:
-    """Rows, feature count, class count."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.lit(len(df.columns) - 1).cast("bigint").alias("n_features"),
-                  F.count_distinct(F.col(target)).alias("n_classes"))
+def dataset_shape(df: DataFrame, target: str, test_ratio: float) -> DataFrame:
+    """Rows, feature count, class count, and the sizes of the stratified test and train sets."""
+    per = df.groupBy(F.col(target).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    return per.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+                   F.lit(len(df.columns) - 1).cast("bigint").alias("n_features"),
+                   F.count("_c").alias("n_classes"),
+                   F.coalesce(F.sum(F.ceil(F.lit(float(test_ratio)) * F.col("_n"))), F.lit(0)).cast("bigint").alias("n_test")
+                   ).withColumn("n_train", F.col("n_rows") - F.col("n_test"))
 
 
 def union_batches(base: DataFrame, batch: DataFrame) -> DataFrame:

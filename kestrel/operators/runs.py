@@ -38,7 +38,7 @@ def upsert_experiments(existing: DataFrame, requested: DataFrame, key: str = "ex
 
 def delete_experiment(log: DataFrame, experiment: str) -> DataFrame:
     """X3 delete: the log without that experiment (to be written back with overwrite)."""
-    return log.where(F.col("experiment") != experiment)
+    return log.where(~F.col("experiment").eqNullSafe(F.lit(experiment)))
 
 
 def list_runs(log: DataFrame) -> DataFrame:
@@ -83,9 +83,14 @@ def run_state_metrics(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def runs_pivot(log: DataFrame, params: list[str], metrics: list[str]) -> DataFrame:
-    """One row per run, ``param.<k>`` and ``metric.<k>`` columns (explicit key lists)."""
-    pl = log.where(F.col("kind") == "param").groupBy("experiment", "run").pivot("key", params).agg(F.first("value"))
-    ml = log.where(F.col("kind") == "metric").groupBy("experiment", "run").pivot("key", metrics).agg(F.first("value"))
+    """One row per run, ``param.<k>`` (text) and ``metric.<k>`` (number) columns (explicit key
+    lists).  Of a key logged several times the row with the highest step counts, then the largest value."""
+    text = F.coalesce(F.col("text"), F.col("value").cast("string"))
+
+    def latest(value):
+        return F.max_by(value, F.struct(F.coalesce(F.col("step"), F.lit(-1).cast("bigint")), value))
+    pl = log.where(F.col("kind") == "param").groupBy("experiment", "run").pivot("key", params).agg(latest(text))
+    ml = log.where(F.col("kind") == "metric").groupBy("experiment", "run").pivot("key", metrics).agg(latest(F.col("value")))
     pl = pl.select("experiment", "run", *[F.col(k).alias(f"param.{k}") for k in params])
     ml = ml.select("experiment", "run", *[F.col(k).alias(f"metric.{k}") for k in metrics])
     return pl.join(ml, ["experiment", "run"], "full_outer")
@@ -128,20 +133,34 @@ def filter_runs(runs: DataFrame, states: list[str] | None = None, uri_prefix: st
 
 # ---------------------------------------------------------------- J9-J11
 def cache_key(*cols) -> F.Column:
-    """Step cache key = md5 over the step's inputs, output definition and component spec."""
-    return F.md5(F.concat_ws("|", *cols))
-
-
-def step_cache(requests: DataFrame, executions: DataFrame, key: str = "cache_key") -> DataFrame:
-    """For each requested step, the newest successful prior execution with the same
-    key (hit -> reuse its output)."""
-    best = executions.groupBy(key).agg(F.max_by("output_uri", "finished").alias("cached_output"))
-    return requests.join(best, key, "left").withColumn("hit", F.col("cached_output").isNotNull())
+    """Step cache key = md5 over the step's inputs, output definition and component spec, each
+    behind its length so that no two lists of values read the same (null: no length)."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-")) for c in cols]))
+
+
+def step_cache(requests: DataFrame, executions: DataFrame, key: str = "cache_key",
+               pipeline: str = "pipeline") -> DataFrame:
+    """For each requested step (started at ``start_time``), the newest successful execution of
+    the same pipeline with the same key that finished before it (hit -> reuse its output; the
+    greatest uri among equal times).
+
+    Requests and executions of a key are one ordered stream, so a key that is asked for often
+    does not multiply."""
+    cols = requests.columns
+    asked = requests.select(pipeline, key, F.col("start_time").alias("_t"), F.lit(0).alias("_side"),
+                            F.struct(*cols).alias("_r"), F.lit(None).cast("string").alias("_uri"))
+    done = executions.select(pipeline, key, F.col("finished").alias("_t"), F.lit(1).alias("_side"),
+                             F.lit(None).cast(asked.schema["_r"].dataType).alias("_r"), F.col("output_uri").alias("_uri"))
+    w = Window.partitionBy(pipeline, key).orderBy("_t", "_side", "_uri").rowsBetween(Window.unboundedPreceding, 0)
+    return (asked.unionByName(done).withColumn("cached_output", F.last("_uri", ignorenulls=True).over(w))
+            .where("_side = 0").select(*[F.col(f"_r.{c}").alias(c) for c in cols], "cached_output")
+            .withColumn("hit", F.col("cached_output").isNotNull()))
 
 
 def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstream: bool = True,
-                    max_rounds: int | None = None) -> DataFrame:
-    """(node, relative, depth) — all ancestors (or descendants) of every node.
+                    max_rounds: int | None = None, artifacts: list[str] | None = None) -> DataFrame:
+    """(node, relative, depth) — all ancestors (or descendants) of the named
+    artifacts, or of every node.
 
     Iterative frontier join; each round joins only the newly found pairs, removes
     pairs already known (so cycles end), and is checkpointed to the shared
@@ -153,7 +172,8 @@ def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstre
     e = edges.select(F.col(dst).alias("node"), F.col(src).alias("rel")) if upstream else \
         edges.select(F.col(src).alias("node"), F.col(dst).alias("rel"))
     e = e.distinct()
-    known = e.withColumn("depth", F.lit(1)).checkpoint()
+    start = e if artifacts is None else e.where(F.col("node").isin(artifacts))
+    known = start.withColumn("depth", F.lit(1)).checkpoint()
     frontier = known
     d = 1
     while True:
@@ -166,7 +186,7 @@ def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstre
         new = new.checkpoint()
         if new.isEmpty():
             break
-        known = known.unionByName(new).checkpoint()
+        known = known.unionByName(new)          # each round's pairs are written once
         frontier = new
     return known
 

@@ -14,13 +14,13 @@ from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, Struc
                                StructType)
 
 from kestrel.fixed import CSV_FOLDER, SAMPLE_POINTS, SENSOR_PREVIEW
+from kestrel.functions.scalars import iso_timestamp
 
 SENSOR = StructType([StructField("name", StringType()), StructField("unit", StringType()),
                      StructField("type", StringType())])
 POINT = StructType([StructField("min", DoubleType()), StructField("max", DoubleType())])
 DOC_SCHEMA = StructType([StructField("series", ArrayType(SENSOR)),
                          StructField("values", MapType(StringType(), ArrayType(POINT)))])
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def parse_series(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -33,10 +33,11 @@ def parse_series(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 
 
 def timestamps(parsed: DataFrame) -> DataFrame:
-    """One row per (document, timestamp) with its point list (F8: map entries)."""
+    """One row per (document, timestamp) with its point list (F8: map entries).  A key that is no
+    ISO 8601 instant gives a null ``ts``; ``validate_series`` rejects such a document."""
     keep = [c for c in parsed.columns if c != "values"]
     return parsed.select(*keep, F.explode("values").alias("ts_text", "points")).withColumn(
-        "ts", F.to_timestamp_ntz("ts_text", F.lit(ISO)))
+        "ts", iso_timestamp("ts_text"))
 
 
 def points_by_position(parsed: DataFrame) -> DataFrame:
@@ -57,12 +58,13 @@ def filter_time_range(df: DataFrame, ts_col: str, start: str, end: str) -> DataF
 
 
 def validate_series(parsed: DataFrame) -> DataFrame:
-    """Reason the document is invalid (no sensors / no timestamps / a point list
-    whose length differs from the sensor count), null when valid."""
+    """Reason the document is invalid (no sensors / no timestamps / a point list that is
+    null or whose length differs from the sensor count / a key that is no instant), null when valid."""
     n = F.size("series")
     reason = (F.when(n == 0, "no sensors")
                .when(F.size("values") == 0, "no timestamps")
-               .when(F.exists(F.map_values("values"), lambda x: F.size(x) != n), "arity mismatch"))
+               .when(F.exists(F.map_values("values"), lambda x: x.isNull() | (F.size(x) != n)), "arity mismatch")
+               .when(F.exists(F.map_keys("values"), lambda k: iso_timestamp(k).isNull()), "bad timestamp"))
     return parsed.withColumn("n_sensors", n.cast("bigint")).withColumn(
         "n_timestamps", F.size("values").cast("bigint")).withColumn("reason", reason).withColumn(
         "valid", F.col("reason").isNull())
@@ -93,24 +95,27 @@ def measurement_min_max(df: DataFrame, ts_col: str, sensor_col: str, value_col:
              .agg(F.min(value_col).alias("min"), F.max(value_col).alias("max"))
 
 
-def wide_column_names(sensors: list[tuple[str, str]]) -> list[str]:
-    """Column stem per sensor: its name, or ``name_type`` when two sensors share a name
-    (the wide table must not carry duplicate column names)."""
-    names = [n for n, _ in sensors]
-    return [f"{n}_{t}" if names.count(n) > 1 else n for n, t in sensors]
+def wide_column_names(sensors: list[str] | list[tuple[str, str]]) -> list[str]:
+    """Column stem per sensor: its name, ``name_type`` when sensors share a name, and a number
+    after that when they share the type too (the wide table must not repeat a column name)."""
+    pairs = [(s, "") if isinstance(s, str) else tuple(s) for s in sensors]
+    names = [n for n, _ in pairs]
+    stems = [f"{n}_{t}" if t and names.count(n) > 1 else n for n, t in pairs]
+    return [f"{x}_{stems[:i].count(x) + 1}" if x in stems[:i] else x for i, x in enumerate(stems)]
 
 
-def wide_from_documents(parsed: DataFrame, names: list[str], key: str = "doc_id") -> DataFrame:
-    """A9 without a shuffle: each (document, timestamp) row already holds every point,
-    so ``{name}_min`` / ``{name}_max`` are picked by sensor name from the zipped lists."""
+def wide_from_documents(parsed: DataFrame, sensors: list[str] | list[tuple[str, str]], key: str = "doc_id") -> DataFrame:
+    """A9 without a shuffle: each (document, timestamp) row already holds every point.  The
+    sensors are names or (name, type); the k-th sensor of a name takes the k-th point of
+    that name in the document's order, so sensors that share a name stay apart."""
     t = timestamps(parsed)
     z = F.arrays_zip(F.col("series").alias("s"), F.col("points").alias("p"))
-    cols = [key, "ts"]
-    out = t.withColumn("_z", z)
-    for n in names:
-        hit = F.element_at(F.filter("_z", _named(n)), 1)
-        out = out.withColumn(f"{n}_min", hit["p"]["min"]).withColumn(f"{n}_max", hit["p"]["max"])
-        cols += [f"{n}_min", f"{n}_max"]
+    names = [s if isinstance(s, str) else s[0] for s in sensors]
+    out = t.select(key, "ts", z.alias("_z"))
+    cols = [F.col(key), F.col("ts")]
+    for i, (n, stem) in enumerate(zip(names, wide_column_names(sensors))):
+        hit = F.try_element_at(F.filter("_z", _named(n)), F.lit(names[:i].count(n) + 1))
+        cols += [hit["p"]["min"].alias(f"{stem}_min"), hit["p"]["max"].alias(f"{stem}_max")]
     return out.select(*cols)
 
 

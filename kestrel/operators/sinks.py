@@ -22,13 +22,15 @@ def require_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def append_partitioned(df: DataFrame, path: str, ts_col: str, not_null: list[str],
                        batch_id: str | None = None) -> None:
     """K2: append rows to a day-partitioned Parquet table (p_date = to_date(ts));
-    an empty batch writes nothing; with ``batch_id`` a rerun replaces that batch."""
+    an empty batch writes nothing; with ``batch_id`` a rerun replaces all of that batch,
+    days included that it no longer has."""
     out = require_not_null(df, not_null).withColumn("p_date", F.to_date(ts_col))
     if batch_id is None:
         out.write.mode("append").partitionBy("p_date").parquet(path)
     else:
-        (out.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("p_date", "batch_id").parquet(path))
+        # the batch is a folder of its own, replaced as a whole
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("p_date")
+            .parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:

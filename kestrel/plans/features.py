@@ -70,12 +70,20 @@ def q_metadata_search(spark, sf):
     return counts.join(hits.select("group", "feature"), ["group", "feature"], "left_semi")
 
 
-@query("feature_group_delete", "SELECT 'customers' AS \"group\", count(*) AS n_rows FROM customer")
+@query("feature_group_delete", """
+SELECT 'customers' AS "group", true AS present, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'user_features', false, 0""")
 def q_feature_group_delete(spark, sf):
     reg = _registry(spark, sf)
     reg.delete_group("user_features")
     reg.delete_group("user_features")              # missing: success
-    return reg.groups["customers"].frame().agg(F.lit("customers").alias("group"), F.count(F.lit(1)).alias("n_rows"))
+    def row(name: str):
+        if name not in reg.groups:
+            return spark.range(1).select(F.lit(name).alias("group"), F.lit(False).alias("present"),
+                                         F.lit(0).cast("bigint").alias("n_rows"))
+        return reg.groups[name].frame().agg(F.lit(name).alias("group"), F.lit(True).alias("present"),
+                                            F.count(F.lit(1)).alias("n_rows"))
+    return row("customers").unionByName(row("user_features"))
 
 
 @query("latest_per_entity", with_(_LATEST) + "SELECT * FROM latest")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.fixed import TEST_SPLIT_RATIO
 from kestrel.operators import profile as P
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PERIODS, with_
@@ -129,11 +130,14 @@ def q_task_type(spark, sf):
 
 
 @query("dataset_shape", with_(FEATURES) + """
-SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_features, count(DISTINCT category) AS n_classes
+SELECT count(*) AS n_rows, CAST((SELECT count(*) - 2 FROM (DESCRIBE features)) AS BIGINT) AS n_features,
+       count(DISTINCT category) AS n_classes,
+       CAST((SELECT sum(ceil(0.2e0 * n)) FROM (SELECT count(*) AS n FROM features GROUP BY category)) AS BIGINT) AS n_test,
+       count(*) - CAST((SELECT sum(ceil(0.2e0 * n)) FROM (SELECT count(*) AS n FROM features GROUP BY category)) AS BIGINT) AS n_train
 FROM features""")
 def q_dataset_shape(spark, sf):
-    return P.dataset_shape(scan_columns(features(spark, sf), NUM + ["entity_id"], "category")
-                           .drop("entity_id"), "category").withColumn("n_features", F.lit(3).cast("bigint"))
+    f = scan_columns(features(spark, sf), NUM + ["entity_id"], "category")
+    return P.dataset_shape(f, "category", TEST_SPLIT_RATIO)
 
 
 @query("union_batches", with_(PERIODS) + """

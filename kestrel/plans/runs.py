@@ -118,8 +118,8 @@ def q_run_state_metrics(spark, sf):
 
 @query("runs_pivot", with_(RUNS_LOG) + """
 SELECT experiment, run,
-       max(value) FILTER (WHERE kind = 'param' AND key = 'n_estimators') AS "param.n_estimators",
-       max(value) FILTER (WHERE kind = 'param' AND key = 'max_depth') AS "param.max_depth",
+       max(text) FILTER (WHERE kind = 'param' AND key = 'n_estimators') AS "param.n_estimators",
+       max(text) FILTER (WHERE kind = 'param' AND key = 'max_depth') AS "param.max_depth",
        max(value) FILTER (WHERE kind = 'metric' AND key = 'score') AS "metric.score"
 FROM runs_log WHERE kind IN ('param', 'metric') GROUP BY experiment, run""")
 def q_runs_pivot(spark, sf):
@@ -137,7 +137,8 @@ def q_step_metrics(spark, sf):
 def _scores(spark, sf):
     p = R.runs_pivot(runs_log(spark, sf), ["n_estimators", "max_depth"], ["score"])
     return p.select("experiment", "run", F.col("`metric.score`").alias("score"),
-                    F.col("`param.n_estimators`").alias("n_estimators"), F.col("`param.max_depth`").alias("max_depth"))
+                    F.col("`param.n_estimators`").cast("double").alias("n_estimators"),
+                    F.col("`param.max_depth`").cast("double").alias("max_depth"))
 
 
 _SCORES_SQL = with_(RUNS_LOG) + """,
@@ -173,20 +174,26 @@ def q_filter_runs(spark, sf):
     return R.filter_runs(run_table(spark, sf), ["SUCCEEDED", "FAILED"], "templates/click", "v2")
 
 
-@query("join_step_cache", with_(RUN_TABLE) + """,
-req AS (SELECT experiment, run, md5(experiment || '|train|' || template_version) AS cache_key FROM run_table),
-ex AS (SELECT md5(experiment || '|train|' || template_version) AS cache_key,
+_CACHE_KEY = """md5(length(template_version) || ':' || template_version || '|5:train')"""
+
+
+@query("join_step_cache", with_(RUN_TABLE) + f""",
+req AS (SELECT experiment AS pipeline, run, start_time, {_CACHE_KEY} AS cache_key FROM run_table),
+ex AS (SELECT experiment AS pipeline, {_CACHE_KEY} AS cache_key,
               'store://models/' || run AS output_uri, end_time AS finished
        FROM run_table WHERE state = 'SUCCEEDED'),
-best AS (SELECT cache_key, arg_max(output_uri, finished) AS cached_output FROM ex GROUP BY cache_key)
-SELECT r.cache_key, r.experiment, r.run, b.cached_output, b.cached_output IS NOT NULL AS hit
-FROM req r LEFT JOIN best b USING (cache_key)""")
+best AS (SELECT r.pipeline, r.run, arg_max(e.output_uri, (e.finished, e.output_uri)) AS cached_output
+         FROM req r JOIN ex e ON r.pipeline = e.pipeline AND r.cache_key = e.cache_key AND e.finished < r.start_time
+         GROUP BY r.pipeline, r.run)
+SELECT r.pipeline, r.run, r.start_time, r.cache_key, b.cached_output, b.cached_output IS NOT NULL AS hit
+FROM req r LEFT JOIN best b USING (pipeline, run)""")
 def q_join_step_cache(spark, sf):
-    rt = run_table(spark, sf)
-    key = R.cache_key(F.col("experiment"), F.lit("train"), F.col("template_version")).alias("cache_key")
-    req = rt.select("experiment", "run", key)
+    rt = run_table(spark, sf).withColumnRenamed("experiment", "pipeline")
+    key = R.cache_key(F.col("template_version"), F.lit("train")).alias("cache_key")
+    req = rt.select("pipeline", "run", "start_time", key)
     ex = rt.where(F.col("state") == "SUCCEEDED").select(
-        key, F.concat(F.lit("store://models/"), F.col("run")).alias("output_uri"), F.col("end_time").alias("finished"))
+        "pipeline", key, F.concat(F.lit("store://models/"), F.col("run")).alias("output_uri"),
+        F.col("end_time").alias("finished"))
     return R.step_cache(req, ex)
 
 
