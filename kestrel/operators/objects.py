@@ -153,19 +153,22 @@ def mirror_files(rows: DataFrame, dest: str) -> None:
     """K7 "files when asked": write each mirrored object as a file under
     ``dest/<message_id>/<relative_path>`` from the executors (``foreachPartition``).
     ``dest`` must be storage every executor can write (a shared mount on a cluster).
-    Rewriting a file with the same content makes a retried task harmless; names ending
-    in '/' are directory markers and only create the directory."""
+    A file is replaced as a whole, so a retried task is harmless; names ending in '/' are directory markers and only create the
+    directory.  A name that would leave ``dest`` fails the job."""
     base = dest.rstrip("/")
 
     def write_partition(it):
         import os
+        import uuid
         for r in it:
             path = os.path.join(base, r["message_id"], r["relative_path"])
+            if not os.path.normpath(path).startswith(os.path.normpath(base) + os.sep):
+                raise ValueError(f"{r['relative_path']} leaves the mirror folder")
             if r["relative_path"].endswith("/"):
                 os.makedirs(path, exist_ok=True)
                 continue
             os.makedirs(os.path.dirname(path), exist_ok=True)
-            tmp = f"{path}.part-{os.getpid()}"
+            tmp = f"{path}.part-{uuid.uuid4().hex}"     # unique on every host that shares the folder
             with open(tmp, "wb") as fh:
                 fh.write((r["content"] or "").encode("utf-8"))
             os.replace(tmp, path)          # atomic: readers never see half a file

@@ -41,10 +41,13 @@ def q_scan_object_metadata(spark, sf):
     return objects(spark, sf)
 
 
-@query("scan_object_listing")
+@query("scan_object_listing", "SELECT " + ", ".join(
+    f"(SELECT count(*) FROM {t}) > 0 AS {t}" for t in ("documents", "events", "pages")))
 def q_scan_object_listing(spark, sf):
-    """Real file listing of the input tables (path, length, modification time)."""
-    return O.list_files(spark, sf, "*.parquet")
+    """File listing of the input tables; which of them have files with bytes in them."""
+    names = F.split_part(F.split_part("path", F.lit(".parquet"), F.lit(1)), F.lit("/"), F.lit(-1))
+    found = O.list_files(spark, sf, "*.parquet").where(F.col("length") > 0).select(names.alias("t")).distinct()
+    return found.agg(*[F.coalesce(F.max(F.col("t") == t), F.lit(False)).alias(t) for t in ("documents", "events", "pages")])
 
 
 @query("object_exists", with_(OBJECTS) + """,
@@ -57,14 +60,29 @@ def q_object_exists(spark, sf):
     return O.object_exists(req, o)
 
 
-@query("filter_prefix", with_(OBJECTS) + """
-SELECT name, substr(name, length('blog.') + 1) AS relative_path FROM objects
-WHERE starts_with(name, 'blog.') AND name <> 'blog.'""")
+@query("filter_prefix", with_(OBJECTS) + """,
+p AS (SELECT min(split_part(name, '/', 1)) || '/' AS p FROM objects)
+SELECT name, substr(name, length(p) + 1) AS relative_path FROM objects, p
+WHERE starts_with(name, p) AND name <> p""")
 def q_filter_prefix(spark, sf):
-    # a prefix given with its trailing separator ('blog.' is a flat prefix, kept as is)
+    """P5 for the first directory of the listing, given without its slash."""
     o = objects(spark, sf).select("name")
-    return o.where(F.col("name").startswith("blog.") & (F.col("name") != "blog.")).withColumn(
-        "relative_path", F.substring("name", len("blog.") + 1, 1 << 30))
+    return O.filter_prefix(o, o.agg(F.min(F.split_part("name", F.lit("/"), F.lit(1)))).first()[0])
+
+
+@query("resolve_object", with_(OBJECTS) + """,
+p AS (SELECT min(split_part(name, '/', 1)) || '/' AS p FROM objects),
+newest AS (SELECT name, updated FROM objects, p WHERE starts_with(name, p) AND updated IS NOT NULL
+           ORDER BY updated DESC, name LIMIT 1)
+SELECT 'newest' AS how, name, updated FROM newest
+UNION ALL SELECT 'explicit', name, updated FROM objects WHERE name = (SELECT max(name) FROM objects)""")
+def q_resolve_object(spark, sf):
+    """A10: the newest object under a prefix; an object named explicitly wins over it."""
+    o = objects(spark, sf)
+    ends = o.agg(F.min(F.split_part("name", F.lit("/"), F.lit(1))), F.max("name")).first()
+    newest = O.resolve_object(o, f"{ends[0]}/")
+    named = O.resolve_object(o, f"{ends[0]}/", explicit=ends[1])
+    return newest.withColumn("how", F.lit("newest")).unionByName(named.withColumn("how", F.lit("explicit")))
 
 
 @query("filter_prefix_dir", with_(OBJECTS) + """,
@@ -88,8 +106,14 @@ def q_quarantine_malformed(spark, sf):
 
 @query("stream_messages", with_(_GOOD) + "SELECT message_id, path FROM good")
 def q_stream_messages(spark, sf):
-    good, _ = O.decode_messages(messages(spark, sf))
-    return good.select("message_id", "path")
+    """Messages as files, read as a stream, decoded and appended to a table."""
+    base = scratch_path(spark, "messages")
+    messages(spark, sf).write.json(f"{base}/inbox")
+    stream = spark.readStream.schema("message_id string, body string").json(f"{base}/inbox")
+    good, _ = O.decode_messages(stream)
+    (good.select("message_id", "path").writeStream.format("parquet").option("path", f"{base}/good")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("message_id string, path string").parquet(f"{base}/good")
 
 
 @query("join_message_prefix", with_(_GOOD) + "SELECT message_id, path, name, relative_path FROM matched")

@@ -50,12 +50,12 @@ OBJECTS = """objects AS (
 
 MESSAGES = OBJECTS + """,
 messages AS (
-  SELECT 'p' || CAST(page_id AS VARCHAR) AS message_id,
-         to_json({'path': CASE WHEN page_id % 10 = 0 THEN split_part(name, '/', 1) || '/zz'
-                               ELSE split_part(name, '/', 1) || '/' || split_part(name, '/', 2) END})::VARCHAR AS body
-  FROM objects
+  SELECT 'p' || CAST(min(page_id) AS VARCHAR) AS message_id, to_json({'path': path})::VARCHAR AS body
+  FROM (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN split_part(name, '/', 1) || '/zz'
+                             ELSE split_part(name, '/', 1) || '/' || split_part(name, '/', 2) END AS path FROM objects)
+  GROUP BY path
   UNION ALL
-  SELECT 'c' || CAST(conv_id AS VARCHAR), text FROM conversations WHERE turn = 0)"""
+  SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations)"""
 
 RUNS_LOG = """runs_per AS (
   SELECT event_type AS experiment, printf('run_%04d', user_id) AS run, user_id, avg(value) AS avg_v

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 # queries without side effects (no writes, checkpoints or model fits) — planning them is cheap
-_SIDE = ("sink_", "stream_", "table_", "scan_csv", "scan_parquet", "save_", "online_sync", "offline_export",
+_SIDE = ("sink_", "stream_", "op", "pipeline", "validated_write", "runs_pivot_",  "table_", "scan_csv", "scan_parquet", "save_", "online_sync", "offline_export",
          "log_", "experiment_delete", "message_handler", "source_interface", "lineage_", "rf_", "gbt_",
          "logistic", "model_dispatch", "score_model", "evaluate_model", "feature_importance", "grid_search",
          "compare_models", "train_evaluate", "ann_lsh", "train_test_split", "stratified_split",
