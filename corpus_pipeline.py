@@ -41,8 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the hash of the bytes they decode to."""
     tok = byte_bpe.Tokenizer.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    out = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), tok), tok)
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+    out = byte_bpe.decode(byte_bpe.encode(docs, tok, keep=["doc_id", "lang", "source"]), tok)
+    return out.select("row.*", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -1,14 +1,16 @@
-"""Byte-level BPE, encoding and decoding with Spark higher-order functions.
+"""Byte-level BPE, encoding and decoding.
 
 A text is cut by the tokenizer's pattern.  A word becomes an array of one-byte tokens, and a
 fold merges, again and again, the neighbours with the lowest rank (the leftmost of equal
-ones) until no neighbours have a rank; in these vocabularies the rank is the id.  The rank
-map is a literal of nested arrays in which a pair of ids has one place (``RankMap``), so a
-look-up is two array accesses.
+ones) until no neighbours have a rank; in these vocabularies the rank is the id.
 
-Words repeat: the words that occur most (``KNOWN_WORDS`` at most, of ``KNOWN_BYTES`` bytes at
-most, which bounds the table) are counted over all documents, encoded once each, and looked
-up in every text; other words are folded where they stand.  Either way gives the same ids.
+Distinct words are folded by Spark higher-order functions over arrays; the rank map is a
+literal of nested arrays in which a pair of ids has one place (``RankMap``).  These are the
+words that occur most, counted over all documents: ``KNOWN_WORDS`` of them at most, of
+``KNOWN_BYTES`` bytes at most, which bounds the table that tasks get.  The long tail of other
+words has about as many distinct words as occurrences.  Folding it by higher-order functions
+took three times the CPU time allowed (README), so tasks merge it themselves (``Merger``, the
+same rule) while they put the ids of a text together, and remember what they merged.
 
 Decoding looks up the bytes of each id in a literal array and joins them (as hexadecimal text,
 turned into binary once).
@@ -20,18 +22,23 @@ empty result.
 from __future__ import annotations
 
 import base64
+import heapq
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from kestrel.llm.batches import slices, text_bytes
 from kestrel.llm.common import bind, written
 
 KNOWN_WORDS = 1 << 18
 KNOWN_BYTES = 32
-#: Buckets of the table of known words.
-BUCKETS = 1 << 18
+#: Merged words that a task remembers at once, of this many bytes at most.
+REMEMBERED = 300_000
+LONGEST_REMEMBERED = 64
 #: In place of a rank where two neighbours do not merge.
 NONE = 1 << 30
 _ID_BITS = 17
@@ -99,7 +106,8 @@ class RankMap:
 
 @dataclass
 class Tokenizer:
-    """The pattern, and the rank map as literals (scalar subqueries) for column expressions."""
+    """The ranks, the pattern, and the rank map as literals (scalar subqueries) for column expressions."""
+    ranks: dict[bytes, int]
     pattern: str
     rows: Column
     singles: Column
@@ -108,12 +116,13 @@ class Tokenizer:
 
     @staticmethod
     def load(spark: SparkSession, path: str, pattern: str) -> "Tokenizer":
-        m = RankMap(read_ranks(path))
+        ranks = read_ranks(path)
+        m = RankMap(ranks)
 
         def literal(values, kind: pa.DataType) -> Column:
             table = pa.table({"v": pa.array([values], kind)})
             return written(spark.createDataFrame(table), "bpe-literal").scalar()
-        return Tokenizer(java_pattern(pattern), literal(m.rows, pa.list_(pa.list_(pa.int64()))), literal(m.bytes, pa.list_(pa.int32())),
+        return Tokenizer(ranks, java_pattern(pattern), literal(m.rows, pa.list_(pa.list_(pa.int64()))), literal(m.bytes, pa.list_(pa.int32())),
                          literal(m.two, pa.list_(pa.int32())), literal(m.hex, pa.list_(pa.string())))
 
     @staticmethod
@@ -170,15 +179,15 @@ def _literal(name: str) -> Column:
     return F.col(f"__bpe_{name}")
 
 
-def known_words(df: DataFrame, tok: Tokenizer, text_col: str, most: int = KNOWN_WORDS) -> DataFrame:
-    """(word, ids) of the most frequent short words, ``most`` of them at most."""
+def known_words(df: DataFrame, tok: Tokenizer, text_col: str) -> DataFrame:
+    """(word, ids) of the most frequent short words, KNOWN_WORDS of them at most."""
     counts = written(df.select(F.explode(_words(F.col(text_col), tok.pattern)).alias("word"))
                      .where(F.octet_length("word") <= KNOWN_BYTES)
                      .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bpe-words")
-    # the least count at which no more than ``most`` words are left
+    # the least count at which no more than KNOWN_WORDS words are left
     down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
     least = (counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
-             .withColumn("upto", F.sum("words").over(down)).where(F.col("upto") <= most)
+             .withColumn("upto", F.sum("words").over(down)).where(F.col("upto") <= KNOWN_WORDS)
              .agg(F.min("n")).first()[0])
     chosen = counts.where(F.col("n") >= F.lit(least if least is not None else 1 << 62)).select("word")
     return folded(chosen, tok)
@@ -190,25 +199,71 @@ def folded(words: DataFrame, tok: Tokenizer) -> DataFrame:
         "word", bind(_merges(), lambda lit: tok.fold(lit, F.col("word"))).alias("ids"))
 
 
-def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the ids of each text as array<int>."""
-    known = written(known_words(df, tok, text_col), "bpe-known")
-    # bounded: KNOWN_WORDS words of KNOWN_BYTES bytes, in BUCKETS buckets
-    entries = known.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket")).agg(
-        F.collect_list(F.struct("word", "ids")).alias("e"))
-    every = df.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(entries, "bucket", "left")
-    table = written(every.agg(F.sort_array(F.collect_list(F.struct("bucket", "e"))).alias("t"))
-                    .select(F.transform("t", lambda x: x["e"]).alias("t")), "bpe-table").scalar()
-
-    def ids(t: Column, lit: Column) -> Column:
-        def one(w):
-            bucket = F.get(t, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-            return F.coalesce(F.get(F.filter(bucket, lambda e: e["word"] == w), F.lit(0))["ids"],
-                              tok.fold(lit, w))
-        return F.flatten(F.transform(_words(F.col(text_col), tok.pattern), one))
-    return (_with_literals(df, table=table, rows=tok.rows, singles=tok.singles, twos=tok.twos)
-            .select(*[F.col(f"`{c}`") for c in df.columns], bind(_literal("table"), lambda t: bind(
-                _merges(), lambda lit: ids(t, lit))).alias(out)))
+class Merger:
+    """Ranked merges of single words inside a task."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+
+    def ids(self, word: bytes) -> list[int]:
+        whole = self.ranks.get(word)
+        if whole is not None:
+            return [whole]
+        # neighbours by place: the next place, the one before, and the token that starts there
+        n = len(word)
+        token = [word[i:i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank = self.ranks.get
+        heap = [(r, i, token[i] + token[i + 1]) for i in range(n - 1)
+                if (r := rank(token[i] + token[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            if not token[i] or j >= n or token[i] + token[j] != both:
+                continue        # one of the two has merged meanwhile
+            token[i], token[j] = both, b""
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank(both + token[k])) is not None:
+                    heapq.heappush(heap, (r, i, both + token[k]))
+            h = before[i]
+            if h >= 0 and (r := rank(token[h] + both)) is not None:
+                heapq.heappush(heap, (r, h, token[h] + both))
+        return [self.ranks[t] for t in token if t]
+
+
+def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row, ids): the input row (or its columns ``keep``) as a struct and the ids of its text."""
+    # bounded by KNOWN_WORDS and KNOWN_BYTES
+    known = {r.word: list(r.ids) for r in written(known_words(df, tok, text_col), "bpe-known").collect()}
+    ranks, pattern = tok.ranks, tok.pattern
+    names = df.columns if keep is None else keep
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    given = df.select(row, F.col(f"`{text_col}`").alias("text"))
+
+    def run(parts):
+        words, merger, met = regex.compile(pattern).findall, Merger(ranks), {}
+        for batch in parts:
+            texts = text_bytes(batch.column(1))
+            for a, b in slices(texts):
+                ids, ends = [], [0]
+                for t in texts[a:b]:
+                    for w in words(t.decode("utf-8", "replace")):
+                        own = known.get(w) or met.get(w)
+                        if own is None:
+                            own = merger.ids(w.encode())
+                            if len(w) <= LONGEST_REMEMBERED:
+                                if len(met) >= REMEMBERED:
+                                    met.clear()
+                                met[w] = own
+                        ids += own
+                    ends.append(len(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], names=["row", "ids"])
+    return given.mapInArrow(run, StructType([given.schema["row"], StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

@@ -108,8 +108,8 @@ def op8_token_counts(spark, sf_dir):
 def op9_byte_bpe(spark, sf_dir):
     """Token ids of every whole text, and their bytes again."""
     tok = byte_bpe.Tokenizer.load(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    out = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tok), tok)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    out = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), tok, keep=["doc_id"]), tok)
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -346,8 +346,13 @@ def test_byte_bpe(docs, known, monkeypatch):
     df = docs.sparkSession.createDataFrame(list(texts.items()), "doc_id long, text string")
     tok = byte_bpe.Tokenizer.load(docs.sparkSession, path, public_tokenizers.PATTERN)
     for r in byte_bpe.decode(byte_bpe.encode(df, tok), tok).collect():
-        assert list(r.ids) == enc.encode_ordinary(norm(texts[r.doc_id])), repr(texts[r.doc_id])
-        assert bytes(r.decoded) == norm(texts[r.doc_id]).encode()
+        assert list(r.ids) == enc.encode_ordinary(norm(texts[r.row.doc_id])), repr(texts[r.row.doc_id])
+        assert bytes(r.decoded) == norm(texts[r.row.doc_id]).encode()
+    # the fold by higher-order functions on every word, against the merges inside tasks
+    words = df.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(tok.pattern), F.lit(0))).alias("word")).distinct()
+    merger = byte_bpe.Merger(tok.ranks)
+    for r in byte_bpe.folded(words, tok).collect():
+        assert list(r.ids) == merger.ids(r.word.encode()) == enc.encode_ordinary(r.word)
 
 
 # ------------------------------------------------------------------ learned operators
@@ -407,7 +412,7 @@ def test_empty_tables(none):
     assert simhash.near_duplicates(none).count() == 0
     assert mixing.mix(none).taken.count() == 0 and mixing.mixed_documents(none).count() == 0
     tok = byte_bpe.Tokenizer.load(none.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    assert byte_bpe.decode(byte_bpe.encode(none.select("doc_id", "text"), tok), tok).count() == 0
+    assert byte_bpe.decode(byte_bpe.encode(none, tok), tok).count() == 0
     assert token_counts.count_tokens(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
     assert language_id.identify(none, language_id.fit(none)).count() == 0
 
