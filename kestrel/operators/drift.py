@@ -52,9 +52,9 @@ def histograms(long: DataFrame, keys: list[str], n_bins: int = N_BINS) -> DataFr
     """Bin counts per (keys..., side, bin) over the union range of both sides.
 
     ``long`` has (keys..., side, v).  The range table has one row per key
-    combination (features x pairs), so it is broadcast."""
+    combination (features x pairs); the planner broadcasts it when its measured size allows."""
     ranges = long.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    binned = long.join(F.broadcast(ranges), keys).select(
+    binned = long.join(ranges, keys).select(
         *keys, "side", bin_index(F.col("v"), F.col("lo"), F.col("hi"), n_bins).alias("bin"))
     return binned.groupBy(*keys, "side", "bin").agg(F.count(F.lit(1)).alias("n"))
 
@@ -193,11 +193,11 @@ def snapshot_pairs(snap: DataFrame, keys: list[str], ts: str = "snapshot_ts") ->
 
 def pairwise_rows(df: DataFrame, pairs: DataFrame, keys: list[str], ts: str = "snapshot_ts") -> DataFrame:
     """Each row twice: as 'current' of its own snapshot's pair and as 'base' of the next one.
-    ``pairs`` has one row per snapshot, so it is broadcast."""
+    ``pairs`` has one row per snapshot (and key); the planner broadcasts it when its measured size allows."""
     nxt = pairs.where(F.col("base_snapshot_ts").isNotNull()).select(
         *keys, F.col("base_snapshot_ts").alias(ts), F.col(ts).alias("pair_ts"))
     cur = df.withColumn("pair_ts", F.col(ts)).withColumn("side", F.lit("current"))
-    base = df.join(F.broadcast(nxt), keys + [ts]).withColumn("side", F.lit("base"))
+    base = df.join(nxt, keys + [ts]).withColumn("side", F.lit("base"))
     return cur.unionByName(base.select(cur.columns))
 
 

@@ -14,10 +14,11 @@ from kestrel.operators import drift as D
 
 
 def drift_gate(stored: DataFrame, candidate: DataFrame, numeric: list[str], categorical: list[str],
-               thr: DataFrame, dry_run: bool = True, sink_path: str | None = None) -> DataFrame:
+               thr: DataFrame, dry_run: bool = True, sink_path: str | None = None,
+               batch_id: str | None = None) -> DataFrame:
     """Mean-shift (D1) and new-category (D2) checks of a candidate batch against
     the stored table.  Dry run reports only; otherwise the batch is appended (K3)
-    to ``sink_path`` and the report says so."""
+    to ``sink_path`` and the report says so; with ``batch_id`` a rerun replaces that batch."""
     ms = D.apply_thresholds(D.mean_shift(stored, candidate, numeric), thr).select(
         "feature", F.lit("mean_shift").alias("check"), round_half_away("deviation", 6).alias("deviation"),
         "drift_detected")
@@ -29,7 +30,11 @@ def drift_gate(stored: DataFrame, candidate: DataFrame, numeric: list[str], cate
     if not dry_run:
         if not sink_path:
             raise ValueError("sink_path is required when dry_run is False")
-        candidate.write.mode("append").parquet(sink_path)
+        if batch_id is None:
+            candidate.write.mode("append").parquet(sink_path)
+        else:
+            (candidate.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}"))
         written = True
     return report.withColumn("written", F.lit(written))
 

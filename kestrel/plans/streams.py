@@ -62,7 +62,7 @@ def q_stream_windowed_drift(spark, sf):
     src = _stage(table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value"), spark, "ev", parts=6)
     out = T.run_windowed_drift(spark, src, _EVENTS_SCHEMA, scratch_path(spark, "wdrift"), scratch_path(spark, "ckpt"),
                                60, ["event_type"])
-    res = _exact_mean(_exact_mean(spark.read.parquet(out)), "prev_sum", "prev_n", "prev_mean")
+    res = _exact_mean(_exact_mean(spark.read.parquet(out).drop("window_date")), "prev_sum", "prev_n", "prev_mean")
     return rounded(res.drop("batch_id", "sum", "prev_sum", "prev_n"))
 
 
@@ -132,9 +132,9 @@ SELECT experiment, run, key, arg_max(value, step) AS last_value, max(step) AS la
        min(value) AS min_value, max(value) AS max_value, count(*) AS n_steps
 FROM runs_log WHERE kind = 'step_metric' GROUP BY ALL""")
 def q_stream_run_metrics(spark, sf):
-    """T5: step metrics as a stream, per-run summary in complete mode."""
+    """T5: step metrics as a stream, per-run summary in update mode."""
     src = _stage(runs_log(spark, sf), spark, "log")
     out = T.run_step_metrics(spark, src, "experiment string, run string, kind string, key string, step bigint, "
                                          "value double, text string", scratch_path(spark, "steps"),
                              scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out)
+    return T.step_summary(spark, out)

@@ -165,8 +165,9 @@ def run_result_append(spark: SparkSession, source_dir: str, out: str, checkpoint
 
 # ---------------------------------------------------------------- T5
 def run_step_metrics(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str) -> str:
-    """Step metrics logged during training: running per-run summary (complete mode),
-    each batch overwrites the summary table."""
+    """Step metrics logged during training: running per-run summary.  A batch writes the runs it
+    changed, into a partition of its own that a retry replaces; ``step_summary`` reads the
+    newest row of each run."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     s = stream.where(F.col("kind") == "step_metric")
     summary = s.groupBy("experiment", "run", "key").agg(
@@ -174,7 +175,17 @@ def run_step_metrics(spark: SparkSession, source_dir: str, schema: str, out: str
         F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.count(F.lit(1)).alias("n_steps"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{out.rstrip('/')}/batch_id={int(batch_id)}"))
 
-    _run(summary.writeStream.outputMode("complete").foreachBatch(write), checkpoint)
+    _run(summary.writeStream.outputMode("update").foreachBatch(write), checkpoint)
     return out
+
+
+def step_summary(spark: SparkSession, out: str) -> DataFrame:
+    """T5: the summary of every run as of the last batch that changed it."""
+    keys = ["experiment", "run", "key"]
+    t = spark.read.parquet(out)
+    rest = [c for c in t.columns if c not in (*keys, "batch_id")]
+    return (t.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("s"))
+            .select(*keys, *[F.col(f"s.{c}").alias(c) for c in rest]))
