@@ -103,7 +103,8 @@ def _by_group(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
     if params.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
         return rows.join(F.broadcast(params), keys)
     salted = params.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", (F.rand(7) * SALTS).cast("int")).join(salted, [*keys, "_salt"]).drop("_salt")
+    # a salt from the row itself: the same one when a lost task runs again
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*FEATURES), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"]).drop("_salt")
 
 
 def _cholesky(params: DataFrame) -> DataFrame:

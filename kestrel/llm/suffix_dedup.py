@@ -317,15 +317,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         raise ValueError("gram must be between 1 and length")
     segs = written(docs.select("k1", "k2", "text").mapInArrow(
         _rows(length, gram), "k1 long, k2 long, a long, s long, first int, stop int, shift int"), "repeat-segments")
-    twice = segs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    # counts are written before they are joined: both sides of a join are then plain shuffles,
+    # and Spark can split the rows of an anchor that a third of the documents have
+    twice = written(segs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "repeat-anchors")
     found = written(segs.join(twice, "a", "left_semi"), "repeat-candidates")
     kinds = written(found.groupBy("a", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(
         "k1", "k2", "first", "stop", "shift")).alias("p")), "repeat-kinds")
     whole = (found.join(kinds.where("n > 1").select("a", "s"), ["a", "s"], "left_semi")
              .select("k1", "k2", F.col("first").alias("lo"), (F.col("stop") + (length - 1)).alias("hi")))
 
-    several = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least")).where("d > 1 and least = 1")
-    work = kinds.join(several.select("a", "d"), "a").select("a", "d", "n", "p.*")
+    several = written(kinds.groupBy("a").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
+                      .where("d > 1 and least = 1").select("a", "d"), "repeat-open")
+    work = kinds.join(several, "a").select("a", "d", "n", "p.*")
     lists = written(work.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "d", "n", "first", "stop", "shift")).alias("x"))
                     .select("k1", "k2", *[F.col(f"x.{c}").alias(c) for c in ("a", "d", "n", "first", "stop", "shift")]),
                     "repeat-work")
@@ -344,7 +347,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     windows = written(cut.where(F.col("d") > index_segments).select("a", "n", "k1", "k2", "first", "shift", "body")
                       .repartition("k1", "first")
                       .mapInArrow(_windows(length), "a long, w long, n long, k1 long, k2 long, at int"), "repeat-windows")
-    again = windows.groupBy("a", "w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "w")
+    again = written(windows.groupBy("a", "w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "w"), "repeat-again")
     hashed = (windows.where("n = 1").join(again, ["a", "w"], "left_semi")
               .select("k1", "k2", F.col("at").alias("lo"), (F.col("at") + length).alias("hi")))
     return whole.unionByName(indexed).unionByName(hashed)

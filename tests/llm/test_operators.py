@@ -309,6 +309,12 @@ def test_mix(docs):
     quota = {r.sid: r.quota for r in first.sources.collect()}
     assert Counter(r.sid for r in slots) == Counter({k: v for k, v in quota.items() if v})
     assert len({(r.sid, r.block, r.epoch) for r in slots}) == len(slots) and max(r.epoch for r in slots) <= 2
+    # words of a document by hand: each of its places in the stream, as often as its block is taken
+    times = Counter((r.sid, r.block) for r in slots)
+    want = Counter()
+    for r in first.documents.collect():
+        want[r.id, r.size, sum(times[r.sid, (r.start + j) // 4] for j in range(r.size))] += 1
+    assert Counter((r.id, r.size, r.taken) for r in taken) == want
     # draws: the sources of a shard vary around their share
     shards = Counter((r.shard, r.sid) for r in slots)
     assert len({n for (_, sid), n in shards.items() if sid == 0}) > 1
