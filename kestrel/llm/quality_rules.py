@@ -32,7 +32,7 @@ from kestrel.llm.common import SPACE_PATTERN, bind, words, written
 
 FEATURES = ("f_length", "f_word", "f_symbols", "f_lines", "f_repeats")
 #: Least standard deviation of each feature, in its own unit.
-FLOORS = (0.5, 0.15, 0.5, 0.2, 0.2)
+FLOORS = (0.5, 0.15, 0.5, 0.3, 0.3)
 KEEP = 0.75
 STEPS = 4
 MIN_ROWS = 100
