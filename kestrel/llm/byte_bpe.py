@@ -34,7 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from kestrel.llm.batches import slices, text_bytes
 from kestrel.llm.common import bind, written
 
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 16
 KNOWN_BYTES = 32
 #: Merged words that a task remembers at once, of this many bytes at most.
 REMEMBERED = 300_000
