@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,11 +36,13 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from kestrel.llm.batches import slices, text_bytes
 from kestrel.llm.common import bind, written
 
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 17
 KNOWN_BYTES = 32
 #: Merged words that a task remembers at once, of this many bytes at most.
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
+#: Words up to this length are merged over a plain list.
+SHORT = 48
 #: In place of a rank where two neighbours do not merge.
 NONE = 1 << 30
 _ID_BITS = 17
@@ -209,6 +213,25 @@ class Merger:
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
+        return self._short(word) if len(word) <= SHORT else self._long(word)
+
+    def _short(self, word: bytes) -> list[int]:
+        """The rank of every two neighbours in a list: the quicker way for a few bytes."""
+        rank = self.ranks.get
+        token = [word[i:i + 1] for i in range(len(word))]
+        ranks = [rank(word[i:i + 2], NONE) for i in range(len(word) - 1)]
+        while ranks and (least := min(ranks)) < NONE:
+            i = ranks.index(least)
+            token[i] = both = token[i] + token.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(both + token[i + 1], NONE)
+            if i:
+                ranks[i - 1] = rank(token[i - 1] + both, NONE)
+        return [self.ranks[t] for t in token]
+
+    def _long(self, word: bytes) -> list[int]:
+        """A heap of neighbours by rank and place: no more than n log n steps."""
         # neighbours by place: the next place, the one before, and the token that starts there
         n = len(word)
         token = [word[i:i + 1] for i in range(n)]
@@ -234,35 +257,44 @@ class Merger:
         return [self.ranks[t] for t in token if t]
 
 
+class Codes(dict):
+    """Word to the ids of it (as 32-bit numbers in bytes): the known words, and words merged here."""
+
+    def __init__(self, known: dict[str, bytes], merger: Merger):
+        super().__init__(known)
+        self.known, self.merger = known, merger
+
+    def __missing__(self, word: str) -> bytes:
+        own = array("i", self.merger.ids(word.encode())).tobytes()
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= len(self.known) + REMEMBERED:
+                self.clear()
+                self.update(self.known)
+            self[word] = own
+        return own
+
+
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(row, ids): the input row (or its columns ``keep``) as a struct and the ids of its text."""
     # bounded by KNOWN_WORDS and KNOWN_BYTES
-    known = {r.word: list(r.ids) for r in written(known_words(df, tok, text_col), "bpe-known").collect()}
+    known = {r.word: array("i", r.ids).tobytes()
+             for r in written(known_words(df, tok, text_col), "bpe-known").toLocalIterator()}
     ranks, pattern = tok.ranks, tok.pattern
     names = df.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     given = df.select(row, F.col(f"`{text_col}`").alias("text"))
 
     def run(parts):
-        words, merger, met = regex.compile(pattern).findall, Merger(ranks), {}
+        words, codes = regex.compile(pattern).findall, Codes(known, Merger(ranks))
         for batch in parts:
             texts = text_bytes(batch.column(1))
             for a, b in slices(texts):
-                ids, ends = [], [0]
-                for t in texts[a:b]:
-                    for w in words(t.decode("utf-8", "replace")):
-                        own = known.get(w) or met.get(w)
-                        if own is None:
-                            own = merger.ids(w.encode())
-                            if len(w) <= LONGEST_REMEMBERED:
-                                if len(met) >= REMEMBERED:
-                                    met.clear()
-                                met[w] = own
-                        ids += own
-                    ends.append(len(ids))
+                own = [b"".join(map(codes.__getitem__, words(t.decode("utf-8", "replace")))) for t in texts[a:b]]
+                ends = np.cumsum([0, *map(len, own)]) // 4
+                ids = pa.array(np.frombuffer(b"".join(own), np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], names=["row", "ids"])
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=["row", "ids"])
     return given.mapInArrow(run, StructType([given.schema["row"], StructField("ids", ArrayType(IntegerType()))]))
 
 
