@@ -142,9 +142,8 @@ def resolve_object(objects: DataFrame, prefix: str, explicit: str | None = None,
     else:
         cands = cands.select(name, updated, F.lit(1).alias("_prio"))
     best = cands.orderBy(F.asc("_prio"), F.desc_nulls_last(updated), F.asc(name)).limit(1)
-    # an empty result becomes an error row: left join of a one-row frame
-    one = objects.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    out = one.join(best.withColumn("_one", F.lit(1)), "_one", "left")
+    # an aggregate has a row also where there is none: that one becomes the error
+    out = best.agg(F.first(name).alias(name), F.first(updated).alias(updated))
     return out.select(F.when(F.col(name).isNull(), F.raise_error(F.lit(f"no object under prefix {prefix}")))
                       .otherwise(F.col(name)).alias(name), updated)
 
