@@ -17,7 +17,7 @@ from kestrel.sources.tables import read_step, table
 CONFIG_THRESHOLD = 0.5
 
 _RESP = """d AS (
-  SELECT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, event_id // 1024 AS block, count(*) AS n, avg(value) AS mu,
+  SELECT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, hour(ts) AS block, count(*) AS n, avg(value) AS mu,
          stddev_samp(value) AS sd, arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts
   FROM events GROUP BY 1, 2, 3),
 r AS (

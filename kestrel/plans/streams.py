@@ -107,7 +107,7 @@ def q_stream_feature_import(spark, sf):
 
 
 @query("stream_result_append", """
-WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS block, stddev_samp(value) AS sd,
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, hour(ts) AS block, stddev_samp(value) AS sd,
                   arg_max(value, (ts, event_id)) AS last_value, max(ts) AS last_ts FROM events GROUP BY 1, 2, 3),
 r AS (SELECT *, (user_id % 10 NOT IN (0, 3, 6)) AND sd IS NOT NULL AS valid,
              CAST(user_id AS VARCHAR) || ':' || strftime(day, '%Y-%m-%d') || ':' || CAST(block AS VARCHAR) AS fkey FROM d),

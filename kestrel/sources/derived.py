@@ -119,20 +119,17 @@ def series_doc(spark: SparkSession, sf_dir: str, corrupt: bool = False, names: l
 
 
 # ---------------------------------------------------------------- anomaly responses
-RESPONSE_BLOCK = 1024     # a response covers at most this many consecutive event ids
-
-
 def anomaly_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One detector response per (user, day, block of 1024 event ids): results = those
+    """One detector response per (user, day, hour of the day): results = those
     events in time order, thresholds = mean + 2/3 sample deviations.
 
     Poison rules: user_id % 10 = 0 -> first element's error is text;
     = 3 -> first element's error is JSON null; = 6 -> threshold missing.
     The results list is built as JSON text so numbers stay numbers and text stays
-    text.  The event-id block bounds every list, however hot a user or day is.
+    text.  A response covers one window of its user, as the detector is asked for it.
     """
     ev = table(spark, sf_dir, "events", "event_id", "user_id", "ts", "value")
-    block = F.floor(F.col("event_id") / RESPONSE_BLOCK).cast("bigint").alias("block")
+    block = F.hour("ts").cast("bigint").alias("block")
     per_doc = (ev.groupBy("user_id", F.to_date("ts").alias("day"), block)
                .agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("items"),
                     F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd")))
