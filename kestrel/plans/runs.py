@@ -215,6 +215,16 @@ def q_lineage_descendants(spark, sf):
     return R.lineage_closure(edges(spark, sf), upstream=False)
 
 
+LINEAGE_OF = ["nation:3", "customer:1"]        # the artifacts asked for (a parameter, as the caller passes them)
+
+
+@query("lineage_artifact", "WITH RECURSIVE " + EDGES + ",\n" + _REC.format(a="src", b="dst") + """
+SELECT node, rel, CAST(min(depth) AS INTEGER) AS depth FROM anc WHERE node IN ('nation:3', 'customer:1') GROUP BY node, rel""")
+def q_lineage_artifact(spark, sf):
+    """J10 for named artifacts: only their own closure is followed and written."""
+    return R.lineage_closure(edges(spark, sf), upstream=False, artifacts=LINEAGE_OF)
+
+
 _ATTEMPTS = """per_day AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS batch, count_if(event_type = 'error') AS n_err FROM events GROUP BY 1),
 attempts AS (
   SELECT batch, 1 AS attempt, CASE WHEN n_err % 3 = 0 THEN 500 ELSE 200 END AS status FROM per_day
