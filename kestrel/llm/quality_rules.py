@@ -14,10 +14,15 @@ the base rules:
 * the covariance has a floor for each statistic (``FLOORS``): many groups have no spread at
   all in, say, symbols, and a few symbols must not reject a clean text;
 * the winning covariance is scaled to put the median distance at that of the chi-squared
-  distribution; texts beyond ``CUTOFF`` are rejected.
+  distribution; that gives ``distance``;
+* a count in a short text says little: the verdict takes the distance again with the
+  measurement noise of the text's own length added to the variances (``noise``), and rejects
+  texts beyond ``CUTOFF``.
 
 Groups with fewer than ``MIN_ROWS`` such rows are pooled by language, languages that stay
-below it are pooled together; if those are still fewer, they are kept.
+below it are pooled together.  If those are still fewer, they get the estimate of all rows of
+their language, or of all rows when the language has too few; only a table with fewer than
+``MIN_ROWS`` such rows is kept as it is.
 
 A null text has no words and fails the base rules; null languages and sources are groups of
 their own.  Repeated rows count each.  An empty table gives an empty result.
@@ -32,13 +37,15 @@ from kestrel.llm.common import SPACE_PATTERN, bind, words, written
 
 FEATURES = ("f_length", "f_word", "f_symbols", "f_lines", "f_repeats")
 #: Least standard deviation of each feature, in its own unit.
-FLOORS = (0.5, 0.15, 0.5, 0.3, 0.3)
+FLOORS = (0.25, 0.07, 0.25, 0.1, 0.1)
 KEEP = 0.75
 STEPS = 4
 MIN_ROWS = 100
-#: Chi-squared with 5 degrees of freedom: its median, and the cutoff (upper tail 1e-7).
+#: Chi-squared with 5 degrees of freedom: its median, and the cutoff (upper tail 0.001).
 CHI2_MEDIAN = 4.351
-CUTOFF = 41.5
+CUTOFF = 20.515
+#: Standard deviation of a word's length over its mean; words in one repeated phrase and its first copy.
+WORD_SPREAD, PHRASE = 0.5, 6
 #: Histogram of log2 of squared distances: BINS_PER_UNIT bins to a doubling, from 2**-20 to 2**40.
 BINS_PER_UNIT, BIN_LOW, BIN_HIGH = 32, -20, 40
 #: Rows of the table of estimates up to which it is broadcast (30 numbers each).
@@ -96,6 +103,24 @@ def features() -> list[Column]:
             F.log1p(10.0 * F.col("n_repeat_words") / n)]
 
 
+def noise() -> list[Column]:
+    """Variances of FEATURES that come from the length of the text alone.  Symbols, repeated lines
+    and repeated phrases are counts of events (variance: the count, at least one event) put
+    through the logarithm; a repeated line makes the words of two lines repeated words."""
+    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    lines = (F.col("n_breaks") + 1).cast("double")
+    phrase = F.greatest(F.lit(float(PHRASE)), F.when(F.col("n_dup_lines") > 0, 2 * n / lines).otherwise(F.lit(0.0)))
+
+    def logged(factor, count, size, event):
+        """Variance of log1p(factor * count / size) where events of ``event`` each make the count."""
+        return F.pow(factor / size, F.lit(2.0)) * event * F.greatest(count, event) / F.pow(1 + factor * count / size, F.lit(2.0))
+    return [F.lit(0.0),
+            WORD_SPREAD ** 2 / n,
+            logged(100.0, F.col("n_symbols"), n, F.lit(1.0)),
+            logged(10.0, F.col("n_dup_lines"), lines, F.lit(1.0)),
+            logged(10.0, F.col("n_repeat_words"), n, phrase)]
+
+
 # ------------------------------------------------------------------ estimates
 def _by_group(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the estimates of their group.  The estimates are broadcast behind a check of
@@ -194,6 +219,24 @@ def estimate(rows: DataFrame, keep: float = KEEP, steps: int = STEPS) -> DataFra
     return written(params.join(half.select("g", scale.alias("scale"), "n_rows"), "g"), "mcd-estimates")
 
 
+def _last_rows(groups: DataFrame, min_rows: int) -> DataFrame:
+    """(tag, g, into): the group that judges the rows of each tag, and the groups they are estimated in.
+    A rest too small for an estimate is judged by its languages, or by all rows."""
+    own = groups.select("tag", "lang", "g", F.array("g").alias("into"))
+    left = groups.where("g = '0'").agg(F.sum("n")).first()[0]
+    if left is None or left >= min_rows:
+        return own
+    # fewer than min_rows languages
+    last = (groups.groupBy("lang").agg(F.sum("n").alias("n"), F.max(F.col("g") == "0").alias("left")).where("left")
+            .select("lang", F.when(F.col("n") >= min_rows, F.concat(F.lit("3"), "lang")).otherwise(F.lit("4")).alias("last")))
+    last = written(last, "rule-last")
+    everything = [F.lit("4")] if last.where("last = '4'").limit(1).count() else []
+    own = own.join(F.broadcast(last), "lang", "left")
+    into = F.array(F.when(F.col("g") != "0", F.col("g")), F.col("last"), *everything)
+    return written(own.select("tag", F.when(F.col("g") == "0", F.col("last")).otherwise(F.col("g")).alias("g"),
+                              F.array_distinct(F.array_compact(into)).alias("into")), "rule-last-groups")
+
+
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row per input row: id, the base counts, base_failed, distance (null where base_failed
@@ -209,17 +252,21 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     small = (passed.groupBy("g0", "g1").agg(F.count(F.lit(1)).alias("n"))
              .withColumn("by_lang", F.when(F.col("n") < min_rows, F.col("n")).otherwise(F.lit(0))))
     groups = written(small.withColumn("n_lang", F.sum("by_lang").over(Window.partitionBy("g0")))
-                     .select(tag("g0", "g1").alias("tag"),
+                     .select(tag("g0", "g1").alias("tag"), tag("g0").alias("lang"), "n",
                              F.when(F.col("n") >= min_rows, F.concat(F.lit("2"), tag("g0", "g1")))
                              .when(F.col("n_lang") >= min_rows, F.concat(F.lit("1"), tag("g0")))
                              .otherwise(F.lit("0")).alias("g")), "rule-groups")
-    rows = written(_by_group(passed.select(tag("g0", "g1").alias("tag"), *FEATURES), groups, ["tag"])
-                   .select("g", *FEATURES), "rule-features")
+    groups = _last_rows(groups, min_rows)
+    rows = written(_by_group(passed.select(tag("g0", "g1").alias("tag"), *FEATURES), groups.select("tag", "into"), ["tag"])
+                   .select(F.explode("into").alias("g"), *FEATURES), "rule-features")
     est = estimate(rows).where(F.col("n_rows") >= min_rows)
-    limits = written(groups.join(est, "g", "left").drop("g"), "rule-limits")
+    limits = written(groups.select("tag", "g").join(est, "g", "left").drop("g"), "rule-limits")
     scored = _distance(_by_group(passed.withColumn("tag", tag("g0", "g1")), limits, ["tag"]))
     base = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    distance = F.col("d2") / F.col("scale")
-    return (scored.select(*base, distance.alias("distance"), F.coalesce(distance <= cutoff, F.lit(True)).alias("kept"))
+    scored = scored.withColumn("distance", F.col("d2") / F.col("scale"))
+    # the verdict: the scaled covariance with the row's own noise
+    widened = {f"c_{i}_{j}": F.col(f"c_{i}_{j}") * F.col("scale") + (noise()[i] if i == j else F.lit(0.0)) for i, j in LOWER}
+    judged = _distance(_cholesky(scored.withColumns(widened)))
+    return (judged.select(*base, "distance", F.coalesce(F.col("d2") <= cutoff, F.lit(True)).alias("kept"))
             .unionByName(counts.where(F.col("base_failed"))
                          .select(*base, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))))

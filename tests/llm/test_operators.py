@@ -179,6 +179,51 @@ def test_rules_on_awkward_rows(docs):
     assert len(got) == len(_texts()) and all(not r.kept for r in got if r.base_failed)
 
 
+def test_rules_light_junk(spark):
+    rnd = random.Random(7)
+
+    def clean(n):
+        return ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(2, 9))) for _ in range(n)]
+
+    def text(words, line=12):
+        return "\n".join(" ".join(words[i:i + line]) for i in range(0, len(words), line))
+    rows = [("clean", text(clean(rnd.randint(60, 500)))) for _ in range(400)]
+    for _ in range(8):
+        for per in (8, 14, 20):                       # symbols per 100 words
+            rows.append(("junk", text([w + "$" if i < 4 * per else w for i, w in enumerate(clean(400))])))
+        w = clean(400)
+        rows.append(("junk", text(w[:90] + w[:50] + w[90:350])))              # a quarter of the words repeated
+        lines = text(clean(360)).split("\n")
+        rows.append(("junk", "\n".join(lines + lines[:6])))                    # a third of the lines
+        w = [x * 2 for x in clean(300)]
+        rows.append(("junk", text(w)))                                         # words twice as long
+        # chance in short texts
+        w = clean(60)
+        rows.append(("clean", text(w[:10] + [w[10] + "$", w[11] + "&"] + w[12:])))
+        lines = text(clean(60), 8).split("\n")
+        rows.append(("clean", "\n".join(lines + lines[:1])))
+        rows.append(("clean", text(w[:4] + w)))
+    df = spark.createDataFrame([(i, t, "en", "s") for i, (_, t) in enumerate(rows)], "doc_id int, text string, lang string, source string")
+    got = {r.id: r for r in quality_rules.judge(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [i for i, (kind, _) in enumerate(rows) if kind == "junk" and got[i].kept] == []
+    assert sum(kind == "clean" and not got[i].kept for i, (kind, _) in enumerate(rows)) <= 4
+
+
+def test_rules_judge_the_last_rows(spark):
+    rnd = random.Random(9)
+
+    def clean():
+        return ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(rnd.randint(60, 300))]
+    rows = [(i, " ".join(clean()), "en", "s0") for i in range(150)]
+    rows += [(150 + i, " ".join(clean()), "en" if i % 2 else "xx", "s1") for i in range(10)]
+    rows += [(160, " ".join(w + "###" for w in clean()), "en", "s1"), (161, " ".join(w + "###" for w in clean()), "xx", "s1")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    got = {r.id: r for r in quality_rules.judge(df).collect()}
+    assert len(got) == 162 and all(r.distance is not None for r in got.values())
+    assert [i for i in got if not got[i].kept] == [160, 161]
+
+
 # ------------------------------------------------------------------ repeated byte strings
 def _repeats(texts, length):
     raw = [norm(t).encode() for t in texts]
