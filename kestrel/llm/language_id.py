@@ -4,9 +4,12 @@ A text is a vector of hashed byte n-grams (1 to 3 bytes, ASCII letters lower-cas
 log term frequency times inverse document frequency, of length one.  Each language has
 several centroids: spherical k-means over a bounded sample of its training rows.  A text
 gets the language of the centroid with the largest cosine, and is rejected when it is
-further from it than that centroid's limit: a fraction of the cosine that all but the
-worst hundredth of the centroid's own training rows reach.  A short text cannot come near
-any centroid, so below ``SHORT`` bytes the limit falls with the root of the length.
+further from it than that language's limit: just below the cosine that all but the worst
+hundredth of the language's training rows reach.  A short text cannot come near any
+centroid, so below ``SHORT`` bytes the limit falls with the root of the length, for the
+training rows as well.  A centroid of a few odd rows (or of one row in another language)
+would draw texts of unlearned languages: clusters do not start from the rows furthest from
+the mean, and small ones are dissolved.
 
 Document frequencies are counted over all training rows (each task adds up its own, Spark
 adds up the tasks).  The sample has at most ``SAMPLE_ROWS`` rows of a language, taken by
@@ -36,9 +39,11 @@ DIMENSIONS = 4096
 SAMPLE_ROWS = 600
 CENTROIDS = 4
 ROUNDS = 12
-#: A centroid's limit: this part of the cosine that 99 of 100 of its training rows reach.
-REJECT_PART = 0.5
+#: A language's limit: this part of the cosine that 99 of 100 of its training rows reach.
+REJECT_PART = 0.9
 SHORT = 400
+#: Share of rows too far from the mean to start a cluster, and least share (and rows) of a cluster.
+ODD_SHARE, LEAST_SHARE, LEAST_ROWS = 0.1, 0.02, 5
 
 _LETTER = regex.compile(r"\p{L}")
 #: Bytes of letters as they are (all of UTF-8 beyond ASCII counts as letters), others as a space.
@@ -69,25 +74,37 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def clustered(x: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids of length one by spherical k-means, and the lower hundredth of the cosines of
-    each one's rows.  Starts from the row nearest to the mean, then from the row furthest
-    from all starts so far."""
-    near = x @ x.mean(axis=0)
-    starts = [int(near.argmax())]
-    while len(starts) < min(k, len(x)):
-        starts.append(int((x @ x[starts].T).max(axis=1).argmin()))
-    c = x[starts]
+def shortness(texts: list[bytes]) -> np.ndarray:
+    """The factor of a text's limit: 1 from SHORT bytes on."""
+    return np.sqrt(np.minimum(1.0, np.array([len(t) for t in texts]) / SHORT))
+
+
+def _rounds(x: np.ndarray, c: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids after ``rounds`` rounds, and the number of rows of each."""
+    c = c.copy()
     for _ in range(rounds):
         own = (x @ c.T).argmax(axis=1)
         for j in range(len(c)):
             if (own == j).any():
                 m = x[own == j].mean(axis=0)
                 c[j] = m / max(np.linalg.norm(m), 1e-12)
-    cos = x @ c.T
-    own = cos.argmax(axis=1)
-    low = np.array([np.quantile(cos[own == j, j], 0.01) if (own == j).any() else 0.0 for j in range(len(c))])
-    return c, low
+    return c, np.bincount((x @ c.T).argmax(axis=1), minlength=len(c))
+
+
+def clustered(x: np.ndarray, short: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Centroids of length one by spherical k-means, and the lower hundredth of the cosines of
+    the rows, each over its factor ``short``.  Starts from the row nearest to the mean, then from
+    the row furthest from all starts so far; rows of clusters that stay too small join the others."""
+    near = x @ x.mean(axis=0)
+    body = np.flatnonzero(near >= np.quantile(near, ODD_SHARE))
+    starts = [int(near.argmax())]
+    while len(starts) < min(k, len(body)):
+        starts.append(int(body[(x[body] @ x[starts].T).max(axis=1).argmin()]))
+    c, size = _rounds(x, x[starts], rounds)
+    enough = size >= min(max(LEAST_ROWS, LEAST_SHARE * len(x)), size.max())
+    if not enough.all():
+        c, _ = _rounds(x, c[enough], rounds)
+    return c, float(np.quantile((x @ c.T).max(axis=1) / np.maximum(short, 1e-6), 0.01, method="lower"))
 
 
 @dataclass
@@ -128,9 +145,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     def cluster(key, table):
         texts = text_bytes(table.column("text").combine_chunks())
         x = np.concatenate([vectors(texts[a:b], idf) for a, b in slices(texts)])
-        c, low = clustered(x, centroids)
+        c, low = clustered(x, shortness(texts), centroids)
         return pa.table({"lang": pa.array([key[0].as_py()] * len(c)), "k": pa.array(range(len(c)), pa.int32()),
-                         "low": pa.array(low, pa.float64()), "centroid": pa.array(list(c), pa.list_(pa.float32()))})
+                         "low": pa.array([low] * len(c), pa.float64()), "centroid": pa.array(list(c), pa.list_(pa.float32()))})
     schema = StructType([StructField("lang", StringType()), StructField("k", IntegerType()),
                          StructField("low", DoubleType()), StructField("centroid", ArrayType(FloatType()))])
     found = picked.groupBy("lang").applyInArrow(cluster, schema).orderBy("lang", "k").collect()
@@ -151,8 +168,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str
         cos = np.clip(vectors(texts, m.idf) @ m.centroids.T, 0.0, 1.0)
         best = cos.argmax(axis=1)
         score = np.where(lettered, cos[np.arange(len(texts)), best], 0.0).astype(float)
-        short = np.sqrt(np.minimum(1.0, np.array([len(t) for t in texts]) / SHORT))
         return [[m.langs[b] if ok else "und" for b, ok in zip(best, lettered)], score,
-                ~lettered | (score < m.limits[best] * short)]
+                ~lettered | (score < m.limits[best] * shortness(texts))]
     return with_columns(df, text_col, [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                                        StructField("rejected", BooleanType())], compute, keep)

@@ -413,6 +413,16 @@ def test_language_id_held_out(spark, sf):
     assert r[0] > 0.95 and r[1] < 0.02
 
 
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_language_id_rejects_an_unlearned_language(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = corpus_pipeline.crc_mod(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held & (F.col("lang") != out)))
+    share = {r[0]: r[1] for r in language_id.identify(docs.where(held), model).groupBy(F.col("row.lang") == out)
+             .agg(F.avg(F.col("rejected").cast("int"))).collect()}
+    assert share[True] > 0.9 and share[False] < 0.015
+
+
 def test_language_id_rejects_and_und(docs, none):
     train = docs.where("doc_id < 40").withColumn("lang", F.lit("xx"))
     model = language_id.fit(train)
