@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kestrel.llm import (byte_bpe, exact_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
-                         suffix_dedup, token_counts)
+from kestrel.llm import (byte_bpe, conversation_trie, exact_dedup, jaccard_join, language_id, line_dedup, mixing,
+                         quality_classifier, quality_rules, simhash, suffix_dedup, token_alignment, token_counts)
 from kestrel.llm.common import crc_mod, documents, table
 
 QUERIES: dict = {}
@@ -122,3 +122,58 @@ def op10_language_id(spark, sf_dir):
     model = language_id.fit(docs.where(~held))
     rows = docs.select("doc_id", held.alias("held_out"), "text")
     return language_id.identify(rows, model, keep=["doc_id", "held_out"]).select("row.*", "lang_pred", "score", "rejected")
+
+
+@query
+def op11_jaccard_join(spark, sf_dir):
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard_join.similar(documents(spark, sf_dir), shingle=4, percent=85).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    """Groups and links of the tokens of two tokenizers, and what the corpus makes of the links."""
+    out = token_alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 of a short ASCII text by its definition: one byte after the other, eight divisions for each.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                          lambda y, i: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)), 4294967295)"""
+
+ORACLES["op13_conversation_trie"] = f"""
+WITH t AS (SELECT conv_id, md5(coalesce(role, '') || chr(1) || coalesce(text, '')) AS h, length(coalesce(text, '')) AS chars,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, {_CRC32.format("conv_id::VARCHAR")} % 6 AS h, conv_id - conv_id % 100 AS base
+      FROM (SELECT conv_id, max(place) AS n FROM t GROUP BY conv_id)),
+k AS (SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS k, greatest(c.n - c.h, 0) AS rest
+      FROM c LEFT JOIN c b ON c.base = b.conv_id),
+r AS (SELECT k.conv_id, t.place AS d, t.h, t.chars FROM k JOIN t ON t.conv_id = k.base AND t.place <= k.k
+      UNION ALL SELECT k.conv_id, t.place - k.h + k.k, t.h, t.chars FROM k JOIN t ON t.conv_id = k.conv_id AND t.place > k.h),
+p AS (SELECT conv_id, 0 AS d, '' AS node, NULL AS parent, 0 AS chars FROM k
+      UNION ALL SELECT conv_id, d, string_agg(h, '') OVER w, coalesce(string_agg(h, '') OVER (
+                    PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''), chars
+                FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+n AS (SELECT md5(node) AS node, md5(parent) AS parent, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars
+      FROM p GROUP BY ALL),
+ch AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+a AS (SELECT n.conv_id, n.d, (n.n_convs - 1) * n.chars AS own, CASE WHEN ch.parent IS NULL THEN 1 ELSE 0 END AS leaf
+      FROM n LEFT JOIN ch ON n.node = ch.parent),
+s AS (SELECT md5(p.node) AS node, sum(a.leaf)::BIGINT AS n_leaves, sum(a.own)::BIGINT AS saved_tokens
+      FROM p JOIN a ON p.conv_id = a.conv_id AND p.d <= a.d GROUP BY 1),
+e AS (SELECT md5(p.node) AS node, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids
+      FROM p JOIN k ON p.conv_id = k.conv_id AND p.d = k.k + k.rest GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children, s.n_leaves,
+       s.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n LEFT JOIN n m ON n.parent = m.node LEFT JOIN ch ON n.node = ch.parent JOIN s ON s.node = n.node LEFT JOIN e ON e.node = n.node
+"""
