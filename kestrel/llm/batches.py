@@ -12,6 +12,8 @@ from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that are worked on at once (a longer single text is taken alone).
 SLICE_BYTES = 1 << 20
+#: Texts that are worked on at once: short ones can be many, and each may take some memory of its own.
+SLICE_ROWS = 1024
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -19,11 +21,11 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts with ``limit`` bytes at most, or one text."""
+def slices(texts: list[bytes], limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of texts with ``limit`` bytes and ``rows`` texts at most, or one text."""
     begin = size = 0
     for i, t in enumerate(texts):
-        if i > begin and size + len(t) > limit:
+        if i > begin and (size + len(t) > limit or i - begin == rows):
             yield begin, i
             begin, size = i, 0
         size += len(t)

@@ -71,7 +71,8 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
         if t:
             out[i] = np.log1p(counts(t)) * idf
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+    out /= np.where(norm > 0, norm, 1)
+    return out
 
 
 def shortness(texts: list[bytes]) -> np.ndarray:

@@ -62,12 +62,14 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         gram = np.zeros(len(raw) - GRAM + 1, np.uint64)
         for j in range(GRAM):
             gram |= x[j:len(raw) - GRAM + 1 + j] << np.uint64(8 * j)
+        # bytes of its own text before each place; -1 where the bytes from it on reach into the next text
+        size = np.diff(ends)
+        own = (np.arange(len(raw)) - np.repeat(ends[:-1], size)).astype(np.int32)
+        own[own + GRAM > np.repeat(size, size)] = -1
+        own = own[:len(gram)]
         for lag in range(LAGS[0], LAGS[1] + 1):
             if len(gram) > lag:
-                flag[lag:len(gram)] |= gram[lag:] == gram[:-lag]
-        # what reaches into another text does not count
-        for e in ends[1:-1]:
-            flag[max(0, e - GRAM + 1):e + LAGS[1]] = False
+                flag[lag:len(gram)] |= (gram[lag:] == gram[:-lag]) & (own[lag:] >= lag)
     sizes = np.maximum(2, -(-np.diff(ends) // HALF))
     starts = np.concatenate([[0], np.cumsum(sizes)])
     out = np.full(starts[-1] * HALF, PAD, np.int16)

@@ -79,7 +79,8 @@ def op4_quality_rules(spark, sf_dir):
 def op5_suffix_dedup(spark, sf_dir):
     """Bytes covered by a 400-byte string that also starts elsewhere are removed."""
     return suffix_dedup.remove_repeats(documents(spark, sf_dir), length=400).select(
-        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("removed"))
 
 
 @query

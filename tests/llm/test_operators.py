@@ -402,8 +402,9 @@ def test_byte_bpe(docs, known, monkeypatch):
     # the fold by higher-order functions on every word, against the merges inside tasks
     words = df.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(tok.pattern), F.lit(0))).alias("word")).distinct()
     merger = byte_bpe.Merger(tok.ranks)
-    for r in byte_bpe.folded(words, tok).collect():
-        assert list(r.ids) == merger.ids(r.word.encode()) == enc.encode_ordinary(r.word)
+    rows = byte_bpe.folded(words, tok).collect()
+    for r, own in zip(rows, merger.ids([r.word.encode() for r in rows])):
+        assert list(r.ids) == np.frombuffer(own, np.int32).tolist() == enc.encode_ordinary(r.word)
 
 
 # ------------------------------------------------------------------ learned operators
@@ -464,6 +465,60 @@ def test_chunks_do_not_depend_on_neighbours():
     assert np.allclose(together, alone, atol=1e-6)
 
 
+def plain_score(net, text):
+    """The network's definition, byte by byte."""
+    c = quality_classifier
+    sym = []
+    for i, b in enumerate(text):
+        gram = text[i:i + c.GRAM]
+        seen = len(gram) == c.GRAM and any(i >= lag and text[i - lag:i - lag + c.GRAM] == gram for lag in range(c.LAGS[0], c.LAGS[1] + 1))
+        sym.append(b + 256 * seen)
+    halves = max(2, -(-len(text) // c.HALF))
+    sym += [c.PAD] * (halves * c.HALF - len(sym))
+    pooled = np.zeros(c.FILTERS)
+    for i in range(halves - 1):
+        chunk = net.embedding[sym[i * c.HALF:i * c.HALF + c.CHUNK]]
+        pooled = np.maximum(pooled, np.einsum("ce,cef->f", chunk, net.filters) + net.shift)
+    return 1 / (1 + np.exp(-np.clip(pooled @ net.weights + net.bias, -30, 30)))
+
+
+def test_quality_scores_against_the_definition():
+    """Repetitive texts, alone and behind each other."""
+    texts = [b"spam spam spam spam spam", b"spam spam spam spam spam", b"", b"a", b"ab" * 50, b"abcabcabcabc" * 9, b"spam " * 80,
+             "é".encode() * 40, b"no repeats here, only words", b"x" * 400, b"spam spam"]
+    net = quality_classifier.fit_network(texts, np.arange(len(texts)) % 2 * 1.0, 0.5, epochs=2)
+    want = [plain_score(net, t) for t in texts]
+    assert np.allclose(net.scores(texts, net.tables()), want, atol=1e-5)
+    assert np.allclose([net.scores([t], net.tables())[0] for t in texts], want, atol=1e-5)
+
+
+def test_language_id_against_plain_cosines(docs):
+    model = language_id.fit(docs.where("doc_id < 40").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")))
+
+    def plain(text):
+        x = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).encode()
+        while b"  " in x:
+            x = x.replace(b"  ", b" ")
+        v = np.zeros(language_id.DIMENSIONS)
+        for i, b in enumerate(x):
+            codes = [b]
+            if i + 1 < len(x):
+                codes.append(b * 257 + x[i + 1] + 7919)
+            if i + 2 < len(x):
+                codes.append(codes[1] * 263 + x[i + 2] + 104729)
+            for c in codes:
+                v[(c * 2654435761 >> 11) % language_id.DIMENSIONS] += 1
+        v = np.log1p(v) * model.idf
+        return v / max(np.linalg.norm(v), 1e-12)
+    for r in language_id.identify(docs, model).collect():
+        text = r.row.text or ""
+        if regex.search(r"\p{L}", text) and len(text) < 3000:
+            cos = model.centroids @ plain(text)
+            assert abs(r.score - cos.max()) < 1e-4 and model.langs[int(cos.argmax())] == r.lang_pred
+        elif not regex.search(r"\p{L}", text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
 # ------------------------------------------------------------------ empty tables, the pipeline
 def test_empty_tables(none):
     assert exact_dedup.exact_groups(none).count() == 0
