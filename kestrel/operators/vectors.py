@@ -1,15 +1,26 @@
 """Vector search.
 
 Exact search scores every table row against every query vector.  The queries are cut into
-blocks of about ``BLOCK`` vectors (one array value for each block); a table row meets every
-block by an equi-join on (block, salt), is scored against the block's array in place, and
+blocks of about ``BLOCK`` vectors (one array value for each block); a table row goes through one
+shuffle at most, to its salt, meets every block there, is scored against the block's array in place, and
 the top-k per query uses ``row_number() <= k``, which Spark plans with a partial group limit
 before the shuffle, so a query never gathers more than k x partitions candidates in one task.
 The query set has no bound and does not pass through the driver.
+
+Approximate search (V5) has an inverted file with sign codes.  Every row is in the list of its nearest
+centroid, with a code of ``BITS`` bits: on which side of as many planes through the origin the vector
+lies, so differing bits estimate the angle.  A query visits the lists nearest to it, ranks
+their rows by differing bits inside the join, and only the first ``RERANK`` x k rows become candidates,
+whose vectors are fetched and scored.  Centroids and the number of lists to visit are fitted on a bounded sample;
+every row is indexed.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,9 +62,8 @@ def score_all(table: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k
          # every salt needs the block: the rows of the table are spread over the salts
          .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     t = unit_vectors(table.select(id_col, vec_col, *keep), vec_col)
-    t = (t.select(id_col, "_u", *keep, F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
-         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
-    scored = t.join(q, ["_block", "_salt"]).select(id_col, *keep, F.inline(F.transform(
+    t = t.select(id_col, "_u", *keep, F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
+    scored = t.join(q, "_salt").select(id_col, *keep, F.inline(F.transform(
         "_qs", lambda x: F.struct(x["qid"].alias("qid"), _dot(x["qunit"], F.col("_u")).alias("score")))))
     if exclude_self:
         scored = scored.where(F.col("qid") != F.col(id_col))
@@ -82,27 +92,109 @@ def knn_crowding(table: DataFrame, queries: DataFrame, k: int, per_group: int, c
     return top_k(s, k, id_col)
 
 
-def ann_lsh(table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-            bucket_length: float = 1.0, num_tables: int = 12, threshold: float = 2.0, seed: int = 42) -> DataFrame:
-    """V5: approximate neighbours with random-projection LSH on unit vectors
-    (Euclidean distance on unit vectors is monotone in cosine), top k per query."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df, idc, vc):
-        v = F.col(vc).cast("array<double>")
-        n = F.sqrt(_dot(v, v))
-        return df.select(F.col(idc).alias("id"), array_to_vector(F.transform(v, lambda x: x / n)).alias("v")) \
-                 .where(n > 0)
-    t, q = unit(table, id_col, vec_col), unit(queries, "qid", "qvec")
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(t)
-    pairs = model.approxSimilarityJoin(q, t, threshold, distCol="dist").select(
-        F.col("datasetA.id").alias("qid"), F.col("datasetB.id").alias(id_col), "dist")
-    pairs = pairs.where(F.col("qid") != F.col(id_col)).withColumn("score", 1 - F.col("dist") ** 2 / 2)
-    found = top_k(pairs.drop("dist"), k, id_col)
-    # queries that share their buckets with fewer than k rows get the exact search
-    full = found.groupBy("qid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("qid")
-    short = queries.select("qid", "qvec").join(full, "qid", "left_anti")
-    return (found.join(full, "qid", "left_semi")
-            .unionByName(knn(table, short, k, id_col, vec_col).select("qid", id_col, "score", "rank")))
+# ---------------------------------------------------------------- V5: inverted file with sign codes
+BITS = 1024
+RERANK = 4                    # candidates of a query for each neighbour asked for
+SAMPLE = 4096                 # vectors that centroids and probes are fitted on
+SAMPLE_QUERIES = 256
+LIST_RECALL = 0.98            # share of the sample's neighbours that visited lists must hold
+_CODES = [f"_c{i}" for i in range(BITS // 64)]
+
+
+@dataclass
+class InvertedFile:
+    centroids: np.ndarray     # (lists, dimensions), of length one
+    planes: np.ndarray        # (dimensions, BITS)
+    probes: int               # lists that a query visits
+
+    def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` nearest lists of each vector, nearest first."""
+        return np.argsort(-(x @ self.centroids.T), axis=1, kind="stable")[:, :n]
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        return np.packbits(x @ self.planes > 0, axis=1, bitorder="little").view("<i8")
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _spherical_kmeans(x: np.ndarray, lists: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
+    c = x[rng.choice(len(x), lists, replace=False)]
+    for _ in range(rounds):
+        own = (x @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, own, x)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        c = np.where(size > 0, sums / np.where(size > 0, size, 1), c)
+    return c
+
+
+def indexable(df: DataFrame, vec_col: str) -> DataFrame:
+    """Rows with a vector of some length; a zero vector has no direction."""
+    v = F.col(vec_col).cast("array<double>")
+    return df.where(F.coalesce(_dot(v, v) > 0, F.lit(False)))
+
+
+def fit_inverted_file(table: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
+                      sample: int = SAMPLE, seed: int = 42) -> InvertedFile:
+    """Centroids and probes from the ``sample`` rows with the smallest hashes of the id (all rows, if there are
+    fewer).  Nearer neighbours than the sample's only make the visited lists hold more of them."""
+    rows = indexable(table, vec_col).select(F.xxhash64(id_col).alias("h"), F.col(vec_col).cast("array<double>").alias("v"))
+    share = min(1.0, 2.0 * sample / max(1, rows.count()))
+    some = rows.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("h").limit(sample).select("v").collect()
+    if not some:
+        return InvertedFile(np.zeros((1, 1)), np.zeros((1, BITS)), 1)
+    x = _unit(np.array([r.v for r in some], float))
+    rng = np.random.default_rng(seed)
+    # planes at right angles within each set estimate angles better than independent ones
+    sets = [np.linalg.qr(rng.normal(size=(x.shape[1], x.shape[1])))[0] for _ in range(-(-BITS // x.shape[1]))]
+    lists = max(1, min(128, round(len(x) ** 0.5 / 2)))
+    index = InvertedFile(_spherical_kmeans(x, lists, rng), np.concatenate(sets, axis=1)[:, :BITS], lists)
+    q = x[:SAMPLE_QUERIES]
+    scores = q @ x.T
+    scores[np.arange(len(q)), np.arange(len(q))] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :k]
+    own = index.nearest(x, 1)[:, 0]
+    place = np.argsort(index.nearest(q, lists), axis=1)          # of each list in the query's order
+    visits = np.take_along_axis(place, own[best], axis=1).ravel()
+    index.probes = int(np.quantile(visits, LIST_RECALL, method="higher")) + 1
+    return index
+
+
+def _coded(df: DataFrame, index: InvertedFile, id_col: str, vec_col: str, probes: int) -> DataFrame:
+    """(id, list, code words): a row for each of the nearest ``probes`` lists of a vector."""
+    def run(parts):
+        for batch in parts:
+            v = batch.column(1)
+            x = _unit(v.values.to_numpy().reshape(len(v), -1)[:, :index.centroids.shape[1]]) if len(v) else np.zeros((0, index.centroids.shape[1]))
+            near, code = index.nearest(x, probes), index.codes(x)
+            at = np.repeat(np.arange(len(x)), near.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)), pa.array(near.ravel().astype(np.int32)),
+                 *[pa.array(np.ascontiguousarray(code[at, i])) for i in range(len(_CODES))]], names=["id", "list", *_CODES])
+    given = indexable(df, vec_col).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    return given.mapInArrow(run, "id long, list int, " + ", ".join(f"{c} long" for c in _CODES))
+
+
+def ann_candidates(index: InvertedFile, table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
+                   vec_col: str = "embedding", exclude_self: bool = True) -> DataFrame:
+    """(qid, id): the rows of visited lists with the fewest differing bits, RERANK x k for each query."""
+    t = _coded(table, index, id_col, vec_col, 1).alias("t")
+    q = _coded(queries, index, "qid", "qvec", index.probes).alias("q")
+    bits = [F.bit_count(F.col(f"t.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in _CODES]
+    pairs = t.join(q, F.col("t.list") == F.col("q.list")).select(
+        F.col("q.id").alias("qid"), F.col("t.id").alias(id_col), sum(bits[1:], bits[0]).alias("apart"))
+    if exclude_self:
+        pairs = pairs.where(F.col("qid") != F.col(id_col))
+    w = Window.partitionBy("qid").orderBy("apart", id_col)
+    return pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= RERANK * k).select("qid", id_col)
+
+
+def ann_search(candidates: DataFrame, table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
+               vec_col: str = "embedding") -> DataFrame:
+    """V5: (qid, id, score, rank), the nearest k candidates of each query by their cosine."""
+    t = unit_vectors(table.select(id_col, vec_col), vec_col).select(id_col, "_u")
+    q = unit_vectors(queries.select("qid", "qvec"), "qvec", "_q").select("qid", "_q")
+    scored = candidates.join(t, id_col).join(q, "qid").select("qid", id_col, _dot(F.col("_q"), F.col("_u")).alias("score"))
+    return top_k(scored, k, id_col)

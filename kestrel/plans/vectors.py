@@ -1,5 +1,5 @@
-"""Vector-search queries over ``embeddings``: the query set is the lowest vec_id of
-each label (one query per label value)."""
+"""Vector-search queries over ``embeddings``: the queries are the rows whose vec_id is divisible by 50,
+searched in all rows."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ from kestrel.functions.scalars import round_half_away
 
 from kestrel.operators import vectors as V
 from kestrel.plans.registry import query
+from kestrel.session import scratch_path
 from kestrel.sources.tables import table
 
 K = 10
 
-_Q = """q AS (SELECT vec_id AS qid, embedding AS qvec FROM (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rk FROM embeddings) WHERE rk = 1)"""
+_Q = "q AS (SELECT vec_id AS qid, embedding AS qvec FROM embeddings WHERE vec_id % 50 = 0)"
 
 
 def _rank_sql(scored: str, k: int = K) -> str:
@@ -29,8 +29,7 @@ def _emb(spark, sf):
 
 
 def _queries(emb):
-    first = emb.groupBy("label").agg(F.min_by(F.struct("vec_id", "embedding"), "vec_id").alias("q"))
-    return first.select(F.col("q.vec_id").alias("qid"), F.col("q.embedding").alias("qvec"))
+    return emb.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
 
 
 def _out(df):
@@ -54,17 +53,19 @@ def q_knn_topk(spark, sf):
 
 
 @query("knn_by_vector", """
-WITH x AS (SELECT generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings WHERE label = 0),
-c AS (SELECT list(m ORDER BY pos) AS qvec FROM (SELECT pos, avg(v) AS m FROM x GROUP BY pos))
+WITH x AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
+c AS (SELECT -1 - label::BIGINT AS qid, list(m ORDER BY pos) AS qvec FROM (
+        SELECT label, pos, avg(v) AS m FROM x GROUP BY label, pos) GROUP BY label)
 """ + _rank_sql("""
-  SELECT CAST(-1 AS BIGINT) AS qid, e.vec_id, list_cosine_similarity(c.qvec, e.embedding::DOUBLE[]) AS score
+  SELECT c.qid, e.vec_id, list_cosine_similarity(c.qvec, e.embedding::DOUBLE[]) AS score
   FROM c CROSS JOIN embeddings e"""))
 def q_knn_by_vector(spark, sf):
+    """V2: given vectors that are no rows of the table, here the mean of each label (qid -1 - label)."""
     e = _emb(spark, sf)
-    cen = (e.where(F.col("label") == 0).select(F.posexplode(F.col("embedding").cast("array<double>")))
-            .groupBy("pos").agg(F.avg("col").alias("m"))
-            .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("qvec"))
-            .select(F.lit(-1).cast("bigint").alias("qid"), "qvec"))
+    cen = (e.select("label", F.posexplode(F.col("embedding").cast("array<double>")))
+            .groupBy("label", "pos").agg(F.avg("col").alias("m"))
+            .groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("qvec"))
+            .select((F.lit(-1) - F.col("label").cast("bigint")).alias("qid"), "qvec"))
     return _out(V.knn(e, cen, K, exclude_self=False))
 
 
@@ -86,16 +87,42 @@ def q_knn_crowding(spark, sf):
     return _out(V.knn_crowding(e, _queries(e), K, 2, "label"))
 
 
-@query("ann_lsh", "WITH " + _Q + """
-SELECT qid, CAST({K} AS BIGINT) AS n_neighbours, true AS recall_reached FROM q""".replace("{K}", str(K)))
-def q_ann_lsh(spark, sf):
-    """V5: how many approximate neighbours each query has, and whether nine of ten are exact ones."""
+def _ann(spark, sf):
+    """(neighbours, candidates, figures) of the approximate search; figures: one row with the queries, the recall
+    against exact search and the candidates as a share of all pairs of a query and a row."""
     e = _emb(spark, sf)
     q = _queries(e)
-    approx = V.ann_lsh(e, q, K)
+    index = V.fit_inverted_file(e, K)
+    path = scratch_path(spark, "ann-candidates")      # written once: the search and the figures use them
+    V.ann_candidates(index, e, q, K).write.parquet(path)
+    cand = spark.read.parquet(path)
+    found = V.ann_search(cand, e, q, K)
     exact = V.knn(e, q, K).select("qid", "vec_id", F.lit(1).alias("hit"))
-    return approx.join(exact, ["qid", "vec_id"], "left").groupBy("qid").agg(
-        F.count(F.lit(1)).alias("n_neighbours"), (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * K).alias("recall_reached"))
+    hits = found.join(exact, ["qid", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
+    figures = (hits.select("n", (F.col("hits") / exact.agg(F.count("hit")).scalar()).alias("recall"))
+               .withColumn("n_queries", q.agg(F.count("qid")).scalar())
+               .withColumn("candidate_share", cand.agg(F.count("qid")).scalar()
+                           / (F.col("n_queries") * e.agg(F.count("vec_id")).scalar())))
+    return found, figures
+
+
+@query("ann_lsh", f"""
+SELECT count(*) AS n_queries, {K} * count(*) AS n_neighbours, true AS recall_reached, true AS few_candidates
+FROM embeddings WHERE vec_id % 50 = 0""")
+def q_ann_lsh(spark, sf):
+    """V5: approximate neighbours of all queries; whether nine of ten are exact ones, and whether fewer than a
+    tenth of all pairs were scored for that."""
+    _, figures = _ann(spark, sf)
+    return figures.select("n_queries", F.col("n").alias("n_neighbours"), (F.col("recall") >= 0.9).alias("recall_reached"),
+                          (F.col("candidate_share") < 0.1).alias("few_candidates"))
+
+
+@query("ann_neighbours")
+def q_ann_neighbours(spark, sf):
+    """V5: the approximate neighbours themselves, with the measured recall and share of candidates of the search."""
+    found, figures = _ann(spark, sf)
+    one = figures.select(F.struct(F.round("recall", 4).alias("recall"), F.round("candidate_share", 4).alias("candidate_share")).alias("f")).scalar()
+    return _out(found).withColumn("f", one).select("qid", "vec_id", "score", "rank", "f.recall", "f.candidate_share")
 
 
 @query("crowding_topk", "WITH " + _Q + """,

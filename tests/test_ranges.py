@@ -55,3 +55,21 @@ def test_more_queries_than_a_block(spark):
     for qid in (0, 500, 10_999):
         want = [rows[-40 + i][0] for i in np.argsort(-(table @ np.array(rows[qid][1])))[:3]]
         assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.qid == qid] == want
+
+
+def test_inverted_file(spark):
+    """Clustered vectors need few lists; rows without a direction are not found; recall against exact search."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(12, 16))
+    rows = [(i, (centers[i % 12] + 0.2 * rng.normal(size=16)).tolist()) for i in range(1500)] + [(5000, [0.0] * 16), (5001, None)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    q = t.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    index = V.fit_inverted_file(t, 10)
+    assert index.probes < len(index.centroids) / 2
+    found = V.ann_search(V.ann_candidates(index, t, q, 10), t, q, 10)
+    exact = V.knn(t, q, 10).where("score is not null")
+    got, want = ({(r.qid, r.vec_id) for r in d.collect()} for d in (found, exact))
+    assert len(got) == 300 and len(got & want) >= 0.9 * len(got)
+    assert not {5000, 5001} & {v for _, v in got}
+    empty = V.fit_inverted_file(t.limit(0), 10)
+    assert V.ann_candidates(empty, t.limit(0), q.limit(0), 10).count() == 0
