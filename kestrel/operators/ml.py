@@ -8,7 +8,7 @@ executors.
 from __future__ import annotations
 
 import json
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from kestrel.fixed import (IMPUTE_FILL, LOGREG_MAX_ITER, MAX_CLASSES, MAX_DEPTH, N_ESTIMATORS, RUN_NAME,
                            SEED, TOP_IMPORTANCES)
+from kestrel.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
 from kestrel.operators.quantiles import exact_quantiles
 
 _BUCKET_HEX = 4          # 16**4 = 65536 ordered hash buckets per stratum
@@ -220,17 +221,15 @@ def _assembler(features: list[str]):
 def estimator(model_type: str, task: str, n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH,
               seed: int = SEED, label: str = "label"):
     """Model factory by type and task; unknown type is an error."""
-    from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                           RandomForestClassifier)
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     depth = min(max_depth, 30)
     if model_type == "random_forest":
         cls = RandomForestClassifier if task == "classification" else RandomForestRegressor
         return cls(numTrees=n_estimators, maxDepth=depth, seed=seed, labelCol=label, featuresCol="features")
     if model_type == "gradient_boosting":
-        if task == "classification":     # M7: multiclass boosting as one-vs-rest
-            return OneVsRest(classifier=GBTClassifier(maxIter=n_estimators, maxDepth=depth, seed=seed),
-                             labelCol=label, featuresCol="features")
+        if task == "classification":     # M7: one softmax model for all classes, fitted on the plain columns
+            return partial(fit_softmax_boosting, rounds=n_estimators, depth=depth)
         return GBTRegressor(maxIter=n_estimators, maxDepth=depth, seed=seed, labelCol=label, featuresCol="features")
     if model_type == "logistic_regression":
         if task != "classification":
@@ -242,9 +241,12 @@ def estimator(model_type: str, task: str, n_estimators: int = N_ESTIMATORS, max_
 def fit_model(train: DataFrame, target: str, features: list[str], model_type: str = "random_forest",
               task: str = "classification", n_estimators: int = N_ESTIMATORS, max_depth: int = MAX_DEPTH,
               seed: int = SEED):
-    """M5–M9: a PipelineModel (label indexing for classification, assembler, estimator)."""
+    """M5–M9: a PipelineModel (label indexing for classification, assembler, estimator), or the
+    boosting of several classes (``SoftmaxBoosting``)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
+    if (model_type, task) == ("gradient_boosting", "classification"):
+        return estimator(model_type, task, n_estimators, max_depth, seed)(train, target, features)
     stages = []
     label = target
     if task == "classification":
@@ -253,10 +255,9 @@ def fit_model(train: DataFrame, target: str, features: list[str], model_type: st
     stages += [_assembler(features), estimator(model_type, task, n_estimators, max_depth, seed, label)]
     # estimators pass over the input many times and are CPU-bound per row: the split is a
     # written table, spread here over all cores and kept while fitting
-    train = train.repartition(train.sparkSession.sparkContext.defaultParallelism) if not train.is_cached else train
     owned = not train.is_cached
     if owned:
-        train = train.persist()
+        train = _spread(train).persist()
     try:
         return Pipeline(stages=stages).fit(train)
     finally:
@@ -264,9 +265,16 @@ def fit_model(train: DataFrame, target: str, features: list[str], model_type: st
             train.unpersist()
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores: a written split has few partitions when it is small."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def score_model(model, df: DataFrame, target: str, task: str) -> DataFrame:
     """Batch prediction as (y, p) in the target's own values."""
     pred = model.transform(df)
+    if isinstance(model, SoftmaxBoosting):
+        return pred.select(F.col(target).alias("y"), F.col("prediction").alias("p"))
     if task == "classification":
         labels = model.stages[0].labels
         from pyspark.ml.feature import IndexToString
@@ -286,12 +294,11 @@ def evaluate(model, df: DataFrame, target: str, task: str) -> DataFrame:
 def feature_importance(spark, model, features: list[str], top: int = TOP_IMPORTANCES) -> DataFrame:
     """Importances by feature, largest first, at most ``top`` rows.
     The vector has one entry per feature column (model metadata, not data)."""
-    est = model.stages[-1]
-    if hasattr(est, "featureImportances"):
+    est = model if isinstance(model, SoftmaxBoosting) else model.stages[-1]
+    if isinstance(est, SoftmaxBoosting):
+        imp = est.importances()
+    elif hasattr(est, "featureImportances"):
         imp = est.featureImportances.toArray().tolist()
-    elif hasattr(est, "models"):      # one-vs-rest: average the per-class trees
-        arrs = [m.featureImportances.toArray().tolist() for m in est.models]
-        imp = [sum(a[i] for a in arrs) / len(arrs) for i in range(len(features))]
     else:
         # coefficients of classes cancel in a mean: their sizes are averaged
         imp = abs(est.coefficientMatrix.toArray()).mean(axis=0).tolist()
@@ -301,9 +308,14 @@ def feature_importance(spark, model, features: list[str], top: int = TOP_IMPORTA
 
 def save_model(model, path: str, meta: dict) -> None:
     """Persist the model and a metadata row next to it."""
-    model.write().overwrite().save(path)
     from pyspark.sql import SparkSession
-    SparkSession.getActiveSession().createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1) \
+    spark = SparkSession.getActiveSession()
+    if isinstance(model, SoftmaxBoosting):
+        model.save(spark, path)
+        meta = meta | {"kind": "softmax_boosting"}
+    else:
+        model.write().overwrite().save(path)
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1) \
         .write.mode("overwrite").json(path.rstrip("/") + "_meta")
 
 
@@ -311,14 +323,17 @@ def load_model(spark, path: str):
     """Reload the model and its metadata."""
     from pyspark.ml import PipelineModel
     meta = json.loads(spark.read.json(path.rstrip("/") + "_meta").first()["meta"])
+    if meta.get("kind") == "softmax_boosting":
+        return SoftmaxBoosting.load(spark, path), meta
     return PipelineModel.load(path), meta
 
 
 def _fit_all(train: DataFrame, test: DataFrame, specs: list, fit_one) -> list:
-    """Fit several models concurrently from a small thread pool (each fit is its own
-    stream of Spark jobs; the executors interleave them).  Inputs stay cached meanwhile."""
+    """Fit several models from a small thread pool (each fit is its own stream of Spark jobs; the
+    executors interleave them).  Inputs stay cached meanwhile, spread over all cores."""
     from concurrent.futures import ThreadPoolExecutor
-    train, test = train.persist(), test.persist()
+    # spread before it is kept: every fit works on these partitions
+    train, test = _spread(train).persist(), _spread(test).persist()
     try:
         with ThreadPoolExecutor(max_workers=min(FIT_PARALLELISM, max(1, len(specs)))) as pool:
             return list(pool.map(lambda sp: fit_one(train, test, sp), specs))
