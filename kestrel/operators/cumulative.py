@@ -57,3 +57,23 @@ def running(df: DataFrame, keys: list[str], order: str, cols: list[str], how: st
         val = F.when(before.isNull(), inside).when(inside.isNull(), before).otherwise(comb(before, inside))
         out = out.withColumn(f"{prefix}{c}", val)
     return out.drop("_pid", *[f"_o_{c}" for c in cols], *[f"_i_{c}" for c in cols])
+
+
+def last_value(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, partitions: int | None = None,
+               name: str = "last") -> DataFrame:
+    """Adds ``out`` = the last non-null ``value`` of the same ``keys`` up to and with the row, in ``order`` (nulls
+    first).  Null keys form a group.  Rows are cut into ranges of (keys, order), so a key that holds a third of
+    them is spread over as many ranges; the last value of a range is carried to the later ranges of its key
+    through a table of keys x ranges rows."""
+    ranged = in_ranges(df, *[F.col(k) for k in keys], *[F.col(c) for c in order], partitions=partitions, name=name)
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    per = ranged.groupBy(*keys, "_pid").agg(F.max_by(F.col(value), known).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_k_pid"),
+                       F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    same = F.col("_pid") == F.col("_k_pid")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = Window.partitionBy(*keys, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (ranged.withColumn("_in", F.last(value, ignorenulls=True).over(inside)).join(carry, same)
+            .withColumn(out, F.coalesce("_in", "_carry")).drop("_pid", "_in", "_carry", "_k_pid", *[f"_k_{k}" for k in keys]))

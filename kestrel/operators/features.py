@@ -3,9 +3,9 @@
 * latest value per entity is a hash aggregation (``max_by`` of the row by
   (timestamp, tie-break)) — partial aggregation per partition, so a hot entity
   never lands in one task;
-* the point-in-time (as-of) join never sorts a whole entity in one task: rows
-  are windowed per (entity, hour) and the value carried in from earlier
-  buckets comes from a per-bucket summary (one row per entity and bucket).
+* the point-in-time (as-of) join never sorts a whole entity in one task: the stream of
+  labels and features is cut at sampled bounds of (entity, time), and the last feature of a
+  range is carried to the later ranges of its entity.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.operators.cumulative import last_value
+
 
 # ---------------------------------------------------------------- R1-R3, P11 registry
 @dataclass
@@ -132,37 +134,24 @@ def fetch_feature_values(latest: DataFrame, requested: DataFrame, key: str, feat
 
 # ---------------------------------------------------------------- J4 point in time
 def point_in_time(labels: DataFrame, feats: DataFrame, key: str, label_ts: str, feat_ts: str,
-                  values: list[str], tie: str | None = None, bucket: str = "hour") -> DataFrame:
+                  values: list[str], tie: str | None = None, partitions: int | None = None) -> DataFrame:
     """For every label row, the latest feature row of the same entity with
     feature time <= label time (a feature at the same instant counts); no such row
     -> nulls.  Ties among feature rows at one instant break on ``tie``.
 
-    Plan: (1) union labels and features, window per (entity, time bucket) ordered
-    by (time, features-first, tie) taking the last non-null feature struct;
-    (2) per (entity, bucket) the last feature row of the bucket, carried forward over
-    earlier buckets with a window over that per-bucket table; (3) coalesce."""
+    Labels and features are one ordered stream in which the last feature is carried on
+    (``last_value``): an entity with a third of all rows, even within one instant's neighbourhood, is
+    cut into ranges like any other stretch of the stream."""
     lcols = labels.columns
-    fstruct = F.struct(*[F.col(v) for v in values])
     tcol = F.col(tie) if tie else F.lit(0)
     lab = labels.select(F.struct(*[F.col(c) for c in lcols]).alias("_l"), F.col(key).alias("_k"),
                         F.col(label_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"))
-    # a null entity matches nothing
-    fea = feats.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(feat_ts).alias("_t"), F.lit(0).alias("_side"),
-                       tcol.cast("long").alias("_tie"), fstruct.alias("_f"))
-    fschema = fea.schema["_f"].dataType
-    lab = lab.withColumn("_f", F.lit(None).cast(fschema))
+    # a null entity or time matches nothing
+    fea = feats.where(F.col(key).isNotNull() & F.col(feat_ts).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(feat_ts).alias("_t"), F.lit(0).alias("_side"), tcol.cast("long").alias("_tie"),
+        F.struct(*[F.col(v) for v in values]).alias("_f"))
+    lab = lab.withColumn("_f", F.lit(None).cast(fea.schema["_f"].dataType))
     fea = fea.withColumn("_l", F.lit(None).cast(lab.schema["_l"].dataType))
-    u = lab.unionByName(fea).withColumn("_b", F.date_trunc(bucket, F.col("_t")))
-    order = [F.col("_t"), F.col("_side"), F.col("_tie")]
-    w = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = u.withColumn("_in", F.last("_f", ignorenulls=True).over(w))
-    # per (entity, bucket): last feature struct of the bucket (null when the bucket has only labels)
-    per_b = u.groupBy("_k", "_b").agg(F.max_by(F.col("_f"), F.struct(F.when(F.col("_side") == 0, 1).otherwise(0),
-                                                                        F.col("_t"), F.col("_tie"))).alias("_lastf"),
-                                      F.max(F.when(F.col("_side") == 0, 1)).alias("_hasf"))
-    per_b = per_b.withColumn("_lastf", F.when(F.col("_hasf") == 1, F.col("_lastf")))
-    wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_b.select("_k", "_b", F.last("_lastf", ignorenulls=True).over(wb).alias("_carry"))
-    res = within.where(F.col("_side") == 1).join(carry, ["_k", "_b"], "left")
-    got = F.coalesce(F.col("_in"), F.col("_carry"))
-    return res.select(*[F.col(f"_l.{c}").alias(c) for c in lcols], *[got[v].alias(v) for v in values])
+    got = last_value(lab.unionByName(fea), ["_k"], ["_t", "_side", "_tie"], "_f", "_got", partitions, "as-of")
+    return got.where(F.col("_side") == 1).select(*[F.col(f"_l.{c}").alias(c) for c in lcols],
+                                                 *[F.col(f"_got.{v}").alias(v) for v in values])

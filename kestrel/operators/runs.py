@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.cumulative import running
+from kestrel.operators.cumulative import last_value, running
 
 LOG_SCHEMA = "experiment string, run string, kind string, key string, step bigint, value double, text string"
 
@@ -139,21 +139,21 @@ def cache_key(*cols) -> F.Column:
 
 
 def step_cache(requests: DataFrame, executions: DataFrame, key: str = "cache_key",
-               pipeline: str = "pipeline") -> DataFrame:
+               pipeline: str = "pipeline", partitions: int | None = None) -> DataFrame:
     """For each requested step (started at ``start_time``), the newest successful execution of
     the same pipeline with the same key that finished before it (hit -> reuse its output; the
     greatest uri among equal times).
 
-    Requests and executions of a key are one ordered stream, so a key that is asked for often
-    does not multiply."""
+    Requests and executions of a key are one ordered stream in which the last output is carried on
+    (``last_value``), so a key that is asked for often neither multiplies nor sits in one task."""
     cols = requests.columns
     asked = requests.select(pipeline, key, F.col("start_time").alias("_t"), F.lit(0).alias("_side"),
                             F.struct(*cols).alias("_r"), F.lit(None).cast("string").alias("_uri"))
-    done = executions.select(pipeline, key, F.col("finished").alias("_t"), F.lit(1).alias("_side"),
-                             F.lit(None).cast(asked.schema["_r"].dataType).alias("_r"), F.col("output_uri").alias("_uri"))
-    w = Window.partitionBy(pipeline, key).orderBy("_t", "_side", "_uri").rowsBetween(Window.unboundedPreceding, 0)
-    return (asked.unionByName(done).withColumn("cached_output", F.last("_uri", ignorenulls=True).over(w))
-            .where("_side = 0").select(*[F.col(f"_r.{c}").alias(c) for c in cols], "cached_output")
+    done = executions.where(F.col("finished").isNotNull()).select(
+        pipeline, key, F.col("finished").alias("_t"), F.lit(1).alias("_side"),
+        F.lit(None).cast(asked.schema["_r"].dataType).alias("_r"), F.col("output_uri").alias("_uri"))
+    got = last_value(asked.unionByName(done), [pipeline, key], ["_t", "_side", "_uri"], "_uri", "_cached", partitions, "step-cache")
+    return (got.where("_side = 0").select(*[F.col(f"_r.{c}").alias(c) for c in cols], F.col("_cached").alias("cached_output"))
             .withColumn("hit", F.col("cached_output").isNotNull()))
 
 

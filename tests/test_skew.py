@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import features as FS
 from kestrel.operators import ml as M
+from kestrel.operators import cumulative as C
+from kestrel.operators import runs as R
 from kestrel.operators.cumulative import running
 
 
@@ -60,3 +62,58 @@ def test_running_max_hot_group(spark, hot):
     p["prev_max"] = p.groupby("k")["v"].transform(lambda s: s.cummax().shift(1))
     for i, v in zip(p.id, p.prev_max):
         assert (got[i] is None and np.isnan(v)) or got[i] == pytest.approx(v)
+
+
+def _most_rows_in_a_task(monkeypatch, run):
+    """The largest share of rows that one range of the stream gets while ``run`` runs."""
+    seen = []
+    cut = C.in_ranges
+
+    def spy(*args, **kw):
+        out = cut(*args, **kw)
+        n = out.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+        seen.append(n[0] / n[1])
+        return out
+    monkeypatch.setattr(C, "in_ranges", spy)
+    result = run()
+    return max(seen), result
+
+
+def test_as_of_hot_entity_spreads(spark, hot, monkeypatch):
+    """An entity with 40 % of all rows, all inside one hour."""
+    pdf, df = hot
+    one = df.withColumn("t", F.when(F.col("k") == 0, F.lit("2024-01-03 10:00:00").cast("timestamp_ntz")
+                                    + F.make_dt_interval(secs=(F.col("id") % 3600).cast("decimal(18,6)"))).otherwise(F.col("t")))
+    labels = one.where(F.col("id") % 3 == 0).select(F.col("id").alias("lid"), "k", "t")
+    feats = one.where(F.col("id") % 3 != 0).select("k", F.col("t").alias("ft"), "v", "id")
+    most, got = _most_rows_in_a_task(monkeypatch, lambda: {r.lid: r.v for r in FS.point_in_time(
+        labels, feats, "k", "t", "ft", ["v"], tie="id", partitions=16).collect()})
+    assert most < 0.15
+    p = one.toPandas().sort_values(["t", "id"])
+    last: dict = {}
+    want = {}
+    for t, group in p.groupby("t", sort=True):
+        for r in group[group.id % 3 != 0].itertuples():
+            last[r.k] = r.v
+        for r in group[group.id % 3 == 0].itertuples():
+            want[r.id] = last.get(r.k)
+    assert got == want
+
+
+def test_step_cache_hot_key_spreads(spark, monkeypatch):
+    """One cache key has 40 % of the requests and of the executions; times tie, outputs may be null."""
+    rng = np.random.default_rng(3)
+    n = 3000
+    key = np.where(rng.random(n) < 0.4, 0, rng.integers(1, 40, n))
+    t = rng.integers(0, 2000, n)
+    req = [(int(i), "p", f"k{key[i]}" if key[i] != 5 else None, int(t[i])) for i in range(n)]
+    ex = [("p", f"k{key[i]}" if key[i] != 5 else None, f"out{i}" if i % 7 else None, int(t[(i * 17) % n]) if i % 11 else None) for i in range(n)]
+    requests = spark.createDataFrame(req, "id long, pipeline string, cache_key string, start_time long")
+    executions = spark.createDataFrame(ex, "pipeline string, cache_key string, output_uri string, finished long")
+    most, got = _most_rows_in_a_task(monkeypatch, lambda: {r.id: (r.cached_output, r.hit) for r in R.step_cache(
+        requests, executions, partitions=16).collect()})
+    assert most < 0.15
+    for i, _, k, start in req:
+        done = [(f, u) for _, k2, u, f in ex if k2 == k and u is not None and f is not None and f < start]
+        want = max(done)[1] if done else None
+        assert got[i] == (want, want is not None)
