@@ -27,6 +27,8 @@ class FeatureGroup:
     entity_columns: list[str]
     timestamp_column: str | None = None
     features: dict[str, str] = field(default_factory=dict)     # name -> description
+    labels: dict[str, str] = field(default_factory=dict)
+    feature_labels: dict[str, dict[str, str]] = field(default_factory=dict)
 
     def frame(self) -> DataFrame:
         """The validated group frame: keys, timestamp, registered features (all columns when none)."""
@@ -49,34 +51,40 @@ class Registry:
         self.monitors: dict[str, list[str]] = {}
 
     def create_group(self, name: str, source: DataFrame, entity_columns: list[str],
-                     timestamp_column: str | None = None) -> FeatureGroup:
+                     timestamp_column: str | None = None, labels: dict[str, str] | None = None) -> FeatureGroup:
         if name in self.groups:
             return self.groups[name]
-        g = FeatureGroup(name, source, list(entity_columns), timestamp_column)
+        g = FeatureGroup(name, source, list(entity_columns), timestamp_column, labels=dict(labels or {}))
         self.groups[name] = g
         return g
 
-    def create_feature(self, group: str, feature: str, description: str = "") -> None:
+    def create_feature(self, group: str, feature: str, description: str = "", labels: dict[str, str] | None = None) -> None:
         g = self.groups[group]
         if feature not in g.source.columns:
             raise ValueError(f"{feature} is not a column of {group}")
         g.features.setdefault(feature, description)
+        g.feature_labels.setdefault(feature, dict(labels or {}))
 
     def list_features(self, group: str) -> DataFrame:
-        """(group, feature, type, description) from the source schema."""
+        """(group, feature, type, description, labels) from the source schema; a feature has its group's labels,
+        and its own over them."""
         g = self.groups[group]
         types = {f.name: f.dataType.simpleString() for f in g.source.schema.fields}
-        rows = [(group, f, types[f], d) for f, d in g.features.items()]
-        return self.spark.createDataFrame(rows, "group string, feature string, type string, description string")
+        rows = [(group, f, types[f], d, g.labels | g.feature_labels.get(f, {})) for f, d in g.features.items()]
+        return self.spark.createDataFrame(rows, "group string, feature string, type string, description string, labels map<string,string>")
 
-    def search(self, term: str) -> DataFrame:
-        """Registered features whose name or description contains ``term``."""
+    def search(self, term: str = "", labels: dict[str, str | None] | None = None) -> DataFrame:
+        """Registered features whose name or description contains ``term`` and which have all ``labels`` (a
+        value of None: the key with any value)."""
         frames = [self.list_features(g) for g in self.groups]
         if not frames:
-            return self.spark.createDataFrame([], "group string, feature string, type string, description string")
-        allf = reduce(DataFrame.unionByName, frames)
+            return self.spark.createDataFrame(
+                [], "group string, feature string, type string, description string, labels map<string,string>")
         t = term.lower()
-        return allf.where(F.lower("feature").contains(t) | F.lower("description").contains(t))
+        found = reduce(DataFrame.unionByName, frames).where(F.lower("feature").contains(t) | F.lower("description").contains(t))
+        for key, value in (labels or {}).items():
+            found = found.where(F.map_contains_key("labels", key) if value is None else F.col("labels")[key] == value)
+        return found
 
     def delete_group(self, name: str) -> bool:
         """Delete monitors, then features, then the group; missing is success."""

@@ -65,22 +65,57 @@ def filter_prefix(objects: DataFrame, prefix: str, name: str = "name") -> DataFr
                    .withColumn("relative_path", F.substring(F.col(name), len(p) + 1, 1 << 30)))
 
 
+def match_directories(dirs: DataFrame, objects: DataFrame, name: str = "name", more: list[str] | None = None) -> DataFrame:
+    """Objects under each directory of ``dirs`` (distinct values in ``_dir``): every (directory, object) once, with
+    ``relative_path``; the directory marker (name == directory + '/') is skipped.  ``more``: further columns that
+    both sides have, such as a partition column of the listing."""
+    o = objects.withColumn("_dir", F.explode(ancestors(F.col(name))))
+    rel = F.expr(f"substring({name}, length(_dir) + 2)")
+    return dirs.join(o, ["_dir", *(more or [])]).withColumn("relative_path", rel).where(F.col("relative_path") != "")
+
+
 def join_message_prefix(messages: DataFrame, objects: DataFrame, path: str = "path",
                         name: str = "name") -> DataFrame:
     """Every (message, object) with object name under ``path + '/'``; adds
-    ``relative_path``; the directory marker (name == path + '/') is skipped."""
+    ``relative_path``; the directory marker (name == path + '/') is skipped.
+
+    Objects are matched with the distinct directories; the messages that name a directory are
+    attached to its matches afterwards."""
     m = messages.withColumn("_dir", strip_trailing_slash(F.col(path)))
-    o = objects.withColumn("_dir", F.explode(ancestors(F.col(name))))
-    j = m.join(o, "_dir")
-    rel = F.expr(f"substring({name}, length(_dir) + 2)")
-    return j.withColumn("relative_path", rel).where(F.col("relative_path") != "").drop("_dir")
+    matched = match_directories(m.select("_dir").distinct(), objects, name)
+    return m.join(matched, "_dir").drop("_dir")
+
+
+def mirror_objects(dirs: DataFrame, objects: DataFrame, content: DataFrame, key: str = "page_id",
+                   more: list[str] | None = None) -> DataFrame:
+    """K7: what a mirror holds, (dir, relative_path, length, content): each directory's objects once,
+    however many messages name it."""
+    return match_directories(dirs, objects, more=more).join(content, [key, *(more or [])]).select(
+        F.col("_dir").alias("dir"), "relative_path", F.octet_length("html").cast("bigint").alias("length"), F.col("html").alias("content"))
+
+
+def mirror_of_messages(messages: DataFrame, mirror: DataFrame, path: str = "path") -> DataFrame:
+    """The mirrored objects of each message: (message_id, path, and the columns of the mirror but the directory)."""
+    m = messages.select("message_id", path, strip_trailing_slash(F.col(path)).alias("dir"))
+    return m.join(mirror, "dir").drop("dir")
+
+
+# ---------------------------------------------------------------- T1: a listing that batches prune
+PARTS = 64
+
+
+def listing_part(name: Column) -> Column:
+    """The partition of a top directory (of a name or a path) in a written listing."""
+    return F.pmod(F.xxhash64(F.split_part(name, F.lit("/"), F.lit(1))), F.lit(PARTS)).cast("int")
 
 
-def mirror_rows(matched: DataFrame, content: DataFrame, key: str = "page_id") -> DataFrame:
-    """K7: the rows to write for a mirror: (message_id, relative_path, length, content)."""
-    return matched.join(content, key).select("message_id", "path", "relative_path",
-                                             F.octet_length("html").cast("bigint").alias("length"),
-                                             F.col("html").alias("content"))
+def write_listing(objects: DataFrame, content: DataFrame, path: str, key: str = "page_id", name: str = "name") -> str:
+    """The listing and the content as tables partitioned by top directory (hashed, so their number is bounded): a
+    batch reads the partitions of the directories that it names."""
+    parted = objects.withColumn("part", listing_part(F.col(name)))
+    parted.write.mode("overwrite").partitionBy("part").parquet(f"{path}/listing")
+    content.join(parted.select(key, "part"), key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/content")
+    return path
 
 
 # ---------------------------------------------------------------- A10-A12
@@ -122,11 +157,23 @@ def object_exists(names: DataFrame, objects: DataFrame, name: str = "name") -> D
 
 
 def list_files(spark, path: str, glob: str | None = None) -> DataFrame:
-    """Listing of real files (content column pruned: only metadata is read)."""
+    """Listing of real files (content column pruned: only metadata is read): path, name below ``path``,
+    length, modificationTime.  Files without bytes are not listed (Spark reads none of them)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path).select("path", "length", "modificationTime")
+    base = path.rstrip("/").split("/")[-1] + "/"
+    rel = F.element_at(F.split(F.col("path"), "/" + base.replace(".", "[.]")), -1)
+    return r.load(path).select("path", rel.alias("name"), "length", "modificationTime")
+
+
+def listing_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(name, change, length, length_before): files that are new, gone or of another length since an earlier listing."""
+    n, b = now.select("name", "length"), before.select("name", F.col("length").alias("length_before"))
+    change = (F.when(F.col("length_before").isNull(), "new").when(F.col("length").isNull(), "gone")
+              .when(F.col("length") != F.col("length_before"), "changed"))
+    return n.join(b, "name", "full_outer").withColumn("change", change).where("change IS NOT NULL").select(
+        "name", "change", "length", "length_before")
 
 
 def resolve_object(objects: DataFrame, prefix: str, explicit: str | None = None, name: str = "name",

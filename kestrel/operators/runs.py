@@ -158,9 +158,10 @@ def step_cache(requests: DataFrame, executions: DataFrame, key: str = "cache_key
 
 
 def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstream: bool = True,
-                    max_rounds: int | None = None, artifacts: list[str] | None = None) -> DataFrame:
+                    max_rounds: int | None = None, artifacts: list[str] | DataFrame | None = None) -> DataFrame:
     """(node, relative, depth) — all ancestors (or descendants) of the named
-    artifacts, or of every node.
+    artifacts (names, or a table with a column ``node``); of every node only when none are given, whose pairs
+    grow with the square of a chain's length.
 
     Iterative frontier join; each round joins only the newly found pairs, removes
     pairs already known (so cycles end), and is checkpointed to the shared
@@ -172,7 +173,12 @@ def lineage_closure(edges: DataFrame, src: str = "src", dst: str = "dst", upstre
     e = edges.select(F.col(dst).alias("node"), F.col(src).alias("rel")) if upstream else \
         edges.select(F.col(src).alias("node"), F.col(dst).alias("rel"))
     e = e.distinct()
-    start = e if artifacts is None else e.where(F.col("node").isin(artifacts))
+    if artifacts is None:
+        start = e
+    elif isinstance(artifacts, DataFrame):
+        start = e.join(artifacts.select("node").distinct(), "node", "left_semi")
+    else:
+        start = e.where(F.col("node").isin(artifacts))
     known = start.withColumn("depth", F.lit(1)).checkpoint()
     frontier = known
     d = 1

@@ -23,13 +23,13 @@ _EV_LATEST = """ev AS (SELECT user_id, value, event_type, ts FROM (
 
 def _registry(spark, sf):
     reg = FS.Registry(spark)
-    reg.create_group("user_features", features(spark, sf), ["entity_id"], "feature_timestamp")
-    for f, d in [("age", "age of the user in years"), ("income", "income of the user"),
-                 ("category", "segment category")]:
-        reg.create_feature("user_features", f, d)
-    reg.create_group("customers", table(spark, sf, "customer"), ["c_custkey"])
-    for f, d in [("c_acctbal", "account balance"), ("c_mktsegment", "market segment")]:
-        reg.create_feature("customers", f, d)
+    reg.create_group("user_features", features(spark, sf), ["entity_id"], "feature_timestamp", {"domain": "usage"})
+    for f, d, labels in [("age", "age of the user in years", {}), ("income", "income of the user", {"unit": "usd"}),
+                         ("category", "segment category", {"kind": "nominal"})]:
+        reg.create_feature("user_features", f, d, labels)
+    reg.create_group("customers", table(spark, sf, "customer"), ["c_custkey"], labels={"domain": "sales"})
+    for f, d, labels in [("c_acctbal", "account balance", {"unit": "usd"}), ("c_mktsegment", "market segment", {"kind": "nominal"})]:
+        reg.create_feature("customers", f, d, labels)
     return reg
 
 
@@ -47,7 +47,7 @@ def _non_null_counts(reg, group):
     row = fr.agg(*[F.count(c).alias(c) for c in feats])
     long = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("non_null"))
                                          for c in feats])))
-    return reg.list_features(group).join(long, "feature")
+    return reg.list_features(group).drop("labels").join(long, "feature")
 
 
 @query("feature_list", with_(FEATURES) + """
@@ -65,7 +65,9 @@ SELECT 'user_features' AS "group", 'income' AS feature, 'double' AS type, 'incom
 UNION ALL SELECT 'customers', 'c_acctbal', 'double', 'account balance', count(c_acctbal) FROM customer""")
 def q_metadata_search(spark, sf):
     reg = _registry(spark, sf)
-    hits = reg.search("balance").unionByName(reg.search("income"))
+    # by labels of the group and of the feature, by text and label, by text
+    hits = (reg.search(labels={"domain": "sales", "unit": None}).unionByName(reg.search("income", {"unit": "usd"}))
+            .unionByName(reg.search("balance")).select("group", "feature").distinct())
     counts = _non_null_counts(reg, "user_features").unionByName(_non_null_counts(reg, "customers"))
     return counts.join(hits.select("group", "feature"), ["group", "feature"], "left_semi")
 

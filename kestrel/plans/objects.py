@@ -11,7 +11,7 @@ from kestrel.plans.registry import query
 from kestrel.session import scratch_path
 from kestrel.sources.derived import messages, objects
 from kestrel.sources.tables import table
-from kestrel.streaming.ingest import run_object_ingest
+from kestrel.streaming.ingest import message_handler, mirrored, run_object_ingest
 
 _GOOD = MESSAGES + """,
 decoded AS (SELECT message_id, body,
@@ -32,8 +32,15 @@ def _matched(spark, sf):
     return O.join_message_prefix(good, objects(spark, sf))
 
 
+def _contents(spark, sf):
+    return table(spark, sf, "pages", "page_id", "html")
+
+
 def _mirror(spark, sf):
-    return O.mirror_rows(_matched(spark, sf), table(spark, sf, "pages", "page_id", "html"))
+    """(message_id, path, relative_path, length, content)."""
+    good, _bad = O.decode_messages(messages(spark, sf))
+    dirs = good.select(O.strip_trailing_slash(F.col("path")).alias("_dir")).distinct()
+    return O.mirror_of_messages(good, O.mirror_objects(dirs, objects(spark, sf), _contents(spark, sf)))
 
 
 @query("scan_object_metadata", with_(OBJECTS) + "SELECT * FROM objects")
@@ -41,13 +48,11 @@ def q_scan_object_metadata(spark, sf):
     return objects(spark, sf)
 
 
-@query("scan_object_listing", "SELECT " + ", ".join(
-    f"(SELECT count(*) FROM {t}) > 0 AS {t}" for t in ("documents", "events", "pages")))
+@query("scan_object_listing")
 def q_scan_object_listing(spark, sf):
-    """File listing of the input tables; which of them have files with bytes in them."""
-    names = F.split_part(F.split_part("path", F.lit(".parquet"), F.lit(1)), F.lit("/"), F.lit(-1))
-    found = O.list_files(spark, sf, "*.parquet").where(F.col("length") > 0).select(names.alias("t")).distinct()
-    return found.agg(*[F.coalesce(F.max(F.col("t") == t), F.lit(False)).alias(t) for t in ("documents", "events", "pages")])
+    """Every file of the input folder with its name and size (SQL over the tables cannot see files; the
+    tests hold it against the file system)."""
+    return O.list_files(spark, sf, "*.parquet").select("name", F.col("length").alias("size"))
 
 
 @query("object_exists", with_(OBJECTS) + """,
@@ -123,10 +128,13 @@ def q_join_message_prefix(spark, sf):
 
 @query("sink_mirror_prefix", with_(_GOOD) + "SELECT * FROM mir")
 def q_sink_mirror_prefix(spark, sf):
-    """K7: mirror rows written as Parquet (content included), read back without content."""
+    """K7: the objects of each directory written once (content included) beside the messages, read back
+    without content."""
     path = scratch_path(spark, "mirror")
-    _mirror(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).select("message_id", "path", "relative_path", "length")
+    good, _bad = O.decode_messages(messages(spark, sf))
+    dirs = good.select(O.strip_trailing_slash(F.col("path")).alias("_dir")).distinct()
+    O.mirror_objects(dirs, objects(spark, sf), _contents(spark, sf)).write.mode("overwrite").parquet(path)
+    return O.mirror_of_messages(good, spark.read.parquet(path).drop("content"))
 
 
 @query("latest_object", with_(_GOOD) + """
@@ -143,22 +151,22 @@ dirs AS (SELECT DISTINCT message_id, array_to_string(list_slice(parts, 1, i), '/
          FROM (SELECT message_id, string_split(relative_path, '/') AS parts,
                       unnest(generate_series(1, len(string_split(relative_path, '/')) - 1)) AS i
                FROM mir WHERE contains(relative_path, '/')))
-SELECT message_id, entry, kind, CAST(size AS DOUBLE) AS size FROM files
-UNION ALL SELECT message_id, entry, 'DIR', CAST(NULL AS DOUBLE) FROM dirs""")
+SELECT message_id, entry, kind, size FROM files
+UNION ALL SELECT message_id, entry, 'DIR', CAST(NULL AS BIGINT) FROM dirs""")
 def q_directory_listing(spark, sf):
     m = _mirror(spark, sf).select("message_id", "relative_path", F.col("length").alias("size"))
-    return O.directory_listing(m, ["message_id"]).withColumn("size", F.col("size").cast("double"))
+    return O.directory_listing(m, ["message_id"])
 
 
 @query("top_level_entries", with_(_GOOD) + """
 SELECT message_id, split_part(relative_path, '/', 1) AS entry,
        CASE WHEN max(CASE WHEN contains(relative_path, '/') THEN 1 ELSE 0 END) = 1 THEN 'DIR' ELSE 'FILE' END AS kind,
        CASE WHEN max(CASE WHEN contains(relative_path, '/') THEN 1 ELSE 0 END) = 1 THEN NULL
-            ELSE CAST(sum(CASE WHEN NOT contains(relative_path, '/') THEN length END) AS DOUBLE) END AS size
+            ELSE CAST(sum(CASE WHEN NOT contains(relative_path, '/') THEN length END) AS BIGINT) END AS size
 FROM mir GROUP BY 1, 2""")
 def q_top_level_entries(spark, sf):
     m = _mirror(spark, sf).select("message_id", "relative_path", F.col("length").alias("size"))
-    return O.top_level_entries(m, ["message_id"]).withColumn("size", F.col("size").cast("double"))
+    return O.top_level_entries(m, ["message_id"])
 
 
 @query("str_path_ops", with_(OBJECTS) + """
@@ -182,25 +190,23 @@ def q_str_path_ops(spark, sf):
 
 @query("stream_object_ingest", with_(_GOOD) + "SELECT * FROM mir")
 def q_stream_object_ingest(spark, sf):
-    """Messages written as files, consumed by a file stream with availableNow,
-    mirror rows written per batch id; the result is the mirror table read back."""
+    """Messages written as files, consumed by a file stream with availableNow; each batch reads the
+    listing's partitions that it names and writes its mirror; the result is the mirror read back."""
     base = scratch_path(spark, "ingest")
     messages(spark, sf).repartition(4).write.mode("overwrite").json(f"{base}/inbox")
-    out = run_object_ingest(spark, f"{base}/inbox", objects(spark, sf), table(spark, sf, "pages", "page_id", "html"),
-                            f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=2)
+    listing = O.write_listing(objects(spark, sf), _contents(spark, sf), f"{base}/objects")
+    out = run_object_ingest(spark, f"{base}/inbox", listing, f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=2)
     # a restart from the same checkpoint finds nothing new and adds nothing
-    run_object_ingest(spark, f"{base}/inbox", objects(spark, sf), table(spark, sf, "pages", "page_id", "html"),
-                      f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(out["mirror"]).select("message_id", "path", "relative_path", "length")
+    run_object_ingest(spark, f"{base}/inbox", listing, f"{base}/out", f"{base}/checkpoint")
+    return mirrored(spark, out["mirror"]).drop("content")
 
 
 @query("message_handler", with_(_GOOD) + "SELECT * FROM mir")
 def q_message_handler(spark, sf):
     """The per-batch user callback applied to one batch of messages."""
-    from kestrel.streaming.ingest import message_handler
     base = scratch_path(spark, "handler")
-    handle = message_handler(objects(spark, sf), table(spark, sf, "pages", "page_id", "html"),
-                             f"{base}/mirror", f"{base}/dead")
+    listing = O.write_listing(objects(spark, sf), _contents(spark, sf), f"{base}/objects")
+    handle = message_handler(listing, f"{base}/mirror", f"{base}/dead")
     handle(messages(spark, sf), 0)
     handle(messages(spark, sf), 0)          # a retried batch replaces its own output
-    return spark.read.parquet(f"{base}/mirror").select("message_id", "path", "relative_path", "length")
+    return mirrored(spark, f"{base}/mirror").drop("content")

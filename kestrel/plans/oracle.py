@@ -50,10 +50,11 @@ OBJECTS = """objects AS (
 
 MESSAGES = OBJECTS + """,
 messages AS (
-  SELECT 'p' || CAST(min(page_id) AS VARCHAR) AS message_id, to_json({'path': path})::VARCHAR AS body
-  FROM (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN split_part(name, '/', 1) || '/zz'
-                             ELSE split_part(name, '/', 1) || '/' || split_part(name, '/', 2) END AS path FROM objects)
-  GROUP BY path
+  SELECT 'p' || CAST(page AS VARCHAR) AS message_id, to_json({'path': path})::VARCHAR AS body
+  FROM (SELECT path, unnest(list_distinct([min(page_id), max(page_id)])) AS page
+        FROM (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN split_part(name, '/', 1) || '/zz'
+                                   ELSE split_part(name, '/', 1) || '/' || split_part(name, '/', 2) END AS path FROM objects)
+        GROUP BY path)
   UNION ALL
   SELECT 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations)"""
 

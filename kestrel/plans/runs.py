@@ -204,15 +204,23 @@ _REC = """anc(node, rel, depth) AS (
 
 
 @query("lineage_ancestors", "WITH RECURSIVE " + EDGES + ",\n" + _REC.format(a="dst", b="src") + """
-SELECT node, rel, CAST(min(depth) AS INTEGER) AS depth FROM anc GROUP BY node, rel""")
+SELECT node, rel, CAST(min(depth) AS INTEGER) AS depth FROM anc
+WHERE node IN (SELECT 'order:' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 50 = 0) GROUP BY node, rel""")
 def q_lineage_ancestors(spark, sf):
-    return R.lineage_closure(edges(spark, sf), upstream=True)
+    """What each of the asked-for orders (keys divisible by 50) comes from."""
+    asked = table(spark, sf, "orders", "o_orderkey").where(F.col("o_orderkey") % 50 == 0)
+    asked = asked.select(F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("node"))
+    return R.lineage_closure(edges(spark, sf), upstream=True, artifacts=asked)
 
 
 @query("lineage_descendants", "WITH RECURSIVE " + EDGES + ",\n" + _REC.format(a="src", b="dst") + """
-SELECT node, rel, CAST(min(depth) AS INTEGER) AS depth FROM anc GROUP BY node, rel""")
+SELECT node, rel, CAST(min(depth) AS INTEGER) AS depth FROM anc
+WHERE node IN (SELECT 'customer:' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 50 = 0) GROUP BY node, rel""")
 def q_lineage_descendants(spark, sf):
-    return R.lineage_closure(edges(spark, sf), upstream=False)
+    """What came from each of the asked-for customers (keys divisible by 50)."""
+    asked = table(spark, sf, "customer", "c_custkey").where(F.col("c_custkey") % 50 == 0)
+    asked = asked.select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("node"))
+    return R.lineage_closure(edges(spark, sf), upstream=False, artifacts=asked)
 
 
 LINEAGE_OF = ["nation:3", "customer:1"]        # the artifacts asked for (a parameter, as the caller passes them)

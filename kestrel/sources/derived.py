@@ -171,16 +171,17 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message stream rows (message_id, body): one {"path": host/lang} per directory (so what
-    the messages match grows with the objects, not with their square), a path with no objects
-    where page_id % 10 = 0, and every turn of every conversation as a malformed body."""
+    """Message stream rows (message_id, body): {"path": host/lang} for every directory, twice where it has
+    several objects (so what the messages match grows with the objects, not with their square), a path
+    with no objects where page_id % 10 = 0, and every turn of every conversation as a malformed body."""
     o = objects(spark, sf_dir)
     host_lang = F.concat_ws("/", F.split_part("name", F.lit("/"), F.lit(1)),
                             F.split_part("name", F.lit("/"), F.lit(2)))
     path = F.when(F.col("page_id") % 10 == 0,
                   F.concat(F.split_part("name", F.lit("/"), F.lit(1)), F.lit("/zz"))).otherwise(host_lang)
-    good = o.groupBy(path.alias("path")).agg(F.min("page_id").alias("first")).select(
-        F.concat(F.lit("p"), F.col("first").cast("string")).alias("message_id"),
+    good = o.groupBy(path.alias("path")).agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).select(
+        "path", F.explode(F.array_distinct(F.array("first", "last"))).alias("page")).select(
+        F.concat(F.lit("p"), F.col("page").cast("string")).alias("message_id"),
         F.to_json(F.struct("path")).alias("body"))
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     bad = c.select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))

@@ -276,3 +276,50 @@ def test_mirror_files(spark, objs):
     got = sorted(os.path.relpath(os.path.join(d, f), dest) for d, _, fs in os.walk(dest) for f in fs)
     assert got == ["m1/sub/z.csv", "m1/x.txt", "m1/y"]
     assert open(os.path.join(dest, "m1/x.txt")).read() == "content of a/b/x.txt"
+
+
+def test_listing_against_the_file_system(spark, tmp_path):
+    from kestrel.operators import objects as O
+    (tmp_path / "a").mkdir()
+    for name, n in (("x.parquet", 5), ("a/y.parquet", 9), ("a/z.parquet", 70), ("empty.parquet", 0), ("b.txt", 3)):
+        (tmp_path / name).write_bytes(b"." * n)
+    now = O.list_files(spark, str(tmp_path), "*.parquet")
+    assert {(r["name"], r["length"]) for r in now.collect()} == {("x.parquet", 5), ("a/y.parquet", 9), ("a/z.parquet", 70)}
+    before = spark.createDataFrame([("x.parquet", 4), ("a/z.parquet", 70), ("old.parquet", 1)], "name string, length long")
+    got = {(r["name"], r["change"], r["length"], r["length_before"]) for r in O.listing_changes(now, before).collect()}
+    assert got == {("x.parquet", "changed", 5, 4), ("a/y.parquet", "new", 9, None), ("old.parquet", "gone", None, 1)}
+
+
+def test_listing_of_the_input(spark, sf):
+    import os
+    from kestrel.plans.registry import QUERIES
+    want = {(f, os.path.getsize(f"{sf}/{f}")) for f in os.listdir(sf) if f.endswith(".parquet")}
+    assert {tuple(r) for r in QUERIES["scan_object_listing"](spark, sf).collect()} == want
+
+
+def test_label_search(spark):
+    from kestrel.operators import features as FS
+    src = spark.createDataFrame([(1, 2.0, "x")], "id long, v double, c string")
+    reg = FS.Registry(spark)
+    reg.create_group("g", src, ["id"], labels={"team": "a", "unit": "none"})
+    reg.create_feature("g", "v", "a value", {"unit": "usd"})
+    reg.create_feature("g", "c", "a class")
+    names = lambda d: sorted(r.feature for r in d.collect())
+    assert names(reg.search(labels={"team": "a"})) == ["c", "v"]
+    assert names(reg.search(labels={"unit": "usd"})) == ["v"] and names(reg.search(labels={"unit": "none"})) == ["c"]
+    assert names(reg.search("class", {"unit": None})) == ["c"] and names(reg.search(labels={"nothing": None})) == []
+
+
+def test_mirror_keeps_a_directory_once(spark):
+    """Three messages name one directory: its objects are matched and kept once, and every message sees them."""
+    from kestrel.operators import objects as O
+    objects = spark.createDataFrame([(1, "a/b/x"), (2, "a/b/c/y"), (3, "a/bc/z"), (4, "a/b/")], "page_id long, name string")
+    content = spark.createDataFrame([(i, "é" * i) for i in range(1, 5)], "page_id long, html string")
+    msgs = spark.createDataFrame([("m1", "a/b"), ("m2", "a/b/"), ("m3", "a/b"), ("m4", "q")], "message_id string, path string")
+    dirs = msgs.select(O.strip_trailing_slash(F.col("path")).alias("_dir")).distinct()
+    mirror = O.mirror_objects(dirs, objects, content)
+    assert {(r["dir"], r["relative_path"], r["length"]) for r in mirror.collect()} == {("a/b", "x", 2), ("a/b", "c/y", 4)}
+    got = {(r["message_id"], r["relative_path"]) for r in O.mirror_of_messages(msgs, mirror).collect()}
+    assert got == {(m, x) for m in ("m1", "m2", "m3") for x in ("x", "c/y")}
+    joined = {(r["message_id"], r["relative_path"]) for r in O.join_message_prefix(msgs, objects).collect()}
+    assert joined == got

@@ -46,3 +46,21 @@ def test_topk_is_partial_before_shuffle(spark, sf):
 def test_prefix_join_is_equi_join(spark, sf):
     p = _plan(spark, sf, "join_message_prefix")
     assert ("BroadcastHashJoin" in p or "SortMergeJoin" in p or "ShuffledHashJoin" in p)
+
+
+def test_ingest_batch_prunes_the_listing(spark, sf):
+    """A batch's directories prune the partitions of the listing and of the content."""
+    from kestrel.operators import objects as O
+    from kestrel.plans.objects import _contents
+    from kestrel.session import scratch_path
+    from kestrel.sources.derived import objects
+    from kestrel.streaming.ingest import batch_mirror
+    path = O.write_listing(objects(spark, sf), _contents(spark, sf), scratch_path(spark, "listing"))
+    name = spark.read.parquet(f"{path}/listing").first()["name"]
+    good = spark.createDataFrame([("m", name.rsplit("/", 1)[0])], "message_id string, path string").where("length(path) > 0")
+    out = batch_mirror(good, path)
+    assert out.count() >= 1
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    pruned = re.findall(r"PartitionFilters: \[([^\n]*?)\], PushedFilters", plan)
+    assert len(pruned) >= 2 and all("dynamicpruning" in f for f in pruned[:2]), plan
