@@ -93,6 +93,51 @@ def q_stream_monitor_cadences(spark, sf):
     return rounded(res.select("monitor", "window_start", "window_end", "event_type", "n", "mean", "min", "max", "std"))
 
 
+RANGES = {"value": (0.0, 500.0), "age": (0.0, 100.0)}        # configured ranges of the monitored features
+
+
+def _distribution_sql(name: str, unit: str) -> str:
+    return f"""
+{name}_h AS (SELECT time_bucket(INTERVAL 1 {unit}, ts) AS w, feature, kind, bucket, count(*) AS n FROM long GROUP BY ALL),
+{name}_c AS (SELECT h.* FROM {name}_h h, wm WHERE w + INTERVAL 1 {unit} <= wm.watermark),
+{name}_b AS (SELECT w, feature, kind, bucket, sum(n) AS n, sum(m) AS m FROM (
+    SELECT w, feature, kind, bucket, n, 0 AS m FROM {name}_c
+    UNION ALL SELECT w + INTERVAL 1 {unit}, feature, kind, bucket, 0, n FROM {name}_c) GROUP BY ALL),
+{name}_s AS (SELECT *, sum(n) OVER k AS tn, sum(m) OVER k AS tm FROM {name}_b WINDOW k AS (PARTITION BY w, feature, kind)),
+{name}_p AS (SELECT w, feature, kind, tn, tm, CASE WHEN tm > 0 THEN m / tm ELSE 0.0e0 END AS p, n / tn AS q FROM {name}_s WHERE tn > 0),
+{name} AS (SELECT '{name}' AS monitor, w AS window_start, w + INTERVAL 1 {unit} AS window_end, feature, kind,
+    CAST(tn AS BIGINT) AS n, CAST(tm AS BIGINT) AS prev_n,
+    CASE WHEN tm = 0 THEN NULL WHEN kind = 'nominal' THEN max(abs(p - q))
+         ELSE 0.5e0 * sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END)
+            + 0.5e0 * sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) END AS deviation
+  FROM {name}_p GROUP BY w, feature, kind, tn, tm)"""
+
+
+@query("stream_distribution_drift", """
+WITH e AS (SELECT ts, event_type, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS age FROM events),
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM events),
+long AS (SELECT ts, 'event_type' AS feature, 'nominal' AS kind, event_type AS bucket FROM e WHERE event_type IS NOT NULL
+  UNION ALL SELECT ts, 'value', 'numeric', CAST(CAST(least(greatest(floor(value / 500.0e0 * 10), 0), 9) AS INT) AS VARCHAR) FROM e WHERE value IS NOT NULL
+  UNION ALL SELECT ts, 'age', 'numeric', CAST(CAST(least(greatest(floor(age / 100.0e0 * 10), 0), 9) AS INT) AS VARCHAR) FROM e WHERE age IS NOT NULL),"""
+       + _distribution_sql("hourly", "HOUR") + "," + _distribution_sql("daily", "DAY") + """
+SELECT monitor, window_start, window_end, feature, kind, n, prev_n, round(deviation, 6) AS deviation,
+       coalesce(deviation > 0.3e0, false) AS drift_detected
+FROM (SELECT * FROM hourly UNION ALL SELECT * FROM daily)""")
+def q_stream_distribution_drift(spark, sf):
+    """T2 + D3 + D4 at two cadences: every closed hour (and day) against the one before it."""
+    src = _stage(table(spark, sf, "events", "ts", "event_type", "value", "props"), spark, "ev", parts=6)
+
+    def prepare(stream):
+        return stream.withColumn("age", F.get_json_object("props", "$.k").try_cast("double"))
+    rows = []
+    for name, minutes in (("hourly", 60), ("daily", 1440)):
+        out = T.run_distribution_drift(spark, src, "ts timestamp_ntz, event_type string, value double, props string",
+                                       scratch_path(spark, "dist"), scratch_path(spark, "ckpt"), RANGES, ["event_type"], minutes, prepare=prepare)
+        rows.append(spark.read.parquet(out).withColumn("monitor", F.lit(name)))
+    return rounded(rows[0].unionByName(rows[1]).select(
+        "monitor", "window_start", "window_end", "feature", "kind", "n", "prev_n", "deviation", "drift_detected"))
+
+
 @query("stream_feature_import", with_(FEATURES) + """
 SELECT entity_id, age, income, category, feature_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY feature_timestamp DESC) AS rk FROM features) WHERE rk = 1""")
@@ -103,7 +148,7 @@ def q_stream_feature_import(spark, sf):
     schema = "entity_id string, age bigint, income double, category string, feature_timestamp timestamp_ntz"
     path = T.run_feature_import(spark, src, schema, scratch_path(spark, "serving"), scratch_path(spark, "ckpt"),
                                 ["entity_id"], "feature_timestamp", max_files_per_trigger=2)
-    return spark.read.parquet(path).drop("_bucket")
+    return T.serving_table(spark, path, ["entity_id"], "feature_timestamp")
 
 
 @query("stream_result_append", """

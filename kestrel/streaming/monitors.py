@@ -6,12 +6,17 @@ outputs are overwritten per batch id.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.fixed import DRIFT_THRESHOLD
 from kestrel.operators import anomaly as A
+from kestrel.operators.drift import N_BINS, chebyshev_from_shares, js_from_shares
 from kestrel.operators.features import latest_per_entity
-from kestrel.session import checkpoint_dir, path_exists
+from kestrel.session import delete_path, path_exists
 
 WATERMARK = "1 hour"      # ours: the reference defines no late-data policy
 
@@ -106,35 +111,150 @@ def run_windowed_drift(spark: SparkSession, source_dir: str, schema: str, out: s
     return out
 
 
+def histogram_rows(stream: DataFrame, ts: str, numeric: dict[str, tuple[float, float]], nominal: list[str],
+                   bins: int = N_BINS) -> DataFrame:
+    """(ts, feature, kind, bucket): one row for each monitored value of a row.  Numeric features have ``bins`` equal
+    bins over their configured range, values outside fall into the first or last one; nulls count nowhere."""
+    parts = []
+    for c, (low, high) in numeric.items():
+        v = F.col(c).cast("double")
+        place = F.least(F.greatest(F.floor((v - low) / (high - low) * bins), F.lit(0)), F.lit(bins - 1))
+        parts.append(F.struct(F.lit(c).alias("feature"), F.lit("numeric").alias("kind"), place.cast("int").cast("string").alias("bucket")))
+    parts += [F.struct(F.lit(c).alias("feature"), F.lit("nominal").alias("kind"), F.col(c).cast("string").alias("bucket")) for c in nominal]
+    return stream.select(ts, F.inline(F.array(*parts))).where(F.col("bucket").isNotNull())
+
+
+def run_distribution_drift(spark: SparkSession, source_dir: str, schema: str, out: str, checkpoint: str,
+                           numeric: dict[str, tuple[float, float]], nominal: list[str], cadence_minutes: int = 60,
+                           threshold: float = DRIFT_THRESHOLD, max_files_per_trigger: int | None = None, prepare=None) -> str:
+    """T2 with drift of distributions: every closed window against the window just before it, Jensen-Shannon
+    divergence of the histograms of numeric features and Chebyshev distance of the shares of nominal ones.
+
+    The streaming state is one count for each (window, feature, bucket).  Closed windows go to ``out/counts``,
+    partitioned by batch and day, and are compared with the earlier window from this batch or from the days that it
+    can lie in; results go to ``out/drift``.  Both are replaced by a retry of the batch."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = r.parquet(source_dir)
+    if prepare is not None:
+        stream = prepare(stream)
+    rows = (histogram_rows(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", numeric, nominal)
+            .withWatermark("ts", WATERMARK))
+    counts = rows.groupBy(F.window("ts", f"{cadence_minutes} minutes"), "feature", "kind", "bucket").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "feature", "kind", "bucket", "n")
+    step = F.make_interval(mins=F.lit(cadence_minutes))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        def write(df: DataFrame, name: str) -> None:
+            (df.withColumns({"batch_id": F.lit(int(batch_id)), "window_date": F.to_date("window_start")})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "window_date").parquet(f"{out}/{name}"))
+        write(batch, "counts")
+        stored = (spark.read.schema(batch.withColumn("batch_id", F.lit(0)).withColumn("window_date", F.current_date()).schema)
+                  .parquet(f"{out}/counts"))
+        cur = stored.where(F.col("batch_id") == int(batch_id))
+        before = cur.select((F.col("window_start") - step).alias("w")).distinct()
+        days = [r[0] for r in before.select(F.to_date("w")).distinct().collect()]     # days of one batch
+        old = stored.where((F.col("batch_id") <= int(batch_id)) & F.col("window_date").isin(days))
+        # windows of this batch, and the ones before them moved up by a step
+        wanted = cur.select("window_start").distinct()
+        moved = old.withColumn("window_start", F.col("window_start") + step).join(wanted, "window_start", "left_semi")
+        keys = ["window_start", "feature", "kind"]
+        both = cur.select(*keys, "bucket", "n", F.lit(0).cast("long").alias("m")).unionByName(
+            moved.select(*keys, "bucket", F.lit(0).cast("long").alias("n"), F.col("n").alias("m")))
+        both = both.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        total = both.groupBy(*keys).agg(F.sum("n").alias("tn"), F.sum("m").alias("tm"))
+        pq = both.join(total, keys).select(*keys, "tn", "tm", F.coalesce(F.col("m") / F.nullif("tm", F.lit(0)), F.lit(0.0)).alias("p"),
+                                           F.coalesce(F.col("n") / F.nullif("tn", F.lit(0)), F.lit(0.0)).alias("q"))
+        js, far = (f(pq.where(F.col("kind") == kind), [*keys, "tn", "tm"]) for f, kind in (
+            (js_from_shares, "numeric"), (chebyshev_from_shares, "nominal")))
+        # a feature that has no value in the window is not compared
+        res = (js.unionByName(far).where("tn > 0").withColumnsRenamed({"tn": "n", "tm": "prev_n"})
+               .withColumn("window_end", F.col("window_start") + step)
+               .withColumn("drift_detected", F.coalesce(F.col("deviation") > F.lit(threshold), F.lit(False))))
+        write(res, "drift")
+
+    _run(counts.writeStream.outputMode("append").foreachBatch(handle), checkpoint)
+    return f"{out}/drift"
+
+
 # ---------------------------------------------------------------- T3
-SERVING_BUCKETS = 64
+#: Runs of one level that are merged into one of the next.
+FAN = 4
+
+
+def live_runs(spark: SparkSession, serving: str) -> list[dict]:
+    """The runs of the newest manifest: level, path and the batch that made it."""
+    if not path_exists(spark, f"{serving}/manifest"):
+        return []
+    newest = spark.read.schema("batch long, runs string").json(f"{serving}/manifest").agg(F.max(F.struct("batch", "runs"))).first()[0]
+    return json.loads(newest["runs"]) if newest is not None else []
 
 
-def merge_latest(spark: SparkSession, batch: DataFrame, serving: str, keys: list[str], ts: str,
-                 buckets: int = SERVING_BUCKETS) -> None:
-    """Upsert a batch into the serving table (latest row per entity).
+def merge_latest(spark: SparkSession, batch: DataFrame, batch_id: int, serving: str, keys: list[str], ts: str) -> None:
+    """Adds a batch to the serving table (latest row per entity) as a run of its own.
 
-    The serving table is partitioned by an entity-hash bucket; only the buckets the
-    batch touches are read (partition pruning) and rewritten (dynamic partition
-    overwrite).  The merge is a latest-value aggregation, so re-running the same batch
-    gives the same table.  The merged rows are checkpointed before the write, so the
-    job never overwrites files it is still reading."""
-    b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    touched = [r[0] for r in b.select("_bucket").distinct().collect()]      # at most `buckets` values
-    if not touched:
+    The table is a few levels of runs, each with one row per entity; FAN runs of a level are merged into one of the
+    next, so a row is rewritten once a level and a batch writes in proportion to itself, not to the
+    table.  A manifest, written last, says which runs count: a batch that failed on the way is
+    repeated from the runs before it, and one that has its manifest is done.  Of equal times the later batch wins."""
+    runs = live_runs(spark, serving)
+    if any(r["batch"] >= batch_id for r in runs):
         return
-    rows = b
-    if path_exists(spark, serving):      # a table that is there and cannot be read fails the batch
-        rows = spark.read.parquet(serving).where(F.col("_bucket").isin(touched)).unionByName(b)
-    checkpoint_dir(spark)
-    merged = latest_per_entity(rows, keys + ["_bucket"], ts).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_bucket").parquet(serving))
+    own = latest_per_entity(batch, keys, ts)
+    schema = own.withColumn("_batch", F.lit(0).cast("long")).schema
+
+    def write(df: DataFrame, level: int) -> dict:
+        path = f"{serving}/runs/l{level}-{batch_id}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return {"level": level, "path": path, "batch": batch_id}
+    runs = [*runs, write(own.withColumn("_batch", F.lit(batch_id).cast("long")), 0)]
+    level, gone = 0, []
+    while len(full := [r for r in runs if r["level"] == level]) >= FAN:
+        rows = spark.read.schema(schema).parquet(*[r["path"] for r in full])
+        runs = [r for r in runs if r["level"] != level] + [write(latest_per_entity(rows, keys, ts, ["_batch"]), level + 1)]
+        gone += full
+        level += 1
+    (spark.createDataFrame([(batch_id, json.dumps(runs))], "batch long, runs string").coalesce(1)
+     .write.mode("overwrite").json(f"{serving}/manifest/b={batch_id}"))
+    for b in [m for m in _manifests(spark, serving) if m < batch_id - KEPT_MANIFESTS]:
+        delete_path(spark, f"{serving}/manifest/b={b}")
+    # a reader of the manifest before this one may still be at the runs that this batch has merged: they go one batch later
+    for r in _merged_before(spark, serving, batch_id, gone):
+        delete_path(spark, r)
+
+
+#: Manifests that stay behind the newest one.
+KEPT_MANIFESTS = 2
+
+
+def _manifests(spark: SparkSession, serving: str) -> list[int]:
+    t = spark.read.schema("batch long, runs string").json(f"{serving}/manifest").select("batch")
+    return sorted(r[0] for r in t.collect())          # KEPT_MANIFESTS and a few
+
+
+def _merged_before(spark: SparkSession, serving: str, batch_id: int, gone: list[dict]) -> list[str]:
+    """Notes the runs that this batch has merged, and returns those noted by earlier batches."""
+    note = f"{serving}/merged"
+    earlier = []
+    if path_exists(spark, note):
+        rows = spark.read.schema("batch long, path string").json(note).where(F.col("batch") < batch_id).collect()     # a few runs
+        earlier = [r["path"] for r in rows]
+    spark.createDataFrame([(batch_id, r["path"]) for r in gone], "batch long, path string").coalesce(1).write.mode("overwrite").json(note)
+    return earlier
+
+
+def serving_table(spark: SparkSession, serving: str, keys: list[str], ts: str) -> DataFrame:
+    """The latest row of each entity over the live runs (merge on read)."""
+    paths = [r["path"] for r in live_runs(spark, serving)]
+    if not paths:
+        raise ValueError(f"no batch has been imported to {serving}")
+    return latest_per_entity(spark.read.parquet(*paths), keys, ts, ["_batch"]).drop("_batch")
 
 
 def run_feature_import(spark: SparkSession, source_dir: str, schema: str, serving: str, checkpoint: str,
                        keys: list[str], ts: str, max_files_per_trigger: int | None = None) -> str:
-    """Append-only offline history is the source; each micro-batch is merged into the
+    """Append-only offline history is the source; each micro-batch becomes a run of the
     serving table (newest value per entity) with ``merge_latest``."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -142,7 +262,7 @@ def run_feature_import(spark: SparkSession, source_dir: str, schema: str, servin
     stream = r.parquet(source_dir)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_latest(spark, batch, serving, keys, ts)
+        merge_latest(spark, batch, int(batch_id), serving, keys, ts)
 
     _run(stream.writeStream.foreachBatch(merge), checkpoint)
     return serving
