@@ -69,7 +69,7 @@ def paired_shares(counts: DataFrame, keys: list[str], item: str) -> DataFrame:
              .select(*keys, item, F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q")))
 
 
-def _kl_term(x, m):
+def kl_term(x, m):
     return F.when(x > 0, x * F.log(2.0, x / m)).otherwise(F.lit(0.0))
 
 
@@ -79,7 +79,7 @@ def js_from_shares(pq: DataFrame, keys: list[str]) -> DataFrame:
     m = (F.col("p") + F.col("q")) / 2
     return pq.groupBy(*keys).agg(
         F.when((F.sum("p") == 0) | (F.sum("q") == 0), F.lit(None).cast("double"))
-         .otherwise(0.5 * F.sum(_kl_term(F.col("p"), m)) + 0.5 * F.sum(_kl_term(F.col("q"), m)))
+         .otherwise(0.5 * F.sum(kl_term(F.col("p"), m)) + 0.5 * F.sum(kl_term(F.col("q"), m)))
          .alias("deviation"))
 
 

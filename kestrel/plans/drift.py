@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import round_half_away
 
 from kestrel.operators import drift as D
+from kestrel.operators.monitor import monitor_from_counts, schedule_jobs
 from kestrel.operators.ml import stratified_split
 from kestrel.plans.common import rounded
 from kestrel.plans.oracle import FEATURES, PERIODS, SNAPSHOTS, with_
@@ -204,7 +205,8 @@ def q_join_threshold_config(spark, sf):
 
 # ------------------------------------------------------------------ D7 monitor jobs, W3, W4, A21-A23
 def _jobs(spark, sf):
-    return D.monitor_jobs(snapshots(spark, sf), NUM, CAT, _thr(spark))
+    jobs = monitor_from_counts(features(spark, sf), "feature_timestamp", [("weekly", "week", NUM + CAT)], NUM, CAT, _thr(spark))
+    return jobs.withColumn("job_id", F.date_format("snapshot_ts", "yyyyMMdd'T'HHmmss"))
 
 
 def _sql_jobs() -> str:
@@ -270,18 +272,11 @@ def q_monitor_run(spark, sf):
     return spark.read.schema(_JOB_SCHEMA).parquet(path).select(*_JOB_COLS)
 
 
-_JOBS_TABLES: dict = {}
-
-
 def _jobs_table(spark, sf):
-    """The jobs table of an input, for the queries that read jobs: the monitor runs once in a
-    session, its table is partitioned by job id."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _JOBS_TABLES:
-        path = scratch_path(spark, "jobs-table")
-        (_jobs(spark, sf).select(*_JOB_COLS).write.partitionBy("job_id").parquet(path))
-        _JOBS_TABLES[key] = path
-    return spark.read.schema(_JOB_SCHEMA).parquet(_JOBS_TABLES[key]).select(*_JOB_COLS)
+    """The jobs table that a monitor run has written, for the queries that read jobs."""
+    path = scratch_path(spark, "jobs-table")
+    _jobs(spark, sf).select(*_JOB_COLS).write.partitionBy("job_id").parquet(path)
+    return spark.read.schema(_JOB_SCHEMA).parquet(path).select(*_JOB_COLS)
 
 
 @query("previous_snapshot", with_(SNAPSHOTS) + """
@@ -483,6 +478,5 @@ LEFT JOIN stats s USING (monitor, snapshot_ts, feature) LEFT JOIN tv USING (moni
 def q_monitor_schedule_jobs(spark, sf):
     """D10 + D7: a daily monitor on age and income and a weekly one on category, each
     running its monitor jobs over its own snapshots of the same feature table."""
-    from kestrel.operators.monitor import schedule_jobs
     jobs = schedule_jobs(features(spark, sf), "feature_timestamp", MONITORS, NUM, CAT, _thr(spark))
     return rounded(jobs.select("job_id", "monitor", *[c for c in _JOB_COLS if c != "job_id"]))

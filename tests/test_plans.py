@@ -64,3 +64,25 @@ def test_ingest_batch_prunes_the_listing(spark, sf):
     plan = out._jdf.queryExecution().executedPlan().toString()
     pruned = re.findall(r"PartitionFilters: \[([^\n]*?)\], PushedFilters", plan)
     assert len(pruned) >= 2 and all("dynamicpruning" in f for f in pruned[:2]), plan
+
+
+def test_monitors_share_one_scan(spark, sf):
+    """All monitors: the source is scanned once, the final plan reads the table of snapshots and the table of bins."""
+    from kestrel.operators import monitor as MO
+    from kestrel.plans.drift import CAT, MONITORS, NUM, _thr
+    from kestrel.sources.derived import features
+    scans = []
+    keep = MO._written
+
+    def spy(df, name):
+        out = keep(df, name)
+        scans.append(len(re.findall(r"FileScan parquet", df._jdf.queryExecution().executedPlan().toString())))
+        return out
+    MO._written = spy
+    try:
+        jobs = MO.schedule_jobs(features(spark, sf), "feature_timestamp", MONITORS, NUM, CAT, _thr(spark))
+    finally:
+        MO._written = keep
+    assert len(jobs.collect()) > 10
+    final = re.search(r"== Final Plan ==(.*?)== Initial Plan ==", jobs._jdf.queryExecution().executedPlan().toString(), re.S).group(1)
+    assert scans[0] == 1 and len(re.findall(r"Scan parquet", final)) <= 2, (scans, final)
