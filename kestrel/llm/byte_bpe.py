@@ -10,12 +10,12 @@ words that occur most, counted over all documents: ``KNOWN_WORDS`` of them at mo
 ``KNOWN_BYTES`` bytes at most, which bounds the table that tasks get.  The long tail of other
 words has about as many distinct words as occurrences.  Folding it by higher-order functions
 took three times the CPU time allowed (README), so tasks merge it themselves (``Merger``, the
-same rule) while they put the ids of a text together, and remember what they merged.
+same rule for many words at once) while they put the ids of a text together, and remember what they merged.
 
-Decoding looks up the bytes of each id in a literal array and joins them (as hexadecimal text,
-turned into binary once).
+Decoding looks up the bytes of each id in a literal array and joins them.
 
-Null and empty texts have no ids.  Repeated rows get the same result.  An empty table gives an
+Null and empty texts have no ids.  Repeated rows get the same result; texts and words of any
+length are encoded whole, of equal ranks the leftmost pair merges, and columns travel as a struct.  An empty table gives an
 empty result.
 """
 
@@ -41,7 +41,7 @@ KNOWN_BYTES = 32
 #: Merged words that a task remembers at once, of this many bytes at most.
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
-#: Words up to this length are merged over a plain list.
+#: Words up to this many bytes are merged many at once.
 SHORT = 48
 #: In place of a rank where two neighbours do not merge.
 NONE = 1 << 30
@@ -87,25 +87,37 @@ class RankMap:
     def __init__(self, ranks: dict[bytes, int]):
         if max(ranks.values()) >> _ID_BITS:
             raise ValueError(f"ids need more than {_ID_BITS} bits")
-        merges: dict[int, dict[int, int]] = {}
-        for t, r in ranks.items():
-            for i in range(1, len(t)):
-                if t[:i] in ranks and t[i:] in ranks:
-                    merges.setdefault(ranks[t[:i]], {})[ranks[t[i:]]] = r
-        self.rows = [[-1]] * (max(ranks.values()) + 1)
-        for left, own in merges.items():
+        left, right, rank = merges(ranks)
+        n = max(ranks.values()) + 1
+        at = np.searchsorted(left, np.arange(n + 1))
+        sizes, places = np.ones(n, np.int64), np.zeros(len(left), np.int64)
+        for i in np.unique(left).tolist():
+            own = right[at[i]:at[i + 1]]
             size = len(own)
-            while len({b % size for b in own}) < len(own):
+            while len(np.unique(own % size)) < len(own):
                 size += size // 8 + 1
-            row = [-1] * size
-            for b, r in own.items():
-                row[b % size] = b << _ID_BITS | r
-            self.rows[left] = row
-        self.bytes = [ranks.get(bytes([i]), NONE) for i in range(256)]
+            sizes[i], places[at[i]:at[i + 1]] = size, own % size
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        cells = np.full(ends[-1], -1, np.int64)
+        cells[ends[left] + places] = right << _ID_BITS | rank
+        self.rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells))
+        self.bytes = pa.array([ranks.get(bytes([i]), NONE) for i in range(256)], pa.int32())
         # two bytes to the id they merge to
-        self.two = [ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)]
+        self.two = pa.array([ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)], pa.int32())
         token = {r: t for t, r in ranks.items()}
-        self.hex = [token[i].hex() if i in token else None for i in range(max(token) + 1)]
+        self.pieces = pa.array([token.get(i) for i in range(n)], pa.binary())
+
+
+def merges(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left, right, rank) of all pairs of ids that merge, in the order of left and right."""
+    flat = array("q")
+    for t, r in ranks.items():
+        for i in range(1, len(t)):
+            if t[:i] in ranks and t[i:] in ranks:
+                flat.extend((ranks[t[:i]], ranks[t[i:]], r))
+    pairs = np.frombuffer(flat, np.int64).reshape(-1, 3)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[:, 0], pairs[:, 1], pairs[:, 2]
 
 
 @dataclass
@@ -116,18 +128,19 @@ class Tokenizer:
     rows: Column
     singles: Column
     twos: Column
-    hex: Column
+    pieces: Column
 
     @staticmethod
     def load(spark: SparkSession, path: str, pattern: str) -> "Tokenizer":
         ranks = read_ranks(path)
         m = RankMap(ranks)
 
-        def literal(values, kind: pa.DataType) -> Column:
-            table = pa.table({"v": pa.array([values], kind)})
-            return written(spark.createDataFrame(table), "bpe-literal").scalar()
-        return Tokenizer(ranks, java_pattern(pattern), literal(m.rows, pa.list_(pa.list_(pa.int64()))), literal(m.bytes, pa.list_(pa.int32())),
-                         literal(m.two, pa.list_(pa.int32())), literal(m.hex, pa.list_(pa.string())))
+        def literal(values: pa.Array) -> DataFrame:
+            table = pa.table({"v": pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)})
+            return written(spark.createDataFrame(table), "bpe-literal")
+        # pieces as strings of their bytes: the cast is made once, not for every token
+        pieces = literal(m.pieces).select(F.transform("v", lambda x: x.cast("string")))
+        return Tokenizer(ranks, java_pattern(pattern), literal(m.rows).scalar(), literal(m.bytes).scalar(), literal(m.two).scalar(), pieces.scalar())
 
     @staticmethod
     def rank(rows: Column, a: Column, b: Column) -> Column:
@@ -204,31 +217,71 @@ def folded(words: DataFrame, tok: Tokenizer) -> DataFrame:
 
 
 class Merger:
-    """Ranked merges of single words inside a task."""
+    """Ranked merges of words inside a task: many short words at once, long ones one by one."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-
-    def ids(self, word: bytes) -> list[int]:
-        whole = self.ranks.get(word)
-        if whole is not None:
-            return [whole]
-        return self._short(word) if len(word) <= SHORT else self._long(word)
-
-    def _short(self, word: bytes) -> list[int]:
-        """The rank of every two neighbours in a list: the quicker way for a few bytes."""
-        rank = self.ranks.get
-        token = [word[i:i + 1] for i in range(len(word))]
-        ranks = [rank(word[i:i + 2], NONE) for i in range(len(word) - 1)]
-        while ranks and (least := min(ranks)) < NONE:
-            i = ranks.index(least)
-            token[i] = both = token[i] + token.pop(i + 1)
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank(both + token[i + 1], NONE)
-            if i:
-                ranks[i - 1] = rank(token[i - 1] + both, NONE)
-        return [self.ranks[t] for t in token]
+        left, right, rank = merges(ranks)
+        self.pairs, self.rank = left << _ID_BITS | right, rank.astype(np.int32)
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as 32-bit numbers in bytes."""
+        out: list[bytes] = [b""] * len(words)
+        short: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            whole = self.ranks.get(w)
+            if whole is not None:
+                out[i] = array("i", [whole]).tobytes()
+            elif len(w) > SHORT:
+                out[i] = array("i", self._long(w)).tobytes()
+            else:
+                short.setdefault(-(-len(w) // 4), []).append(i)      # words of like length together
+        for own in short.values():
+            for i, got in zip(own, self._short([words[i] for i in own])):
+                out[i] = got
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of neighbours (-1: none there)."""
+        code = a.astype(np.int64) << _ID_BITS | b
+        at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == code) & (a >= 0) & (b >= 0), self.rank[at], NONE)
+
+    def _short(self, words: list[bytes]) -> list[bytes]:
+        """One merge of every word at a time, in a table of words by places."""
+        size = np.array([len(w) for w in words])
+        width = int(size.max())
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
+        place = np.arange(width)
+        ids = np.where(place < size[:, None], self.bytes[raw], -1)
+        rank = np.full(ids.shape, NONE, np.int32)        # of a place and the next one
+        rank[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+        done: list[bytes] = [b""] * len(words)
+        open_ = np.arange(len(words))
+        while True:
+            k = rank.argmin(axis=1)                       # the leftmost of the lowest
+            best = rank[np.arange(len(k)), k]
+            more = best < NONE
+            if not more.all():
+                for i, row, n in zip(open_[~more].tolist(), ids[~more], size[~more].tolist()):
+                    done[i] = row[:n].tobytes()
+                open_, ids, rank, size, k, best = (x[more] for x in (open_, ids, rank, size, k, best))
+            if not len(open_):
+                return done
+            # the places behind the merged one move up
+            source = np.minimum(place + (place > k[:, None]), width - 1)
+            ids, rank = np.take_along_axis(ids, source, 1), np.take_along_axis(rank, source, 1)
+            size = size - 1
+            at = np.arange(len(k))
+            ids[at, k] = best
+            ids[at, size], rank[at, size] = -1, NONE
+            last = np.maximum(size - 1, 0)
+            rank[at, last] = NONE
+            after = np.where(k < last, ids[at, np.minimum(k + 1, width - 1)], -1)
+            rank[at, k] = self._ranks(best, after)
+            before = k > 0
+            rank[at[before], k[before] - 1] = self._ranks(ids[at[before], k[before] - 1], best[before])
 
     def _long(self, word: bytes) -> list[int]:
         """A heap of neighbours by rank and place: no more than n log n steps."""
@@ -260,25 +313,29 @@ class Merger:
 class Codes(dict):
     """Word to the ids of it (as 32-bit numbers in bytes): the known words, and words merged here."""
 
-    def __init__(self, known: dict[str, bytes], merger: Merger):
-        super().__init__(known)
-        self.known, self.merger = known, merger
-
-    def __missing__(self, word: str) -> bytes:
-        own = array("i", self.merger.ids(word.encode())).tobytes()
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= len(self.known) + REMEMBERED:
-                self.clear()
-                self.update(self.known)
-            self[word] = own
-        return own
+    def __init__(self, known: pa.Table, merger: Merger):
+        ids = known.column("ids").combine_chunks()
+        ends, flat = ids.offsets.to_numpy().tolist(), ids.values.to_numpy().astype(np.int32, copy=False)
+        super().__init__((w, flat[a:b].tobytes()) for w, a, b in zip(known.column("word").to_pylist(), ends, ends[1:]))
+        self.known, self.merger, self.passing = len(self), merger, []
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Has the ids of all words of the texts, given as lists of words; long ones only until the next call."""
+        for word in self.passing:
+            del self[word]
+        words = set().union(*texts)
+        if len(self) + len(words) > self.known + REMEMBERED:
+            for word in list(self)[self.known:]:      # the known words came first
+                del self[word]
+        fresh = [w for w in words if w not in self]
+        self.update(zip(fresh, self.merger.ids([w.encode() for w in fresh])))
+        self.passing = [w for w in fresh if len(w) > LONGEST_REMEMBERED]
 
 
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(row, ids): the input row (or its columns ``keep``) as a struct and the ids of its text."""
-    # bounded by KNOWN_WORDS and KNOWN_BYTES
-    known = {r.word: array("i", r.ids).tobytes()
-             for r in written(known_words(df, tok, text_col), "bpe-known").toLocalIterator()}
+    # bounded by KNOWN_WORDS and KNOWN_BYTES; as a table of bytes, for the driver's memory
+    known = known_words(df, tok, text_col).toArrow().combine_chunks()
     ranks, pattern = tok.ranks, tok.pattern
     names = df.columns if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
@@ -289,7 +346,9 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", keep: list[str
         for batch in parts:
             texts = text_bytes(batch.column(1))
             for a, b in slices(texts):
-                own = [b"".join(map(codes.__getitem__, words(t.decode("utf-8", "replace")))) for t in texts[a:b]]
+                cut = [words(t.decode("utf-8", "replace")) for t in texts[a:b]]
+                codes.learn(cut)
+                own = [b"".join(map(codes.__getitem__, w)) for w in cut]
                 ends = np.cumsum([0, *map(len, own)]) // 4
                 ids = pa.array(np.frombuffer(b"".join(own), np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -299,7 +358,8 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", keep: list[str
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the bytes of the ids, as binary."""
-    return _with_literals(df, hex=tok.hex).select(
-        *[F.col(f"`{c}`") for c in df.columns], bind(_literal("hex"), lambda h: F.unhex(F.array_join(
-            F.transform(F.col(ids_col), lambda i: F.get(h, i)), ""))).alias(out))
+    """``df`` with the bytes of the ids, as binary.  The pieces' bytes are joined as they are: a cast
+    between binary and string changes none."""
+    return _with_literals(df, pieces=tok.pieces).select(
+        *[F.col(f"`{c}`") for c in df.columns], bind(_literal("pieces"), lambda p: F.array_join(
+            F.transform(F.col(ids_col), lambda i: F.get(p, i)), "").cast("binary")).alias(out))
