@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from dataclasses import dataclass
 from itertools import chain
 
@@ -53,6 +54,9 @@ SPACE = "▁"
 PROBES = 4
 #: Bytes of text that are aligned at once: their offsets fit a core's cache.
 SLICE_BYTES = 1 << 18
+#: Words that a task remembers the pieces of, of this many characters at most.
+REMEMBERED = 300_000
+LONGEST_REMEMBERED = 64
 
 
 def byte_characters() -> dict[str, int]:
@@ -173,6 +177,45 @@ def cuts(ends_a: np.ndarray, ends_b: np.ndarray, texts_a: np.ndarray, texts_b: n
     return np.sort(a), np.sort(b)
 
 
+class PieceEncoder:
+    """The sentencepiece model over words that it has met before.
+
+    No piece has a space behind another character, and none holds a line end.  So a word is encoded alike wherever it
+    stands behind one space or a line end, and a text is the words' ids one after the other.  Texts with other
+    spaces (two in a row, at the end) are encoded as they are, as all are if the vocabulary has other pieces."""
+
+    def __init__(self, model, pieces: list[bytes]):
+        self.model, self.known = model, {}
+        self.alone = not any(b" " in p.lstrip(b" ") or (b"\n" in p and p != b"\n") for p in pieces)
+        self.cut = re.compile(r"[ \n][^ \n]*").findall
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        plain = [i for i, t in enumerate(texts) if not self.alone or not t or t[0] == " " or t[-1] == " " or t[0] == "\n"
+                 or "  " in t or " \n" in t or SPACE in t]
+        out: list = [None] * len(texts)
+        for i, ids in zip(plain, self.model.encode([texts[i] for i in plain], num_threads=1)):
+            out[i] = ids
+        words = [self.cut(" " + t) if out[i] is None else () for i, t in enumerate(texts)]
+        met = set().union(*words)
+        if len(self.known) + len(met) > REMEMBERED:
+            self.known = {}
+        fresh = [w for w in met if w not in self.known]
+        # a space in front is the model's own; a line end is kept, behind the space that the model puts there
+        known = dict(zip(fresh, self.model.encode([w[1:] if w[0] == " " else w for w in fresh], num_threads=1)))
+        for w in fresh:
+            if w[0] == "\n":
+                known[w] = known[w][1:]
+        self.known.update(known)
+        find = self.known.__getitem__
+        for i, own in enumerate(words):
+            if own:
+                out[i] = list(chain.from_iterable(map(find, own)))
+        for w in fresh:
+            if len(w) > LONGEST_REMEMBERED:
+                del self.known[w]
+        return out
+
+
 class Decimals:
     """Ids as decimal text, for whole arrays of ids."""
 
@@ -197,17 +240,17 @@ class Aligner:
         self.universe = universe
         self.bytes_a, self.bytes_b = byte_level_tokens(files.byte_bpe), piece_tokens(self.b)
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int32) for x in (self.bytes_a, self.bytes_b))
+        self.encode_pieces = PieceEncoder(self.b, self.bytes_b).encode
         self.decimals = Decimals(max(len(self.bytes_a), len(self.bytes_b)))
 
     def ids(self, texts: list[bytes]) -> tuple[list, list]:
         plain = [t.decode("utf-8", "replace") for t in texts]
         full = [self.a.encode_ordinary(" " + t) for t in plain]
-        pieces = self.b.encode(plain, num_threads=1)
-        join = b"".join
+        pieces = self.encode_pieces(plain)
+        join, of_a, of_b = b"".join, self.bytes_a.__getitem__, self.bytes_b.__getitem__
         for k, t in enumerate(texts):
             want = b" " + t
-            if (not t or join(map(self.bytes_a.__getitem__, full[k])) != want
-                    or join(map(self.bytes_b.__getitem__, pieces[k])) != want):
+            if not t or join(map(of_a, full[k])) != want or join(map(of_b, pieces[k])) != want:
                 full[k], pieces[k] = [], []
         return full, pieces
 
