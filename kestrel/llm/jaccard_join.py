@@ -52,7 +52,12 @@ SKETCH = [f"s{i}" for i in range(WORDS)]
 CLASS = ["c1", "c2"]
 #: First classes that the others of a group are compared with in a further round, and such rounds at most.
 LEADERS = 64
-ROUNDS = 3
+ROUNDS = 1
+#: Pairs (counted) up to which they and the keys of their texts are broadcast, some tens of MB: only
+#: those texts are shuffled then.  Beyond it all texts are.
+FEW_PAIRS = 1 << 18
+#: Links up to which components are found without shuffles.
+FEW_LINKS = 1 << 18
 #: Bytes of text that are worked on at once.
 SLICE_BYTES = 1 << 19
 
@@ -340,15 +345,16 @@ def verified(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, t
              name: str) -> DataFrame:
     """The pairs (u, v) that are similar, by the words of their texts; written."""
     pairs = written(pairs, f"{name}-pairs")
+    few = F.broadcast if pairs.count() <= FEW_PAIRS else (lambda small: small)
     needed = pairs.select(F.col("u").alias("c")).unionByName(pairs.select(F.col("v").alias("c"))).distinct()
-    chosen = needed.join(classes.select(F.struct(*CLASS).alias("c"), "rep", "rows"), "c").select("c", "rep.k1", "rep.k2", "rows")
+    chosen = classes.select(F.struct(*CLASS).alias("c"), "rep", "rows").join(few(needed), "c").select("c", "rep.k1", "rep.k2", "rows")
     k1, k2 = text_key(F.col(id_col), F.col(text_col))
     texts = (df.select(k1.alias("k1"), k2.alias("k2"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .join(chosen, ["k1", "k2"]).select("c", "text", "rows"))
+             .join(few(chosen), ["k1", "k2"]).select("c", "text", "rows"))
     texts = written(texts, f"{name}-texts")
     if not texts.where("rows > 1").isEmpty():     # rows equal in id and text have one key
         texts = texts.dropDuplicates(["c"])
-    both = (pairs.join(texts.select(F.col("c").alias("u"), F.col("text").alias("text_u")), "u")
+    both = (texts.select(F.col("c").alias("u"), F.col("text").alias("text_u")).join(few(pairs), "u")
             .join(texts.select(F.col("c").alias("v"), F.col("text").alias("text_v")), "v").select("u", "v", "text_u", "text_v"))
 
     def check(parts):
@@ -381,7 +387,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
     first = written(shared.where("c1 <> leader").select(F.col("leader").alias("u"), F.col("c1").alias("v")).distinct(), "jaccard-first")
     links = verified(candidates(first, classes, percent), classes, df, id_col, text_col, shingle, percent, "jaccard-1")
-    one = written(components(links, "jaccard-cc1").select(F.col("u").alias("c"), "root"), "jaccard-roots")
+    one = written(components(links, "jaccard-cc1", FEW_LINKS).select(F.col("u").alias("c"), "root"), "jaccard-roots")
     member = written(classes.select(F.struct(*CLASS).alias("c"), F.col("c1"), "n", *SKETCH).join(one, "c", "left")
                      .withColumn("root", F.coalesce("root", "c")), "jaccard-members")
 
@@ -394,7 +400,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     inside = written(shared.join(mixed, "key").select("key", "c1").join(member, "c1").drop("c2"), "jaccard-mixed")
 
     def with_roots(rows: DataFrame) -> DataFrame:
-        roots = written(components(links, "jaccard-cc").select(F.col("u").alias("c"), F.col("root").alias("now")), "jaccard-roots")
+        roots = written(components(links, "jaccard-cc", FEW_LINKS).select(F.col("u").alias("c"), F.col("root").alias("now")), "jaccard-roots")
         return rows.join(roots, "c", "left").withColumn("root", F.coalesce("now", "c")).drop("now")
 
     for step in range(ROUNDS):
@@ -409,7 +415,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
             .select(F.col("x.c").alias("u"), F.col("y.c").alias("v")).distinct())
     links = links.unionByName(verified(last, classes, df, id_col, text_col, shingle, percent, "jaccard-last"))
 
-    roots = components(links, "jaccard-cc").select(F.col("u").alias("c"), "root")
+    roots = components(links, "jaccard-cc", FEW_LINKS).select(F.col("u").alias("c"), "root")
     group = written(classes.select(F.struct(*CLASS).alias("c"), *CLASS, "low").join(roots, "c", "left")
                     .select(*CLASS, "low", F.coalesce("root", "c").alias("root")), "jaccard-groups")
     least = group.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -27,7 +27,8 @@ cluster of near copies.  Components are found by alternating star steps over wri
 
 Null texts and texts without words have the fingerprint 0, which is linked like any other.
 Rows may repeat; null ids take no part in the smallest id of a component (which is null
-if all are).  An empty table gives an empty result.
+if all are).  A bit that exactly half of the shingles have is 0.  Texts of any length are read whole;
+the columns of a row travel as a struct.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -163,12 +164,16 @@ def _pairs_in_order(edges: DataFrame) -> DataFrame:
     return (edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
-def components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """(u, root) for every node of ``edges`` (u, v) that is not the least of its component."""
+def components(edges: DataFrame, name: str = "cc", one_task: int = 0) -> DataFrame:
+    """(u, root) for every node of ``edges`` (u, v) that is not the least of its component.  Up to
+    ``one_task`` edges (counted) go without shuffles, which would cost more than their work."""
     edges = written(_pairs_in_order(edges), f"{name}-0")
-    step, before = 0, None
+    few = one_task > 0 and edges.count() <= one_task
+    together = (lambda d: d.coalesce(1)) if few else (lambda d: d)      # one partition needs no shuffle
+    edges, step, before = written(together(edges), f"{name}-few") if few else edges, 0, None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = together(edges)
+        both = together(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: the larger neighbours of a node move to its least neighbour
         large = _pairs_in_order(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
@@ -176,8 +181,8 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         step += 1
-        edges = written(_pairs_in_order(small.select("u", F.col("m").alias("v")).unionByName(
-            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))), f"{name}-{step}")
+        edges = written(_pairs_in_order(together(small.select("u", F.col("m").alias("v")).unionByName(
+            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))), f"{name}-{step}")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             # one least neighbour for each node: stars

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import duckdb
 import numpy as np
@@ -83,19 +84,19 @@ def linked(rows, k, percent):
     return Counter((d, len(sets[i]), min(least[top(i)], default=None) if sets[i] else d) for i, (d, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("k,percent", [(4, 85), (2, 60)])
-def test_jaccard_join(spark, k, percent):
+def test_jaccard_join(spark):
     rows = near_copies()
-    got = Counter(tuple(r) for r in jaccard_join.similar(table(spark, rows), shingle=k, percent=percent).collect())
-    assert got == linked(rows, k, percent)
+    got = Counter(tuple(r) for r in jaccard_join.similar(table(spark, rows), shingle=4, percent=85).collect())
+    assert got == linked(rows, 4, 85)
 
 
 def test_jaccard_join_without_gathering(spark, monkeypatch):
-    """The last round alone finds the rest."""
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    """The last round alone finds the rest, without broadcasts, at another threshold."""
+    for name in ("ROUNDS", "FEW_PAIRS", "FEW_LINKS"):
+        monkeypatch.setattr(jaccard_join, name, 0)
     rows = near_copies()
-    got = Counter(tuple(r) for r in jaccard_join.similar(table(spark, rows), shingle=4, percent=85).collect())
-    assert got == linked(rows, 4, 85)
+    got = Counter(tuple(r) for r in jaccard_join.similar(table(spark, rows), shingle=2, percent=60).collect())
+    assert got == linked(rows, 2, 60)
 
 
 def test_jaccard_large_group(spark):
@@ -160,7 +161,7 @@ def aligned(rows):
             out.append((d, 0, 0, 0, ""))
             links.append([])
             continue
-        ea, eb = ([sum(map(len, x[:i + 1])) for i in range(len(x))] for x in (ta, tb))
+        ea, eb = (list(accumulate(map(len, x))) for x in (ta, tb))
         at_b, groups, own, i, j = {x: y for y, x in enumerate(eb)}, [], [], 0, 0
         for x, end in enumerate(ea):
             if end in at_b:
@@ -189,7 +190,6 @@ def test_token_alignment(spark):
 def test_token_alignment_of_documents(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = Counter(tuple(r) for r in QUERIES["op12_token_alignment"](spark, sf).collect())
-    # the longest text takes quadratic time by definition
     assert got == aligned(rows)
 
 
