@@ -9,6 +9,7 @@ shuffled the ordinary way.
 
 Null text counts as the empty text.  Rows repeated with the same id and text are one row
 with a count until the end; of them one is kept.  A null id never wins against another id.
+Texts of any length are hashed whole; other columns are not read.
 An empty table gives an empty result.
 """
 

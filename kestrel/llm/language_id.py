@@ -16,7 +16,9 @@ adds up the tasks).  The sample has at most ``SAMPLE_ROWS`` rows of a language,
 the smallest hash of the row; k-means runs per language in a task of its own.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected; so is every
-text when there is nothing to learn from.  Repeated rows get the same answer.  An empty
+text when there is nothing to learn from.  Repeated rows get the same answer.  Texts of
+any length are read whole; of equal cosines the first centroid wins (languages in order); further
+columns travel as a struct.  An empty
 table gives an empty result.
 """
 

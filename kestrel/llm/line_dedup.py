@@ -16,7 +16,8 @@ with the distinct keys of each document (salted: a line may be in a third of the
 documents), which gives each document the few keys it loses; only those travel to the text.
 
 Null or empty texts are one empty line, which has no key and stays.  Repeated rows count
-as documents of their own.  An empty table gives an empty result.
+as documents of their own.  A text of any length is split whole; lines are equal or not, so there are no
+ties.  Columns travel as a struct (no name can clash).  An empty table gives an empty result.
 """
 
 from __future__ import annotations

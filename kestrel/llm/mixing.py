@@ -19,7 +19,8 @@ inside a bucket), so no source is ever ordered in one task.
 
 A null text has no words; documents without words are in the result with nothing taken.
 A null source is a source of its own, last in the order.  Rows equal in id and text are
-separate documents.  An empty table gives an empty result.
+separate documents; ties of hashes break on a second one.  Sizes are of whole texts of any length; other columns are not read
+or travel as a struct.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ sample has as many rows of each label; the bias is then moved to the share of la
 all training rows, so the score is a probability under that share.
 
 Null and empty texts are one chunk of padding and get the score of that.  Repeated rows
-get the same score.  With rows of one label only, the score is the share of label 1.  An
+get the same score.  Texts of any length are scored whole, further columns travel as a struct (no name
+can clash), and equal maxima of a filter give the same score.  With rows of one label only, the score is the share of label 1.  An
 empty table gives an empty result.
 """
 

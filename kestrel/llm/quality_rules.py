@@ -25,7 +25,8 @@ their language, or of all rows when the language has too few; only a table with
 ``MIN_ROWS`` such rows is kept as it is.
 
 A null text has no words and fails the base rules; null languages and sources are groups of
-their own.  Repeated rows count each.  An empty table gives an empty result.
+their own.  Repeated rows count each, rows at one distance are kept or rejected
+together.  Texts of any length are counted whole; other columns are not read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

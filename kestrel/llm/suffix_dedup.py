@@ -24,7 +24,8 @@ document or another) is removed.  A window is such a string at one place.
 
 Hashes are two polynomial hashes of 64 bits each.  Null text counts as empty.  Rows equal in id
 and text are documents of their own and repeat each other.  Documents shorter than
-``length`` lose nothing.  An empty table gives an empty result.
+``length`` lose nothing; longer ones, of any size, are read whole, and of equal smallest hashes the first is
+the anchor.  Other columns are not read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

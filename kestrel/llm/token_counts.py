@@ -13,7 +13,8 @@ is read), so a text falls into units at its spaces, and around line feeds, tabs
 returns that no longer piece holds; the best paths of units are independent.  A task remembers the result of a unit, up to ``REMEMBERED`` units at once.
 Scores of such files are whole numbers, so sums are exact in doubles.
 
-Null and empty texts have no tokens and score 0.  Repeated rows get the same result.  An
+Null and empty texts have no tokens and score 0.  Repeated rows get the same result, texts of any
+length are read whole, ties follow the tokenizer's rule, and columns travel as a struct.  An
 empty table gives an empty result.
 """
 
