@@ -212,6 +212,22 @@ def test_runs_edges(spark):
     assert clo.count() == 9
 
 
+def test_lineage_queries_follow_every_node(spark, tmp_path):
+    """Nodes of any key are asked for, not only those with round keys."""
+    from kestrel.plans import runs as P
+    for name, rows, schema in (("nation", [(7, 2)], "n_nationkey int, n_regionkey int"),
+                               ("customer", [(11, 7), (50, 7)], "c_custkey bigint, c_nationkey int"),
+                               ("orders", [(3, 11), (100, 50)], "o_orderkey bigint, o_custkey bigint")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    up = {tuple(r) for r in P.q_lineage_ancestors(spark, str(tmp_path)).collect()}
+    assert up == {("nation:7", "region:2", 1),
+                  *((f"customer:{c}", *r) for c in (11, 50) for r in (("nation:7", 1), ("region:2", 2))),
+                  *((f"order:{o}", *r) for o, c in ((3, 11), (100, 50))
+                    for r in ((f"customer:{c}", 1), ("nation:7", 2), ("region:2", 3)))}
+    down = {(r.rel, r.node, r.depth) for r in P.q_lineage_descendants(spark, str(tmp_path)).collect()}
+    assert down == up
+
+
 # ------------------------------------------------------------------ C11 vectors
 def test_vector_edges(spark):
     t = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0, 0.0]), (4, [2.0, 0.0])],
