@@ -2,7 +2,7 @@
 
 Exact search scores every table row against every query vector.  The queries are cut into
 blocks of about ``BLOCK`` vectors (one array value for each block); a table row goes through one
-shuffle at most, to its salt, meets every block there, is scored against the block's array in place, and
+shuffle, to its salt, meets every block there, is scored against the block's array in place, and
 the top-k per query uses ``row_number() <= k``, which Spark plans with a partial group limit
 before the shuffle, so a query never gathers more than k x partitions candidates in one task.
 The query set has no bound and does not pass through the driver.
@@ -68,7 +68,8 @@ def score_all(table: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k
          .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     t = unit_vectors(table.select(id_col, vec_col, *keep), vec_col)
     t = t.select(id_col, "_u", *keep, F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
-    scored = t.join(q, "_salt").select(id_col, *keep, F.inline(F.transform(
+    # merged, never broadcast: the blocks of all salts would pass through the driver
+    scored = t.join(q.hint("merge"), "_salt").select(id_col, *keep, F.inline(F.transform(
         "_qs", lambda x: F.struct(x["qid"].alias("qid"), _dot(x["qunit"], F.col("_u")).alias("score")))))
     if exclude_self:
         scored = scored.where(F.col("qid") != F.col(id_col))
@@ -184,11 +185,14 @@ def _coded(df: DataFrame, index: InvertedFile, id_col: str, vec_col: str, probes
 
 def ann_candidates(index: InvertedFile, table: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
                    vec_col: str = "embedding", exclude_self: bool = True) -> DataFrame:
-    """(qid, id): the rows of visited lists with the fewest differing bits, RERANK x k for each query."""
-    t = _coded(table, index, id_col, vec_col, 1).alias("t")
-    q = _coded(queries, index, "qid", "qvec", index.probes).alias("q")
+    """(qid, id): the rows of visited lists with the fewest differing bits, RERANK x k for each query.  The rows of a
+    list are dealt over salts, so that few lists still fill all tasks; queries meet them in a shuffle, not in the driver."""
+    salts = -(-int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")) // len(index.centroids))
+    t = _coded(table, index, id_col, vec_col, 1).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).alias("t")
+    q = (_coded(queries, index, "qid", "qvec", index.probes)
+         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("q"))
     bits = [F.bit_count(F.col(f"t.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in _CODES]
-    pairs = t.join(q, F.col("t.list") == F.col("q.list")).select(
+    pairs = t.join(q.hint("merge"), (F.col("t.list") == F.col("q.list")) & (F.col("t.salt") == F.col("q.salt"))).select(
         F.col("q.id").alias("qid"), F.col("t.id").alias(id_col), sum(bits[1:], bits[0]).alias("apart"))
     if exclude_self:
         pairs = pairs.where(F.col("qid") != F.col(id_col))
@@ -201,5 +205,6 @@ def ann_search(candidates: DataFrame, table: DataFrame, queries: DataFrame, k: i
     """V5: (qid, id, score, rank), the nearest k candidates of each query by their cosine."""
     t = unit_vectors(table.select(id_col, vec_col), vec_col).select(id_col, "_u")
     q = unit_vectors(queries.select("qid", "qvec"), "qvec", "_q").select("qid", "_q")
-    scored = candidates.join(t, id_col).join(q, "qid").select("qid", id_col, _dot(F.col("_q"), F.col("_u")).alias("score"))
+    # vectors are not broadcast: their bytes would pass through the driver
+    scored = candidates.join(t.hint("merge"), id_col).join(q.hint("merge"), "qid").select("qid", id_col, _dot(F.col("_q"), F.col("_u")).alias("score"))
     return top_k(scored, k, id_col)

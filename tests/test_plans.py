@@ -86,3 +86,19 @@ def test_monitors_share_one_scan(spark, sf):
     assert len(jobs.collect()) > 10
     final = re.search(r"== Final Plan ==(.*?)== Initial Plan ==", jobs._jdf.queryExecution().executedPlan().toString(), re.S).group(1)
     assert scans[0] == 1 and len(re.findall(r"Scan parquet", final)) <= 2, (scans, final)
+
+
+@pytest.mark.parametrize("name", ["knn_by_entity", "knn_topk", "knn_by_vector", "knn_filtered", "knn_crowding", "crowding_topk"])
+def test_query_vectors_are_not_broadcast(spark, sf, name):
+    """Blocks of queries go from shuffle to shuffle, never through the driver."""
+    p = _plan(spark, sf, name)
+    assert "BroadcastExchange" not in p and "SortMergeJoin [_salt" in p
+
+
+def test_approximate_search_broadcasts_no_vectors(spark, sf):
+    from kestrel.operators import vectors as V
+    from kestrel.plans.vectors import _emb, _queries
+    e = _emb(spark, sf)
+    cand = V.ann_candidates(V.fit_inverted_file(e, 10), e, _queries(e), 10)
+    for df in (cand, V.ann_search(cand, e, _queries(e), 10)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
