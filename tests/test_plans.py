@@ -102,3 +102,15 @@ def test_approximate_search_broadcasts_no_vectors(spark, sf):
     cand = V.ann_candidates(V.fit_inverted_file(e, 10), e, _queries(e), 10)
     for df in (cand, V.ann_search(cand, e, _queries(e), 10)):
         assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_joins_rows_to_their_own_bucket(spark):
+    """Rows of one stratum are spread over its buckets: a join by stratum alone puts them into one task."""
+    from pyspark.sql import functions as F
+    from kestrel.operators.ml import stratified_split
+    t = spark.range(1000).withColumn("y", F.col("id") * 1.0)
+    train, test = stratified_split(t, "y", 0.2, F.col("id").cast("string"), stratify=False, materialize=False)
+    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^]]*)\]", train._jdf.queryExecution().executedPlan().toString())
+    assert joins and all("_b" in keys for keys in joins)
+    want = {r[0] for r in t.withColumn("h", F.md5(F.concat(F.lit("42:"), F.col("id").cast("string")))).orderBy("h").limit(200).collect()}
+    assert {r.id for r in test.collect()} == want and train.count() == 800
