@@ -19,6 +19,7 @@ with a similarity of p percent or more differ in at most d = (100 - p)(a + b) /
 * Further rounds: only pairs with a key in common that are in different components can still matter, so
   only groups that hold several components go on, now with sketches.  In these, classes gather around the first
   class with a near sketch (``gathered``, at most ``LEADERS`` of them to a group): again one pair for each member.
+  Of keys with the same classes one goes on, as the others would give the same pairs again.
 * Last round: what is still in different components of one group is joined, sketches compared
   inside the join, and verified.  So no link between components is lost, while a large group of near
   copies costs as many pairs as it has members, not their square.
@@ -336,6 +337,14 @@ def mixed_groups(inside: DataFrame) -> DataFrame:
     return inside.join(several, "key", "left_semi")
 
 
+def different_groups(shared: DataFrame) -> DataFrame:
+    """The rows of one key (the least) of those whose classes are the same: equal groups give the same pairs, and two
+    long texts may have thousands of keys in common.  Sets are told apart by their size and two 64-bit hashes."""
+    sets = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c1")).alias("a"),
+                                     F.bit_xor(F.xxhash64(F.lit(1), "c1")).alias("b"))
+    return shared.join(sets.groupBy("n", "a", "b").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def word_shingles(text: bytes, shingle: int) -> set[bytes]:
     w = text.lower().split()
     return {b" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
@@ -397,7 +406,8 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
               .join(root.select(F.col("c1").alias("v"), F.col("root").alias("rv")), "v").where("ru <> rv")
               .select(F.col("u").alias("leader"), F.col("v").alias("c1")).distinct())
     mixed = shared.join(differ, ["leader", "c1"]).select("key").distinct()
-    inside = written(shared.join(mixed, "key").select("key", "c1").join(member, "c1").drop("c2"), "jaccard-mixed")
+    several = written(shared.join(mixed, "key").select("key", "c1"), "jaccard-several")
+    inside = written(different_groups(several).join(member, "c1").drop("c2"), "jaccard-mixed")
 
     def with_roots(rows: DataFrame) -> DataFrame:
         roots = written(components(links, "jaccard-cc", FEW_LINKS).select(F.col("u").alias("c"), F.col("root").alias("now")), "jaccard-roots")

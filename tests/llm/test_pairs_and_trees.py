@@ -134,6 +134,30 @@ def test_parity_sketch_bounds_the_difference():
         assert np.bitwise_count(x ^ y).sum() <= 2 * change
 
 
+def test_jaccard_long_texts_meet_once(spark, monkeypatch):
+    # two long texts that are not similar share many keys; their group goes on once, not for every key
+    r = random.Random(3)
+    one = [f"w{r.random()}" for _ in range(2000)]
+    other = one[:1500] + [f"v{r.random()}" for _ in range(500)]
+    rows = [(1, " ".join(one)), (2, " ".join(other)), (3, "alone")]
+    kept, write = {}, jaccard_join.written
+
+    def spy(df, name, *a):
+        kept[name] = write(df, name, *a)
+        return kept[name]
+    monkeypatch.setattr(jaccard_join, "written", spy)
+    got = Counter(tuple(r) for r in jaccard_join.similar(table(spark, rows), shingle=4, percent=85).collect())
+    assert got == Counter([(1, 1997, 1), (2, 1997, 2), (3, 1, 3)])
+    assert kept["jaccard-shared"].select("key").distinct().count() > 20
+    assert kept["jaccard-mixed"].count() in (0, 2)
+
+
+def test_jaccard_groups_with_equal_classes(spark):
+    rows = [(7, 1), (7, 2), (5, 1), (5, 2), (9, 1), (9, 2), (9, 3), (4, 2), (4, 3)]
+    got = jaccard_join.different_groups(spark.createDataFrame(rows, "key long, c1 long").repartition(3))
+    assert sorted(map(tuple, got.collect())) == [(4, 2), (4, 3), (5, 1), (5, 2), (9, 1), (9, 2), (9, 3)]
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.similar(table(spark, [], 1)).collect() == []
 
