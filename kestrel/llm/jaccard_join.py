@@ -22,9 +22,10 @@ with a similarity of p percent or more differ in at most d = (100 - p)(a + b) /
   Of keys with the same classes one goes on, as the others would give the same pairs again.
 * Last round: what is still in different components of one group is joined, sketches compared
   inside the join, and verified.  So no link between components is lost, while a large group of near
-  copies costs as many pairs as it has members, not their square.
+  copies costs as many pairs as it has members, not their square.  The join is by the least class of the
+  group (``star_pairs``): long texts meet once for each of these, not for every key they have in common.
 
-Both joins by key are plain shuffles of (key, class), which Spark can split.  Components are found by
+All these joins are plain shuffles, which Spark can split.  Components are found by
 alternating star steps over written tables (as in ``simhash``).
 
 Defined results.  Texts without words, and null texts, have an empty set: n_shingles 0, linked with nothing, the
@@ -345,6 +346,17 @@ def different_groups(shared: DataFrame) -> DataFrame:
     return shared.join(sets.groupBy("n", "a", "b").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
+def star_pairs(inside: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the classes of different components with near sketches that are in groups with the same least class.
+    Two long texts may have thousands of keys in common, in groups that differ by some members.  Members of one group
+    have its least class in common, so each of their pairs is here, once for each least class they share."""
+    least = inside.groupBy("key").agg(F.min("c").alias("least"))
+    stars = written(inside.join(least, "key").select("least", "c", "root", "n", *SKETCH).distinct(), "jaccard-stars")
+    x, y = stars.alias("x"), stars.alias("y")
+    return (x.join(y.hint("merge"), (F.col("x.least") == F.col("y.least")) & (F.col("x.root") < F.col("y.root"))
+                   & _near("x", "y", percent)).select(F.col("x.c").alias("u"), F.col("y.c").alias("v")))
+
+
 def word_shingles(text: bytes, shingle: int) -> set[bytes]:
     w = text.lower().split()
     return {b" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
@@ -420,9 +432,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
             break
         links = links.unionByName(more)
         inside = written(mixed_groups(with_roots(inside)), "jaccard-mixed")
-    x, y = inside.alias("x"), inside.alias("y")
-    last = (x.join(y.hint("merge"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _near("x", "y", percent))
-            .select(F.col("x.c").alias("u"), F.col("y.c").alias("v")).distinct())
+    last = star_pairs(inside, percent).distinct()
     links = links.unionByName(verified(last, classes, df, id_col, text_col, shingle, percent, "jaccard-last"))
 
     roots = components(links, "jaccard-cc", FEW_LINKS).select(F.col("u").alias("c"), "root")

@@ -158,6 +158,20 @@ def test_jaccard_groups_with_equal_classes(spark):
     assert sorted(map(tuple, got.collect())) == [(4, 2), (4, 3), (5, 1), (5, 2), (9, 1), (9, 2), (9, 3)]
 
 
+def test_jaccard_pairs_of_long_texts_meet_once(spark):
+    # classes 1 and 2 have 60 keys in common, in groups that all differ by one member; 3 is in the component of 2
+    def row(key, c, root):
+        return (key, (c, c), (root, root), 5000, *[0] * jaccard_join.WORDS)
+    rows = [row(k, c, c) for k in range(60) for c in (1, 2, 100 + k)] + [row(99, c, 2) for c in (2, 3)]
+    schema = ["key long", "c struct<c1: long, c2: long>", "root struct<c1: long, c2: long>", "n int",
+              *[f"{s} long" for s in jaccard_join.SKETCH]]
+    inside = spark.createDataFrame(rows, ", ".join(schema))
+    got = Counter((r.u.c1, r.v.c1) for r in jaccard_join.star_pairs(inside.repartition(3), 85).collect())
+    assert got[1, 2] == 1
+    groups = {(1, 2)} | {(a, 100 + k) for a in (1, 2) for k in range(60)}
+    assert groups <= set(got) and (2, 3) not in got and max(got.values()) == 1
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.similar(table(spark, [], 1)).collect() == []
 
