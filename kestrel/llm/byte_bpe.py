@@ -5,7 +5,7 @@ fold merges, again and again, the neighbours with the lowest rank (the leftmost
 ones) until no neighbours have a rank; in these vocabularies the rank is the id.
 
 Distinct words are folded by Spark higher-order functions over arrays; the rank map is a
-literal of nested arrays in which a pair of ids has one place (``RankMap``).  These are the
+literal of flat arrays in which a pair of ids has one place (``RankMap``).  These are the
 words that occur most, counted over all documents: ``KNOWN_WORDS`` of them at most, of
 ``KNOWN_BYTES`` bytes at most, which bounds the table that tasks get.  The long tail of other
 words has about as many distinct words as occurrences.  Folding it by higher-order functions
@@ -81,26 +81,30 @@ def java_pattern(pattern: str) -> str:
 
 
 class RankMap:
-    """Pairs of ids that merge, as one array for each left id; the right id modulo the length of
-    that array is its place there, and the array is long enough for no two to clash."""
+    """Pairs of ids that merge, in flat arrays.  A left id has as many buckets as merges; the right id modulo their
+    number is the pair's bucket, and modulo the number of the bucket's cells, enough for no two to clash, its cell.
+    That is about two cells for a pair: the driver holds several copies of a literal while it sends it."""
 
     def __init__(self, ranks: dict[bytes, int]):
         if max(ranks.values()) >> _ID_BITS:
             raise ValueError(f"ids need more than {_ID_BITS} bits")
         left, right, rank = merges(ranks)
         n = max(ranks.values()) + 1
-        at = np.searchsorted(left, np.arange(n + 1))
-        sizes, places = np.ones(n, np.int64), np.zeros(len(left), np.int64)
-        for i in np.unique(left).tolist():
-            own = right[at[i]:at[i + 1]]
-            size = len(own)
-            while len(np.unique(own % size)) < len(own):
-                size += size // 8 + 1
-            sizes[i], places[at[i]:at[i + 1]] = size, own % size
+        buckets = np.maximum(np.bincount(left, minlength=n), 1)
+        first = np.concatenate([[0], np.cumsum(buckets)])
+        bucket = first[left] + right % buckets[left]
+        sizes = np.maximum(np.bincount(bucket, minlength=first[-1]), 1)
+        while True:
+            place = right % sizes[bucket]
+            order = np.lexsort((place, bucket))
+            clash = (np.diff(bucket[order]) == 0) & (np.diff(place[order]) == 0)
+            if not clash.any():
+                break
+            sizes[np.unique(bucket[order[1:]][clash])] += 1
         ends = np.concatenate([[0], np.cumsum(sizes)])
         cells = np.full(ends[-1], -1, np.int64)
-        cells[ends[left] + places] = right << _ID_BITS | rank
-        self.rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells))
+        cells[ends[bucket] + place] = right << _ID_BITS | rank
+        self.first, self.ends, self.cells = pa.array(first, pa.int32()), pa.array(ends, pa.int32()), pa.array(cells)
         self.bytes = pa.array([ranks.get(bytes([i]), NONE) for i in range(256)], pa.int32())
         # two bytes to the id they merge to
         self.two = pa.array([ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)], pa.int32())
@@ -122,37 +126,36 @@ def merges(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 @dataclass
 class Tokenizer:
-    """The ranks, the pattern, and the rank map as literals (scalar subqueries) for column expressions."""
+    """The ranks, the pattern, and the rank map and the pieces as literals (scalar subqueries) for column expressions."""
     ranks: dict[bytes, int]
     pattern: str
-    rows: Column
-    singles: Column
-    twos: Column
+    merges: dict[str, Column]
     pieces: Column
 
     @staticmethod
     def load(spark: SparkSession, path: str, pattern: str) -> "Tokenizer":
         ranks = read_ranks(path)
         m = RankMap(ranks)
-
-        def literal(values: pa.Array) -> DataFrame:
-            table = pa.table({"v": pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)})
-            return written(spark.createDataFrame(table), "bpe-literal")
+        arrays = {"first": m.first, "ends": m.ends, "cells": m.cells, "singles": m.bytes, "twos": m.two, "pieces": m.pieces}
+        table = written(spark.createDataFrame(pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+                                                        for k, v in arrays.items()})), "bpe-literals")
         # pieces as strings of their bytes: the cast is made once, not for every token
-        pieces = literal(m.pieces).select(F.transform("v", lambda x: x.cast("string")))
-        return Tokenizer(ranks, java_pattern(pattern), literal(m.rows).scalar(), literal(m.bytes).scalar(), literal(m.two).scalar(), pieces.scalar())
+        pieces = table.select(F.transform("pieces", lambda x: x.cast("string"))).scalar()
+        return Tokenizer(ranks, java_pattern(pattern), {k: table.select(k).scalar() for k in arrays if k != "pieces"}, pieces)
 
     @staticmethod
-    def rank(rows: Column, a: Column, b: Column) -> Column:
+    def rank(lit: Column, a: Column, b: Column) -> Column:
         """The id that two neighbours merge to, or NONE."""
-        row = F.get(rows, a)
-        v = F.get(row, F.pmod(b, F.size(row)))
-        return F.when(F.shiftright(v, _ID_BITS) == b, v.bitwiseAND(F.lit((1 << _ID_BITS) - 1).cast("long")).cast("int")
-                      ).otherwise(F.lit(NONE))
+        first, ends = lit["first"], lit["ends"]
+
+        def inside(k):
+            v = F.get(lit["cells"], F.get(ends, k) + F.pmod(b, F.get(ends, k + 1) - F.get(ends, k)))
+            return F.when(F.shiftright(v, _ID_BITS) == b, v.bitwiseAND(F.lit((1 << _ID_BITS) - 1).cast("long")).cast("int")
+                          ).otherwise(F.lit(NONE))
+        return bind(F.get(first, a) + F.pmod(b, F.get(first, a + 1) - F.get(first, a)), inside)
 
     def fold(self, lit: Column, word: Column) -> Column:
-        """The ids of one word; ``lit``: a struct of the literals rows, singles and twos."""
-        rows = lit["rows"]
+        """The ids of one word; ``lit``: a struct of the literals of merges."""
         none = F.array().cast("array<int>")
         codes = F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c))
 
@@ -165,9 +168,9 @@ class Tokenizer:
             ids, r, n = s["ids"], s["r"], F.size(s["ids"])
             new = F.concat(F.slice(ids, F.lit(1), k), F.array(best), F.slice(ids, k + 3, n))
             left = F.when(k > 0, F.concat(F.slice(r, F.lit(1), k - 1), F.array(
-                self.rank(rows, F.get(ids, k - 1), best)))).otherwise(none)
+                self.rank(lit, F.get(ids, k - 1), best)))).otherwise(none)
             # r has a NONE at its end, where nothing follows
-            right = F.when(k + 2 < n, F.concat(F.array(self.rank(rows, best, F.get(ids, k + 2))),
+            right = F.when(k + 2 < n, F.concat(F.array(self.rank(lit, best, F.get(ids, k + 2))),
                                                F.slice(r, k + 3, n))).otherwise(F.array(F.lit(NONE)))
             return F.struct(new.alias("ids"), F.concat(left, right).alias("r"))
 
@@ -188,8 +191,8 @@ def _with_literals(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns({f"__bpe_{k}": v for k, v in columns.items()})
 
 
-def _merges() -> Column:
-    return F.struct(*[_literal(n).alias(n) for n in ("rows", "singles", "twos")])
+def _merges(tok: Tokenizer) -> Column:
+    return F.struct(*[_literal(n).alias(n) for n in tok.merges])
 
 
 def _literal(name: str) -> Column:
@@ -212,8 +215,8 @@ def known_words(df: DataFrame, tok: Tokenizer, text_col: str) -> DataFrame:
 
 def folded(words: DataFrame, tok: Tokenizer) -> DataFrame:
     """(word, ids) for a table of words."""
-    return _with_literals(words.select("word"), rows=tok.rows, singles=tok.singles, twos=tok.twos).select(
-        "word", bind(_merges(), lambda lit: tok.fold(lit, F.col("word"))).alias("ids"))
+    return _with_literals(words.select("word"), **tok.merges).select(
+        "word", bind(_merges(tok), lambda lit: tok.fold(lit, F.col("word"))).alias("ids"))
 
 
 class Merger:

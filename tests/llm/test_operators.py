@@ -407,6 +407,18 @@ def test_byte_bpe(docs, known, monkeypatch):
         assert list(r.ids) == np.frombuffer(own, np.int32).tolist() == enc.encode_ordinary(r.word)
 
 
+def test_rank_map_is_small():
+    """The driver holds several copies of the literals: every pair has its cell, in a few cells a pair."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    m, (left, right, rank) = byte_bpe.RankMap(ranks), byte_bpe.merges(ranks)
+    literals = [a for k, a in vars(m).items() if k != "pieces"]
+    assert sum(a.nbytes for a in literals) < 4_000_000       # 14 MB with an array for each left id
+    first, ends, cells = (x.to_numpy().astype(np.int64) for x in (m.first, m.ends, m.cells))
+    k = first[left] + right % (first[left + 1] - first[left])
+    assert (cells[ends[k] + right % (ends[k + 1] - ends[k])] == (right << 17 | rank)).all()
+    assert (cells >= 0).sum() == len(rank)
+
+
 # ------------------------------------------------------------------ learned operators
 def test_language_id_held_out(spark, sf):
     r = (QUERIES["op10_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
