@@ -49,7 +49,7 @@ def q_knn_by_entity(spark, sf):
   FROM q CROSS JOIN embeddings e WHERE q.qid <> e.vec_id""", 3))
 def q_knn_topk(spark, sf):
     e = _emb(spark, sf)
-    return _out(V.top_k(V.score_all(e, _queries(e), "vec_id", "embedding"), 3, "vec_id"))
+    return _out(V.top_k(V.score_all(e, _queries(e), "vec_id", "embedding", best=3), 3, "vec_id"))
 
 
 @query("knn_by_vector", """

@@ -114,3 +114,11 @@ def test_split_joins_rows_to_their_own_bucket(spark):
     assert joins and all("_b" in keys for keys in joins)
     want = {r[0] for r in t.withColumn("h", F.md5(F.concat(F.lit("42:"), F.col("id").cast("string")))).orderBy("h").limit(200).collect()}
     assert {r.id for r in test.collect()} == want and train.count() == 800
+
+
+@pytest.mark.parametrize("name", ["knn_by_entity", "knn_topk", "knn_by_vector", "knn_filtered", "knn_crowding", "crowding_topk"])
+def test_pairs_are_cut_before_they_are_sorted(spark, sf, name):
+    """Scores come from the tasks that keep the best of each query, not from a row for every pair."""
+    p = _plan(spark, sf, name)
+    joined = p.index("SortMergeJoin [_salt")
+    assert "MapInArrow" in p[:joined] and "inline" not in p

@@ -1,6 +1,7 @@
 """Running aggregates and quantiles over ranges, with further columns kept and null keys."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from kestrel.operators import ml as M
@@ -73,3 +74,88 @@ def test_inverted_file(spark):
     assert not {5000, 5001} & {v for _, v in got}
     empty = V.fit_inverted_file(t.limit(0), 10)
     assert V.ann_candidates(empty, t.limit(0), q.limit(0), 10).count() == 0
+
+
+def _vectors_with_ties():
+    """Many rows with one vector, ids that repeat or are null, vectors that are null, zero, short or not a number."""
+    rng = np.random.default_rng(3)
+    base, rows = rng.normal(size=(40, 5)), []
+    for i in range(900):
+        v = base[0 if i % 4 == 0 else rng.integers(40)].tolist()
+        odd = {17: None, 19: [0.0] * 5, 23: [1.0, None, 2.0, 3.0, 4.0], 29: [float("nan")] + [1.0] * 4, 31: [1.0, 2.0], 37: []}
+        v = next((o for m, o in odd.items() if i % m == 0), v)
+        rows.append((None if i % 41 == 0 else int(rng.integers(700)), v, None if i % 13 == 0 else int(rng.integers(6))))
+    return rows
+
+
+def _by_hand(table, queries, k, per_group, exclude_self):
+    """{qid: [(id, score)]} by sorting all pairs; scores are added up one after the other."""
+    def unit(v):
+        if v is None or None in v:
+            return None
+        norm = 0.0
+        for x in v:
+            norm += x * x
+        norm = norm ** 0.5
+        return None if norm == 0 else [x / norm for x in v]
+
+    found = {}
+    units = [(i, unit(v), g) for i, v, g in table]
+    for qid, qvec in queries:
+        q = unit(qvec)
+        for i, u, g in units:
+            if exclude_self and (i is None or qid is None or i == qid):
+                continue
+            score = None
+            if q is not None and u is not None and len(q) == len(u):
+                score = 0.0
+                for a, b in zip(q, u):
+                    score += a * b
+            order = (2, 0.0) if score is None else (0, 0.0) if score != score else (1, -score)
+            found.setdefault(qid, []).append((*order, -1 if i is None else i, g))
+    best = {}
+    for qid, pairs in found.items():
+        seen, best[qid] = {}, []
+        for kind, score, i, g in sorted(pairs, key=lambda p: p[:3]):
+            seen[g] = seen.get(g, 0) + 1
+            if (per_group is None or seen[g] <= per_group) and len(best[qid]) < k:
+                best[qid].append((i, kind, -score))
+    return best
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+@pytest.mark.parametrize("k, per_group", [(1, None), (7, None), (10, 2), (4, 1), (40, 3)])
+def test_best_pairs_of_odd_vectors(spark, monkeypatch, k, per_group, exclude_self):
+    """Ties, nulls and repeated ids over several chunks and blocks give the rows that sorting all pairs gives."""
+    rows = _vectors_with_ties()
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    some = [(i, v) for i, v, _ in rows if i is None or i % 5 == 0]
+    q = spark.createDataFrame(some, "qid long, qvec array<double>")
+    monkeypatch.setattr(V, "BLOCK", 64)               # travel with the task
+    monkeypatch.setattr(V, "CHUNK", 128)
+    monkeypatch.setattr(V, "FIRST", 32)
+    if per_group is None:
+        got = V.knn(t, q, k, exclude_self=exclude_self).collect()
+    else:
+        got = V.knn_crowding(t, q, k, per_group, "label", exclude_self=exclude_self).collect()
+    want = _by_hand(rows, some, k, per_group, exclude_self)
+    have = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        kind = 2 if r.score is None else 0 if r.score != r.score else 1
+        have.setdefault(r.qid, []).append((-1 if r.vec_id is None else r.vec_id, kind, r.score if kind == 1 else 0.0))
+    assert have == want
+
+
+def test_few_pairs_leave_the_scoring(spark):
+    """Neither sort nor shuffle sees all pairs of a query and a row: the scoring tasks keep the best of each query."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist(), i % 5) for i in range(2000)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    q = t.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    every = V.score_all(t, q, "vec_id", "embedding", ["label"])
+    assert every.count() == 40 * 1999
+    best = V.score_all(t, q, "vec_id", "embedding", ["label"], best=3)
+    assert 40 * 3 <= best.count() <= 40 * 3 * 4       # four salts
+    assert {tuple(r) for r in V.top_k(best, 3, "vec_id").collect()} == {tuple(r) for r in V.top_k(every, 3, "vec_id").collect()}
+    crowded = V.score_all(t, q, "vec_id", "embedding", ["label"], best=3, crowd="label", per_group=1)
+    assert 40 * 3 <= crowded.count() <= 40 * 3 * 4
