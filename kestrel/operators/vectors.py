@@ -11,7 +11,7 @@ exactly, whatever their place in a chunk.  The query set has no bound and does n
 Approximate search (V5) has an inverted file with sign codes.  Every row is in the list of its nearest
 centroid, with a code of ``BITS`` bits: on which side of as many planes through the origin the vector
 lies, so differing bits estimate the angle.  A query visits the lists nearest to it, ranks
-their rows by differing bits inside the join, and only the first ``RERANK`` x k
+their rows by differing bits inside the join (chunks and blocks as above), and only the first ``RERANK`` x k
 rows become candidates, whose vectors are fetched and scored.  Centroids and the number of lists to visit are
 fitted on a bounded sample; every row is indexed.
 """
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 # code that runs in tasks travels with the task: workers need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,6 +122,37 @@ def _sums(products, n: int) -> np.ndarray:
     return acc
 
 
+@dataclass
+class _Codes:
+    """Words of sign codes; the score is the number of differing bits, negative."""
+    x: np.ndarray             # (rows, words)
+
+    @classmethod
+    def of(cls, columns: list[pa.Array]) -> _Codes:
+        return cls(np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in columns], axis=1))
+
+    @property
+    def ok(self) -> np.ndarray:
+        return np.ones(len(self.x), bool)
+
+    def take(self, at) -> _Codes:
+        return _Codes(self.x[at])
+
+    def scores(self, t: _Codes) -> tuple[np.ndarray, float]:
+        s = np.empty((len(self.x), len(t.x)), np.float32)
+        words = np.ascontiguousarray(t.x.T)
+        for a in range(0, len(s), 32):                # what is worked on at once stays in the cache
+            q = self.x[a:a + 32]
+            apart = np.zeros((len(q), len(t.x)), np.uint16)
+            for i, w in enumerate(words):
+                apart += np.bitwise_count(q[:, i, None] ^ w)
+            np.negative(apart, out=s[a:a + 32], dtype=np.float32)
+        return s, 0.0
+
+    def exact(self, t: _Codes, qi: np.ndarray, ti: np.ndarray, s: np.ndarray) -> np.ndarray:
+        return s.astype(np.float64)
+
+
 def _by_value(a: pa.Array) -> tuple[np.ndarray, ...]:
     """Keys for ``lexsort`` that order as Spark does, nulls first; the last is the most significant."""
     if pa.types.is_integer(a.type):
@@ -172,7 +203,7 @@ class _Rows:
     ids: pa.Array
     key: pa.Array             # the id in the type that it is compared in with the id of a query
     keep: list[pa.Array]
-    v: _Units
+    v: _Units | _Codes
 
     def take(self, at: np.ndarray) -> _Rows:
         i = pa.array(at)
@@ -200,7 +231,7 @@ def _without_self(s: np.ndarray, qkey: pa.Array, tkey: pa.Array) -> None:
     s[qi, order[np.repeat(lo, hi - lo) + _places(qi)]] = -np.inf
 
 
-def _add(best: _Best | None, q: _Units, qkey: pa.Array, rows: _Rows, k: int, per_group: int,
+def _add(best: _Best | None, q: _Units | _Codes, qkey: pa.Array, rows: _Rows, k: int, per_group: int,
          crowd: int | None, exclude_self: bool) -> _Best:
     """The best pairs of what was found before and of a chunk: of each query and group (the kept column ``crowd``)
     the first ``per_group``, and of those the first ``k``."""
@@ -274,7 +305,7 @@ def _all_pairs(q, qkey: pa.Array, rows: _Rows, exclude_self: bool) -> _Best:
 def _pairs(joined: DataFrame, schema: StructType, of, k: int | None, per_group: int | None, crowd: int | None,
            exclude_self: bool) -> DataFrame:
     """Pairs of ``joined``, which has a row (_part, _block, _qs, _ts) for each block of queries (qid, key, vector
-    columns) and each chunk of rows (id, key, vector columns, kept columns) that meet; ``of``: _Units.of.
+    columns) and each chunk of rows (id, key, vector columns, kept columns) that meet; ``of``: _Units.of or _Codes.of.
     The chunks that a block meets in a row are worked off together."""
     names = schema.names
     kept = len(names) - 3                             # id, qid and score stand beside the kept columns
@@ -468,16 +499,25 @@ def ann_candidates(index: InvertedFile, table: DataFrame, queries: DataFrame, k:
                    vec_col: str = "embedding", exclude_self: bool = True) -> DataFrame:
     """(qid, id): the rows of visited lists with the fewest differing bits, RERANK x k for each query.  The rows of a
     list are dealt over salts, so that few lists still fill all tasks; queries meet them in a shuffle, not in the driver."""
-    salts = -(-int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")) // len(index.centroids))
-    t = _coded(table, index, id_col, vec_col, 1).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).alias("t")
+    n_queries, n_rows = queries.count(), table.count()
+    lists = len(index.centroids)
+    salts = -(-_salts(table, n_rows, n_queries) // lists)
+    blocks, chunks = max(1, -(-n_queries // BLOCK)), max(1, -(-n_rows // (lists * salts * CHUNK)))
+    row = F.struct("id", F.col("id").alias("key"), *_CODES)
+    t = (_coded(table, index, id_col, vec_col, 1)
+         .select(row.alias("_t"), F.pmod(F.xxhash64("id", *_CODES), F.lit(salts * chunks)).cast("int").alias("_chunk"), "list")
+         .withColumn("_salt", F.col("list") * salts + F.pmod("_chunk", F.lit(salts)))
+         .repartition(lists * salts, "_salt")
+         .groupBy("_salt", "_chunk").agg(F.collect_list("_t").alias("_ts")))
     q = (_coded(queries, index, "qid", "qvec", index.probes)
-         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("q"))
-    bits = [F.bit_count(F.col(f"t.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in _CODES]
-    pairs = t.join(q.hint("merge"), (F.col("t.list") == F.col("q.list")) & (F.col("t.salt") == F.col("q.salt"))).select(
-        F.col("q.id").alias("qid"), F.col("t.id").alias(id_col), sum(bits[1:], bits[0]).alias("apart"))
-    if exclude_self:
-        pairs = pairs.where(F.col("qid") != F.col(id_col))
-    w = Window.partitionBy("qid").orderBy("apart", id_col)
+         .groupBy("list", F.pmod(F.xxhash64("id", *_CODES), F.lit(blocks)).alias("_block"))
+         .agg(F.collect_list(row).alias("_qs"))
+         .withColumn("_salt", F.explode(F.sequence(F.col("list") * salts, F.col("list") * salts + (salts - 1))))
+         .repartition(lists * salts, "_salt"))
+    joined = q.join(t.hint("merge"), "_salt").select("_salt", "_block", "_qs", "_ts")
+    schema = StructType([StructField(id_col, LongType()), StructField("qid", LongType()), StructField("score", DoubleType())])
+    pairs = _pairs(joined, schema, _Codes.of, RERANK * k, RERANK * k, None, exclude_self)
+    w = Window.partitionBy("qid").orderBy(F.desc("score"), id_col)
     return pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= RERANK * k).select("qid", id_col)
 
 

@@ -93,11 +93,15 @@ def _ann(spark, sf):
     e = _emb(spark, sf)
     q = _queries(e)
     index = V.fit_inverted_file(e, K)
-    path = scratch_path(spark, "ann-candidates")      # written once: the search and the figures use them
-    V.ann_candidates(index, e, q, K).write.parquet(path)
-    cand = spark.read.parquet(path)
-    found = V.ann_search(cand, e, q, K)
-    exact = V.knn(e, q, K).select("qid", "vec_id", F.lit(1).alias("hit"))
+
+    def once(df, name):                               # written once: the search, the result and the figures use them
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    cand = once(V.ann_candidates(index, e, q, K), "ann-candidates")
+    found = once(V.ann_search(cand, e, q, K), "ann-found")
+    exact = once(V.knn(e, q, K).select("qid", "vec_id", F.lit(1).alias("hit")), "ann-exact")
     hits = found.join(exact, ["qid", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
     figures = (hits.select("n", (F.col("hits") / exact.agg(F.count("hit")).scalar()).alias("recall"))
                .withColumn("n_queries", q.agg(F.count("qid")).scalar())

@@ -122,3 +122,11 @@ def test_pairs_are_cut_before_they_are_sorted(spark, sf, name):
     p = _plan(spark, sf, name)
     joined = p.index("SortMergeJoin [_salt")
     assert "MapInArrow" in p[:joined] and "inline" not in p
+
+
+def test_approximate_search_counts_bits_in_its_tasks(spark, sf):
+    from kestrel.operators import vectors as V
+    from kestrel.plans.vectors import _emb, _queries
+    e = _emb(spark, sf)
+    p = V.ann_candidates(V.fit_inverted_file(e, 10), e, _queries(e), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_count" not in p and "MapInArrow" in p[:p.index("SortMergeJoin [_salt")]

@@ -159,3 +159,6 @@ def test_few_pairs_leave_the_scoring(spark):
     assert {tuple(r) for r in V.top_k(best, 3, "vec_id").collect()} == {tuple(r) for r in V.top_k(every, 3, "vec_id").collect()}
     crowded = V.score_all(t, q, "vec_id", "embedding", ["label"], best=3, crowd="label", per_group=1)
     assert 40 * 3 <= crowded.count() <= 40 * 3 * 4
+    # the same for the codes of the approximate search
+    cand = V.ann_candidates(V.fit_inverted_file(t, 2), t, q, 2)
+    assert cand.count() == 40 * 2 * V.RERANK
